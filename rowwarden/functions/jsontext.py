@@ -1,43 +1,47 @@
-"""Field access on JSON text: one parse to a variant, then typed look-ups."""
+"""Fields of JSON messages: presence, kind and typed value.
+
+`sources.parse.messages` parses a text once into the struct `j` of variants and the
+columns `k_<field>` with the kind of each; the functions here work on those. The kind is
+null for an absent field and VOID for a JSON null.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_NUMERIC = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
+TEXT, INTEGER, DOUBLE, BOOLEAN, NULL = "STRING", "BIGINT", "DOUBLE", "BOOLEAN", "VOID"
+
+
+def kind(name: str) -> Column:
+    return F.col(f"k_{name}")
+
+
+def is_number(name: str) -> Column:
+    return (kind(name) == INTEGER) | (kind(name) == DOUBLE) | kind(name).startswith("DECIMAL")
 
 
-def document(raw: Column) -> Column:
-    """The parsed text, null when it is not well-formed JSON."""
-    return F.try_parse_json(raw)
+def present(name: str) -> Column:
+    return kind(name).isNotNull()
 
 
-def field(doc: Column, name: str, as_type: str) -> Column:
-    return F.try_variant_get(doc, f"$.{name}", as_type)
+def given(name: str) -> Column:
+    """Present and not a JSON null."""
+    return present(name) & (kind(name) != NULL)
 
 
-def field_type(doc: Column, name: str) -> Column:
-    """`integer`, `number`, `string`, `boolean`, `null`, `array`, `object`; null when absent."""
-    kind = F.schema_of_variant(field(doc, name, "variant"))
-    return (
-        F.when(kind == "STRING", "string")
-        .when(kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT)$"), "integer")
-        .when(kind.rlike(_NUMERIC), "number")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind == "VOID", "null")
-        .when(kind.startswith("ARRAY"), "array")
-        .when(kind.startswith("OBJECT"), "object")
-    )
+def value(name: str, as_type: str) -> Column:
+    """The field cast to a type, null where it cannot be."""
+    return F.try_variant_get(F.col(f"j.{name}"), "$", as_type)
 
 
-def number(doc: Column, name: str) -> Column:
+def number(name: str) -> Column:
     """The field as a double when it is a JSON number, else null."""
-    return F.when(field_type(doc, name).isin("integer", "number"), field(doc, name, "double"))
+    return F.when(is_number(name), value(name, "double"))
 
 
-def text(doc: Column, name: str) -> Column:
-    """The field as a string when it is a JSON string, else null."""
-    return F.when(field_type(doc, name) == "string", field(doc, name, "string"))
+def text(name: str) -> Column:
+    """The field when it is a JSON string, else null."""
+    return F.when(kind(name) == TEXT, value(name, "string"))
 
 
 def element_by_role(elements: Column, role: str, wanted: str = "value") -> Column:

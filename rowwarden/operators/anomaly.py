@@ -28,9 +28,10 @@ def ewma(
     threshold: float = 4.0,
     signed: bool = False,
     partitions: int | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """Adds ema, ewvar, z and is_anomaly; rows without key or number pass by."""
-    return ordered_scan(df, [key], order, value, Ewma(alpha, threshold, signed), partitions)
+    return ordered_scan(df, [key], order, value, Ewma(alpha, threshold, signed), partitions, stage)
 
 
 def ewma_lenient(

@@ -224,13 +224,23 @@ def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str]):
 
 
 def ordered_scan(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, fold, partitions: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    fold,
+    partitions: int | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """`df` plus the outputs of `fold` over `value` per key in `order` (make it total).
 
     Rows whose key or value is null take no part and get the fold's neutral outputs.
+    Finding the range bounds reads `df` once more; set `stage` where its rows are costly
+    to make (parsed text), and they are written once first.
     """
     spark = df.sparkSession
+    if stage:
+        df = cut_lineage(df)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(n, *keys, *order)

@@ -10,39 +10,46 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowwarden.functions import jsontext
 
-# JSON kinds a declared type takes (a boolean is no integer), and
-# type changes that keep old readers working.
-ACCEPTED = {
-    "int": ("integer",),
-    "long": ("integer",),
-    "float": ("integer", "number"),
-    "double": ("integer", "number"),
-    "string": ("string",),
-    "boolean": ("boolean",),
-}
+# The kinds of JSON value a declared type takes (a boolean is no integer),
+# and type changes that keep old readers working.
+WHOLE, NUMERIC = ("int", "long"), ("float", "double")
 FAULT_NAME = {"int": "int", "long": "int", "float": "float", "double": "float", "string": "string", "boolean": "boolean"}
 PROMOTABLE = {
     ("int", "long"), ("int", "float"), ("int", "double"), ("long", "double"), ("float", "double"),
 }
 
 
-def conformance_faults(doc: Column, declared: Mapping[str, str], types: bool = True) -> Column:
-    """Faults of a record in field order, empty when it conforms.
+def _has_type(name: str, declared: str) -> Column:
+    if declared in WHOLE:
+        return jsontext.kind(name) == jsontext.INTEGER
+    if declared in NUMERIC:
+        return jsontext.is_number(name)
+    return jsontext.kind(name) == {"string": jsontext.TEXT, "boolean": jsontext.BOOLEAN}[declared]
+
+
+def fault(name: str, declared: str, types: bool = True) -> Column:
+    """What is wrong with one field of a parsed message, null when nothing is.
 
     Types that are not simple (unions, records) are checked for presence only.
     """
-    found = []
-    for name, kind in declared.items():
-        actual = jsontext.field_type(doc, name)
-        test = F.when(actual.isNull(), F.lit(f"missing field {name}"))
-        if types and kind in ACCEPTED:
-            test = test.when(~actual.isin(*ACCEPTED[kind]), F.lit(f"field {name} should be {FAULT_NAME[kind]}"))
-        found.append(test)
-    return F.array_compact(F.array(*found))
-
-
-def required_present(doc: Column, names: Sequence[str]) -> Column:
-    return reduce(operator.and_, [jsontext.field_type(doc, n).isNotNull() for n in names], F.lit(True))
+    test = F.when(~jsontext.present(name), F.lit(f"missing field {name}"))
+    if types and declared in FAULT_NAME:
+        test = test.when(~_has_type(name, declared), F.lit(f"field {name} should be {FAULT_NAME[declared]}"))
+    return test
+
+
+def conformance_faults(declared: Mapping[str, str], types: bool = True) -> Column:
+    """Faults of a parsed message in field order, empty when it conforms."""
+    return F.array_compact(F.array(*[fault(n, t, types) for n, t in declared.items()]))
+
+
+def fault_text(declared: Mapping[str, str], types: bool = True) -> Column:
+    """The same faults as one text; stays within generated code."""
+    return F.concat_ws("; ", *[fault(n, t, types) for n, t in declared.items()])
+
+
+def required_present(names: Sequence[str]) -> Column:
+    return reduce(operator.and_, [jsontext.present(n) for n in names], F.lit(True))
 
 
 def last_two_versions(registry: DataFrame) -> DataFrame:

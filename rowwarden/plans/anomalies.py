@@ -139,32 +139,31 @@ def advanced_quality_flow(spark, folder):
     return advanced_flow(inputs.raw_messages(spark, folder))
 
 
-def checked_messages(raw):
+def checked_messages(raw, keep=()):
     """Messages with errors, key and number: everything before the anomaly state."""
-    docs = parse.with_errors(raw, "raw")
-    doc = F.col("doc")
-    key = jsontext.text(doc, "id")
-    email = jsontext.text(doc, "email")
-    value = jsontext.number(doc, "value")
-    faults = F.when(doc.isNotNull(), schema.conformance_faults(doc, DECLARED)).otherwise(F.array().cast("array<string>"))
-    broken = F.array_compact(
-        F.array(
-            F.when(doc.isNotNull() & jsontext.field(doc, "id", "string").isNull(), "id required"),
-            F.when(checks.not_like(email, "[^@ ]+@[^@ ]+", "full"), "email invalid"),
-            F.when(checks.outside(value, 0), "value must be >= 0"),
-        )
-    )
-    return docs.select(
+    docs = parse.messages(raw, "raw", list(DECLARED), ["event_id", "ts", *keep]).select(
         "event_id",
         "ts",
-        key.alias("key"),
-        value.alias("value"),
-        F.array_join(F.concat("errors", faults, broken), "; ").alias("errors"),
+        *keep,
+        "malformed",
+        jsontext.text("id").alias("key"),
+        jsontext.number("value").alias("value"),
+        jsontext.text("email").alias("email"),
+        F.when(F.col("malformed"), parse.MALFORMED).otherwise(F.nullif(schema.fault_text(DECLARED), F.lit(""))).alias("faults"),
+        jsontext.given("id").alias("has_id"),
+    )
+    errors = F.concat_ws(
+        "; ",
+        "faults",
+        F.when(~F.col("malformed") & ~F.coalesce("has_id", F.lit(False)), "id required"),
+        F.when(checks.not_like(F.col("email"), "[^@ ]+@[^@ ]+", "full"), "email invalid"),
+        F.when(checks.outside(F.col("value"), 0), "value must be >= 0"),
     )
+    return docs.select("event_id", "ts", "key", "value", errors.alias("errors"), *keep)
 
 
 def advanced_flow(raw):
-    scanned = anomaly.ewma(checked_messages(raw), "key", ORDER, "value", ALPHA, THRESHOLD)
+    scanned = anomaly.ewma(checked_messages(raw), "key", ORDER, "value", ALPHA, THRESHOLD, stage=True)
     valid = F.col("errors") == ""
     output = checks.first_match([(~valid, "dead_letter"), (F.col("is_anomaly"), "anomalies")], "table")
     return scanned.select(

@@ -91,8 +91,8 @@ def severity_totals(spark, folder):
 @query(
     """WITH x AS (SELECT event_type, val, time_bucket(INTERVAL 30 SECONDS, event_ts) AS slot FROM de WHERE event_ts IS NOT NULL AND val IS NOT NULL),
     w AS (SELECT event_type, val, slot AS window_start FROM x UNION ALL SELECT event_type, val, slot - INTERVAL 30 SECONDS FROM x)
-    SELECT event_type, window_start, window_start + INTERVAL 1 MINUTE AS window_end, count(*) AS n, round(avg(val), 4) AS mean,
-      round(greatest(var_pop(val), 1e-9), 4) AS variance, round(sqrt(greatest(var_pop(val), 1e-9)), 4) AS stddev
+    SELECT event_type, window_start, window_start + INTERVAL 1 MINUTE AS window_end, count(*) AS n, round(avg(val), 6) AS mean,
+      round(greatest(var_pop(val), 1e-9), 8) AS variance, round(sqrt(greatest(var_pop(val), 1e-9)), 6) AS stddev
     FROM w GROUP BY 1, 2""",
     ("de",),
 )
@@ -100,7 +100,7 @@ def window_stats(spark, folder):
     stats = metrics.window_stats(
         inputs.dirty_events(spark, folder), ["event_type"], "event_ts", "val", "1 minute", "30 seconds"
     )
-    return stats.withColumns({c: F.round(c, 4) for c in ("mean", "variance", "stddev")})
+    return stats.withColumns({c: F.round(c, n) for c, n in (("mean", 6), ("variance", 8), ("stddev", 6))})
 
 
 @query(

@@ -39,10 +39,8 @@ def scan_events_json(spark, folder):
     ("rawj",),
 )
 def parse_permissive(spark, folder):
-    good = parse.well_formed(inputs.raw_messages(spark, folder), "raw")
-    return good.select(
-        "event_id", jsontext.text(F.col("doc"), "id").alias("id"), jsontext.number(F.col("doc"), "value").alias("value")
-    )
+    good = parse.well_formed(inputs.raw_messages(spark, folder), "raw", ["id", "value"], ["event_id"])
+    return good.select("event_id", jsontext.text("id").alias("id"), jsontext.number("value").alias("value"))
 
 
 @query(
@@ -51,7 +49,7 @@ def parse_permissive(spark, folder):
     ("rawj",),
 )
 def parse_dead_letter(spark, folder):
-    rows = parse.with_errors(inputs.raw_messages(spark, folder), "raw")
+    rows = parse.with_errors(inputs.raw_messages(spark, folder), "raw", ["id"], ["event_id"])
     return rows.select("event_id", F.array_join("errors", ",").alias("errors"), "payload")
 
 
@@ -153,11 +151,15 @@ def lookup_composite(spark, folder):
     ("raw",),
 )
 def extract_key(spark, folder):
-    parts = F.from_json(
-        "raw", "partitionColumns array<struct<name:string,value:string,type:string>>"
-    )["partitionColumns"]
     raw = F.col("raw")
-    return inputs.raw_messages(spark, folder).select(
+    rows = parse.typed(
+        inputs.raw_messages(spark, folder),
+        "raw",
+        "partitionColumns array<struct<name:string,value:string,type:string>>",
+        keep=["event_id", "raw"],
+    )
+    parts = F.col("partitionColumns")
+    return rows.select(
         "event_id",
         jsontext.quoted_field(raw, "keyspace").alias("keyspace"),
         jsontext.quoted_field(raw, "table").alias("table_name"),

@@ -76,8 +76,8 @@ def route_topic(spark, folder):
 )
 def dead_letter_payload(spark, folder):
     """{errors, payload, key} of messages that are malformed or lack their id."""
-    rows = parse.with_errors(inputs.raw_messages(spark, folder), "raw").withColumn("key", jsontext.text(F.col("doc"), "id"))
-    no_id = F.col("doc").isNotNull() & F.col("key").isNull()
+    rows = parse.with_errors(inputs.raw_messages(spark, folder), "raw", ["id"], ["event_id"]).withColumn("key", jsontext.text("id"))
+    no_id = ~F.col("malformed") & F.col("key").isNull()
     errors = F.when(no_id, F.array(F.lit("id required"))).otherwise(F.col("errors"))
     return rows.where(F.col("key").isNull()).select(
         "event_id", routing.dead_letter(errors, F.col("payload"), F.col("key")).alias("letter")
@@ -91,8 +91,8 @@ def dead_letter_payload(spark, folder):
     ("rawj",),
 )
 def dead_letter_error(spark, folder):
-    docs = parse.documents(inputs.raw_messages(spark, folder), "raw")
-    number = jsontext.field(F.col("doc"), "value", "string").try_cast("double")
+    docs = parse.messages(inputs.raw_messages(spark, folder), "raw", ["value"], ["event_id", "raw"])
+    number = jsontext.value("value", "string").try_cast("double")
     letter = routing.error_letter(F.lit("value is no number"), F.col("raw"), inputs.as_of().cast("string"))
     return docs.where(number.isNull()).select("event_id", letter.alias("letter"))
 

@@ -37,11 +37,11 @@ def rule_required(spark, folder):
     ("rawj",),
 )
 def rule_required_json(spark, folder):
-    docs = parse.documents(inputs.raw_messages(spark, folder), "raw")
+    docs = parse.messages(inputs.raw_messages(spark, folder), "raw", ["id", "value"], ["event_id"])
     return docs.select(
         "event_id",
-        jsontext.field(F.col("doc"), "id", "string").isNull().alias("no_id"),
-        jsontext.field(F.col("doc"), "value", "string").isNull().alias("no_value"),
+        F.coalesce(~jsontext.given("id"), F.lit(True)).alias("no_id"),
+        F.coalesce(~jsontext.given("value"), F.lit(True)).alias("no_value"),
     )
 
 
@@ -168,9 +168,12 @@ _FAULTS_SQL = """concat_ws('; ',
   CASE WHEN json_type(j, '$.email') IS NULL THEN 'missing field email' WHEN json_type(j, '$.email') <> 'VARCHAR' THEN 'field email should be string' END)"""
 
 
+def declared_fields(spark, folder):
+    return parse.messages(inputs.raw_messages(spark, folder), "raw", list(DECLARED), ["event_id"])
+
+
 def conforming(spark, folder, types=True):
-    docs = parse.documents(inputs.raw_messages(spark, folder), "raw")
-    return docs.withColumn("schema_faults", schema.conformance_faults(F.col("doc"), DECLARED, types))
+    return declared_fields(spark, folder).select("event_id", schema.conformance_faults(DECLARED, types).alias("schema_faults"))
 
 
 @query(f"SELECT event_id, {_FAULTS_SQL} <> '' AS violated FROM rawj", ("rawj",))
@@ -275,22 +278,19 @@ MESSAGE_RULES = CONFIG / "message_rules.yaml"
 
 def message_fields(spark, folder):
     """What the message conditions look at, taken from the parsed text once."""
-    docs = parse.documents(inputs.raw_messages(spark, folder), "raw")
-    doc = F.col("doc")
-
-    def present(name):
-        return jsontext.field_type(doc, name).isNotNull()
-
+    docs = parse.messages(
+        inputs.raw_messages(spark, folder), "raw", ["id", "timestamp", "value", "email"], ["event_id", "raw"]
+    )
     return docs.select(
         "event_id",
         "raw",
-        present("id").alias("has_id"),
-        present("timestamp").alias("has_timestamp"),
-        present("value").alias("has_value"),
-        jsontext.field_type(doc, "value").alias("value_type"),
-        jsontext.field(doc, "value", "string").alias("value_text"),
-        jsontext.text(doc, "timestamp").alias("timestamp_text"),
-        jsontext.text(doc, "email").alias("email_text"),
+        jsontext.present("id").alias("has_id"),
+        jsontext.present("timestamp").alias("has_timestamp"),
+        jsontext.present("value").alias("has_value"),
+        F.when(jsontext.present("value"), jsontext.is_number("value")).alias("value_is_number"),
+        jsontext.value("value", "string").alias("value_text"),
+        jsontext.text("timestamp").alias("timestamp_text"),
+        jsontext.text("email").alias("email_text"),
         inputs.as_of().alias("as_of"),
     )
 
@@ -344,11 +344,11 @@ def ruleset_error_as_failure(spark, folder):
 )
 def business_rules(spark, folder):
     """age, 0 when absent, is not negative; email, empty when absent, starts like an address."""
-    docs = parse.documents(inputs.raw_messages(spark, folder), "raw")
-    age = F.coalesce(jsontext.number(F.col("doc"), "age"), F.lit(0.0))
-    email = F.coalesce(jsontext.text(F.col("doc"), "email"), F.lit(""))
+    docs = parse.messages(inputs.raw_messages(spark, folder), "raw", ["age", "email"], ["event_id"])
+    age = F.coalesce(jsontext.number("age"), F.lit(0.0))
+    email = F.coalesce(jsontext.text("email"), F.lit(""))
     broken = checks.outside(age, 0) | checks.not_like(email, checks.EMAIL_PREFIX, "prefix")
-    return docs.select("event_id", (F.col("doc").isNotNull() & ~broken).alias("passes"))
+    return docs.select("event_id", (~F.col("malformed") & ~broken).alias("passes"))
 
 
 @query(
@@ -358,11 +358,10 @@ def business_rules(spark, folder):
 )
 def validate_message(spark, folder):
     """id, timestamp and value are there, and value reads as a number (text or not)."""
-    docs = parse.documents(inputs.raw_messages(spark, folder), "raw")
-    doc = F.col("doc")
-    number = jsontext.field(doc, "value", "string").try_cast("double")
+    docs = parse.messages(inputs.raw_messages(spark, folder), "raw", ["id", "timestamp", "value"], ["event_id"])
+    number = jsontext.value("value", "string").try_cast("double")
     return docs.select(
-        "event_id", (schema.required_present(doc, ["id", "timestamp", "value"]) & number.isNotNull()).alias("passes")
+        "event_id", (schema.required_present(["id", "timestamp", "value"]) & number.isNotNull()).alias("passes")
     )
 
 
