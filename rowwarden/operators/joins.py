@@ -10,31 +10,57 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SPREAD = "_spread"
 SLOT = "_slot"
+LANES = 4096
+BROADCAST_ROWS = 100_000
 
 
-def _null_spread(df: DataFrame, keys: Sequence[str], lanes: int = 4096) -> Column:
-    """0 for rows with a full key; rows with a null key, which never match, go to many lanes."""
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast `df` when a count shows at most `limit` rows, else leave the join to Spark.
+
+    Counting runs a job, so use it on small aggregates or on staged rows.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def _row_hash(df: DataFrame) -> Column:
+    names = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(*names)
+
+
+def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for rows with a full key; rows with a null key, which never match, go to many lanes.
+
+    The 0 is written so that Spark keeps it as a join key. A side that was grouped by the
+    keys is then shuffled once more, which is what lets AQE split a hot key of the other.
+    """
     incomplete = reduce(operator.or_, [F.col(k).isNull() for k in keys])
-    return F.when(incomplete, F.pmod(F.xxhash64(*df.columns), F.lit(lanes))).otherwise(F.lit(0)).cast("int")
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    return F.when(incomplete, F.pmod(_row_hash(df), F.lit(LANES))).otherwise(zero)
 
 
 def key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Outer join whose null-key rows do not all land in one task.
+    """Join whose null-key rows do not all land in one task, and whose left side AQE can split.
 
     Column names other than the keys must differ. Left keys come out as they are,
     right keys as `_r_<key>`, so "no right row" can be told from "null value".
-    A hot left key is split by AQE's skew join; the right side of a left join is
-    meant to be one row per key (see `keyed.latest_by_key`). For a full join both
-    sides are; use `many_to_many_full_join` when neither is.
+    The right side of a left join is meant to be one row per key (see
+    `keyed.latest_by_key`), for a full join both sides are; use `many_to_many_full_join`
+    when neither is.
     """
-    l = left.withColumn(SPREAD, _null_spread(left, keys))
-    r = right.withColumn("_r" + SPREAD, _null_spread(right, keys))
+    l = left.withColumn(SPREAD, _spread(left, keys))
+    r = right.withColumn("_r" + SPREAD, _spread(right, keys))
     for k in keys:
         r = r.withColumnRenamed(k, f"_r_{k}")
     on = [l[k] == r[f"_r_{k}"] for k in keys] + [l[SPREAD] == r["_r" + SPREAD]]
     return l.join(r, on, how).drop(SPREAD, "_r" + SPREAD)
 
 
+def without_partner(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows whose key the right side lacks; right keys are made distinct first."""
+    held = right.select(*keys).dropna().distinct()
+    return key_join(left, held, keys, "left_anti")
+
+
 def many_to_many_full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full join for sides that may both repeat a key.
 
@@ -42,13 +68,23 @@ def many_to_many_full_join(left: DataFrame, right: DataFrame, keys: Sequence[str
     side and an anti join on its left, so the three row classes are made apart.
     """
     matched = key_join(left, right, keys, "inner")
-    left_only = left.join(right.select(*keys).distinct(), list(keys), "left_anti")
-    right_only = right.join(left.select(*keys).distinct(), list(keys), "left_anti")
+    left_only = without_partner(left, right, keys)
+    right_only = without_partner(right, left, keys)
     for k in keys:
         right_only = right_only.withColumnRenamed(k, f"_r_{k}")
     return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
 
 
+def aliased_left_join(left: DataFrame, right: DataFrame, key: str, left_alias: str, right_alias: str) -> DataFrame:
+    """`key_join` that keeps `alias.column` names for rule texts."""
+    l = left.withColumn(SPREAD, _spread(left, [key])).alias(left_alias)
+    r = right.withColumn(SPREAD, _spread(right, [key])).alias(right_alias)
+    on = (F.col(f"{left_alias}.{key}") == F.col(f"{right_alias}.{key}")) & (
+        F.col(f"{left_alias}.{SPREAD}") == F.col(f"{right_alias}.{SPREAD}")
+    )
+    return l.join(r, on, "left")
+
+
 def _slot_of(micros: Column, width: int) -> Column:
     return F.floor(micros / F.lit(width)).cast("bigint")
 
@@ -89,7 +125,7 @@ def interval_join(
     def unplaced(df: DataFrame, names: Sequence[str]) -> Column:
         # null keys or times never match: any slot will do, so use many
         gap = reduce(operator.or_, [F.col(n).isNull() for n in names])
-        return F.when(gap, F.pmod(F.xxhash64(*df.columns), F.lit(4096)))
+        return F.when(gap, F.pmod(_row_hash(df), F.lit(LANES)))
 
     def single(df: DataFrame, key_names: Sequence[str], moment: str) -> Column:
         return F.coalesce(unplaced(df, [*key_names, moment]), _slot_of(_micros(F.col(moment)), width))
@@ -124,16 +160,3 @@ def interval_join(
     lone = renamed.withColumn("_r" + SLOT, single(renamed, right_keys, right_time))
     rest = lone.join(partners, bound(partners, lone), "left_anti").drop("_r" + SLOT)
     return joined.unionByName(rest, allowMissingColumns=True)
-
-
-def aliased_left_join(left: DataFrame, right: DataFrame, key: str, left_alias: str, right_alias: str) -> DataFrame:
-    """Left join of two aliased frames that keeps `alias.column` names for rule texts.
-
-    Rows with a null key get their own lanes, as in `key_join`.
-    """
-    l = left.withColumn(SPREAD, _null_spread(left, [key])).alias(left_alias)
-    r = right.withColumn(SPREAD, F.lit(0)).alias(right_alias)
-    on = (F.col(f"{left_alias}.{key}") == F.col(f"{right_alias}.{key}")) & (
-        F.col(f"{left_alias}.{SPREAD}") == F.col(f"{right_alias}.{SPREAD}")
-    )
-    return l.join(r, on, "left")

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from rowwarden.operators.joins import broadcast_if_small
 from rowwarden.session import cut_lineage
 
 BLOCK, CARRY = "_block", "_carry"
@@ -270,10 +271,10 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probabilit
     Equal values are counted first; a distributed running total then finds the values
     at the wanted ranks, so no task holds the values of a group.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    running = ordered_scan(
-        counts.withColumn("_n", F.col("_n").cast("double")), groups, [value], "_n", RunningSum()
+    counts = cut_lineage(  # read below by the range bounds, the running total and the group sizes
+        df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).cast("double").alias("_n"))
     )
+    running = ordered_scan(counts, groups, [value], "_n", RunningSum())
     ranks = (
         counts.groupBy(*groups)
         .agg(F.sum("_n").alias("_total"))
@@ -286,7 +287,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probabilit
         return (F.col("running") > F.col(rank)) & (F.col("running") - F.col("_n") <= F.col(rank))
 
     found = (
-        running.join(ranks, list(groups))
+        running.join(broadcast_if_small(ranks), list(groups))
         .where(covers("_low") | covers("_high"))
         .groupBy(*groups, "probability", "_at", "_low")
         .agg(

@@ -147,20 +147,23 @@ def differing_segments(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def drill_down(
-    left: DataFrame, right: DataFrame, key: str, segment: str, left_hash: str, right_hash: str
+    left: DataFrame, right: DataFrame, key: str, segments: int, left_hash: str, right_hash: str
 ) -> DataFrame:
-    """Row reconciliation of those segments only whose digests differ.
+    """Row reconciliation of those key ranges only whose digests differ.
 
-    The digests are per segment, so the list of differing segments is small next to the
-    rows; only the rows of those segments go through the join by key.
+    There are at most `segments` ranges, so up to a million of them the list of differing
+    ones is broadcast, and only rows in them are shuffled by key.
     """
+    bucket = hashing.key_bucket(F.col(key), segments)
     open_segments = differing_segments(
-        segment_digest(left, F.col(segment), F.col(left_hash)),
-        segment_digest(right, F.col(segment), F.col(right_hash)),
-    ).select(F.col("segment").alias(segment))
+        segment_digest(left, bucket, F.col(left_hash)), segment_digest(right, bucket, F.col(right_hash))
+    ).select("segment")
+    if segments <= 1_000_000:
+        open_segments = F.broadcast(open_segments)
+    inside = bucket == open_segments["segment"]
     return full_outer(
-        left.join(open_segments, segment, "left_semi"),
-        right.join(open_segments, segment, "left_semi"),
+        left.join(open_segments, inside, "left_semi"),
+        right.join(open_segments, inside, "left_semi"),
         key,
         left_hash,
         right_hash,
@@ -187,14 +190,13 @@ def completeness(source: DataFrame, sink: DataFrame, source_key: str, sink_key:
 
     The sink keys are made distinct before the join, so a hot sink key is one row.
     """
-    arrived = sink.select(F.col(sink_key).alias("_sink_key")).where("_sink_key is not null").distinct()
+    arrived = sink.select(F.col(sink_key).alias(source_key)).dropna().distinct()
     return (
-        source.withColumn("day", day)
-        .join(arrived, F.col(source_key) == F.col("_sink_key"), "left")
+        joins.key_join(source.withColumn("day", day), arrived, [source_key], "left")
         .groupBy("day")
         .agg(
             F.count(F.lit(1)).alias("source_changes"),
-            F.count_if(F.col("_sink_key").isNull()).alias("missing_in_sink"),
+            F.count_if(F.col(f"_r_{source_key}").isNull()).alias("missing_in_sink"),
         )
         .withColumn("completeness", F.round(1 - F.col("missing_in_sink") / F.col("source_changes"), 6))
     )

@@ -23,6 +23,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowwarden.functions import checks
+from rowwarden.operators.joins import key_join
 
 STATUS_OF_SEVERITY = {"fail": "INVALID", "warn": "QUARANTINE"}
 SEVERITIES = ("ERROR", "WARN", "INFO")
@@ -127,13 +128,9 @@ def attach_lookups(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, Da
         if flag in seen:
             continue
         seen.add(flag)
-        listed = tables[name]
-        keys = listed.select(F.col(listed.columns[0]).alias("_listed")).where("_listed is not null").distinct()
-        df = (
-            df.join(keys, F.col(rule.options["field"]) == F.col("_listed"), "left")
-            .withColumn(flag, F.col("_listed").isNotNull())
-            .drop("_listed")
-        )
+        value, listed = rule.options["field"], tables[name]
+        keys = listed.select(F.col(listed.columns[0]).alias(value)).dropna().distinct()
+        df = key_join(df, keys, [value], "left").withColumn(flag, F.col(f"_r_{value}").isNotNull()).drop(f"_r_{value}")
     return df
 
 

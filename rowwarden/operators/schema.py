@@ -52,20 +52,21 @@ def required_present(names: Sequence[str]) -> Column:
     return reduce(operator.and_, [jsontext.present(n) for n in names], F.lit(True))
 
 
-def last_two_versions(registry: DataFrame) -> DataFrame:
-    """Per subject the newest version and the one before it: (subject, old_version, new_version).
+def version_rows(registry: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """The registry rows of an old and a new version per subject, with both numbers.
 
-    Versions are made distinct first, so the ranking sees one row per version and the
-    group limit keeps two of them before the shuffle.
+    Without `pairs` (subject, old_version, new_version) these are the last two versions:
+    ranked, so that earlier ones are cut before the shuffle.
     """
-    ranked = registry.select("subject", "version").distinct().withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("subject").orderBy(F.desc("version")))
-    )
+    if pairs is not None:
+        return registry.join(pairs, "subject").where("version in (old_version, new_version)")
+    subject = Window.partitionBy("subject")
     return (
-        ranked.where("_rank <= 2")
-        .groupBy("subject")
-        .agg(F.min("version").alias("old_version"), F.max("version").alias("new_version"))
+        registry.withColumn("_rank", F.dense_rank().over(subject.orderBy(F.desc("version"))))
+        .where("_rank <= 2")
+        .withColumns({"old_version": F.min("version").over(subject), "new_version": F.max("version").over(subject)})
         .where("old_version < new_version")
+        .drop("_rank")
     )
 
 
@@ -75,58 +76,55 @@ def evolution(registry: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     `registry` rows are (subject, version, kind, field, type, nullable, has_default, simple);
     `pairs` defaults to the last two versions. Gives (subject, old_version, new_version,
     level, change), where level is `break` or `warn`.
+
+    All steps are keyed by subject and share one shuffle: both versions of a field meet in
+    an aggregate by (subject, field), and what holds for the whole subject comes from
+    windows over the few rows of its two versions.
     """
-    pairs = last_two_versions(registry) if pairs is None else pairs
-    versions = pairs.select(
-        "subject",
-        "old_version",
-        "new_version",
-        F.explode(
-            F.array(
-                F.struct(F.col("old_version").alias("version"), F.lit("old").alias("side")),
-                F.struct(F.col("new_version").alias("version"), F.lit("new").alias("side")),
-            )
-        ).alias("_s"),
-    ).select("subject", "old_version", "new_version", "_s.*")
-    rows = registry.join(versions, ["subject", "version"]).distinct()
-
-    subject = ["subject", "old_version", "new_version"]
-    not_record = (
-        rows.where("kind <> 'record'").select(*subject).distinct()
-        .withColumn("level", F.lit("warn"))
-        .withColumn("change", F.lit("not a record type: full compatibility not checked"))
+    subject = Window.partitionBy("subject")
+    rows = version_rows(registry, pairs).withColumns(
+        {
+            "_odd": F.max(F.col("kind") != "record").over(subject),
+            "_first": F.row_number().over(subject.orderBy("field", "version")) == 1,
+            "_side": F.when(F.col("version") == F.col("old_version"), "old").otherwise("new"),
+        }
     )
 
-    # Both versions of a field meet in one aggregate keyed by (subject, field).
     def on(side: str, column: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col(column))).alias(f"{side}_{column}")
+        return F.max(F.when(F.col("_side") == side, F.col(column))).alias(f"{side}_{column}")
 
-    fields = rows.join(not_record.select("subject"), "subject", "left_anti").groupBy(*subject, "field").agg(
-        *[on(side, c) for side in ("old", "new") for c in ("type", "nullable", "has_default", "simple")]
+    fields = rows.groupBy("subject", "old_version", "new_version", "_odd", "field").agg(
+        F.max("_first").alias("_first"),
+        *[on(side, c) for side in ("old", "new") for c in ("type", "nullable", "has_default", "simple")],
     )
     promotable = reduce(
         operator.or_,
         [(F.col("old_type") == a) & (F.col("new_type") == b) for a, b in sorted(PROMOTABLE)],
     )
-    level = (
-        F.when(F.col("new_type").isNull(), "break")
-        .when(F.col("old_type").isNull(), F.when(~F.col("new_has_default") & ~F.col("new_nullable"), "break"))
-        .when(~F.col("old_simple") | ~F.col("new_simple"), "warn")
-        .when((F.col("old_type") != F.col("new_type")) & ~promotable, "break")
+    removed, added = F.col("new_type").isNull(), F.col("old_type").isNull()
+    opaque = ~F.col("old_simple") | ~F.col("new_simple")
+    bare = ~F.col("new_has_default") & ~F.col("new_nullable")
+    changed = (F.col("old_type") != F.col("new_type")) & ~promotable
+
+    def finding(level: str, *text) -> Column:
+        parts = [F.lit(t) if t.endswith(" ") else F.col(t) for t in text]
+        return F.struct(F.lit(level).alias("level"), F.concat(*parts).alias("change"))
+
+    not_record = F.struct(
+        F.lit("warn").alias("level"), F.lit("not a record type: full compatibility not checked").alias("change")
+    )
+    found = (
+        F.when(F.col("_odd"), F.when(F.col("_first"), not_record))
+        .when(removed, finding("break", "field removed: ", "field"))
+        .when(added, F.when(bare, finding("break", "field added without default or nullable: ", "field")))
+        .when(opaque, finding("warn", "complex type, review by hand: ", "field"))
+        .when(changed, finding("break", "type change not promotable: ", "field", " ", "old_type", " -> ", "new_type"))
     )
-    change = (
-        F.when(F.col("new_type").isNull(), F.concat(F.lit("field removed: "), "field"))
-        .when(F.col("old_type").isNull(), F.concat(F.lit("field added without default or nullable: "), "field"))
-        .when(
-            ~F.col("old_simple") | ~F.col("new_simple"),
-            F.concat(F.lit("complex type, review by hand: "), "field"),
-        )
-        .otherwise(
-            F.concat(F.lit("type change not promotable: "), "field", F.lit(" "), "old_type", F.lit(" -> "), "new_type")
-        )
+    return (
+        fields.select("subject", "old_version", "new_version", found.alias("_f"))
+        .where("_f is not null")
+        .select("subject", "old_version", "new_version", "_f.level", "_f.change")
     )
-    changes = fields.select(*subject, level.alias("level"), change.alias("change")).where("level is not null")
-    return changes.unionByName(not_record)
 
 
 def drift_counts(changes: DataFrame) -> DataFrame:

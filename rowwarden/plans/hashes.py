@@ -125,11 +125,11 @@ def hash_audit(spark, folder):
 SEGMENTS = 256
 
 
-def segmented(spark, folder):
-    """Both copies of the orders with the digest of the row and the hashed key range."""
+def copies(spark, folder):
+    """Both copies of the orders with the digest of the row."""
     left = inputs.onprem(spark, folder).where("pk is not null").select("pk", F.col("hash_onprem").alias("row_hash"))
     right = inputs.cloud(spark, folder).select("pk", F.col("hash_cloud").alias("row_hash"))
-    return tables.with_bucket(left, "pk", SEGMENTS), tables.with_bucket(right, "pk", SEGMENTS)
+    return left, right
 
 
 _SEGMENT_SQL = f"""WITH a AS (SELECT pk, hash_onprem AS row_hash, ('0x' || substr(sha256(CAST(pk AS VARCHAR)), 1, 8))::BIGINT % {SEGMENTS} AS segment
@@ -149,9 +149,10 @@ db AS (SELECT segment, count(*) AS row_count, CAST(sum(('0x' || substr(row_hash,
     ("op", "cl"),
 )
 def segment_digest(spark, folder):
-    left, right = segmented(spark, folder)
-    a = reconcile.segment_digest(left, F.col("bucket"), F.col("row_hash")).toDF("segment", "a_count", "a_digest")
-    b = reconcile.segment_digest(right, F.col("bucket"), F.col("row_hash")).toDF("segment", "b_count", "b_digest")
+    left, right = copies(spark, folder)
+    bucket = hashing.key_bucket(F.col("pk"), SEGMENTS)
+    a = reconcile.segment_digest(left, bucket, F.col("row_hash")).toDF("segment", "a_count", "a_digest")
+    b = reconcile.segment_digest(right, bucket, F.col("row_hash")).toDF("segment", "b_count", "b_digest")
     return a.join(b, "segment", "full").select(
         "segment",
         F.coalesce("a_count", F.lit(0)).alias("onprem_rows"),
@@ -174,5 +175,5 @@ def segment_digest(spark, folder):
     ("op", "cl"),
 )
 def segment_drilldown(spark, folder):
-    left, right = segmented(spark, folder)
-    return reconcile.drill_down(left, right, "pk", "bucket", "row_hash", "row_hash")
+    left, right = copies(spark, folder)
+    return reconcile.drill_down(left, right, "pk", SEGMENTS, "row_hash", "row_hash")

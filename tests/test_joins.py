@@ -63,3 +63,46 @@ def test_many_to_many_equals_full_join(spark):
     got = joins.many_to_many_full_join(a, b, ["k"]).select("l", "r").collect()
     expected = a.alias("a").join(b.alias("b"), a.k == b.k, "full").select("l", "r").collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, expected))
+
+
+@pytest.mark.parametrize("grouped", [False, True])
+def test_a_hot_left_key_is_split(spark, grouped):
+    """Also where the right side was grouped by the key just before."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 200_000, 1, 8).selectExpr("if(id % 2 = 0, 7, id) AS k", "id AS l")
+        right = spark.range(1000).selectExpr("id AS k", "id AS r")
+        right = right.groupBy("k").max("r").withColumnRenamed("max(r)", "r") if grouped else right
+        joined = joins.key_join(left, right, ["k"], "left")
+        assert joined.where("r is not null").groupBy().count().first()[0] == 100_000 + 500
+        joined.write.format("noop").mode("overwrite").save()
+        rows = joined.collect()
+        assert len(rows) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_null_keys_are_spread(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(0, 4000, 1, 4).selectExpr("cast(null AS bigint) AS k", "id AS l")
+        right = spark.range(10).selectExpr("id AS k", "id AS r")
+        for joined in (
+            joins.key_join(left, right, ["k"], "left"),
+            joins.aliased_left_join(left.alias("a"), right.alias("b"), "k", "a", "b"),
+        ):
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert len(keys) == 2 and all("_spread" in line for line in keys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
