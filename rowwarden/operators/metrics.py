@@ -76,6 +76,33 @@ def breaches(long: DataFrame, limits: DataFrame) -> DataFrame:
     return long.join(limits, "metric_type").where(F.col("metric_value") > F.col("limit_value"))
 
 
+def window_alerts(
+    df: DataFrame, moment: str, condition: Column, sum_minutes: int, sum_limit: float, avg_minutes: int, avg_limit: float
+) -> DataFrame:
+    """Windows whose count of rows meeting the condition is above a limit, in two ways.
+
+    `sum`: the count over `sum_minutes`; `avg`: the mean count per minute over `avg_minutes`,
+    minutes without such a row left out, as a counter that is not sent has no value. Rows
+    are counted by minute once, and each minute then goes to its window of either kind.
+    """
+    ended = window_counter(df, moment, "1 minute", condition, "n")
+    minute = F.col("metric_ts") - F.make_dt_interval(mins=F.lit(1))
+    number = F.floor(F.unix_seconds(minute.cast("timestamp")) / 60)
+
+    def window_of(kind: str, minutes: int) -> Column:
+        start = minute - F.make_dt_interval(mins=F.pmod(number, F.lit(minutes)).cast("int"))
+        return F.struct(F.lit(kind).alias("alert"), start.alias("window_start"))
+
+    placed = ended.select(
+        "n", F.explode(F.array(window_of("sum", sum_minutes), window_of("avg", avg_minutes))).alias("w")
+    )
+    totals = placed.groupBy("w.alert", "w.window_start").agg(F.sum("n").alias("_sum"), F.avg("n").alias("_avg"))
+    is_sum = F.col("alert") == "sum"
+    value = F.when(is_sum, F.col("_sum").cast("double")).otherwise(F.col("_avg"))
+    limit = F.when(is_sum, F.lit(float(sum_limit))).otherwise(F.lit(float(avg_limit)))
+    return totals.select("alert", "window_start", value.alias("metric_value")).where(F.col("metric_value") > limit)
+
+
 def stalled_windows(df: DataFrame, moment: str, minutes: int, valid: Column) -> DataFrame:
     """Windows between the first and the last event without any valid row.
 
@@ -122,10 +149,14 @@ def error_rate(df: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     )
 
 
-def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """Occurrences of each lower-cased word between white space."""
-    words = F.explode(F.split(F.lower(F.col(text)), "\\s"))
-    return df.select(words.alias("word")).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+def word_counts(df: DataFrame, text: str, moment: str | None = None, duration: str = "5 seconds") -> DataFrame:
+    """Occurrences of each lower-cased word between white space, per time window if one is named."""
+    words = F.explode(F.split(F.lower(F.col(text)), "\\s")).alias("word")
+    rows = df.select(words, *([moment] if moment else [])).where("word <> ''")
+    if moment is None:
+        return rows.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    counted = rows.groupBy("word", F.window(moment, duration).alias("_w")).agg(F.count(F.lit(1)).alias("count"))
+    return counted.select("word", F.col("_w.start").alias("window_start"), "count")
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

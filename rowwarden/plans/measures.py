@@ -145,6 +145,20 @@ def alert_thresholds(spark, folder):
     return metrics.breaches(_long_metrics(spark, folder, ALERT_WINDOW), table)
 
 
+@query(
+    f"""WITH m AS (SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS minute, count(*) AS n FROM de
+      WHERE event_ts IS NOT NULL AND NOT {_PASS} GROUP BY 1)
+    SELECT 'sum' AS alert, time_bucket(INTERVAL 10 MINUTES, minute) AS window_start, CAST(sum(n) AS DOUBLE) AS metric_value
+    FROM m GROUP BY 2 HAVING sum(n) > 1
+    UNION ALL SELECT 'avg', time_bucket(INTERVAL 5 MINUTES, minute), round(avg(n), 6) FROM m GROUP BY 2 HAVING avg(n) > 1""",
+    ("de",),
+)
+def alert_windows(spark, folder):
+    """Invalid rows over ten minutes, and per minute over five, above a limit of one."""
+    found = metrics.window_alerts(judged(spark, folder), "event_ts", F.col("dq_status") != "PASS", 10, 1, 5, 1)
+    return found.withColumn("metric_value", F.round("metric_value", 6))
+
+
 @query(
     f"""WITH good AS (SELECT DISTINCT time_bucket(INTERVAL 5 MINUTES, event_ts) AS w FROM de WHERE event_ts IS NOT NULL AND {_PASS}),
     span AS (SELECT time_bucket(INTERVAL 5 MINUTES, min(event_ts)) AS a, time_bucket(INTERVAL 5 MINUTES, max(event_ts)) AS b FROM de)

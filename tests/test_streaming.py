@@ -77,6 +77,14 @@ def test_sliding_stats(spark, events, tmp_path):
     assert not found - expected and sum(expected.values()) - sum(found.values()) <= 4
 
 
+def test_windowed_words(spark, events, tmp_path):
+    live = windows.watermarked(stream(spark, events), "ts", "0 seconds")
+    got, _ = collected(spark, metrics.word_counts(live, "email", "ts"), tmp_path, mode="update")
+    latest = got.groupBy("word", "window_start").agg(F.max("count").alias("count"))
+    expected = metrics.word_counts(events[1].withColumn("ts", F.col("ts").cast("timestamp")), "email", "ts")
+    assert bag(latest, "word", "window_start", "count") == bag(expected, "word", "window_start", "count")
+
+
 def test_update_mode_of_a_changing_count(spark, events, tmp_path):
     """Counts that change go out as updates; their latest version is the batch result."""
     counted = stream(spark, events).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
