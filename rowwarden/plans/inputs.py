@@ -1,8 +1,8 @@
 """Inputs derived from the given tables, in Spark and as CTEs for the checking SQL.
 
 The tables are clean, so faults are put in by key arithmetic that reads the same in
-both dialects. Each input covers its whole table; rows that one site lacks are the
-fault that reconciliation has to find.
+both dialects. Each input covers its whole table; a row one site lacks is one it holds under
+another key.
 """
 
 from __future__ import annotations
@@ -66,6 +66,10 @@ RAW = {
 }
 
 
+# Either site holds some rows under a key the other does not have.
+CLOUD_KEY = "CASE WHEN o_orderkey % 97 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END"
+
+
 def _order_hash(sha: str, price: str) -> str:
     text = f"concat_ws('|', CAST(o_orderkey AS STRING), CAST(CAST({price} AS DECIMAL(18,2)) AS STRING), o_orderstatus)"
     return sha.format(text)
@@ -74,7 +78,7 @@ def _order_hash(sha: str, price: str) -> str:
 def onprem_columns(sha: str, minutes: str) -> dict[str, str]:
     return {
         "order_key": "o_orderkey",
-        "pk": "CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE o_orderkey END",
+        "pk": "CASE WHEN o_orderkey % 113 = 0 THEN NULL WHEN o_orderkey % 101 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END",
         "hash_onprem": f"CASE WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 107 = 0 THEN 'zz' "
         f"ELSE {_order_hash(sha, 'o_totalprice')} END",
         "action": "CASE WHEN o_orderkey % 20 = 0 THEN 'DELETE' WHEN o_orderkey % 61 = 0 THEN NULL "
@@ -87,7 +91,7 @@ def onprem_columns(sha: str, minutes: str) -> dict[str, str]:
 
 def cloud_columns(sha: str, minutes: str, seconds: str) -> dict[str, str]:
     return {
-        "pk": "o_orderkey",
+        "pk": CLOUD_KEY,
         "hash_cloud": "CASE WHEN o_orderkey % 103 = 0 OR o_orderkey % 127 = 0 THEN NULL "
         f"WHEN o_orderkey % 89 = 0 THEN {_order_hash(sha, 'o_totalprice + 1')} ELSE {_order_hash(sha, 'o_totalprice')} END",
         "cloud_ts": f"o_orderdate + {minutes.format('o_orderkey % 1440')} + {minutes.format('o_orderkey % 25')}",
@@ -95,9 +99,6 @@ def cloud_columns(sha: str, minutes: str, seconds: str) -> dict[str, str]:
     }
 
 
-# Each site lacks rows the other has.
-ONPREM_HAS, CLOUD_HAS = "o_orderkey % 101 <> 0", "o_orderkey % 97 <> 0"
-
 CHANGES = {
     "event_id": "event_id",
     "user_id": "user_id",
@@ -119,6 +120,12 @@ PARTIAL = {
 }
 
 SNAP_BEFORE = {"c_custkey": "c_custkey", "c_name": "c_name", "c_acctbal": "c_acctbal"}
+# A changed key is a delete and an insert.
+SNAP_AFTER = {
+    "c_custkey": "CASE WHEN c_custkey % 31 = 0 THEN -c_custkey - 1 ELSE c_custkey END",
+    "c_name": "c_name",
+    "c_acctbal": "CASE WHEN c_custkey % 37 = 0 THEN c_acctbal + 10 ELSE c_acctbal END",
+}
 
 # One row per schema field a user's messages declare, by version: (field, type, nullable,
 # default, simple) with the changes a diff has to tell apart.
@@ -166,11 +173,11 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def onprem(spark: SparkSession, folder: str) -> DataFrame:
-    return _derive(table(spark, folder, "orders").where(ONPREM_HAS), onprem_columns(_SPARK_SHA, _SPARK_MIN))
+    return _derive(table(spark, folder, "orders"), onprem_columns(_SPARK_SHA, _SPARK_MIN))
 
 
 def cloud(spark: SparkSession, folder: str) -> DataFrame:
-    return _derive(table(spark, folder, "orders").where(CLOUD_HAS), cloud_columns(_SPARK_SHA, _SPARK_MIN, _SPARK_SEC))
+    return _derive(table(spark, folder, "orders"), cloud_columns(_SPARK_SHA, _SPARK_MIN, _SPARK_SEC))
 
 
 def change_envelopes(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,12 +191,7 @@ def partial_updates(spark: SparkSession, folder: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     customer = table(spark, folder, "customer")
-    before = _derive(customer, SNAP_BEFORE)
-    changed = "CASE WHEN c_custkey % 37 = 0 THEN c_acctbal + 10 ELSE c_acctbal END"
-    after = _derive(customer.where("c_custkey % 31 <> 0"), {**SNAP_BEFORE, "c_acctbal": changed}).unionByName(
-        _derive(customer.where("c_custkey % 41 = 0"), {**SNAP_BEFORE, "c_custkey": "c_custkey + 1000000"})
-    )
-    return before, after
+    return _derive(customer, SNAP_BEFORE), _derive(customer, SNAP_AFTER)
 
 
 def schema_registry(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,15 +226,13 @@ CTES = {
     # j: the text where it is JSON; vt: kind of its value field
     "rawj": "SELECT *, json_type(j, '$.value') AS vt, json_extract_string(j, '$.value') AS vs "
     "FROM (SELECT *, CASE WHEN json_valid(raw) THEN raw END AS j FROM raw)",
-    "op": f"SELECT {_select(onprem_columns(_DUCK_SHA, _DUCK_MIN))} FROM orders WHERE {ONPREM_HAS}",
-    "cl": f"SELECT {_select(cloud_columns(_DUCK_SHA, _DUCK_MIN, _DUCK_SEC))} FROM orders WHERE {CLOUD_HAS}",
+    "op": f"SELECT {_select(onprem_columns(_DUCK_SHA, _DUCK_MIN))} FROM orders",
+    "cl": f"SELECT {_select(cloud_columns(_DUCK_SHA, _DUCK_MIN, _DUCK_SEC))} FROM orders",
     "cdc": f"SELECT *, CASE event_id % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'u' WHEN 3 THEN 'u' "
     "WHEN 4 THEN 'u' WHEN 5 THEN 'u' ELSE 'c' END AS op, epoch_us(ts) // 1000 AS ts_ms FROM events",
     "part": f"SELECT {_select(PARTIAL)} FROM events",
-    "snap_a": "SELECT c_custkey, c_name, c_acctbal FROM customer",
-    "snap_b": "SELECT c_custkey, c_name, CASE WHEN c_custkey % 37 = 0 THEN c_acctbal + 10 ELSE c_acctbal END AS c_acctbal "
-    "FROM customer WHERE c_custkey % 31 <> 0 UNION ALL "
-    "SELECT c_custkey + 1000000, c_name, c_acctbal FROM customer WHERE c_custkey % 41 = 0",
+    "snap_a": f"SELECT {_select(SNAP_BEFORE)} FROM customer",
+    "snap_b": f"SELECT {_select(SNAP_AFTER)} FROM customer",
     "sch": _SCHEMA_SQL,
 }
 _NEEDS = {"rawj": ("raw",)}

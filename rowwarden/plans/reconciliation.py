@@ -119,28 +119,42 @@ def reconcile_rules_v1(spark, folder):
     return judged.select("t1.order_key", "dq_status")
 
 
-CUSTOMER_TEXT = "concat_ws('|', CAST(c_custkey AS STRING), CAST(CAST({0} AS DECIMAL(18,2)) AS STRING))"
-_CUSTOMER_ONPREM = (
-    "c_custkey AS customer_id, CASE WHEN c_custkey % 19 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS action, "
-    + "{sha} AS hash_onprem"
-)
-_CUSTOMER_CLOUD = "c_custkey AS customer_id, {sha} AS hash_cloud"
-_CUSTOMER_BALANCE = "CASE WHEN c_custkey % 37 = 0 THEN c_acctbal + 10 ELSE c_acctbal END"
-_CUSTOMER_HAS = "c_custkey % 31 <> 0"
+def _customer_hash(sha, balance):
+    return sha.format(f"concat_ws('|', CAST(c_custkey AS STRING), CAST(CAST({balance} AS DECIMAL(18,2)) AS STRING))")
 
 
-def table_sides(spark, folder):
-    """name -> (on-prem, cloud) of the tables the multi-table rules name, time column first."""
-    customer = tables.table(spark, folder, "customer")
+def _customer_onprem(sha, seconds):
+    return {
+        "customer_id": "c_custkey",
+        "action": "CASE WHEN c_custkey % 19 = 0 THEN 'DELETE' ELSE 'UPDATE' END",
+        "hash_onprem": _customer_hash(sha, "c_acctbal"),
+        "event_ts": f"CAST(DATE '2024-01-01' AS {seconds}",
+    }
 
-    def text(balance):
-        return f"sha2({CUSTOMER_TEXT.format(balance)}, 256)"
 
-    moment = F.expr("TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, c_custkey % 3600)").alias("event_ts")
-    t1 = customer.select(moment, *[F.expr(e) for e in _split(_CUSTOMER_ONPREM.format(sha=text("c_acctbal")))])
-    t2 = customer.where(_CUSTOMER_HAS).selectExpr(*_split(_CUSTOMER_CLOUD.format(sha=text(_CUSTOMER_BALANCE))))
+def _customer_cloud(sha):
     return {
-        "customer": (t1, t2),
+        "customer_id": inputs.SNAP_AFTER["c_custkey"],
+        "hash_cloud": _customer_hash(sha, inputs.SNAP_AFTER["c_acctbal"]),
+    }
+
+
+def _list(columns):
+    return [f"{e} AS {n}" for n, e in columns.items()]
+
+
+_SPARK_CUSTOMER = ("sha2({}, 256)", "TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, c_custkey % 3600)")
+_DUCK_CUSTOMER = ("sha256({})", "TIMESTAMP) + to_seconds(c_custkey % 3600)")
+
+
+def table_sides(spark, folder):
+    """name -> (on-prem, cloud) of the tables the multi-table rules name."""
+    customer = tables.table(spark, folder, "customer")
+    return {
+        "customer": (
+            customer.selectExpr(*_list(_customer_onprem(*_SPARK_CUSTOMER))),
+            customer.selectExpr(*_list(_customer_cloud(_SPARK_CUSTOMER[0]))),
+        ),
         "orders": (
             inputs.onprem(spark, folder).withColumnRenamed("pk", "order_id"),
             inputs.cloud(spark, folder).withColumnRenamed("pk", "order_id"),
@@ -148,17 +162,6 @@ def table_sides(spark, folder):
     }
 
 
-def _split(text):
-    """Top-level comma list of an SQL select."""
-    parts, depth, start = [], 0, 0
-    for i, c in enumerate(text):
-        depth += (c == "(") - (c == ")")
-        if c == "," and depth == 0:
-            parts.append(text[start:i])
-            start = i + 1
-    return [*parts, text[start:]]
-
-
 def each_table(spark, folder):
     """(table description, its rules, its joined sides) of every table in the document."""
     both = table_sides(spark, folder)
@@ -170,10 +173,8 @@ def each_table(spark, folder):
         yield pair, rules.emit_rules(V2, pair), joined
 
 
-_DUCK_CUSTOMER = CUSTOMER_TEXT.replace("STRING", "VARCHAR")
-_TABLES_SQL = f"""WITH c1 AS (SELECT {_CUSTOMER_ONPREM.format(sha=f"sha256({_DUCK_CUSTOMER.format('c_acctbal')})")},
-    TIMESTAMP '2024-01-01' + to_seconds(c_custkey % 3600) AS event_ts FROM customer),
-c2 AS (SELECT {_CUSTOMER_CLOUD.format(sha=f"sha256({_DUCK_CUSTOMER.format(_CUSTOMER_BALANCE)})")} FROM customer WHERE {_CUSTOMER_HAS}),
+_TABLES_SQL = f"""WITH c1 AS (SELECT {", ".join(_list(_customer_onprem(*_DUCK_CUSTOMER)))} FROM customer),
+c2 AS (SELECT {", ".join(_list(_customer_cloud(_DUCK_CUSTOMER[0])))} FROM customer),
 j AS (SELECT 'customer' AS table_name, 'customer_onprem' AS source_table, 'onprem.customer.events' AS topic_name,
     c1.customer_id AS pk, action, hash_onprem, hash_cloud, c2.customer_id AS cloud_pk, event_ts FROM c1 LEFT JOIN c2 ON c1.customer_id = c2.customer_id
   UNION ALL SELECT 'orders', 'orders_onprem', 'onprem.orders.events', op.pk, action, hash_onprem, hash_cloud, cl.pk, event_ts
@@ -368,15 +369,19 @@ def distinct_enriched(spark, folder):
 
 
 @query(
-    """SELECT 'customer' AS table_name, (SELECT count(*) FROM snap_a) AS onprem_rows, (SELECT count(*) FROM snap_b) AS cloud_rows,
-      (SELECT count(*) FROM snap_a) - (SELECT count(*) FROM snap_b) AS difference
-    UNION ALL SELECT 'orders', (SELECT count(*) FROM op), (SELECT count(*) FROM cl), (SELECT count(*) FROM op) - (SELECT count(*) FROM cl)""",
-    ("snap_a", "snap_b", "op", "cl"),
+    """SELECT 'customer' AS table_name, a.n AS onprem_rows, b.n AS cloud_rows, a.n - b.n AS difference
+    FROM (SELECT count(*) AS n FROM customer) a, (SELECT count(DISTINCT o_custkey) AS n FROM orders) b
+    UNION ALL SELECT 'orders', a.n, b.n, a.n - b.n
+    FROM (SELECT count(*) AS n FROM orders) a, (SELECT count(DISTINCT l_orderkey) AS n FROM lineitem) b"""
 )
 def rowcount_compare(spark, folder):
-    before, after = inputs.snapshots(spark, folder)
+    """Tables against what arrived of them: customers with orders, orders with lines."""
+    customer, orders, lines = (tables.table(spark, folder, n) for n in ("customer", "orders", "lineitem"))
     return reconcile.row_counts(
-        {"customer": (before, after), "orders": (inputs.onprem(spark, folder), inputs.cloud(spark, folder))}
+        {
+            "customer": (customer, orders.select("o_custkey").distinct()),
+            "orders": (orders, lines.select("l_orderkey").distinct()),
+        }
     )
 
 

@@ -11,6 +11,7 @@ from rowwarden.plans import anomalies, inputs
 from rowwarden.streaming import joins, quality, sinks, sources, stateful, windows
 
 PARTS = 4
+CLOSING = 10**15  # key of the row that closes a stream
 CUTS = "ntile(4) over (order by ts, event_id)"
 
 
@@ -136,7 +137,7 @@ def two_sides(spark, folder, tmp_path_factory):
         rows = rows.withColumn("part", F.expr(f"year({at}) div 3"))
         for (part,) in sorted(rows.select("part").distinct().collect()):
             rows.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(root)
-        end = spark.createDataFrame([(-1, None, dt.datetime(2030, 1, 1))], f"{key} bigint, {digest} string, {at} timestamp")
+        end = spark.createDataFrame([(CLOSING, None, dt.datetime(2030, 1, 1))], f"{key} bigint, {digest} string, {at} timestamp")
         end.coalesce(1).write.mode("append").parquet(root)
         roots.append((root, f"{key} bigint, {digest} string, {at} timestamp"))
     return roots
@@ -152,7 +153,7 @@ def test_interval_joins(spark, two_sides, tmp_path, how, low, high):
         spark.read.parquet(left_root), spark.read.parquet(right_root), ["pk"], "event_ts", "cloud_ts", low, high,
         "left" if how == "leftOuter" else "full",
     )
-    real = F.coalesce("pk", "_r_pk") >= 0
+    real = F.coalesce("pk", "_r_pk") != CLOSING
     columns = ["pk", "event_ts", "_r_pk", "cloud_ts"]
     assert bag(got.where(real), *columns) == bag(expected.where(real), *columns)
 
