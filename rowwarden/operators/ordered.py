@@ -17,7 +17,9 @@ import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from rowwarden.operators.joins import broadcast_if_small
@@ -26,6 +28,11 @@ from rowwarden.session import cut_lineage
 BLOCK, CARRY = "_block", "_carry"
 
 
+def _filled(values: Sequence) -> np.ndarray:
+    """Floats with nan for a missing value."""
+    return np.array([math.nan if v is None else v for v in values], dtype=float)
+
+
 @dataclass(frozen=True)
 class RunningSum:
     """Inclusive running total."""
@@ -37,6 +44,16 @@ class RunningSum:
         total = v if state is None else state[0] + v
         return (total,), (total,)
 
+    def scan(self, state, values, fresh):
+        total, out = 0.0 if state is None else state[0], []
+        for v, new in zip(values, fresh):
+            if new:
+                total = 0.0
+            if v is not None:
+                total += v
+            out.append(total)
+        return (total,), (np.array(out),)
+
     def digest(self, state, v):
         return self.step(state, v)[0]
 
@@ -61,6 +78,24 @@ class RunningZScore:
         z = (v - mean) / spread if spread > 0 else 0.0
         return self.digest(state, v), (z, abs(z) > self.threshold)
 
+    def scan(self, state, values, fresh):
+        n, mean, m2 = state or (0.0, 0.0, 0.0)
+        means, variances = [], []
+        for v, new in zip(values, fresh):
+            if new:
+                n = mean = m2 = 0.0
+            means.append(mean)
+            variances.append(m2 / (n - 1) if n > 1 else 0.0)
+            if v is not None:
+                n += 1
+                delta = v - mean
+                mean += delta / n
+                m2 += delta * (v - mean)
+        spread = np.sqrt(np.array(variances))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            z = np.where(spread > 0, (_filled(values) - np.array(means)) / spread, 0.0)
+        return (n, mean, m2) if n else None, (z, np.abs(z) > self.threshold)
+
     def digest(self, state, v):
         n, mean, m2 = state or (0.0, 0.0, 0.0)
         n += 1
@@ -110,6 +145,27 @@ class Ewma:
         z = (v - ema) / (math.sqrt(var + 1e-9) + 1e-9)
         return (ema, var), (ema, var, z if self.signed else abs(z), abs(z) > self.threshold)
 
+    def scan(self, state, values, fresh):
+        a, b = self.alpha, 1 - self.alpha
+        ema, var = state or (None, 0.0)
+        means, variances = [], []
+        for v, new in zip(values, fresh):
+            if new:
+                ema = None
+            if v is not None:
+                if ema is None:
+                    ema, var = v, 0.0
+                else:
+                    dev = v - ema
+                    ema = a * v + b * ema
+                    var = b * var + a * dev * dev
+            means.append(ema)
+            variances.append(var)
+        mean, variance = _filled(means), np.array(variances)
+        z = (_filled(values) - mean) / (np.sqrt(variance + 1e-9) + 1e-9)
+        flags = np.abs(z) > self.threshold
+        return None if ema is None else (ema, var), (mean, variance, z if self.signed else np.abs(z), flags)
+
     def digest(self, state, v):
         if state is None:
             return 1.0, v, v, 0.0, 0.0
@@ -129,8 +185,31 @@ class Ewma:
         return digest[2], digest[3]
 
 
-def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> list:
-    return list(zip(*[batch.column(n).to_pylist() for n in names]))
+def _values(batch: pa.RecordBatch, keys: Sequence[str], value: str) -> pa.Array:
+    """The values, null also where a key is."""
+    values = batch.column(value)
+    for k in keys:
+        if batch.column(k).null_count:
+            values = pc.if_else(batch.column(k).is_null(), pa.scalar(None, values.type), values)
+    return values
+
+
+def _starts(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
+    """Rows whose key differs from that of the row before; the first row is left False."""
+    starts = np.zeros(batch.num_rows, dtype=bool)
+    for k in keys:
+        column = batch.column(k)
+        before, after = column.slice(0, len(column) - 1), column.slice(1)
+        differs = pc.fill_null(pc.not_equal(before, after), False).to_numpy(zero_copy_only=False)
+        if column.null_count:
+            nulls = column.is_null().to_numpy(zero_copy_only=False)
+            differs = differs | (nulls[:-1] != nulls[1:])
+        starts[1:] |= differs
+    return starts
+
+
+def _key(batch: pa.RecordBatch, keys: Sequence[str], row: int) -> tuple:
+    return tuple(batch.column(k)[row].as_py() for k in keys)
 
 
 def _summaries(fold, keys: Sequence[str], value: str):
@@ -141,19 +220,14 @@ def _summaries(fold, keys: Sequence[str], value: str):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            row_keys = _columns(batch, keys)
-            values = batch.column(value).to_pylist()
             if block is None:
-                block, first = batch.column(BLOCK)[0].as_py(), row_keys[0]
-            ending = row_keys[-1]
-            start = 0
-            if row_keys[0] != ending or ending != last:
-                state = None if ending != last else state
-                start = next((i + 1 for i in range(len(row_keys) - 1, -1, -1) if row_keys[i] != ending), 0)
-            last = ending
-            if None in ending:
-                continue
-            for v in values[start:]:
+                block, first = batch.column(BLOCK)[0].as_py(), _key(batch, keys, 0)
+            changes = np.flatnonzero(_starts(batch, keys))
+            begin = int(changes[-1]) if len(changes) else 0
+            ending = _key(batch, keys, batch.num_rows - 1)
+            if ending != last:
+                last, state = ending, None
+            for v in _values(batch, keys, value).slice(begin).to_pylist():
                 if v is not None:
                     state = fold.digest(state, v)
         if block is not None:
@@ -199,25 +273,22 @@ def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str]):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            row_keys = _columns(batch, keys)
-            values = batch.column(value).to_pylist()
+            starts = _starts(batch, keys)
             if not started:
-                started, current = True, row_keys[0]
-                carried = batch.column(CARRY)[0].as_py()
-                state = None if carried is None else tuple(carried)
-            rows = []
-            for k, v in zip(row_keys, values):
-                if k != current:
-                    current, state = k, None
-                if v is None or None in k:
-                    rows.append(fold.skipped)
+                started = True
+                state = tuple(batch.column(CARRY)[0].as_py()) or None
+            else:
+                starts[0] = _key(batch, keys, 0) != current
+            current = _key(batch, keys, batch.num_rows - 1)
+            values = _values(batch, keys, value)
+            state, columns = fold.scan(state, values.to_pylist(), starts.tolist())
+            absent = values.is_null().to_numpy(zero_copy_only=False)
+            arrays, names = [batch.column(n) for n in kept], list(kept)
+            for (name, kind), column, neutral in zip(fold.outputs, columns, fold.skipped):
+                if neutral is None:
+                    arrays.append(pa.array(column, pa.float64(), mask=absent))
                 else:
-                    state, out = fold.step(state, v)
-                    rows.append(out)
-            arrays = [batch.column(n) for n in kept]
-            names = list(kept)
-            for (name, kind), column in zip(fold.outputs, zip(*rows)):
-                arrays.append(pa.array(column, pa.bool_() if kind == "boolean" else pa.float64()))
+                    arrays.append(pa.array(np.where(absent, neutral, column), pa.bool_()))
                 names.append(name)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -261,7 +332,9 @@ def ordered_scan(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"{n} {t}" for n, t in fold.outputs]
     )
     # broadcast: one row per partition
-    with_carry = blocks.join(F.broadcast(carries), BLOCK, "left")
+    with_carry = blocks.join(F.broadcast(carries), BLOCK, "left").withColumn(
+        CARRY, F.coalesce(CARRY, F.array().cast("array<double>"))  # Arrow writes null lists slowly
+    )
     return with_carry.mapInArrow(_emit(fold, keys, value, df.columns), schema)
 
 
