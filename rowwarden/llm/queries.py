@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm import line_frequency, secret_scan, token_counts
+from rowwarden.llm import decontaminate, language, line_frequency, packing, secret_scan, token_counts
 from rowwarden.sources.tables import table
 
 
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(table(spark, folder, "documents"))
 
@@ -37,6 +41,12 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_frequency.quality(table(spark, folder, "documents"))
 
@@ -45,7 +55,27 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_secret_scan, op7_line_frequency, op8_token_counts)
+    f.__name__: f
+    for f in (
+        op1_harmonic_packing,
+        op3_secret_scan,
+        op5_language_id,
+        op7_line_frequency,
+        op8_token_counts,
+        op10_decontamination,
+    )
 }
 ORACLES: dict[str, str] = {}

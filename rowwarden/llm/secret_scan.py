@@ -44,7 +44,7 @@ HEX_LEAST = 24
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")  # a maximal run of 24 or more is what HEX finds and keeps
 
 CODED_LEAST = 40  # shortest coded candidate: an Ed25519 private key is 48 DER bytes
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*(?:\.[A-Za-z0-9_-]*){2,4}(?![A-Za-z0-9_-])")
+SIGNED = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*(?:\.[A-Za-z0-9_-]+){2,4}(?![A-Za-z0-9_-])")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
 CODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 CODED_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){20,}(?![0-9A-Fa-f])")
