@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm import decontaminate, language, line_frequency, packing, secret_scan, token_counts
+from rowwarden.llm import decontaminate, html_text, language, line_frequency, packing, secret_scan, token_counts
 from rowwarden.sources.tables import table
 
 
@@ -22,6 +22,10 @@ def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op2_tag_path_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(table(spark, folder, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_harmonic_packing,
+        op2_tag_path_ratios,
         op3_secret_scan,
         op5_language_id,
         op7_line_frequency,
