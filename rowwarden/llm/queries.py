@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm import decontaminate, html_text, language, line_frequency, packing, secret_scan, token_counts
+from rowwarden.llm import decontaminate, html_text, language, line_frequency, packing, repeated_windows, secret_scan, token_counts
+from rowwarden.llm.oracles import ORACLES  # noqa: F401
 from rowwarden.sources.tables import table
 
 
@@ -59,6 +60,10 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op9_fixed_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_windows.repeats(table(spark, folder, "documents")).drop("removed")
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -80,7 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_language_id,
         op7_line_frequency,
         op8_token_counts,
+        op9_fixed_block_anchors,
         op10_decontamination,
     )
 }
-ORACLES: dict[str, str] = {}
