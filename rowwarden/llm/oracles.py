@@ -87,4 +87,35 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, len(
 FROM docs LEFT JOIN hits USING (row_key) LEFT JOIN which USING (row_key)
 """
 
-ORACLES = {"op7_line_frequency": OP7, "op9_fixed_block_anchors": OP9, "op10_decontamination": OP10}
+OP6 = rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_key, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), elements AS MATERIALIZED (
+    SELECT DISTINCT row_key, doc_id, array_to_string(ws[i:i+2], ' ') AS g FROM (
+        SELECT row_key, doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM docs WHERE len(ws) > 0
+    )
+), sizes AS MATERIALIZED (
+    SELECT row_key, doc_id, count(*) AS n FROM elements GROUP BY row_key, doc_id
+), common AS (
+    SELECT a.row_key AS x, b.row_key AS y, count(*) AS n FROM elements a JOIN elements b ON a.g = b.g AND a.row_key < b.row_key GROUP BY 1, 2
+), linked AS MATERIALIZED (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM common c JOIN sizes a ON a.row_key = c.x JOIN sizes b ON b.row_key = c.y
+    WHERE 100 * c.n >= 90 * (a.n + b.n - c.n) AND a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL
+), links AS MATERIALIZED (
+    SELECT x, y FROM linked UNION SELECT y, x FROM linked
+), reach AS (
+    SELECT DISTINCT x AS node, x AS other FROM links UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other
+), named AS (
+    SELECT node, min(other) AS component FROM reach GROUP BY node
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
+FROM docs d LEFT JOIN sizes s USING (row_key) LEFT JOIN named c ON c.node = d.doc_id
+"""
+
+ORACLES = {
+    "op6_jaccard_join": OP6,
+    "op7_line_frequency": OP7,
+    "op9_fixed_block_anchors": OP9,
+    "op10_decontamination": OP10,
+}

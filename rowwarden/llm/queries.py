@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm import decontaminate, html_text, language, line_frequency, packing, repeated_windows, secret_scan, token_counts
+from rowwarden.llm import decontaminate, html_text, jaccard_join, language, line_frequency, packing, repeated_windows, secret_scan, token_counts
 from rowwarden.llm.oracles import ORACLES  # noqa: F401
 from rowwarden.sources.tables import table
 
@@ -52,6 +52,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(table(spark, folder, "documents"))
+
+
 def op7_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_frequency.quality(table(spark, folder, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_tag_path_ratios,
         op3_secret_scan,
         op5_language_id,
+        op6_jaccard_join,
         op7_line_frequency,
         op8_token_counts,
         op9_fixed_block_anchors,
