@@ -12,11 +12,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
+from rowwarden.llm.textblocks import CHUNK_BYTES, Block, mix
+
 SCHEMA = "bucket int, kind int, n int, load binary"
 FLUSH_BYTES = 48 << 20  # of unpacked records a map task holds before it emits
+LAST = np.iinfo(np.int64).max  # stands for a null id
 PER_PARTITION = 8  # buckets per reduce task, to even out how they fall
 
 Columns = dict[str, np.ndarray]
@@ -119,9 +123,6 @@ def shuffled(df: DataFrame, reduce: Callable, schema: str) -> DataFrame:
     return df.repartition(partitions(df.sparkSession), "bucket").mapInArrow(reduce, schema)
 
 
-TEXTS = "bucket int, kind int, n int, load binary"
-
-
 def pack_texts(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> bytes:
     """Ids and texts (bytes end to end) as one compressed value."""
     head = np.diff(ids, prepend=0).tobytes() + np.diff(offsets).astype(np.int64).tobytes()
@@ -158,3 +159,47 @@ def scatter_texts(blocks, ids_of: Callable, bucket_of: Callable, kind: int) -> I
             size = 0
     if held:
         yield from flush()
+
+
+def texts_in(loads: Iterator[tuple[int, bytes]], limit: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, Block]]:
+    """Ids and texts of packed loads, put together to blocks of about `limit` bytes."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def block():
+        ids = np.concatenate([i for i, _, _ in held])
+        offsets = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(o) for _, _, o in held]))))
+        return ids, Block(None, np.concatenate([d for _, d, _ in held]), offsets)
+
+    for n, load in loads:
+        held.append(unpack_texts(load, n))
+        size += len(held[-1][1])
+        if size >= limit:
+            yield block()
+            held, size = [], 0
+    if held:
+        yield block()
+
+
+def split(batches: Iterator[pa.RecordBatch], records: int, texts: int, like: dict[str, np.dtype]) -> tuple[Columns, list[tuple[int, bytes]]]:
+    """The records of a reduce task, and its packed texts as they came."""
+    loads: list[tuple[int, bytes]] = []
+
+    def only_records():
+        for batch in batches:
+            kind = batch.column(1).to_numpy()
+            for i in np.flatnonzero(kind == texts).tolist():
+                loads.append((batch.column(2)[i].as_py(), batch.column(3)[i].as_py()))
+            yield batch.filter(pa.array(kind == records))
+
+    return gather(only_records(), {records: like})[records], loads
+
+
+def ids_of(block: Block, key: str) -> np.ndarray:
+    """Ids as integers, null as LAST."""
+    return pc.fill_null(block.column(key), int(LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def place(ids: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of a document."""
+    return (mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int32)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm import decontaminate, html_text, jaccard_join, language, line_frequency, packing, repeated_windows, secret_scan, token_counts
+from rowwarden.llm import decontaminate, html_text, jaccard_join, language, line_frequency, packing, repeated_windows, secret_scan, suffix_dedup, token_counts
 from rowwarden.llm.oracles import ORACLES  # noqa: F401
 from rowwarden.sources.tables import table
 
@@ -46,6 +46,10 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, folder, "documents")).drop("removed")
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = language.identify(docs, language.fit(docs))
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_harmonic_packing,
         op2_tag_path_ratios,
         op3_secret_scan,
+        op4_suffix_dedup,
         op5_language_id,
         op6_jaccard_join,
         op7_line_frequency,

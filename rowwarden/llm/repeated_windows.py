@@ -23,28 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rowwarden.llm.exchange import SCHEMA, batched, buckets, gather, scatter, scatter_texts, shuffled, unpack_texts
-from rowwarden.llm.textblocks import Block, Words, blocks, covered, mix, runs, windows, word_hashes, words
+from rowwarden.llm.exchange import (
+    LAST, SCHEMA, batched, buckets, gather, ids_of, place, scatter, scatter_texts, shuffled, split, texts_in,
+)
+from rowwarden.llm.textblocks import Words, blocks, covered, mix, runs, windows, word_hashes, words
 from rowwarden.session import cut_lineage
 
 WINDOW = 13
-LAST = np.iinfo(np.int64).max  # stands for a null id
 HIT, TEXT = 0, 1
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, last: long>>"
 
 
-def ids_of(block: Block, key: str) -> np.ndarray:
-    return pc.fill_null(block.column(key), int(LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def place(ids: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of a document."""
-    return (mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int32)
-
-
 def rolling(hashes: np.ndarray, found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Start words of the windows that lie in one document, and their hashes."""
     at = np.flatnonzero(found.left() >= size)
@@ -70,25 +61,6 @@ def _member(values: np.ndarray, owners: np.ndarray, sorted_owner: np.ndarray, so
     return have[at] == want
 
 
-def _text_blocks(batches: Iterator[pa.RecordBatch], like) -> tuple[dict, list[tuple[int, bytes]]]:
-    """The hits of a reduce task, and its packed texts as they came."""
-    texts: list[tuple[int, bytes]] = []
-
-    def hits():
-        for batch in batches:
-            kind = batch.column(1).to_numpy()
-            for i in np.flatnonzero(kind == TEXT):
-                texts.append((batch.column(2)[int(i)].as_py(), batch.column(3)[int(i)].as_py()))
-            yield batch.filter(pa.array(kind == HIT))
-
-    return gather(hits(), {HIT: like})[HIT], texts
-
-
-def _as_block(load: tuple[int, bytes]) -> tuple[np.ndarray, Block]:
-    ids, data, offsets = unpack_texts(load[1], load[0])
-    return ids, Block(None, data, offsets)
-
-
 def repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: words, removed words, digest of the words kept, and the removed word spans."""
     size = (window + 1) // 2
@@ -131,11 +103,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: st
         yield from batched(scatter_texts(own, lambda b: ids_of(b, key), lambda ids: place(ids, n), TEXT))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits, loads = _text_blocks(batches, {"doc": np.int64, "key": np.uint64})
+        hits, loads = split(batches, HIT, TEXT, {"doc": np.int64, "key": np.uint64})
 
         def parts():
-            for load in loads:
-                ids, block = _as_block(load)
+            for ids, block in texts_in(iter(loads)):
                 found = words(block)
                 hashes = word_hashes(block.data, found)
                 at, keys = rolling(hashes, found, size)
@@ -160,10 +131,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: st
             yield from batched(scatter(iter([(place(doc[lost], n), {"doc": doc[lost], "key": keys[lost]})]), HIT))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lost, loads = _text_blocks(batches, {"doc": np.int64, "key": np.uint64})
+        lost, loads = split(batches, HIT, TEXT, {"doc": np.int64, "key": np.uint64})
         span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-        for load in loads:
-            ids, block = _as_block(load)
+        for ids, block in texts_in(iter(loads)):
             found = words(block)
             total = len(found.start)
             at, keys = rolling(word_hashes(block.data, found), found, window)
