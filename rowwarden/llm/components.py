@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowwarden.session import cut_lineage
+from rowwarden.llm.exchange import settle
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each step keeps at most one edge per edge given, replaces neighbours by the smallest one through
     aggregates and joins, and never gathers a node's neighbours. It ends when a round changes nothing.
     """
-    links = cut_lineage(
+    links = settle(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     )
     before = None
@@ -30,6 +30,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: a node and its smaller neighbours move to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = cut_lineage(small.unionByName(least.withColumnRenamed("m", "v")).where("u > v").distinct())
+        links = settle(small.unionByName(least.withColumnRenamed("m", "v")).where("u > v").distinct())
     roots = links.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -15,23 +15,40 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowwarden.llm.textblocks import CHUNK_BYTES, Block, mix
+from rowwarden.session import cut_lineage
 
 SCHEMA = "bucket int, kind int, n int, load binary"
 FLUSH_BYTES = 48 << 20  # of unpacked records a map task holds before it emits
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LAST = np.iinfo(np.int64).max  # stands for a null id
-PER_PARTITION = 8  # buckets per reduce task, to even out how they fall
 
 Columns = dict[str, np.ndarray]
 
 
-def partitions(spark: SparkSession) -> int:
+def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def buckets(spark: SparkSession) -> int:
-    return PER_PARTITION * partitions(spark)
+def settle(df: DataFrame) -> DataFrame:
+    """`cut_lineage`, and the shuffle files behind it go once it is written; nothing reads them again."""
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return cut_lineage(df.select("*"))  # a new plan, which takes the setting
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
+def labels(spark: SparkSession, n: int) -> list[int]:
+    """A number for each of n buckets that Spark's hash partitioner sends to a partition of its own."""
+    ids = spark.range(n * (int(np.log(n + 1)) + 8)).select(F.col("id").cast("int").alias("label"))
+    firsts = ids.groupBy(F.pmod(F.hash("label"), F.lit(n)).alias("at")).agg(F.min("label").alias("label"))
+    found = {r.at: r.label for r in firsts.collect()}  # one row per partition
+    spare = iter(range(10**9, 10**9 + n))
+    return [found[k] if k in found else next(spare) for k in range(n)]
 
 
 def pack(columns: Columns) -> bytes:
@@ -119,8 +136,11 @@ def gather(batches: Iterator[pa.RecordBatch], like: dict[int, dict[str, np.dtype
 
 
 def shuffled(df: DataFrame, reduce: Callable, schema: str) -> DataFrame:
-    """`reduce` over everything that falls to a task, its buckets complete."""
-    return df.repartition(partitions(df.sparkSession), "bucket").mapInArrow(reduce, schema)
+    """`reduce` over everything that falls to a task: one bucket, complete."""
+    spark = df.sparkSession
+    n = buckets(spark)
+    label = F.element_at(F.array(*map(F.lit, labels(spark, n))), F.col("bucket") + 1)
+    return df.repartition(n, label).mapInArrow(reduce, schema)
 
 
 def pack_texts(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> bytes:

@@ -26,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rowwarden.llm.exchange import (
-    LAST, SCHEMA, batched, buckets, gather, ids_of, place, scatter, scatter_texts, shuffled, split, texts_in,
+    LAST, SCHEMA, batched, buckets, gather, ids_of, place, scatter, scatter_texts, settle, shuffled, split, texts_in,
 )
 from rowwarden.llm.textblocks import Words, blocks, covered, mix, runs, windows, word_hashes, words
-from rowwarden.session import cut_lineage
 
 WINDOW = 13
 HIT, TEXT = 0, 1
@@ -158,7 +157,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: st
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "removed"],
             )
 
-    hits = cut_lineage(shuffled(docs.mapInArrow(probe, SCHEMA), meet, SCHEMA))
+    hits = settle(shuffled(docs.mapInArrow(probe, SCHEMA), meet, SCHEMA))
     candidates = shuffled(hits.unionByName(docs.mapInArrow(texts, SCHEMA)), extend, SCHEMA)
-    lost = cut_lineage(shuffled(candidates, keep_first, SCHEMA))
+    lost = settle(shuffled(candidates, keep_first, SCHEMA))
     return shuffled(lost.unionByName(docs.mapInArrow(texts, SCHEMA)), remove, RESULT)
