@@ -28,11 +28,10 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from rowwarden.llm.exchange import (
-    LAST, SCHEMA, batched, buckets, gather, ids_of, pack, place, scatter, scatter_texts, shuffled, split, texts_in, unpack,
+    LAST, SCHEMA, batched, buckets, gather, ids_of, pack, place, scatter, scatter_texts, settle, shuffled, split, texts_in, unpack,
 )
 from rowwarden.llm.suffix_sort import common, order_with_lcp
 from rowwarden.llm.textblocks import Block, blocks, covered, mix, prefix, runs, span_hash
-from rowwarden.session import cut_lineage
 
 LENGTH = 400
 KMER = 32
@@ -302,9 +301,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, key: str = "d
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"],
             )
 
-    hits = cut_lineage(shuffled(docs.mapInArrow(probe, SCHEMA), meet, SCHEMA))
+    hits = settle(shuffled(docs.mapInArrow(probe, SCHEMA), meet, SCHEMA))
     sent = shuffled(hits.unionByName(docs.mapInArrow(texts, SCHEMA)), send, SCHEMA)
-    reached = cut_lineage(shuffled(sent, compare, SCHEMA))
+    reached = settle(shuffled(sent, compare, SCHEMA))
     return shuffled(reached.unionByName(docs.mapInArrow(texts, SCHEMA)), remove, RESULT)
 
 
@@ -336,7 +335,8 @@ def _stretches(at, left, right, name, doc, sums, length: int, n: int) -> Iterato
     for d in range(length - KMER + 1):
         ok = first[(left[first] >= d) & (right[first] >= length - d)]
         many = (times > 1)[(left[first] >= d) & (right[first] >= length - d)]
-        stretch = span_hash(sums, at[ok] - d, at[ok] + length - d)
+        # with the anchor's place: a stretch that holds two anchors must not meet itself
+        stretch = mix(span_hash(sums, at[ok] - d, at[ok] + length - d) ^ np.uint64(d))
         before = np.full(len(ok), d, np.uint16)
         yield (stretch % np.uint64(n)).astype(np.int32), {"stretch": stretch, "context": name[ok], "doc": doc[ok], "before": before, "many": many.astype(np.uint8)}
 
