@@ -4,8 +4,9 @@ A document's set holds its distinct word n-grams. Sets fall into size bands so w
 lie in the same band or in neighbouring ones. For a band, `most` different elements are possible
 between partners whose larger set lies in it; the universe is split by hash into segments, each
 with a budget of 1 (partners must agree in the segment) or 2 (they may differ in one element), and
-the budgets add up to `most` + 1. So partners meet in at least one segment: budget 1 indexes the
-segment's subset, budget 2 the subset and its one-deletion neighbourhood. How many segments get
+the budgets add up to `most` + 1 + `slack`. So partners agree in segments worth `slack` + 1 at least:
+budget 1 indexes the segment's subset, budget 2 the subset and its one-deletion neighbourhood. Empty
+subsets, which tell nothing, are left out by sets that have at most `slack` of them. How many segments get
 budget 2 is chosen per band by the cost that each allocation has on a bounded sample (keys sent and
 documents met); the choice changes the work, never the result.
 
@@ -34,13 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowwarden.llm.components import components
-from rowwarden.llm.exchange import SCHEMA, batched, buckets, gather, scatter, shuffled
+from rowwarden.llm.exchange import SCHEMA, batched, buckets, gather, scatter, settle, shuffled
 from rowwarden.llm.textblocks import LOWER, Block, blocks, mix, windows, word_hashes, words
-from rowwarden.session import cut_lineage
 
 GRAM = 3
 PERCENT = 90  # partners: 100 * intersection >= PERCENT * union
-SAMPLE = 4000  # documents (expected) on which allocations are priced
+SAMPLE = 1500  # documents (expected) on which allocations are priced
 PAIR_PRICE = 30.0  # keys sent that one needless meeting is worth
 SKETCH = 256  # parts of the universe in a sketch, a byte each
 BLOCK = 2048  # documents of one side in a block of comparisons
@@ -52,15 +52,14 @@ KEY_LIKE = {"short": np.uint32, "doc": np.int64}
 
 @dataclass
 class Scheme:
-    """Per size band: its lowest size, and the segments with budget 1 and budget 2."""
+    """Per size band: its lowest size, most elements partners differ in, slack, and segments by budget."""
 
     low: np.ndarray
+    most: np.ndarray
+    slack: np.ndarray
     single: np.ndarray
     double: np.ndarray
 
-    def segments(self) -> np.ndarray:
-        return self.single + self.double
-
 
 def band_lows(percent: int) -> np.ndarray:
     low = [1]
@@ -75,8 +74,20 @@ def most_different(low: np.ndarray, percent: int) -> np.ndarray:
     return 2 * top * (100 - percent) // (100 + percent)
 
 
-def allocation(low: np.ndarray, most: np.ndarray, doubles: np.ndarray) -> Scheme:
-    return Scheme(low, most + 1 - 2 * doubles, doubles)
+def empty_slack(low: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """More empty segments than this are rare in a set of the band's lowest size."""
+    slack = np.zeros_like(most)
+    for _ in range(3):
+        parts = most + 1 + slack
+        mean = parts * np.exp(-low / parts)
+        slack = np.ceil(mean + 3 * np.sqrt(mean)).astype(most.dtype)
+    return np.where(most > 0, np.minimum(slack, most + 1), 0)
+
+
+def allocation(low: np.ndarray, percent: int, doubles: np.ndarray) -> Scheme:
+    most = most_different(low, percent)
+    slack = empty_slack(low, most)
+    return Scheme(low, most, slack, most + 1 + slack - 2 * doubles, doubles)
 
 
 @dataclass
@@ -132,9 +143,8 @@ def keys_of(sets: Sets, scheme: Scheme, ahead: int) -> tuple[np.ndarray, np.ndar
     """Rows, keys and whether each is a whole subset, under the scheme of the row's band (+ ahead)."""
     size = sets.sizes()
     band = np.searchsorted(scheme.low, size, "right") - 1 + ahead
-    parts = scheme.segments()[band]
-    # one segment of budget 1 means equal sets only, which are classes already
-    parts[(size == 0) | ((parts == 1) & (scheme.double[band] == 0))] = 0
+    parts = scheme.single[band] + scheme.double[band]
+    parts[(size == 0) | (scheme.most[band] == 0)] = 0  # only equal sets are partners: classes already
     base = np.concatenate(([0], np.cumsum(parts)))
     row = np.repeat(np.arange(len(size)), parts)
     segment = np.arange(base[-1]) - base[row]
@@ -146,12 +156,15 @@ def keys_of(sets: Sets, scheme: Scheme, ahead: int) -> tuple[np.ndarray, np.ndar
     total = np.zeros(base[-1], np.uint64)
     np.add.at(total, at, value)
     whole = mix(mix(total) ^ name)
+    empty = (np.bincount(at, minlength=base[-1]) == 0) & (segment >= scheme.double[band[row]])
+    few = np.bincount(row[empty], minlength=len(size)) <= scheme.slack[band]
+    sent = ~(empty & few[row])
     near = segment[at] < scheme.double[band[owner]]
     less = mix(mix(total[at[near]] - value[near]) ^ name[at[near]])
     return (
-        np.concatenate((row, owner[near])),
-        np.concatenate((whole, less)),
-        np.concatenate((np.ones(len(whole), bool), np.zeros(len(less), bool))),
+        np.concatenate((row[sent], owner[near])),
+        np.concatenate((whole[sent], less)),
+        np.concatenate((np.ones(sent.sum(), bool), np.zeros(len(less), bool))),
     )
 
 
@@ -159,7 +172,7 @@ def priced(docs: DataFrame, gram: int, percent: int, key: str, text: str) -> Sch
     """The allocation of every band that costs least on a sample of about SAMPLE documents."""
     low = band_lows(percent)
     most = most_different(low, percent)
-    choices = [np.zeros_like(most), np.minimum(1, (most + 1) // 2), (most + 1) // 2]
+    choices = [np.zeros_like(most), np.minimum(1, most), (most + 1) // 2]
     total = docs.agg(F.count("*")).first()[0]
     draw = F.pmod(F.xxhash64(key, F.lit("price")), F.lit(1 << 30)) / float(1 << 30)
     sample = docs.where(F.col(key).isNotNull() & (draw < SAMPLE / max(total, 1)))
@@ -169,7 +182,7 @@ def priced(docs: DataFrame, gram: int, percent: int, key: str, text: str) -> Sch
             sets = sets_of(block, gram)
             band = np.searchsorted(low, sets.sizes(), "right") - 1
             for c, doubles in enumerate(choices):
-                row, keys, _ = keys_of(sets, allocation(low, most, doubles), 0)
+                row, keys, _ = keys_of(sets, allocation(low, percent, doubles), 0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), c)), pa.array(band[row]), pa.array(keys.view(np.int64))], names=["choice", "band", "k"]
                 )
@@ -183,7 +196,7 @@ def priced(docs: DataFrame, gram: int, percent: int, key: str, text: str) -> Sch
         if r.cost < best.get(r.band, np.inf):
             best[r.band] = r.cost
             doubles[r.band] = choices[r.choice][r.band]
-    return allocation(low, most, doubles)
+    return allocation(low, percent, doubles)
 
 
 def is_partner(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -246,22 +259,22 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, key: str = "
             names=["doc_id", "n_shingles", "fp_a", "fp_b"],
         )
 
-    indexed = cut_lineage(docs.mapInArrow(index, SCHEMA))
-    rows = cut_lineage(indexed.where(F.col("kind") == META).mapInArrow(about, "doc_id long, n_shingles long, fp_a long, fp_b long"))
+    indexed = settle(docs.mapInArrow(index, SCHEMA))
+    rows = settle(indexed.where(F.col("kind") == META).mapInArrow(about, "doc_id long, n_shingles long, fp_a long, fp_b long"))
     with_set = rows.where("doc_id is not null and n_shingles > 0")
     fp = ["n_shingles", "fp_a", "fp_b"]
     least = with_set.groupBy(*fp).agg(F.min("doc_id").alias("rep"))
     # an id and the class it is in; rows with equal ids and different sets are in several
-    classes = cut_lineage(with_set.join(least, fp).select("doc_id", "rep").distinct())
+    classes = settle(with_set.join(least, fp).select("doc_id", "rep").distinct())
 
     met = shuffled(indexed.where(F.col("kind") == KEYS), stars, "hub long, doc long").distinct()
     side = lambda name, to: classes.select(F.col("doc_id").alias(name), F.col("rep").alias(to))
     pairs = met.join(side("hub", "x"), "hub").join(side("doc", "y"), "doc")
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
-    pairs = cut_lineage(pairs)
+    pairs = settle(pairs)
 
-    texts = cut_lineage(_texts(docs, pairs, gram))
-    tested = cut_lineage(_verified(pairs, texts, gram, percent))
+    texts = settle(_texts(docs, pairs, gram))
+    tested = settle(_verified(pairs, texts, gram, percent))
     links = tested.where("linked").select("a", "b")
     same_id = classes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     more = _residual(tested, components(links), texts, percent)
@@ -367,5 +380,5 @@ def _residual(tested: DataFrame, found: DataFrame, texts: DataFrame, percent: in
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     more = placed.groupBy("hub", "low", "high").applyInArrow(compare, "a long, b long").distinct()
-    more = cut_lineage(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+    more = settle(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
     return None if more.isEmpty() else more
