@@ -1,27 +1,75 @@
 """The training-corpus pipeline: stages over `documents`, each written as Parquet and read again.
 
-Null ids, empty and null texts, repeated rows and extra columns follow the operators' docstrings.
+1. language: texts without a letter, and texts so mixed that no language holds LEAST_SHARE of the
+   letters, go.
+2. near_copies: of each group of documents linked by the Jaccard join (over word 5-grams, similarity
+   0.8 or more) one stays, the smallest id; of rows with one id and one text, one.
+3. benchmark: documents contaminated by benchmark passages go.
+4. secrets: every base span and every confirmed span is masked in the text, and n_chars follows.
+5. packing: what is left becomes sequences; the result is the table of pieces.
+
+Stages 1 to 4 return the columns of documents. A null or empty text goes in stage 1. A row with a
+null id links with nothing in stage 2 and stays. Extra columns pass through untouched. An empty table
+passes through all stages.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rowwarden.llm import decontaminate, jaccard_join, language, packing, queries, secret_scan
 from rowwarden.session import checkpoint_dir
 from rowwarden.sources.tables import table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+LEAST_SHARE = 0.4
+NEAR_GRAM, NEAR_PERCENT = 5, 80
+MASK = {kind: f"[{kind.upper()}]" for kind in secret_scan.KINDS}
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language.labelled(docs, language.fit(docs))
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_SHARE))
+    return kept.select(*docs.columns)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = jaccard_join.join(docs, NEAR_GRAM, NEAR_PERCENT)
+    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    with_id, without = kept.where("doc_id is not null"), kept.where("doc_id is null")
+    return with_id.dropDuplicates(["doc_id"]).unionByName(without)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
-# no stage of this pipeline can be said in SQL as a whole (trained model, token ids): tests compare with brute force
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.masked(docs, MASK, "n_chars")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language_stage),
+    ("near_copies", near_copy_stage),
+    ("benchmark", benchmark_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
+]
+
+# a trained model and token ids are beyond SQL: tests compare each stage with brute force
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each reads what the one before has written to the shared folder."""
-    import uuid
-
     folder = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):

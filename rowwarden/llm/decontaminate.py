@@ -265,3 +265,11 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, key: st
         "doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items",
         ((n_hit > 0) & (HIT_SHARE * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without the contaminated ones, all columns kept; rows are told apart by id and text."""
+    row = F.xxhash64(F.col(key), F.col(text))
+    bad = contamination(docs.withColumn("_row", row), items, size, "_row", text).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, row == F.col("_bad"), "left_anti")

@@ -21,11 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowwarden.llm.textblocks import Block, Words, blocks, mix, prefix, span_hash, words
+from rowwarden.llm.textblocks import Block, Words, beside, blocks, mix, prefix, span_hash, words
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -60,12 +59,6 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
 
 
-def _lower(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        i = batch.schema.get_field_index(text)
-        yield batch.set_column(i, text, pc.utf8_lower(batch.column(i).cast(pa.large_string())))
-
-
 def grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of the given words, and how many each word has (in word order)."""
     size = end - start + 2  # one edge byte on each side
@@ -119,7 +112,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BUCKETS + len(SCRIPTS), len(languages)), np.int64)
-        for block in blocks(_lower(batches, "body"), "body"):
+        for block in blocks(batches, "body", lower=True):
             found = words(block)
             number = block.column("number").to_numpy(zero_copy_only=False)[found.row].astype(np.int64) - 1
             if not len(found.start):
@@ -201,35 +194,40 @@ def has_letter(block: Block) -> np.ndarray:
     return plain
 
 
-def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, lang_pred, score, and the language spans in words (first, last, lang)."""
+def _labels(model: Model, penalty: float, block: Block) -> dict[str, pa.Array]:
+    """Predicted language, its share of the letters, and the spans, per row of a block in lower case."""
+    names, width = np.array([*model.languages, UNKNOWN], object), len(model.languages)
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())]))
+    found, docs = words(block), len(block)
+    letter = has_letter(block) & (width > 0)
+    pred, share = np.full(docs, width), np.zeros(docs)
+    spans: list[list[dict]] = [[] for _ in range(docs)]
+    if len(found.start) and width:
+        label = viterbi(word_scores(model, block, found), found.first, penalty)
+        weight = np.where(word_scripts(block.data, found.start, found.end) > 0, found.end - found.start, 0)
+        mass = np.bincount(found.row * width + label, weight, docs * width).reshape(docs, width)
+        pred = np.where(letter, mass.argmax(1), width)
+        share = np.where(letter, mass.max(1) / np.maximum(mass.sum(1), 1), 0.0)
+        edge = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (found.row[1:] != found.row[:-1]))))
+        last = np.concatenate((edge[1:], [len(label)])) - 1
+        for a, b, d in zip(edge, last, found.row[edge]):
+            if letter[d]:
+                spans[d].append({"first": int(a - found.first[d]), "last": int(b - found.first[d]), "lang": names[label[a]]})
+    return {
+        "lang_pred": pa.array(names[pred], pa.string()),
+        "lang_score": pa.array(share, pa.float64()),
+        "lang_spans": pa.array(spans, kind),
+    }
+
+
+def labelled(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, text: str = "text") -> DataFrame:
+    """docs with lang_pred, lang_score and lang_spans (in words: first, last, lang) beside all columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats
+    added = "lang_pred string, lang_score double, lang_spans array<struct<first: long, last: long, lang: string>>"
+    return beside(docs, text, lambda block: _labels(sent.value, penalty, block), added, lower=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = sent.value
-        names, width = np.array([*model.languages, UNKNOWN], object), len(model.languages)
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())]))
-        for block in blocks(_lower(batches, text), text):
-            found, docs = words(block), len(block)
-            letter = has_letter(block) & (width > 0)
-            pred, share = np.full(docs, width), np.zeros(docs)
-            spans: list[list[dict]] = [[] for _ in range(docs)]
-            if len(found.start) and width:
-                label = viterbi(word_scores(model, block, found), found.first, penalty)
-                weight = np.where(word_scripts(block.data, found.start, found.end) > 0, found.end - found.start, 0)
-                mass = np.bincount(found.row * width + label, weight, docs * width).reshape(docs, width)
-                pred = np.where(letter, mass.argmax(1), width)
-                share = np.where(letter, mass.max(1) / np.maximum(mass.sum(1), 1), 0.0)
-                edge = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (found.row[1:] != found.row[:-1]))))
-                last = np.concatenate((edge[1:], [len(label)])) - 1
-                for a, b, d in zip(edge, last, found.row[edge]):
-                    if letter[d]:
-                        spans[d].append({"first": int(a - found.first[d]), "last": int(b - found.first[d]), "lang": names[label[a]]})
-            yield pa.RecordBatch.from_arrays(
-                [block.column(key), pa.array(names[pred], pa.string()), pa.array(share, pa.float64()), pa.array(spans, kind)],
-                names=["doc_id", "lang_pred", "score", "spans"],
-            )
-
-    return docs.select(docs[key].cast("long").alias(key), docs[text]).mapInArrow(
-        run, "doc_id long, lang_pred string, score double, spans array<struct<first: long, last: long, lang: string>>"
-    )
+
+def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, lang_pred, score, and the language spans in words (first, last, lang)."""
+    found = labelled(docs.select(docs[key].cast("long").alias("doc_id"), docs[text]), model, penalty, text)
+    return found.select("doc_id", "lang_pred", F.col("lang_score").alias("score"), F.col("lang_spans").alias("spans"))

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rowwarden.llm.textblocks import Block, blocks, runs
+from rowwarden.llm.textblocks import Block, beside, blocks, runs
 
 KINDS = ("assign", "access", "hex", "token", "key")
 # fixed values: the base patterns
@@ -203,18 +203,53 @@ def _suspects(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return base, coded
 
 
+def found_in(block: Block) -> Iterator[tuple[int, str, list[Span]]]:
+    """Row, text and sorted spans of the rows of a block that have any."""
+    base, coded = _suspects(block)
+    for i in np.flatnonzero(base | coded).tolist():
+        whole = block.text(i)
+        spans = (base_spans(whole) if base[i] else []) + (confirmed_spans(whole) if coded[i] else [])
+        if spans:
+            yield i, whole, sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+
+
+def mask(text: str, spans: list[Span], marks: dict[str, str]) -> str:
+    """text with every stretch of overlapping spans replaced by the mark of its first span."""
+    out, at, k = [], 0, 0
+    while k < len(spans):
+        start, end, kind = spans[k]
+        while k < len(spans) and spans[k][0] < end:
+            end = max(end, spans[k][1])
+            k += 1
+        out += [text[at:start], marks[kind]]
+        at = end
+    return "".join(out) + text[at:]
+
+
+def masked(docs: DataFrame, marks: dict[str, str], n_chars: str | None = None, text: str = "text") -> DataFrame:
+    """docs, same columns, with all spans masked; `n_chars` names a column of text lengths to correct."""
+
+    def judge(block: Block) -> dict[str, pa.Array]:
+        texts = block.column(text).to_pylist()
+        sizes = block.column(n_chars).to_pylist() if n_chars else []
+        for i, whole, spans in found_in(block):
+            texts[i] = mask(whole, spans, marks)
+            if n_chars:
+                sizes[i] = len(texts[i])
+        return {text: pa.array(texts, pa.string())} | ({n_chars: pa.array(sizes, pa.int64())} if n_chars else {})
+
+    added = f"`{text}` string" + (f", `{n_chars}` long" if n_chars else "")
+    return beside(docs, text, judge, added).select(*[f"`{c}`" for c in docs.columns])
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: `doc_id` and `spans`, an array of (start_at, end_at, kind, value)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("start_at", pa.int64()), ("end_at", pa.int64()), ("kind", pa.string()), ("value", pa.string())])
         for block in blocks(batches, text):
-            base, coded = _suspects(block)
             found: list[list[dict]] = [[] for _ in range(len(block))]
-            for i in np.flatnonzero(base | coded):
-                whole = block.text(i)
-                spans = (base_spans(whole) if base[i] else []) + (confirmed_spans(whole) if coded[i] else [])
-                spans.sort(key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+            for i, whole, spans in found_in(block):
                 found[i] = [{"start_at": s, "end_at": e, "kind": k, "value": whole[s:e]} for s, e, k in spans]
             yield pa.RecordBatch.from_arrays([block.column(key), pa.array(found, pa.list_(kind))], names=["doc_id", "spans"])
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 2 << 20  # text bytes handled at once in a task; a longer single text is a chunk of its own
 
@@ -83,19 +85,23 @@ class Block:
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column, "")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return data[at[0] : at[-1]], at - at[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[Block]:
-    """Rows in order, in blocks of at most `limit` text bytes (or one longer row); null text is empty."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES, lower: bool = False) -> Iterator[Block]:
+    """Rows in order, in blocks of at most `limit` text bytes (or one longer row); null text is empty.
+
+    lower: the bytes are those of the text in lower case; the rows keep the text as it is.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        data, offsets = _flat(batch.column(batch.schema.get_field_index(column)))
+        texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
+        data, offsets = _flat(pc.utf8_lower(texts) if lower else texts)
         first = 0
         while first < batch.num_rows:
             last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
@@ -167,3 +173,20 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the maximal runs of true flags."""
     edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def beside(docs: DataFrame, text: str, judge: Callable[[Block], dict[str, pa.Array]], added: str, lower: bool = False) -> DataFrame:
+    """docs with all its columns, and new ones made of each block's texts; `added` is their schema.
+
+    Columns of docs that clash with a new name are replaced by it.
+    """
+    new = StructType.fromDDL(added)
+    kept = [c for c in docs.columns if c not in new.names]
+    schema = StructType([*docs.select(*[f"`{c}`" for c in kept]).schema.fields, *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text, lower=lower):
+            made = judge(block)
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in kept), *(made[c] for c in new.names)], names=[*kept, *new.names])
+
+    return docs.mapInArrow(run, schema)
