@@ -38,22 +38,29 @@ def missing(fields: Sequence[Column], null_handling: str = "default") -> Column:
 def outside(value: Column, low=None, high=None, null_handling: str = "default") -> Column:
     tests = []
     if low is not None:
-        tests.append(value < F.lit(low))
+        tests.append(_as_bound(value, low) < F.lit(low))
     if high is not None:
-        tests.append(value > F.lit(high))
+        tests.append(_as_bound(value, high) > F.lit(high))
     if null_handling == "fail":
         tests.append(value.isNull())
     return any_of(tests)
 
 
+def _as_bound(value: Column, bound) -> Column:
+    """The value in the bound's kind; a text that is no number there is null instead of an error."""
+    if isinstance(bound, bool) or not isinstance(bound, (int, float)):
+        return value
+    return value.try_cast("double") if isinstance(bound, float) else value.try_cast("decimal(38,6)")
+
+
 def anchored(pattern: str, match: str) -> str:
     """The pattern for finding anywhere, matching from the start, or matching the whole text."""
     if match == "find":
         return pattern
     if match == "prefix":
-        return f"^(?:{pattern})"
+        return f"\\A(?:{pattern})"
     if match == "full":
-        return f"^(?:{pattern})$"
+        return f"\\A(?:{pattern})\\z"
     raise ValueError(f"match must be find, prefix or full, not {match!r}")
 
 

@@ -72,5 +72,16 @@ def key_bucket(key: Column, buckets: int) -> Column:
     return F.pmod(leading_bits(F.sha2(key.cast("string"), 256)), F.lit(buckets)).cast("bigint")
 
 
+def bound_digest(key: Column, row_hash: Column) -> Column:
+    """Digest of a key together with its row digest; a null of either is told apart from any text."""
+    part = lambda c: F.coalesce(F.concat(F.lit("+"), c.cast("string")), F.lit("-"))
+    return F.sha2(F.concat(part(key), F.lit("|"), part(row_hash)), 256)
+
+
+def words(hex_digest: Column) -> list[Column]:
+    """The four unsigned 64-bit words of a 256-bit hex digest, as decimals that can be summed."""
+    return [F.conv(F.substring(hex_digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
+
+
 def is_hex_digest(column: Column) -> Column:
     return column.rlike(HEX64)

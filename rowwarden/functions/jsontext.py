@@ -50,6 +50,6 @@ def element_by_role(elements: Column, role: str, wanted: str = "value") -> Colum
 
 
 def quoted_field(raw: Column, name: str) -> Column:
-    """First `"name":"…"` in the text, null when there is none; works on broken JSON too."""
-    pattern = f'"{name}"\\s*:\\s*"(.*?)"'
+    """Last `"name":"…"` in the text, null when there is none; works on broken JSON too."""
+    pattern = f'(?s).*"{name}"\\s*:\\s*"(.*?)"'
     return F.when(raw.rlike(pattern), F.regexp_extract(raw, pattern, 1))

@@ -11,15 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 SPREAD = "_spread"
 SLOT = "_slot"
 LANES = 4096
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `df` when a count shows at most `limit` rows, else leave the join to Spark.
-
-    Counting runs a job, so use it on small aggregates or on staged rows.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def _row_hash(df: DataFrame) -> Column:

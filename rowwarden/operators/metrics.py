@@ -11,9 +11,25 @@ def count_by(df: DataFrame, column: str, alias: str = "total") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(alias))
 
 
+def _window(df: DataFrame, moment: str, duration: str) -> Column:
+    """The tumbling window of a row as a struct, null where the time is null.
+
+    `window()` itself filters rows without a time out of the whole plan. A stream needs it for its
+    watermark, and has no place for such rows.
+    """
+    if df.isStreaming:
+        return F.window(moment, duration)
+    number, unit = duration.split()
+    size = int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.lower().rstrip("s")]
+    at = F.unix_seconds(F.col(moment).cast("timestamp"))
+    start = at - F.pmod(at, F.lit(size))
+    edge = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    return F.when(at.isNotNull(), F.struct(edge(start).alias("start"), edge(start + size).alias("end")))
+
+
 def tumbling(df: DataFrame, moment: str, duration: str, aggregates: Sequence[Column], tags: dict | None = None) -> DataFrame:
-    """Aggregates per time window, tagged with constant columns."""
-    counted = df.where(F.col(moment).isNotNull()).groupBy(F.window(moment, duration).alias("_w")).agg(*aggregates)
+    """Aggregates per time window, tagged with constant columns; rows without a time have a null window."""
+    counted = df.groupBy(_window(df, moment, duration).alias("_w")).agg(*aggregates)
     values = [c for c in counted.columns if c != "_w"]
     return counted.select(
         F.col("_w.start").alias("window_start"),
@@ -23,13 +39,12 @@ def tumbling(df: DataFrame, moment: str, duration: str, aggregates: Sequence[Col
 
 
 def window_counter(df: DataFrame, moment: str, duration: str, condition: Column, name: str) -> DataFrame:
-    """(metric_ts = window end, count of rows meeting the condition), windows without one left out."""
-    return (
-        df.where(condition & F.col(moment).isNotNull())
-        .groupBy(F.window(moment, duration).alias("_w"))
-        .agg(F.count(F.lit(1)).alias(name))
-        .select(F.col("_w.end").alias("metric_ts"), name)
-    )
+    """(metric_ts = window end, count of rows meeting the condition), windows without one left out.
+
+    Rows without a time that meet the condition are counted under a null metric_ts.
+    """
+    counted = df.where(condition).groupBy(_window(df, moment, duration).alias("_w")).agg(F.count(F.lit(1)).alias(name))
+    return counted.select(F.col("_w.end").alias("metric_ts"), name)
 
 
 def window_stats(df: DataFrame, keys: Sequence[str], moment: str, value: str, size: str, slide: str) -> DataFrame:
@@ -103,35 +118,29 @@ def window_alerts(
     return totals.select("alert", "window_start", value.alias("metric_value")).where(F.col("metric_value") > limit)
 
 
+SPINE_CHUNK = 10_000
+
+
 def stalled_windows(df: DataFrame, moment: str, minutes: int, valid: Column) -> DataFrame:
     """Windows between the first and the last event without any valid row.
 
-    The spine of windows grows with the time span, not with the rows, and is spread
-    over tasks by day before it is cut in windows.
+    Windows are numbered from the first one in steps of their own size, so every size lines up with
+    the windows of the rows. The spine grows with the time span, not with the rows, and is cut in
+    chunks of windows that are spread over tasks.
     """
-    step = F.make_dt_interval(mins=F.lit(minutes))
-    at = F.window(moment, f"{minutes} minutes").start
+    step = minutes * 60
+    start = F.window(moment, f"{minutes} minutes").start.cast("timestamp")
     timed = df.where(F.col(moment).isNotNull())
-    # whole days, then the windows of each day: no task makes the entire spine
-    span = timed.agg(F.min(at).alias("first_w"), F.max(at).alias("last_w"))
-    days = span.select(
-        "first_w",
-        "last_w",
-        F.explode(F.sequence(F.to_date("first_w"), F.to_date("last_w"))).alias("day"),
-    ).repartition("day")
-    midnight = F.col("day").cast("timestamp_ntz")
-    spine = (
-        days.select(
-            "first_w",
-            "last_w",
-            F.explode(
-                F.sequence(midnight, midnight + F.make_dt_interval(hours=F.lit(24)) - step, step)
-            ).alias("window_start"),
-        )
-        .where("window_start between first_w and last_w")
-        .select("window_start")
-    )
-    good = timed.where(valid).select(at.cast("timestamp_ntz").alias("window_start")).distinct()
+    first = F.unix_seconds(start)
+    span = timed.agg(F.min(first).alias("first_w"), F.max(first).alias("last_w")).where("first_w is not null")
+    last_number = F.expr(f"(last_w - first_w) div {step}")
+    chunks = span.select(
+        "first_w", last_number.alias("last_number"), F.explode(F.sequence(F.lit(0).cast("bigint"), last_number, F.lit(SPINE_CHUNK).cast("bigint"))).alias("at")
+    ).repartition("at")
+    numbers = F.sequence(F.col("at"), F.least(F.col("at") + SPINE_CHUNK - 1, F.col("last_number")))
+    number = chunks.select("first_w", F.explode(numbers).alias("number"))
+    spine = number.select(F.timestamp_seconds(F.col("first_w") + F.col("number") * step).cast("timestamp_ntz").alias("window_start"))
+    good = timed.where(valid).select(start.cast("timestamp_ntz").alias("window_start")).distinct()
     return spine.join(good, "window_start", "left_anti")
 
 

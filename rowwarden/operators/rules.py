@@ -12,6 +12,7 @@ Three document shapes are read:
 from __future__ import annotations
 
 import json
+import re
 import operator
 import warnings
 from collections.abc import Mapping, Sequence
@@ -242,7 +243,7 @@ class Emit:
     when: str
     status: str
     reason: str
-    metric: str
+    metric: str | None
     severity: str | None
 
     def fires(self) -> Column:
@@ -268,27 +269,35 @@ class TablePair:
         )
 
     def fill(self, condition: str) -> str:
-        values = {
-            "t1": self.onprem["alias"], "t2": self.cloud["alias"], "pk": self.pk,
-            "hash_onprem": self.hash_onprem, "hash_cloud": self.hash_cloud,
-        }
-        return reduce(lambda text, kv: text.replace("{" + kv[0] + "}", kv[1]), values.items(), condition)
+        """The condition with its placeholders filled in; one that isn't known is refused."""
+        known = dict(
+            t1=self.onprem["alias"], t2=self.cloud["alias"], pk=self.pk,
+            hash_onprem=self.hash_onprem, hash_cloud=self.hash_cloud,
+        )
+
+        def value(match: re.Match) -> str:
+            if match[1] not in known:
+                raise ValueError(f"table {self.name!r}: unknown placeholder {match[0]} in {condition!r}")
+            return known[match[1]]
+
+        return re.sub(r"\{([A-Za-z_]\w*)\}", value, condition)
 
 
 def emit_rules(source, table: TablePair | None = None) -> list[Emit]:
-    """Rules with a `when`; the others carry no condition and are passed over."""
-    document = read_document(source)
+    """Rules with a `when`; the others carry no condition and are passed over.
+
+    The reason is `emit.dq_reason`, else the description, else (for a table's rules) the rule's
+    name or (otherwise) OK. A rule without `emit.metric` is not counted.
+    """
     rules = []
-    for raw in document.get("rules", []):
+    for raw in read_document(source).get("rules", []):
         if "when" not in raw:
             continue
-        text = " ".join(raw["when"].split())
         emit = raw.get("emit", {})
+        text = " ".join(raw["when"].split())
+        reason = emit.get("dq_reason") or raw.get("description") or (raw["name"] if table else "OK")
         rules.append(
-            Emit(
-                raw["name"], table.fill(text) if table else text, emit["dq_status"],
-                raw.get("description", "OK"), emit.get("metric", raw["name"]), emit.get("severity"),
-            )
+            Emit(raw["name"], table.fill(text) if table else text, emit["dq_status"], reason, emit.get("metric"), emit.get("severity"))
         )
     return rules
 
@@ -297,24 +306,22 @@ def table_pairs(source) -> list[TablePair]:
     return [TablePair.parse(t) for t in read_document(source).get("tables", [])]
 
 
-def emitted(rules: Sequence[Emit]) -> tuple[Column, Column]:
-    """(dq_status, dq_reason) over a joined frame whose sides are aliased as in the rules."""
-    status = checks.first_match([(r.fires(), r.status) for r in rules], "VALID")
-    reason = checks.first_match([(r.fires(), r.reason) for r in rules], "OK")
-    return status, reason
+def emitted(rules: Sequence[Emit]) -> Column:
+    """struct(dq_status, dq_reason) over a joined frame whose sides are aliased as in the rules."""
+    verdict = lambda status, reason: F.struct(F.lit(status).alias("dq_status"), F.lit(reason).alias("dq_reason"))
+    return checks.first_match([(r.fires(), verdict(r.status, r.reason)) for r in rules], verdict("VALID", "OK"))
 
 
 def emit_metrics(rules: Sequence[Emit], namespace: str = "") -> list[Column]:
-    """One count per rule condition: a row can count for several rules."""
+    """One count per rule that names a metric: a row can count for several rules."""
     prefix = f"{namespace}." if namespace else ""
-    return [F.count_if(r.fires()).alias(f"{prefix}{r.metric}") for r in rules]
+    return [F.count_if(r.fires()).alias(f"{prefix}{r.metric}") for r in rules if r.metric]
 
 
 def severity_totals(rules: Sequence[Emit]) -> list[Column]:
-    """Rows hitting any rule of a severity; a severity without rules gives no column."""
-    totals = []
-    for severity in SEVERITIES:
-        conditions = [r.fires() for r in rules if r.severity == severity]
-        if conditions:
-            totals.append(F.count_if(reduce(operator.or_, conditions)).alias(f"dq_{severity.lower()}_total"))
-    return totals
+    """Rows that hit at least one rule of a severity, a column for each severity that has rules."""
+    grouped: dict[str, list[Column]] = {}
+    for rule in rules:
+        if rule.severity in SEVERITIES:
+            grouped.setdefault(rule.severity, []).append(rule.fires())
+    return [F.count_if(checks.any_of(grouped[s])).alias(f"dq_{s.lower()}_total") for s in SEVERITIES if s in grouped]

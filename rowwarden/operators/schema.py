@@ -32,9 +32,9 @@ def fault(name: str, declared: str, types: bool = True) -> Column:
 
     Types that are not simple (unions, records) are checked for presence only.
     """
-    test = F.when(~jsontext.present(name), F.lit(f"missing field {name}"))
+    test = F.when(~jsontext.present(name), F.lit(f"{name}: absent"))
     if types and declared in FAULT_NAME:
-        test = test.when(~_has_type(name, declared), F.lit(f"field {name} should be {FAULT_NAME[declared]}"))
+        test = test.when(~_has_type(name, declared), F.lit(f"{name}: not {FAULT_NAME[declared]}"))
     return test
 
 
@@ -111,14 +111,14 @@ def evolution(registry: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         return F.struct(F.lit(level).alias("level"), F.concat(*parts).alias("change"))
 
     not_record = F.struct(
-        F.lit("warn").alias("level"), F.lit("not a record type: full compatibility not checked").alias("change")
+        F.lit("warn").alias("level"), F.lit("kind: no record, fields not compared").alias("change")
     )
     found = (
         F.when(F.col("_odd"), F.when(F.col("_first"), not_record))
-        .when(removed, finding("break", "field removed: ", "field"))
-        .when(added, F.when(bare, finding("break", "field added without default or nullable: ", "field")))
-        .when(opaque, finding("warn", "complex type, review by hand: ", "field"))
-        .when(changed, finding("break", "type change not promotable: ", "field", " ", "old_type", " -> ", "new_type"))
+        .when(removed, finding("break", "dropped: ", "field"))
+        .when(added, F.when(bare, finding("break", "needs default: ", "field")))
+        .when(opaque, finding("warn", "nested, look closer: ", "field"))
+        .when(changed, finding("break", "retyped: ", "field", " ", "old_type", " -> ", "new_type"))
     )
     return (
         fields.select("subject", "old_version", "new_version", found.alias("_f"))
@@ -131,7 +131,7 @@ def drift_counts(changes: DataFrame) -> DataFrame:
     """Subjects drifted, and columns removed, over an evolution report."""
     return changes.agg(
         F.count_distinct("subject").alias("dq_schema_drift_detected"),
-        F.count_if(F.col("change").startswith("field removed: ")).alias("dq_column_removed"),
+        F.count_if(F.col("change").startswith("dropped: ")).alias("dq_column_removed"),
         F.count_if(F.col("level") == "break").alias("breaks"),
         F.count_if(F.col("level") == "warn").alias("warns"),
     )

@@ -47,10 +47,10 @@ def zscore_running(spark, folder):
     )
 
 
-def ewma_sql(alpha, source, key="user_id"):
+def ewma_sql(alpha, source, key="user_id", order="ts, event_id"):
     """Recursion over the ordered list of each key, one state per row."""
     a, b = alpha, f"(1 - {alpha})"
-    return f"""l AS (SELECT {key} AS k, list(value ORDER BY ts, event_id) AS vs, list(event_id ORDER BY ts, event_id) AS ids FROM {source} GROUP BY 1),
+    return f"""l AS (SELECT {key} AS k, list(value ORDER BY {order}) AS vs, list(event_id ORDER BY {order}) AS ids FROM {source} GROUP BY 1),
     u AS (SELECT k, unnest(ids) AS event_id, unnest(vs) AS v, generate_subscripts(ids, 1) AS pos FROM l),
     r AS (SELECT k, event_id, v, pos, ema, var, 0.0::DOUBLE AS z FROM (SELECT *, v AS ema, 0.0::DOUBLE AS var FROM u WHERE pos = 1)
       UNION ALL
@@ -76,20 +76,21 @@ def ewma_anomaly(spark, folder):
 
 @query(
     f"""WITH RECURSIVE s AS (SELECT event_id, event_ts AS ts, coalesce(CASE WHEN event_id % 50 <> 0 THEN 'u' || user_id END, '__global') AS key,
-      coalesce(val, 0.0) AS value FROM de WHERE event_ts IS NOT NULL),
-    {ewma_sql(0.1, 's', 'key')}
+      coalesce(val, 0.0) AS value FROM de),
+    {ewma_sql(0.1, 's', 'key', 'ts NULLS LAST, event_id')}
     SELECT event_id, k AS key, round(z, 6) AS z, abs(z) > 3.0 AS is_anomaly FROM r""",
     ("de",),
 )
 def ewma_anomaly_signed(spark, folder):
-    """Shared key for rows without one, 0 for a missing value, z with its sign."""
-    rows = inputs.dirty_events(spark, folder).where("event_ts is not null").select(
+    """Shared key for rows without one, 0 for a missing value, z with its sign; rows without a time come last."""
+    rows = inputs.dirty_events(spark, folder).select(
         "event_id",
+        F.col("event_ts").isNull().alias("untimed"),
         F.col("event_ts").alias("ts"),
         F.when(F.col("id").isNotNull(), F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("key"),
         F.col("val").alias("value"),
     )
-    scanned = anomaly.ewma_lenient(rows, "key", ORDER, "value")
+    scanned = anomaly.ewma_lenient(rows, "key", ["untimed", *ORDER], "value")
     return scanned.select("event_id", "key", F.round("z", 6).alias("z"), "is_anomaly")
 
 
@@ -118,10 +119,10 @@ def anomaly_feed(spark, folder):
     return found.select("event_id", "user_id", "value", F.round("z", 6).alias("z"), "ts")
 
 
-_ERRORS = f"""concat_ws('; ', CASE WHEN j IS NULL THEN 'malformed-json' END, CASE WHEN j IS NOT NULL THEN nullif({_FAULTS_SQL}, '') END,
-  CASE WHEN j IS NOT NULL AND coalesce(json_type(j, '$.id'), 'NULL') = 'NULL' THEN 'id required' END,
-  CASE WHEN json_type(j, '$.email') = 'VARCHAR' AND NOT regexp_full_match(json_extract_string(j, '$.email'), '[^@ ]+@[^@ ]+') THEN 'email invalid' END,
-  CASE WHEN vt IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND CAST(vs AS DOUBLE) < 0 THEN 'value must be >= 0' END)"""
+_ERRORS = f"""concat_ws('; ', CASE WHEN j IS NULL THEN 'no JSON object' END, CASE WHEN j IS NOT NULL THEN nullif({_FAULTS_SQL}, '') END,
+  CASE WHEN j IS NOT NULL AND coalesce(json_type(j, '$.id'), 'NULL') = 'NULL' THEN 'id: null' END,
+  CASE WHEN json_type(j, '$.email') = 'VARCHAR' AND NOT regexp_full_match(json_extract_string(j, '$.email'), '[^@ ]+@[^@ ]+') THEN 'email: odd shape' END,
+  CASE WHEN vt IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND CAST(vs AS DOUBLE) < 0 THEN 'value: below zero' END)"""
 
 
 @query(
@@ -155,9 +156,9 @@ def checked_messages(raw, keep=()):
     errors = F.concat_ws(
         "; ",
         "faults",
-        F.when(~F.col("malformed") & ~F.coalesce("has_id", F.lit(False)), "id required"),
-        F.when(checks.not_like(F.col("email"), "[^@ ]+@[^@ ]+", "full"), "email invalid"),
-        F.when(checks.outside(F.col("value"), 0), "value must be >= 0"),
+        F.when(~F.col("malformed") & ~F.coalesce("has_id", F.lit(False)), "id: null"),
+        F.when(checks.not_like(F.col("email"), "[^@ ]+@[^@ ]+", "full"), "email: odd shape"),
+        F.when(checks.outside(F.col("value"), 0), "value: below zero"),
     )
     return docs.select("event_id", "ts", "key", "value", errors.alias("errors"), *keep)
 

@@ -56,12 +56,12 @@ def ttl_filter(spark, folder):
 
 
 @query(
-    """SELECT c_custkey AS user_id, c_acctbal AS value FROM customer WHERE c_nationkey < 12
+    """SELECT c_custkey AS user_id, c_acctbal AS value FROM customer
     UNION ALL SELECT user_id, value FROM (FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1)
-    WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)"""
+    WHERE user_id NOT IN (SELECT c_custkey FROM customer)"""
 )
 def insert_if_absent(spark, folder):
-    stored = tables.table(spark, folder, "customer").where("c_nationkey < 12").selectExpr("c_custkey AS user_id", "c_acctbal AS value")
+    stored = tables.table(spark, folder, "customer").selectExpr("c_custkey AS user_id", "c_acctbal AS value")
     return keyed.insert_if_absent(stored, inputs.events(spark, folder), ["user_id"], ["ts", "event_id"])
 
 

@@ -27,14 +27,19 @@ def count_by_status(spark, folder):
 
 
 _JOINED = "FROM op LEFT JOIN cl ON op.pk = cl.pk"
+_NOT_DELETE = "coalesce(action, 'NONE') <> 'DELETE'"
+# name prefix and suffix are filled in
+_V1_COUNTS = f"""count(*) FILTER (hash_onprem <> hash_cloud AND {_NOT_DELETE}) AS {{0}}differing{{1}},
+  count(*) FILTER (action = 'NOOP') AS {{0}}unknown_change{{1}}, count(*) FILTER (cl.pk IS NULL AND {_NOT_DELETE}) AS {{0}}not_copied{{1}},
+  count(*) FILTER (action = 'DELETE') AS {{0}}cancelled{{1}}"""
 
 
 @query(
-    f"""SELECT count(*) FILTER (action = 'DELETE') AS dq_delete_count, count(*) FILTER (op.pk IS NULL) AS dq_missing_pk,
-      count(*) FILTER (action <> 'DELETE' AND cl.pk IS NULL) AS dq_missing_cloud,
-      count(*) FILTER (action <> 'DELETE' AND hash_onprem = hash_cloud) AS dq_hash_match,
-      count(*) FILTER (action <> 'DELETE' AND hash_onprem <> hash_cloud) AS dq_hash_mismatch,
-      count(*) FILTER (hash_onprem IS NOT NULL AND NOT regexp_matches(hash_onprem, '^[a-f0-9]{{64}}$')) AS dq_invalid_hash
+    f"""SELECT count(*) FILTER (op.pk IS NULL) AS orders_without_key,
+      count(*) FILTER (NOT regexp_matches(hash_onprem, '^[a-f0-9]{{64}}$')) AS digests_not_hex,
+      count(*) FILTER (action = 'DELETE') AS orders_cancelled, count(*) FILTER (hash_onprem <> hash_cloud) AS copies_differ,
+      count(*) FILTER (hash_onprem = hash_cloud AND cloud_ts > event_ts + INTERVAL 20 MINUTE) AS late_copies,
+      count(*) FILTER (hash_onprem = hash_cloud) AS copies_agree
     {_JOINED}""",
     ("op", "cl"),
 )
@@ -44,10 +49,8 @@ def rule_metrics(spark, folder):
 
 
 @query(
-    f"""SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start, 'prod' AS env, 'onprem' AS dc, 'customer_onprem' AS table_name,
-      'onprem.events' AS topic_name, count(*) FILTER (action = 'DELETE') AS "dq.cassandra.delete_count",
-      count(*) FILTER (action <> 'DELETE' AND cl.pk IS NULL) AS "dq.cassandra.missing_cloud",
-      count(*) FILTER (action <> 'DELETE' AND hash_onprem <> hash_cloud) AS "dq.cassandra.hash_mismatch"
+    f"""SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start, 'staging' AS env, 'plant' AS dc, 'orders' AS table_name,
+      'shop.orders.changes' AS topic_name, {_V1_COUNTS.format('"checks.orders.', '"')}
     {_JOINED} GROUP BY 1""",
     ("op", "cl"),
 )
@@ -56,12 +59,12 @@ def tumbling_tagged_metrics(spark, folder):
     site = document["sources"]["onprem"]
     tags = {"env": document["metadata"]["env"], "dc": site["dc"], "table_name": site["table"], "topic_name": site["topic"]}
     counts = rules.emit_metrics(rules.emit_rules(V1), document["metrics"]["namespace"])
-    return metrics.tumbling(sides(spark, folder), "t1.event_ts", "1 minute", counts, tags)
+    return metrics.tumbling(sides(spark, folder), "t1.event_ts", document["metrics"]["window"], counts, tags)
 
 
 def _counter_sql(name, test):
     return f"""SELECT 'cloud_dq_job' AS job_name, time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS metric_ts, count(*) AS {name}
-    FROM de WHERE event_ts IS NOT NULL AND {test} {_PASS} GROUP BY 2"""
+    FROM de WHERE {test} {_PASS} GROUP BY 2"""
 
 
 def _counter(spark, folder, condition, name):
@@ -80,8 +83,8 @@ def invalid_counter(spark, folder):
 
 
 @query(
-    f"""SELECT count(*) FILTER (action <> 'DELETE' AND (cl.pk IS NULL OR hash_onprem <> hash_cloud)) AS dq_error_total,
-      count(*) FILTER (action = 'DELETE') AS dq_info_total {_JOINED}""",
+    f"""SELECT count(*) FILTER ({_NOT_DELETE} AND (cl.pk IS NULL OR hash_onprem <> hash_cloud)) AS dq_error_total,
+      count(*) FILTER (action = 'NOOP') AS dq_warn_total, count(*) FILTER (action = 'DELETE') AS dq_info_total {_JOINED}""",
     ("op", "cl"),
 )
 def severity_totals(spark, folder):
@@ -107,47 +110,43 @@ def window_stats(spark, folder):
     f"""SELECT window_start, valid_count, invalid_count, round(invalid_count / (valid_count + 1), 6) AS breach_ratio,
       round(invalid_count / (valid_count + invalid_count), 6) AS invalid_share FROM (
       SELECT time_bucket(INTERVAL 60 SECONDS, event_ts) AS window_start, count(*) FILTER ({_PASS}) AS valid_count,
-        count(*) FILTER (NOT {_PASS}) AS invalid_count FROM de WHERE event_ts IS NOT NULL GROUP BY 1)""",
+        count(*) FILTER (NOT {_PASS}) AS invalid_count FROM de GROUP BY 1)""",
     ("de",),
 )
 def invalid_ratio(spark, folder):
     return metrics.invalid_ratio(judged(spark, folder), "event_ts", "60 seconds", F.col("dq_status") == "PASS")
 
 
+COUNTERS = ["differing", "unknown_change", "not_copied", "cancelled"]
+
+
 def _long_metrics(spark, folder, duration):
     """Counters of the two sites per window, one row per metric."""
     wide = metrics.tumbling(sides(spark, folder), "t1.event_ts", duration, rules.emit_metrics(rules.emit_rules(V1)))
-    return metrics.long_form(wide, ["window_start"], ["delete_count", "missing_cloud", "hash_mismatch"])
-
-
-def _long_sql(bucket):
-    return f"""SELECT window_start, metric_type, metric_value FROM (
-      SELECT {bucket} AS window_start, count(*) FILTER (action = 'DELETE') AS delete_count,
-        count(*) FILTER (action <> 'DELETE' AND cl.pk IS NULL) AS missing_cloud,
-        count(*) FILTER (action <> 'DELETE' AND hash_onprem <> hash_cloud) AS hash_mismatch {_JOINED} GROUP BY 1)
-      UNPIVOT (metric_value FOR metric_type IN (delete_count, missing_cloud, hash_mismatch))"""
+    return metrics.long_form(wide, ["window_start"], COUNTERS)
 
 
-ALERT_WINDOW = "365 days"
-_YEARS = "TIMESTAMP '1970-01-01' + to_days(CAST(365 * (date_diff('day', DATE '1970-01-01', CAST(event_ts AS DATE)) // 365) AS INTEGER))"
+_LONG_SQL = f"""SELECT window_start, metric_type, metric_value FROM (
+      SELECT date_trunc('day', event_ts) AS window_start, {_V1_COUNTS.format('', '')} {_JOINED} GROUP BY 1)
+      UNPIVOT (metric_value FOR metric_type IN ({", ".join(COUNTERS)}))"""
 
 
 @query(
-    f"""SELECT window_start, metric_type, metric_value, limit_value FROM ({_long_sql(_YEARS)})
-    JOIN (VALUES ('missing_cloud', 100), ('hash_mismatch', 50), ('dlq', 20)) t(metric_type, limit_value) USING (metric_type)
+    f"""SELECT window_start, metric_type, metric_value, limit_value FROM ({_LONG_SQL})
+    JOIN (VALUES ('not_copied', 0), ('differing', 1), ('unknown_change', 1)) t(metric_type, limit_value) USING (metric_type)
     WHERE metric_value > limit_value""",
     ("op", "cl"),
 )
 def alert_thresholds(spark, folder):
-    """Counters above their limit; the limits come from the rule document."""
-    limits = rules.read_document(V1)["limits"]
-    table = spark.createDataFrame(list(limits.items()), "metric_type string, limit_value int")
-    return metrics.breaches(_long_metrics(spark, folder, ALERT_WINDOW), table)
+    """Counters above their limit; window and limits come from the rule document."""
+    alerts = rules.read_document(V1)["alerts"]
+    table = spark.createDataFrame(list(alerts["limits"].items()), "metric_type string, limit_value int")
+    return metrics.breaches(_long_metrics(spark, folder, alerts["window"]), table)
 
 
 @query(
     f"""WITH m AS (SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS minute, count(*) AS n FROM de
-      WHERE event_ts IS NOT NULL AND NOT {_PASS} GROUP BY 1)
+      WHERE NOT {_PASS} GROUP BY 1)
     SELECT 'sum' AS alert, time_bucket(INTERVAL 10 MINUTES, minute) AS window_start, CAST(sum(n) AS DOUBLE) AS metric_value
     FROM m GROUP BY 2 HAVING sum(n) > 1
     UNION ALL SELECT 'avg', time_bucket(INTERVAL 5 MINUTES, minute), round(avg(n), 6) FROM m GROUP BY 2 HAVING avg(n) > 1""",
@@ -172,7 +171,7 @@ def alert_stalled(spark, folder):
 
 @query(
     f"""SELECT 'dq_job' AS job_name, window_start AS metric_ts, metric_type, metric_value
-    FROM ({_long_sql("date_trunc('day', event_ts)")})""",
+    FROM ({_LONG_SQL})""",
     ("op", "cl"),
 )
 def metrics_long(spark, folder):
@@ -221,3 +220,15 @@ def counter_accumulate(spark, folder):
     """Counter increments summed by key."""
     steps = inputs.events(spark, folder).withColumn("delta", F.col("event_id") % 5)
     return steps.groupBy("user_id", "event_type").agg(F.sum("delta").alias("counter_value"))
+
+
+@query(
+    """SELECT lower(w) AS word, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS "count" FROM (
+      SELECT ts, unnest(string_split_regex(event_type || ' seen by U' || CAST(user_id % 50 AS VARCHAR), '\\s')) AS w FROM events)
+    WHERE w <> '' GROUP BY 1, 2"""
+)
+def word_count_windowed(spark, folder):
+    """Words of a line per event, counted per hour."""
+    line = F.concat("event_type", F.lit(" seen by U"), (F.col("user_id") % 50).cast("string"))
+    events = inputs.events(spark, folder).select("ts", line.alias("line"))
+    return metrics.word_counts(events, "line", "ts", "1 hour")

@@ -126,18 +126,19 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
     """WITH line AS (
       SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1)
-    SELECT o_orderkey, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supplier,
+    SELECT o_orderkey, n AS line, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supplier,
       CASE WHEN l_orderkey IS NULL THEN 'No data found' ELSE 'found' END AS lookup
-    FROM orders LEFT JOIN line ON l_orderkey = o_orderkey AND l_linenumber = 1"""
+    FROM (SELECT o_orderkey, unnest([1, 2, 3, 4, 5, 6, 7]) AS n FROM orders) LEFT JOIN line ON l_orderkey = o_orderkey AND l_linenumber = n"""
 )
 def lookup_composite(spark, folder):
     lines = tables.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *LINE_ORDER)
     stored = keyed.latest_by_key(lines, ["l_orderkey", "l_linenumber"], LINE_ORDER).selectExpr(
         "l_orderkey AS o_orderkey", "l_linenumber AS line", "CAST(l_partkey AS STRING) AS part", "CAST(l_suppkey AS STRING) AS supplier"
     )
-    messages = tables.table(spark, folder, "orders").selectExpr("o_orderkey", "1 AS line")
+    # every line an order can have is asked for
+    messages = tables.table(spark, folder, "orders").selectExpr("o_orderkey", "explode(sequence(1, 7)) AS line")
     found = tables.lookup(messages, stored, ["o_orderkey", "line"])
-    return found.select("o_orderkey", "part", "supplier", "lookup")
+    return found.select("o_orderkey", "line", "part", "supplier", "lookup")
 
 
 @query(
@@ -187,3 +188,19 @@ def unnest_pk(spark, folder):
         .where("p.type = 'PK'")
         .select("event_id", F.col("p.value").alias("pk"))
     )
+
+
+@query(
+    """SELECT o_orderkey, ('0x' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 16 AS bucket,
+      CASE WHEN ('0x' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 16 < 5 THEN 'a'
+        WHEN ('0x' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 16 < 12 THEN 'b' ELSE 'c' END AS part FROM orders"""
+)
+def key_range_scan(spark, folder):
+    """The table read in three key ranges; together they give each row once."""
+    orders = tables.table(spark, folder, "orders").select("o_orderkey")
+    parts = {"a": (0, 5), "b": (5, 12), "c": (12, 16)}
+    read = None
+    for name, (start, end) in parts.items():
+        part = tables.key_range(orders, "o_orderkey", 16, start, end).withColumn("part", F.lit(name))
+        read = part if read is None else read.unionByName(part)
+    return read

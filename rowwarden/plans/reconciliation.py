@@ -32,14 +32,16 @@ def reconcile_full_outer(spark, folder):
 
 
 @query(
-    f"""SELECT coalesce(op.pk, cl.pk) AS pk, {_DRIFT} AS reconciliation_status FROM op FULL JOIN cl ON op.pk = cl.pk
-    WHERE coalesce(op.pk, cl.pk) IS NOT NULL AND {_DRIFT} <> 'OK' ORDER BY 1 LIMIT 200""",
+    f"""SELECT coalesce(CAST(pk AS VARCHAR), '') AS id, reconciliation_status FROM (
+      SELECT coalesce(op.pk, cl.pk) AS pk, {_DRIFT} AS reconciliation_status FROM op FULL JOIN cl ON op.pk = cl.pk)
+    WHERE reconciliation_status <> 'OK' ORDER BY pk NULLS FIRST, 2 LIMIT 200""",
     ("op", "cl"),
 )
 def drift_report(spark, folder):
-    """The first 200 keys that drifted (the report's own limit)."""
-    found = drift(spark, folder).where("reconciliation_status <> 'OK' and pk is not null")
-    return found.select("pk", "reconciliation_status").orderBy("pk").limit(200)
+    """The first 200 rows that drifted, those without a key first (the report's own limit)."""
+    found = drift(spark, folder).where("reconciliation_status <> 'OK'")
+    first = found.orderBy(F.asc_nulls_first("pk"), "reconciliation_status").limit(200)
+    return first.select(F.coalesce(F.col("pk").cast("string"), F.lit("")).alias("id"), "reconciliation_status")
 
 
 @query(
@@ -71,8 +73,8 @@ def _joined(spark, folder, *columns):
 @query(
     """SELECT order_key, action, CASE WHEN action = 'DELETE' THEN 'DELETE_EVENT' WHEN cl.pk IS NULL THEN 'MISSING_CLOUD'
         WHEN hash_onprem <> hash_cloud THEN 'MISMATCH' ELSE 'MATCH' END AS dq_status,
-      CASE WHEN action = 'DELETE' THEN 'Delete event - hash comparison skipped' WHEN cl.pk IS NULL THEN 'Missing row in cloud'
-        WHEN hash_onprem <> hash_cloud THEN 'Hash mismatch between sites' ELSE 'OK' END AS dq_reason
+      CASE WHEN action = 'DELETE' THEN 'source row is gone, digests not compared' WHEN cl.pk IS NULL THEN 'no cloud row for the key'
+        WHEN hash_onprem <> hash_cloud THEN 'digests of the sites differ' ELSE 'OK' END AS dq_reason
     FROM op LEFT JOIN cl ON op.pk = cl.pk""",
     ("op", "cl"),
 )
@@ -89,18 +91,20 @@ def sides(spark, folder):
 
 V0, V1, V2 = CONFIG / "site_rules.yaml", CONFIG / "site_rules_v1.yaml", CONFIG / "table_rules.yaml"
 
-_MISSING, _MISMATCH = "action <> 'DELETE' AND cl.pk IS NULL", "action <> 'DELETE' AND hash_onprem <> hash_cloud"
-_BAD_HASH = "hash_onprem IS NOT NULL AND NOT regexp_matches(hash_onprem, '^[a-f0-9]{64}$')"
+_BAD_HASH = "NOT regexp_matches(hash_onprem, '^[a-f0-9]{64}$')"
+_V0_SQL = f"""CASE WHEN op.pk IS NULL THEN {{}} WHEN {_BAD_HASH} THEN {{}} WHEN action = 'DELETE' THEN {{}} WHEN cl.pk IS NULL THEN {{}}
+  WHEN hash_onprem <> hash_cloud THEN {{}} WHEN hash_onprem = hash_cloud AND cloud_ts > event_ts + INTERVAL 20 MINUTE THEN {{}}
+  WHEN hash_onprem = hash_cloud THEN {{}} ELSE {{}} END""".replace("{64}", "{{64}}")
+_V0_STATUS = _V0_SQL.format("'MISSING_PK'", "'INVALID_HASH'", "'DELETE_EVENT'", "'MISSING_CLOUD'", "'MISMATCH'", "'MATCH'", "'MATCH'", "'VALID'")
+_V0_REASON = _V0_SQL.format(
+    "'order has no key to look up'", "'digest is not 64 hex digits'", "'order was cancelled at the source'", "'order never reached the cloud'",
+    "'copies differ'", "'copies agree, the cloud one came late'", "'OK'", "'OK'",
+)
+_NOT_DELETE = "coalesce(action, 'NONE') <> 'DELETE'"
 
 
 @query(
-    f"""SELECT order_key, CASE WHEN action = 'DELETE' THEN 'DELETE_EVENT' WHEN op.pk IS NULL THEN 'MISSING_PK'
-        WHEN {_MISSING} THEN 'MISSING_CLOUD' WHEN action <> 'DELETE' AND hash_onprem = hash_cloud THEN 'MATCH'
-        WHEN {_MISMATCH} THEN 'MISMATCH' WHEN {_BAD_HASH} THEN 'INVALID_HASH' ELSE 'VALID' END AS dq_status,
-      CASE WHEN action = 'DELETE' THEN 'Delete event - hash comparison skipped' WHEN op.pk IS NULL THEN 'Primary key missing'
-        WHEN {_MISSING} THEN 'Missing row in cloud' WHEN action <> 'DELETE' AND hash_onprem = hash_cloud THEN 'Hash equal on both sites'
-        WHEN {_MISMATCH} THEN 'Hash mismatch between sites' WHEN {_BAD_HASH} THEN 'Hash format is invalid' ELSE 'OK' END AS dq_reason
-    FROM op LEFT JOIN cl ON op.pk = cl.pk""",
+    f"SELECT order_key, {_V0_STATUS} AS dq_status, {_V0_REASON} AS dq_reason FROM op LEFT JOIN cl ON op.pk = cl.pk",
     ("op", "cl"),
 )
 def reconcile_rules_v0(spark, folder):
@@ -109,8 +113,8 @@ def reconcile_rules_v0(spark, folder):
 
 
 @query(
-    f"""SELECT order_key, CASE WHEN action = 'DELETE' THEN 'DELETE_EVENT' WHEN {_MISSING} THEN 'MISSING_CLOUD'
-        WHEN {_MISMATCH} THEN 'MISMATCH' ELSE 'VALID' END AS dq_status
+    f"""SELECT order_key, CASE WHEN hash_onprem <> hash_cloud AND {_NOT_DELETE} THEN 'MISMATCH' WHEN action = 'NOOP' THEN 'UNKNOWN_ACTION'
+        WHEN cl.pk IS NULL AND {_NOT_DELETE} THEN 'MISSING_CLOUD' WHEN action = 'DELETE' THEN 'DELETE_EVENT' ELSE 'VALID' END AS dq_status
     FROM op LEFT JOIN cl ON op.pk = cl.pk""",
     ("op", "cl"),
 )
@@ -175,9 +179,9 @@ def each_table(spark, folder):
 
 _TABLES_SQL = f"""WITH c1 AS (SELECT {", ".join(_list(_customer_onprem(*_DUCK_CUSTOMER)))} FROM customer),
 c2 AS (SELECT {", ".join(_list(_customer_cloud(_DUCK_CUSTOMER[0])))} FROM customer),
-j AS (SELECT 'customer' AS table_name, 'customer_onprem' AS source_table, 'onprem.customer.events' AS topic_name,
+j AS (SELECT 'customer' AS table_name, 'customers' AS source_table, 'shop.customers.changes' AS topic_name,
     c1.customer_id AS pk, action, hash_onprem, hash_cloud, c2.customer_id AS cloud_pk, event_ts FROM c1 LEFT JOIN c2 ON c1.customer_id = c2.customer_id
-  UNION ALL SELECT 'orders', 'orders_onprem', 'onprem.orders.events', op.pk, action, hash_onprem, hash_cloud, cl.pk, event_ts
+  UNION ALL SELECT 'orders', 'orders', 'shop.orders.changes', op.pk, action, hash_onprem, hash_cloud, cl.pk, event_ts
   FROM op LEFT JOIN cl ON op.pk = cl.pk),
 k AS (SELECT *, coalesce(action = 'DELETE', FALSE) AS is_delete, coalesce(action <> 'DELETE' AND cloud_pk IS NULL, FALSE) AS is_missing,
     coalesce(action <> 'DELETE' AND hash_onprem <> hash_cloud, FALSE) AS is_mismatch FROM j)
@@ -186,8 +190,9 @@ k AS (SELECT *, coalesce(action = 'DELETE', FALSE) AS is_delete, coalesce(action
 
 @query(
     _TABLES_SQL
-    + """SELECT table_name, coalesce(CAST(pk AS VARCHAR), '') AS pk, CASE WHEN is_delete THEN 'DELETE_EVENT' WHEN is_missing THEN 'MISSING_CLOUD'
-      WHEN is_mismatch THEN 'MISMATCH' ELSE 'VALID' END AS dq_status FROM k""",
+    + """SELECT table_name, coalesce(CAST(pk AS VARCHAR), '') AS pk, CASE WHEN is_mismatch THEN 'MISMATCH' WHEN is_missing THEN 'MISSING_CLOUD'
+      WHEN is_delete THEN 'DELETE_EVENT' ELSE 'VALID' END AS dq_status,
+      CASE WHEN is_mismatch THEN 'copies_differ' WHEN is_missing THEN 'row_not_copied' WHEN is_delete THEN 'row_removed' ELSE 'OK' END AS dq_reason FROM k""",
     ("op", "cl"),
 )
 def multi_table_results(spark, folder):
@@ -198,6 +203,7 @@ def multi_table_results(spark, folder):
             F.lit(pair.name).alias("table_name"),
             F.coalesce(F.col(f"{pair.onprem['alias']}.{pair.pk}").cast("string"), F.lit("")).alias("pk"),
             "dq_status",
+            "dq_reason",
         )
         report = judged if report is None else report.unionByName(judged)
     return report
@@ -205,8 +211,8 @@ def multi_table_results(spark, folder):
 
 @query(
     _TABLES_SQL
-    + """SELECT time_bucket(INTERVAL 10 SECONDS, event_ts) AS window_start, 'prod' AS env, 'onprem' AS dc, source_table AS table_name, topic_name,
-      count(*) FILTER (is_delete) AS delete_count, count(*) FILTER (is_missing) AS missing_cloud, count(*) FILTER (is_mismatch) AS hash_mismatch
+    + """SELECT time_bucket(INTERVAL 10 SECONDS, event_ts) AS window_start, 'staging' AS env, 'plant' AS dc, source_table AS table_name, topic_name,
+      count(*) FILTER (is_mismatch) AS differing, count(*) FILTER (is_missing) AS not_copied, count(*) FILTER (is_delete) AS removed
     FROM k GROUP BY ALL""",
     ("op", "cl"),
 )
@@ -216,7 +222,7 @@ def multi_table_metrics(spark, folder):
     for pair, rule_list, joined in each_table(spark, folder):
         moment = f"{pair.onprem['alias']}.event_ts"
         tags = {
-            "env": "prod", "dc": pair.onprem["dc"], "table_name": pair.onprem["table"], "topic_name": pair.onprem["topic"],
+            "env": rules.read_document(V2)["metadata"]["env"], "dc": pair.onprem["dc"], "table_name": pair.onprem["table"], "topic_name": pair.onprem["topic"],
         }
         counted = metrics.tumbling(joined, moment, "10 seconds", rules.emit_metrics(rule_list), tags)
         report = counted if report is None else report.unionByName(counted)

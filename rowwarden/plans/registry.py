@@ -7,8 +7,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowwarden.session import apply_runtime
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 CONFIG = Path(__file__).resolve().parent.parent / "config"
@@ -20,11 +18,7 @@ def query(oracle: str | None = None, inputs: tuple[str, ...] = (), name: str | N
     def add(fn):
         key = name or fn.__name__
 
-        def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(apply_runtime(spark), folder)
-
-        run.__name__, run.__doc__ = key, fn.__doc__
-        QUERIES[key] = run
+        QUERIES[key] = fn
         if oracle:
             from rowwarden.plans.inputs import with_inputs
 

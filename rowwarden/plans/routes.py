@@ -24,7 +24,7 @@ def route_split(spark, folder):
     )
 
 
-_WARN_ONLY = "regexp_matches(failed, 'required_fields|negative_value|email_form')"
+_WARN_ONLY = "regexp_matches(failed, 'key_and_amount|amount_floor|mail_shape')"
 
 
 @query(
@@ -49,8 +49,8 @@ def route_three_way(spark, folder):
     _MESSAGE_CTES
     + """SELECT event_id, route FROM (
       SELECT event_id, 'validated' AS route FROM g WHERE failed = ''
-      UNION SELECT event_id, 'invalid' FROM g WHERE regexp_matches(failed, 'req_fields|value_type|email_form')
-      UNION SELECT event_id, 'quarantine' FROM g WHERE regexp_matches(failed, 'value_range|timestamp_recent'))""",
+      UNION SELECT event_id, 'invalid' FROM g WHERE regexp_matches(failed, 'mail_shape|parts_there|amount_numeric')
+      UNION SELECT event_id, 'quarantine' FROM g WHERE regexp_matches(failed, 'amount_sign|sent_lately'))""",
     ("rawj",),
 )
 def route_by_rule(spark, folder):
@@ -68,9 +68,9 @@ def route_topic(spark, folder):
 
 
 @query(
-    """SELECT event_id, '{"errors":["malformed-json"],"payload":null,"key":null}' AS letter FROM rawj WHERE j IS NULL
+    """SELECT event_id, '{"errors":["no JSON object"],"payload":null,"key":null}' AS letter FROM rawj WHERE j IS NULL
     UNION ALL
-    SELECT event_id, '{"errors":["id required"],"payload":"' || replace(raw, '"', '\\"') || '","key":null}'
+    SELECT event_id, '{"errors":["id: null"],"payload":"' || replace(raw, '"', '\\"') || '","key":null}'
     FROM rawj WHERE j IS NOT NULL AND json_extract_string(j, '$.id') IS NULL""",
     ("rawj",),
 )
@@ -78,7 +78,7 @@ def dead_letter_payload(spark, folder):
     """{errors, payload, key} of messages that are malformed or lack their id."""
     rows = parse.with_errors(inputs.raw_messages(spark, folder), "raw", ["id"], ["event_id"]).withColumn("key", jsontext.text("id"))
     no_id = ~F.col("malformed") & F.col("key").isNull()
-    errors = F.when(no_id, F.array(F.lit("id required"))).otherwise(F.col("errors"))
+    errors = F.when(no_id, F.array(F.lit("id: null"))).otherwise(F.col("errors"))
     return rows.where(F.col("key").isNull()).select(
         "event_id", routing.dead_letter(errors, F.col("payload"), F.col("key")).alias("letter")
     )
@@ -127,3 +127,15 @@ def unknown_action_dlq(spark, folder):
     return judged.select(
         "order_key", "action", "dq_status", (F.col("dq_status") == "UNKNOWN_ACTION").alias("to_dead_letter")
     )
+
+
+@query(
+    _MESSAGE_CTES + """SELECT event_id, '{"event_id":' || CAST(event_id AS VARCHAR) || ',"_dq_reasons":[' || ids || ']}' AS payload FROM (
+      SELECT event_id, array_to_string(list_transform(string_split(failed, ','), lambda x: '"' || split_part(x, ':', 1) || '"'), ',') AS ids FROM g WHERE failed <> '')""",
+    ("rawj",),
+)
+def invalid_reasons(spark, folder):
+    """Failed messages with the ids of what they failed as `_dq_reasons`."""
+    failed = message_failures(spark, folder).where(F.size("failures") > 0)
+    ids = failed.select("event_id", F.transform("failures", lambda f: f["id"]).alias("failures"))
+    return ids.select("event_id", routing.invalid_payload(ids, ["event_id"]).alias("payload"))

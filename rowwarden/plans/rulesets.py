@@ -120,34 +120,35 @@ def rule_cross_field(spark, folder):
 
 
 def _listed_keys(spark, folder):
-    return tables.table(spark, folder, "customer").where("c_acctbal > 0").select("c_custkey")
+    """Users are looked up among the customers; the whole table is the list."""
+    return tables.table(spark, folder, "customer").select("c_custkey")
 
 
 @query(
     """SELECT event_id, coalesce(action NOT IN ('CREATE', 'UPDATE', 'DELETE', 'UPSERT'), FALSE) AS violated,
-      user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AS violated_table FROM de""",
+      user_id NOT IN (SELECT c_custkey FROM customer) AS violated_table FROM de""",
     ("de",),
 )
 def rule_lookup_in(spark, folder):
     """Against a literal list, and against a list kept in a table."""
     by_list = {"id": "l", "type": "lookup_in", "field": "action", "values": ["CREATE", "UPDATE", "DELETE", "UPSERT"]}
-    by_table = {"id": "t", "type": "lookup_in", "field": "user_id", "table": "solvent"}
+    by_table = {"id": "t", "type": "lookup_in", "field": "user_id", "table": "customers"}
     rows = rules.attach_lookups(
-        inputs.dirty_events(spark, folder), [rules.Rule.parse(by_table)], {"solvent": _listed_keys(spark, folder)}
+        inputs.dirty_events(spark, folder), [rules.Rule.parse(by_table)], {"customers": _listed_keys(spark, folder)}
     )
     return violated(rows, ("violated", by_list), ("violated_table", by_table))
 
 
 @query(
     """SELECT event_id, coalesce(action IN ('NOOP', 'DELETE'), FALSE) AS violated,
-      user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AS violated_table FROM de""",
+      user_id IN (SELECT c_custkey FROM customer) AS violated_table FROM de""",
     ("de",),
 )
 def rule_lookup_not_in(spark, folder):
     by_list = {"id": "l", "type": "lookup_not_in", "field": "action", "values": ["NOOP", "DELETE"]}
-    by_table = {"id": "t", "type": "lookup_not_in", "field": "user_id", "table": "solvent"}
+    by_table = {"id": "t", "type": "lookup_not_in", "field": "user_id", "table": "customers"}
     rows = rules.attach_lookups(
-        inputs.dirty_events(spark, folder), [rules.Rule.parse(by_table)], {"solvent": _listed_keys(spark, folder)}
+        inputs.dirty_events(spark, folder), [rules.Rule.parse(by_table)], {"customers": _listed_keys(spark, folder)}
     )
     return violated(rows, ("violated", by_list), ("violated_table", by_table))
 
@@ -160,12 +161,35 @@ def rule_custom_sql(spark, folder):
     return violated(inputs.dirty_events(spark, folder), ("violated", rule))
 
 
+@query(
+    """WITH t AS (SELECT event_id, CASE WHEN event_id % 6 = 0 THEN 'n/a' WHEN event_id % 7 = 0 THEN '' WHEN event_id % 8 = 0 THEN ' 12.5 '
+        ELSE CAST(CAST(val AS DECIMAL(18,2)) AS VARCHAR) END AS amount FROM de)
+    SELECT event_id, coalesce(TRY_CAST(trim(amount) AS DOUBLE) < 0 OR TRY_CAST(trim(amount) AS DOUBLE) > 400, FALSE) AS violated,
+      coalesce(TRY_CAST(trim(amount) AS DOUBLE) < 0.5, FALSE) AS violated_floor FROM t""",
+    ("de",),
+)
+def rule_range_text(spark, folder):
+    """Bounds over a text column in which some values are no numbers: those are passed over."""
+    amount = (
+        F.when(F.col("event_id") % 6 == 0, "n/a")
+        .when(F.col("event_id") % 7 == 0, "")
+        .when(F.col("event_id") % 8 == 0, " 12.5 ")
+        .otherwise(F.col("val").cast("decimal(18,2)").cast("string"))
+    )
+    rows = inputs.dirty_events(spark, folder).select("event_id", amount.alias("amount"))
+    return violated(
+        rows,
+        ("violated", {"id": "r", "type": "range", "field": "amount", "min": 0, "max": 400}),
+        ("violated_floor", {"id": "f", "type": "range", "field": "amount", "min": 0.5}),
+    )
+
+
 _FAULTS_SQL = """concat_ws('; ',
-  CASE WHEN json_type(j, '$.event') IS NULL THEN 'missing field event' WHEN json_type(j, '$.event') NOT IN ('UBIGINT', 'BIGINT') THEN 'field event should be int' END,
-  CASE WHEN json_type(j, '$.id') IS NULL THEN 'missing field id' WHEN json_type(j, '$.id') <> 'VARCHAR' THEN 'field id should be string' END,
-  CASE WHEN json_type(j, '$.timestamp') IS NULL THEN 'missing field timestamp' WHEN json_type(j, '$.timestamp') <> 'VARCHAR' THEN 'field timestamp should be string' END,
-  CASE WHEN vt IS NULL THEN 'missing field value' WHEN vt NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'field value should be float' END,
-  CASE WHEN json_type(j, '$.email') IS NULL THEN 'missing field email' WHEN json_type(j, '$.email') <> 'VARCHAR' THEN 'field email should be string' END)"""
+  CASE WHEN json_type(j, '$.event') IS NULL THEN 'event: absent' WHEN json_type(j, '$.event') NOT IN ('UBIGINT', 'BIGINT') THEN 'event: not int' END,
+  CASE WHEN json_type(j, '$.id') IS NULL THEN 'id: absent' WHEN json_type(j, '$.id') <> 'VARCHAR' THEN 'id: not string' END,
+  CASE WHEN json_type(j, '$.timestamp') IS NULL THEN 'timestamp: absent' WHEN json_type(j, '$.timestamp') <> 'VARCHAR' THEN 'timestamp: not string' END,
+  CASE WHEN vt IS NULL THEN 'value: absent' WHEN vt NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'value: not float' END,
+  CASE WHEN json_type(j, '$.email') IS NULL THEN 'email: absent' WHEN json_type(j, '$.email') <> 'VARCHAR' THEN 'email: not string' END)"""
 
 
 def declared_fields(spark, folder):
@@ -228,14 +252,26 @@ def rule_preprocess(spark, folder):
 
 RECORD_RULES = CONFIG / "record_rules.yaml"
 
-_FIRST_SQL = """CASE WHEN id IS NULL OR val IS NULL THEN {0} WHEN val < 0 THEN {1} WHEN val > 400 THEN {2}
-  WHEN event_ts < TIMESTAMP '2024-01-31' - INTERVAL 1 DAY THEN {3}
-  WHEN email IS NOT NULL AND NOT regexp_full_match(email, 'u[0-9]+@d[.]com') THEN {4}
-  WHEN action NOT IN ('CREATE', 'UPDATE', 'DELETE', 'UPSERT') THEN {5} ELSE {6} END"""
-STATUS_SQL = _FIRST_SQL.format("'INVALID'", "'INVALID'", "'QUARANTINE'", "'QUARANTINE'", "'INVALID'", "'UNKNOWN'", "'VALID'")
-REASON_SQL = _FIRST_SQL.format(
-    "'missing required field(s)'", "'value must be >= 0'", "'value above 400'", "'event older than 1 day'",
-    "'invalid email'", "'unknown action'", "'OK'",
+_RULES_SQL = {
+    "amount_floor": "val < 0",
+    "key_and_amount": "id IS NULL OR val IS NULL",
+    "mail_shape": "email IS NOT NULL AND NOT regexp_full_match(email, 'u[0-9]+@d[.]com')",
+    "amount_ceiling": "val > 400",
+    "handled_change": "action NOT IN ('CREATE', 'UPDATE', 'DELETE', 'UPSERT')",
+    "owner_scale": "NOT (val <= user_id * 40)",
+    "seen_lately": "event_ts < TIMESTAMP '2024-01-31' - INTERVAL 1 DAY",
+}
+
+
+def _first_sql(*outcomes):
+    branches = " ".join(f"WHEN {test} THEN '{o}'" for test, o in zip(_RULES_SQL.values(), outcomes))
+    return f"CASE {branches} ELSE '{outcomes[-1]}' END"
+
+
+STATUS_SQL = _first_sql("INVALID", "INVALID", "INVALID", "QUARANTINE", "UNKNOWN", "QUARANTINE", "QUARANTINE", "VALID")
+REASON_SQL = _first_sql(
+    "amount is below zero", "row lacks its key or its amount", "mail address has an odd shape", "amount is unusually large",
+    "change kind is not handled", "amount is out of scale for its owner", "row is older than a day", "OK",
 )
 
 
@@ -248,11 +284,7 @@ def ruleset_first_match(spark, folder):
     return checked(spark, folder).select("event_id", "dq_status", "dq_reason")
 
 
-_ALL_SQL = """concat_ws(',', CASE WHEN id IS NULL OR val IS NULL THEN 'required_fields' END,
-  CASE WHEN val < 0 THEN 'negative_value' END, CASE WHEN val > 400 THEN 'high_value' END,
-  CASE WHEN event_ts < TIMESTAMP '2024-01-31' - INTERVAL 1 DAY THEN 'old_timestamp' END,
-  CASE WHEN email IS NOT NULL AND NOT regexp_full_match(email, 'u[0-9]+@d[.]com') THEN 'email_form' END,
-  CASE WHEN action NOT IN ('CREATE', 'UPDATE', 'DELETE', 'UPSERT') THEN 'known_action' END)"""
+_ALL_SQL = "concat_ws(',', " + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in _RULES_SQL.items()) + ")"
 
 
 @query(
@@ -309,14 +341,14 @@ _MESSAGE_CTES = """WITH c AS (SELECT event_id, raw,
     regexp_matches(coalesce(json_extract_string(j, '$.email'), ''), '^(?:[^@]+@[^@]+\\.[^@]+)') AS email_ok
   FROM (SELECT *, CASE WHEN vt = 'NULL' THEN FALSE END AS NULL_KIND FROM rawj)),
 f AS (SELECT event_id, raw,
-    CASE WHEN NOT has_all THEN 'req_fields:fail' END AS f1,
-    CASE WHEN num_ok IS NULL THEN 'value_type:error' WHEN NOT num_ok THEN 'value_type:fail' END AS f2,
-    CASE WHEN num_ok IS NULL THEN NULL WHEN positive IS NULL THEN 'value_range:error' WHEN NOT positive THEN 'value_range:warn' END AS f3,
-    CASE WHEN num_ok IS NULL THEN NULL WHEN msg_ts IS NULL THEN 'timestamp_recent:preprocess,timestamp_recent:error'
-      WHEN NOT (TIMESTAMP '2024-01-31' - msg_ts < INTERVAL 20 DAY) THEN 'timestamp_recent:warn' END AS f4,
-    CASE WHEN num_ok IS NULL THEN NULL WHEN NOT email_ok THEN 'email_form:fail' END AS f5 FROM c),
+    CASE WHEN NOT email_ok THEN 'mail_shape:fail' END AS f1,
+    CASE WHEN NOT has_all THEN 'parts_there:fail' END AS f2,
+    CASE WHEN num_ok IS NULL THEN 'amount_numeric:error' WHEN NOT num_ok THEN 'amount_numeric:fail' END AS f3,
+    CASE WHEN num_ok IS NULL THEN NULL WHEN msg_ts IS NULL THEN 'sent_lately:preprocess,sent_lately:error'
+      WHEN NOT (TIMESTAMP '2024-01-31' - msg_ts < INTERVAL 20 DAY) THEN 'sent_lately:warn' END AS f4,
+    CASE WHEN num_ok IS NULL THEN NULL WHEN positive IS NULL THEN 'amount_sign:error' WHEN NOT positive THEN 'amount_sign:warn' END AS f5 FROM c),
 g AS (SELECT event_id, raw, concat_ws(',', f1, f2, f3, f4, f5) AS failed,
-    coalesce(f1, '') <> '' OR coalesce(f2, '') <> '' OR f3 = 'value_range:error' OR f4 LIKE '%error' OR f5 IS NOT NULL AS any_fail FROM f)
+    f1 IS NOT NULL OR f2 IS NOT NULL OR f3 IS NOT NULL OR coalesce(f4, '') LIKE '%error' OR coalesce(f5, '') = 'amount_sign:error' AS any_fail FROM f)
 """
 
 
@@ -372,18 +404,18 @@ o AS (SELECT sch.*, old_version, new_version FROM sch JOIN pair ON sch.subject =
 n AS (SELECT sch.*, old_version, new_version FROM sch JOIN pair ON sch.subject = pair.subject AND version = new_version),
 odd AS (SELECT DISTINCT subject, old_version, new_version FROM (FROM o UNION ALL FROM n) WHERE kind <> 'record'),
 changes AS (
-  SELECT subject, old_version, new_version, 'warn' AS level, 'not a record type: full compatibility not checked' AS change FROM odd
+  SELECT subject, old_version, new_version, 'warn' AS level, 'kind: no record, fields not compared' AS change FROM odd
   UNION ALL
-  SELECT o.subject, o.old_version, o.new_version, 'break', 'field removed: ' || o.field FROM o LEFT JOIN n ON n.subject = o.subject AND n.field = o.field
+  SELECT o.subject, o.old_version, o.new_version, 'break', 'dropped: ' || o.field FROM o LEFT JOIN n ON n.subject = o.subject AND n.field = o.field
     WHERE n.field IS NULL AND o.subject NOT IN (SELECT subject FROM odd)
   UNION ALL
-  SELECT n.subject, n.old_version, n.new_version, 'break', 'field added without default or nullable: ' || n.field
+  SELECT n.subject, n.old_version, n.new_version, 'break', 'needs default: ' || n.field
     FROM n LEFT JOIN o ON n.subject = o.subject AND n.field = o.field
     WHERE o.field IS NULL AND NOT n.has_default AND NOT n.nullable AND n.subject NOT IN (SELECT subject FROM odd)
   UNION ALL
   SELECT o.subject, o.old_version, o.new_version, CASE WHEN o.simple AND n.simple THEN 'break' ELSE 'warn' END,
-    CASE WHEN o.simple AND n.simple THEN 'type change not promotable: ' || o.field || ' ' || o.type || ' -> ' || n.type
-      ELSE 'complex type, review by hand: ' || o.field END
+    CASE WHEN o.simple AND n.simple THEN 'retyped: ' || o.field || ' ' || o.type || ' -> ' || n.type
+      ELSE 'nested, look closer: ' || o.field END
     FROM o JOIN n ON n.subject = o.subject AND n.field = o.field
     WHERE o.subject NOT IN (SELECT subject FROM odd) AND (NOT (o.simple AND n.simple) OR (o.type <> n.type AND (o.type, n.type) NOT IN
       (('int', 'long'), ('int', 'float'), ('int', 'double'), ('long', 'double'), ('float', 'double')))))
@@ -398,7 +430,7 @@ def schema_evolution(spark, folder):
 @query(
     _EVOLUTION_SQL
     + """SELECT count(DISTINCT subject) AS dq_schema_drift_detected,
-      count(*) FILTER (change LIKE 'field removed: %') AS dq_column_removed,
+      count(*) FILTER (change LIKE 'dropped: %') AS dq_column_removed,
       count(*) FILTER (level = 'break') AS breaks, count(*) FILTER (level = 'warn') AS warns FROM changes""",
     ("sch",),
 )

@@ -28,14 +28,6 @@ def build_session(app: str = "rowwarden", master: str | None = None, extra: dict
     return builder.getOrCreate()
 
 
-def apply_runtime(spark: SparkSession) -> SparkSession:
-    """Put the runtime settings on a session made elsewhere (all are dynamic)."""
-    for key, value in RUNTIME.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
-    return spark
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

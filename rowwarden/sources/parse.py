@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MALFORMED = "malformed-json"
+MALFORMED = "no JSON object"
 _CORRUPT = "_corrupt"
 
 

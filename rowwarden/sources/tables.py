@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowwarden.functions.hashing import key_bucket
@@ -24,8 +25,38 @@ def newer_than(df: DataFrame, moment: str, high_water_mark: Column) -> DataFrame
     return df.where(F.col(moment) > high_water_mark)
 
 
-def high_water_mark(df: DataFrame, moment: str) -> DataFrame:
-    return df.agg(F.max(moment).alias("high_water_mark"))
+def read_since_mark(spark: SparkSession, df: DataFrame, moment: str, store: str) -> tuple[DataFrame, Callable[[], None]]:
+    """(rows after the stored mark, commit): call commit once the rows are written.
+
+    The mark is a one-row table in `store`; without one, all rows with a time are new. The upper end
+    is taken before the rows are read, so that rows that arrive meanwhile wait for the next run, and a
+    run that fails before its commit is repeated over the same rows.
+    """
+    try:
+        low = spark.read.parquet(store).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        low = None
+    high = df.agg(F.max(moment)).first()[0]
+    kind = df.schema[moment].dataType
+    rows = df.where(F.col(moment) <= F.lit(high).cast(kind)) if high is not None else df.where(F.col(moment).isNotNull())
+    rows = rows if low is None else newer_than(rows, moment, F.lit(low).cast(kind))
+
+    def commit() -> None:
+        if high is not None:
+            spark.range(1).select(F.lit(high).cast(kind).alias("high_water_mark")).write.mode("overwrite").parquet(store)
+
+    return rows, commit
+
+
+def key_range(df: DataFrame, key: str, buckets: int, start: int, end: int) -> DataFrame:
+    """Rows whose hashed key lies in buckets [start, end); rows without a key are in bucket 0.
+
+    Ranges that cover [0, buckets) without overlap read every row once.
+    """
+    bucket = F.coalesce(key_bucket(F.col(key), buckets), F.lit(0).cast("bigint"))
+    return df.withColumn("bucket", bucket).where((F.col("bucket") >= start) & (F.col("bucket") < end))
 
 
 def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:

@@ -1,8 +1,10 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowwarden.operators import keyed, metrics, reconcile, routing
+from rowwarden.sources import tables
 
 
 def test_partial_update_keeps_old_value(spark):
@@ -58,3 +60,35 @@ def test_duplicate_flag_with_null_keys(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "a")], "k int, s string")
     got = sorted((r.k, r.duplicate_check) for r in metrics.duplicate_flag(df, ["k", "s"]).collect())
     assert got == [(1, "FAIL"), (1, "FAIL"), (2, "PASS")]
+
+
+def test_snapshot_diff_sees_new_columns_and_rows_without_a_key(spark):
+    before = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    after = spark.createDataFrame([(1, "a", None), (2, "b", 5), (None, "n", None)], "k int, v string, extra int")
+    got = reconcile.snapshot_diff(before, after, "k", F.lit("now")).collect()
+    assert sorted((r.operation, r.k or 0, r.extra or 0) for r in got) == [("DELETED", 0, 0), ("INSERTED", 0, 0), ("UPDATED", 2, 5)]
+
+
+@pytest.mark.parametrize("minutes", [5, 7, 13, 1440, 1000])
+def test_stalled_windows_of_any_size(spark, minutes):
+    rows = [(f"2024-01-0{d} {h:02d}:17:00", h % 5 != 0) for d in range(1, 6) for h in range(24)]
+    df = spark.createDataFrame(rows, "at string, ok boolean").select(F.col("at").cast("timestamp_ntz").alias("at"), "ok")
+    got = {r[0] for r in metrics.stalled_windows(df, "at", minutes, F.col("ok")).collect()}
+    slot = lambda t: int(t.replace(tzinfo=dt.timezone.utc).timestamp()) // (60 * minutes)
+    times = [(dt.datetime.fromisoformat(a), ok) for a, ok in rows]
+    good = {slot(t) for t, ok in times if ok}
+    slots = [slot(t) for t, _ in times]
+    assert {slot(t) for t in got} == {s for s in range(min(slots), max(slots) + 1) if s not in good}
+
+
+def test_range_and_mark_reads(spark, tmp_path):
+    rows = spark.range(300).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("id"), F.col("id").alias("at"))
+    parts = [tables.key_range(rows, "id", 8, a, b).count() for a, b in ((0, 3), (3, 4), (4, 8))]
+    assert sum(parts) == 300 and all(parts)
+    store = str(tmp_path / "mark")
+    seen = []
+    for upto in (100, 100, 250, 300):
+        fresh, commit = tables.read_since_mark(spark, rows.where(F.col("at") < upto), "at", store)
+        seen.append(fresh.count())
+        commit()
+    assert seen == [100, 0, 150, 50]

@@ -25,10 +25,10 @@ def values(df, column):
     "record, faults",
     [
         ({"customer_id": "C1", "email": "test@domain.com", "age": 40}, []),
-        ({"customer_id": "C1", "age": 40}, ["missing field email"]),
-        ({"customer_id": "C1", "email": "test@domain.com", "age": "40"}, ["field age should be int"]),
-        ({"customer_id": "C1", "email": "test@domain.com", "age": True}, ["field age should be int"]),
-        ({"customer_id": "C1", "email": None, "age": 1.5}, ["field email should be string", "field age should be int"]),
+        ({"customer_id": "C1", "age": 40}, ["email: absent"]),
+        ({"customer_id": "C1", "email": "test@domain.com", "age": "40"}, ["age: not int"]),
+        ({"customer_id": "C1", "email": "test@domain.com", "age": True}, ["age: not int"]),
+        ({"customer_id": "C1", "email": None, "age": 1.5}, ["email: not string", "age: not int"]),
     ],
 )
 def test_schema_cases(spark, record, faults):
@@ -173,8 +173,43 @@ def test_evolution_branches(spark):
     )
     got = {(r.level, r.change) for r in schema.evolution(registry).collect()}
     assert got == {
-        ("break", "field removed: gone"),
-        ("break", "field added without default or nullable: bare"),
-        ("break", "type change not promotable: down long -> int"),
-        ("warn", "complex type, review by hand: odd"),
+        ("break", "dropped: gone"),
+        ("break", "needs default: bare"),
+        ("break", "retyped: down long -> int"),
+        ("warn", "nested, look closer: odd"),
     }
+
+
+def test_full_match_refuses_a_trailing_newline(spark):
+    df = spark.createDataFrame([("abc",), ("abc\n",), ("xabc",)], "t string")
+    full = [r[0] for r in df.select(checks.not_like(F.col("t"), "abc", "full")).collect()]
+    assert full == [False, True, True]
+    lines = spark.createDataFrame([("x\nabc",)], "t string").select(checks.not_like(F.col("t"), "(?m)abc", "prefix")).first()[0]
+    assert lines is True
+
+
+def test_bounds_pass_over_broken_numbers(spark):
+    df = spark.createDataFrame([("5",), ("abc",), ("-1",), (None,)], "t string")
+    assert [r[0] for r in df.select(F.coalesce(checks.outside(F.col("t"), 0, 10), F.lit(False))).collect()] == [False, False, True, False]
+
+
+def test_emit_reason_metric_and_placeholders(tmp_path):
+    path = tmp_path / "r.yaml"
+    path.write_text(
+        "tables: [{name: t, pk: k, sources: {onprem: {alias: a}, cloud: {alias: b}}, hash: {onprem_field: h, cloud_field: c}}]\n"
+        "rules:\n- {name: one, when: '{t1}.x = 1', emit: {dq_status: S, dq_reason: why, metric: m}}\n"
+        "- {name: two, when: '{t2}.{pk} is null', emit: {dq_status: S}}\n- {name: three, when: '{t3}.x = 1', emit: {dq_status: S}}\n"
+    )
+    pair = rules.table_pairs(path)[0]
+    with pytest.raises(ValueError, match="t3"):
+        rules.emit_rules(path, pair)
+    path.write_text(path.read_text().replace("{t3}", "{t1}"))
+    got = rules.emit_rules(path, pair)
+    assert [(r.when, r.reason, r.metric) for r in got] == [("a.x = 1", "why", "m"), ("b.k is null", "two", None), ("a.x = 1", "three", None)]
+    assert [r.reason for r in rules.emit_rules(path)] == ["why", "OK", "OK"]
+    assert len(rules.emit_metrics(got)) == 1
+
+
+def test_quoted_field_takes_the_last(spark):
+    df = spark.createDataFrame([('{"t":"first",\n"t" : "last"}',), ("{}",)], "raw string")
+    assert [r[0] for r in df.select(jsontext.quoted_field(F.col("raw"), "t")).collect()] == ["last", None]
