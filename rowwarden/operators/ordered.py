@@ -20,16 +20,58 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rowwarden.session import cut_lineage
 
 BLOCK, CARRY = "_block", "_carry"
 
 
-def _filled(values: Sequence) -> np.ndarray:
-    """Floats with nan for a missing value."""
-    return np.array([math.nan if v is None else v for v in values], dtype=float)
+def recurrence(factor: np.ndarray, added: np.ndarray, start: float) -> np.ndarray:
+    """y with y[t] = factor[t] * y[t - 1] + added[t] and y[-1] = start, by doubling strides.
+
+    A factor of 0 starts afresh, so many keys go through one call.
+    """
+    y, c = added.astype(float), factor.astype(float)
+    if not len(y):
+        return y
+    y[0] += c[0] * start
+    c[0] = 0.0
+    stride = 1
+    while stride < len(y) and c.any():
+        y[stride:] += c[stride:] * y[:-stride]
+        c[stride:] *= c[:-stride].copy()
+        stride *= 2
+    return y
+
+
+def _before(y: np.ndarray, new: np.ndarray, start: float) -> np.ndarray:
+    """The value before each row, 0 where a key starts."""
+    return np.where(new, 0.0, np.concatenate(([start], y[:-1])))
+
+
+@dataclass(frozen=True)
+class Present:
+    """The rows of a batch that have a value: where they are, their values, and which start a key."""
+
+    at: np.ndarray
+    v: np.ndarray
+    new: np.ndarray
+    open: bool  # the state goes on after the batch: no key began after the last value
+
+    @classmethod
+    def of(cls, values: pa.Array, fresh: np.ndarray, has_state: bool) -> Present:
+        at = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
+        v = values.drop_null().cast(pa.float64()).to_numpy()
+        key = np.cumsum(fresh)
+        new = np.diff(key[at], prepend=0 if has_state else -1) != 0
+        last = key[at[-1]] if len(at) else 0
+        return cls(at, v, new, not len(key) or key[-1] == last)
+
+    def spread(self, column: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(n, column.dtype)
+        out[self.at] = column
+        return out
 
 
 @dataclass(frozen=True)
@@ -44,14 +86,13 @@ class RunningSum:
         return (total,), (total,)
 
     def scan(self, state, values, fresh):
-        total, out = 0.0 if state is None else state[0], []
-        for v, new in zip(values, fresh):
-            if new:
-                total = 0.0
-            if v is not None:
-                total += v
-            out.append(total)
-        return (total,), (np.array(out),)
+        rows = Present.of(values, fresh, state is not None)
+        total = recurrence(~rows.new, rows.v, state[0] if state else 0.0)
+        after = (float(total[-1]),) if len(total) else state
+        return after if rows.open else None, (rows.spread(total, len(fresh)),)
+
+    def digest_many(self, state, v):
+        return ((state[0] if state else 0.0) + float(v.sum()),)
 
     def digest(self, state, v):
         return self.step(state, v)[0]
@@ -78,22 +119,30 @@ class RunningZScore:
         return self.digest(state, v), (z, abs(z) > self.threshold)
 
     def scan(self, state, values, fresh):
-        n, mean, m2 = state or (0.0, 0.0, 0.0)
-        means, variances = [], []
-        for v, new in zip(values, fresh):
-            if new:
-                n = mean = m2 = 0.0
-            means.append(mean)
-            variances.append(m2 / (n - 1) if n > 1 else 0.0)
-            if v is not None:
-                n += 1
-                delta = v - mean
-                mean += delta / n
-                m2 += delta * (v - mean)
-        spread = np.sqrt(np.array(variances))
+        rows = Present.of(values, fresh, state is not None)
+        v, new = rows.v, rows.new
+        n0, mean0, m0 = state or (0.0, 0.0, 0.0)
+        if not len(v):
+            return state if rows.open else None, (np.zeros(len(fresh)), np.zeros(len(fresh), bool))
+        # moments about each key's first value (or the mean it comes with), so that little cancels
+        key = np.cumsum(new)
+        base = np.concatenate(([mean0], v[new]))[key]
+        d, goes_on = v - base, ~new
+        count = recurrence(goes_on, np.ones(len(v)), n0)
+        total, squares = recurrence(goes_on, d, 0.0), recurrence(goes_on, d * d, m0)
+        n, t, q = _before(count, new, n0), _before(total, new, 0.0), _before(squares, new, m0)
         with np.errstate(invalid="ignore", divide="ignore"):
-            z = np.where(spread > 0, (_filled(values) - np.array(means)) / spread, 0.0)
-        return (n, mean, m2) if n else None, (z, np.abs(z) > self.threshold)
+            mean = base + np.where(n > 0, t / n, 0.0)
+            spread = np.sqrt(np.where(n > 1, np.maximum(q - t * t / n, 0.0) / (n - 1), 0.0))
+            z = np.where(spread > 0, (v - mean) / spread, 0.0)
+        m2 = max(float(squares[-1] - total[-1] ** 2 / count[-1]), 0.0)
+        after = (float(count[-1]), float(base[-1] + total[-1] / count[-1]), m2)
+        z = rows.spread(z, len(fresh))
+        return after if rows.open else None, (z, np.abs(z) > self.threshold)
+
+    def digest_many(self, state, v):
+        own = (float(len(v)), float(v.mean()), float(((v - v.mean()) ** 2).sum()))
+        return own if state is None else self.resume(state, own)
 
     def digest(self, state, v):
         n, mean, m2 = state or (0.0, 0.0, 0.0)
@@ -144,26 +193,31 @@ class Ewma:
         z = (v - ema) / (math.sqrt(var + 1e-9) + 1e-9)
         return (ema, var), (ema, var, z if self.signed else abs(z), abs(z) > self.threshold)
 
-    def scan(self, state, values, fresh):
+    def _run(self, v, new, ema0, var0):
+        """Means, variances and deviations of rows that may start keys."""
         a, b = self.alpha, 1 - self.alpha
-        ema, var = state or (None, 0.0)
-        means, variances = [], []
-        for v, new in zip(values, fresh):
-            if new:
-                ema = None
-            if v is not None:
-                if ema is None:
-                    ema, var = v, 0.0
-                else:
-                    dev = v - ema
-                    ema = a * v + b * ema
-                    var = b * var + a * dev * dev
-            means.append(ema)
-            variances.append(var)
-        mean, variance = _filled(means), np.array(variances)
-        z = (_filled(values) - mean) / (np.sqrt(variance + 1e-9) + 1e-9)
+        ema = recurrence(np.where(new, 0.0, b), np.where(new, v, a * v), ema0)
+        dev = np.where(new, 0.0, v - np.concatenate(([ema0], ema[:-1])))
+        var = recurrence(np.where(new, 0.0, b), a * dev * dev, var0)
+        return ema, var, dev
+
+    def scan(self, state, values, fresh):
+        rows = Present.of(values, fresh, state is not None)
+        mean, variance, _ = self._run(rows.v, rows.new, *(state or (0.0, 0.0)))
+        z = (rows.v - mean) / (np.sqrt(variance + 1e-9) + 1e-9)
         flags = np.abs(z) > self.threshold
-        return None if ema is None else (ema, var), (mean, variance, z if self.signed else np.abs(z), flags)
+        after = (float(mean[-1]), float(variance[-1])) if len(mean) else state
+        columns = (mean, variance, z if self.signed else np.abs(z), flags)
+        return after if rows.open else None, tuple(rows.spread(c, len(fresh)) for c in columns)
+
+    def digest_many(self, state, v):
+        if state is None:
+            state, v = (1.0, float(v[0]), float(v[0]), 0.0, 0.0), v[1:]
+        if not len(v):
+            return state
+        n, s, ema0, var0, devs = state
+        ema, var, dev = self._run(v, np.zeros(len(v), bool), ema0, var0)
+        return n + len(v), s, float(ema[-1]), float(var[-1]), devs + float(dev.sum())
 
     def digest(self, state, v):
         if state is None:
@@ -226,9 +280,9 @@ def _summaries(fold, keys: Sequence[str], value: str):
             ending = _key(batch, keys, batch.num_rows - 1)
             if ending != last:
                 last, state = ending, None
-            for v in _values(batch, keys, value).slice(begin).to_pylist():
-                if v is not None:
-                    state = fold.digest(state, v)
+            numbers = _values(batch, keys, value).slice(begin).drop_null().cast(pa.float64()).to_numpy()
+            if len(numbers):
+                state = fold.digest_many(state, numbers)
         if block is not None:
             yield pa.RecordBatch.from_pydict(
                 {
@@ -280,7 +334,7 @@ def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str]):
                 starts[0] = _key(batch, keys, 0) != current
             current = _key(batch, keys, batch.num_rows - 1)
             values = _values(batch, keys, value)
-            state, columns = fold.scan(state, values.to_pylist(), starts.tolist())
+            state, columns = fold.scan(state, values, starts)
             absent = values.is_null().to_numpy(zero_copy_only=False)
             arrays, names = [batch.column(n) for n in kept], list(kept)
             for (name, kind), column, neutral in zip(fold.outputs, columns, fold.skipped):
@@ -340,13 +394,19 @@ def ordered_scan(
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
     """Interpolated quantiles per group: (groups, probability, quantile).
 
-    Equal values are counted first; a distributed running total then finds the values
-    at the wanted ranks, so no task holds the values of a group.
+    Equal values are counted first and put in order over all tasks. Totals per task give the offset of
+    each task's running count, which finds the values at the wanted ranks; no task holds a group.
     """
-    counts = cut_lineage(  # read below by the range bounds, the running total and the group sizes
-        df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    )
-    running = ordered_scan(counts, groups, [value], "_n", RunningSum())
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # value order over all tasks: a group of many values spans many of them
+    counts = cut_lineage(counted.repartitionByRange(n, *groups, value).withColumn(BLOCK, F.spark_partition_id()))
+    totals = counts.groupBy(*groups, BLOCK).agg(F.sum("_n").alias("_in_block"))  # a row per group and task
+    earlier = Window.partitionBy(*groups).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, BLOCK, F.coalesce(F.sum("_in_block").over(earlier), F.lit(0.0)).alias("_offset"))
+    inside = Window.partitionBy(*groups, BLOCK).orderBy(value)
+    running = counts.withColumn("_sum", F.sum("_n").over(inside)).join(offsets, [*groups, BLOCK])
+    running = running.select(*groups, value, "_n", (F.col("_sum") + F.col("_offset")).alias("running"))
     ranks = (
         counts.groupBy(*groups)
         .agg(F.sum("_n").alias("_total"))
