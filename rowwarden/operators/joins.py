@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowwarden.operators.keyed import latest_by_key
+
 SPREAD = "_spread"
 SLOT = "_slot"
 LANES = 4096
@@ -66,8 +68,16 @@ def many_to_many_full_join(left: DataFrame, right: DataFrame, keys: Sequence[str
     return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
 
 
-def aliased_left_join(left: DataFrame, right: DataFrame, key: str, left_alias: str, right_alias: str) -> DataFrame:
-    """`key_join` that keeps `alias.column` names for rule texts."""
+def aliased_left_join(
+    left: DataFrame, right: DataFrame, key: str, left_alias: str, right_alias: str, right_order: Sequence[str] | None = None
+) -> DataFrame:
+    """`key_join` that keeps `alias.column` names for rule texts.
+
+    With `right_order` the right side counts with the last row of each key by those columns, so
+    copies of a key never multiply the left rows; rows without a key match nothing and are left out.
+    """
+    if right_order is not None:
+        right = latest_by_key(right.where(F.col(key).isNotNull()), [key], right_order)
     l = left.withColumn(SPREAD, _spread(left, [key])).alias(left_alias)
     r = right.withColumn(SPREAD, _spread(right, [key])).alias(right_alias)
     on = (F.col(f"{left_alias}.{key}") == F.col(f"{right_alias}.{key}")) & (

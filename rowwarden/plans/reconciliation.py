@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowwarden.operators import joins, metrics, ordered, reconcile, rules
+from rowwarden.operators import joins, keyed, metrics, ordered, reconcile, rules
 from rowwarden.plans import inputs
 from rowwarden.plans.registry import CONFIG, query
 from rowwarden.sources import tables
@@ -62,9 +62,10 @@ def hash_check_left(spark, folder):
 
 
 def _joined(spark, folder, *columns):
+    cloud = inputs.cloud(spark, folder).select("pk", "hash_cloud", "cloud_ts").where("pk is not null")
     return joins.key_join(
         inputs.onprem(spark, folder).select("order_key", "pk", "hash_onprem", *columns),
-        inputs.cloud(spark, folder).select("pk", "hash_cloud"),
+        keyed.latest_by_key(cloud, ["pk"], ["cloud_ts", "hash_cloud"]).drop("cloud_ts"),
         ["pk"],
         "left",
     )
@@ -86,7 +87,7 @@ def results_delete_aware(spark, folder):
 def sides(spark, folder):
     """The two sites joined under the aliases the rule documents use."""
     t1, t2 = inputs.onprem(spark, folder).alias("t1"), inputs.cloud(spark, folder).alias("t2")
-    return joins.aliased_left_join(t1, t2, "pk", "t1", "t2")
+    return joins.aliased_left_join(t1, t2, "pk", "t1", "t2", ["cloud_ts", "hash_cloud"])
 
 
 V0, V1, V2 = CONFIG / "site_rules.yaml", CONFIG / "site_rules_v1.yaml", CONFIG / "table_rules.yaml"
@@ -172,7 +173,8 @@ def each_table(spark, folder):
     for pair in rules.table_pairs(V2):
         t1, t2 = both[pair.name]
         joined = joins.aliased_left_join(
-            t1.alias(pair.onprem["alias"]), t2.alias(pair.cloud["alias"]), pair.pk, pair.onprem["alias"], pair.cloud["alias"]
+            t1.alias(pair.onprem["alias"]), t2.alias(pair.cloud["alias"]), pair.pk, pair.onprem["alias"], pair.cloud["alias"],
+            [pair.hash_cloud],
         )
         yield pair, rules.emit_rules(V2, pair), joined
 
