@@ -21,7 +21,7 @@ from rowwarden.llm.textblocks import CHUNK_BYTES, Block, mix
 from rowwarden.session import cut_lineage
 
 SCHEMA = "bucket int, kind int, n int, load binary"
-FLUSH_BYTES = 48 << 20  # of unpacked records a map task holds before it emits
+FLUSH_BYTES = 16 << 20  # of records or texts a map task holds before it emits
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LAST = np.iinfo(np.int64).max  # stands for a null id
 

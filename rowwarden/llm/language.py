@@ -59,30 +59,24 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
 
 
-def grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of the given words, and how many each word has (in word order)."""
-    size = end - start + 2  # one edge byte on each side
-    at = np.concatenate(([0], np.cumsum(size)))
-    flat = np.full(at[-1], 0x20, np.uint8)
-    inner = np.arange(at[-1]) - np.repeat(at[:-1], size)
-    body = (inner > 0) & (inner < np.repeat(size, size) - 1)
-    flat[body] = data[(np.repeat(start, size) + inner - 1)[body]]
-    left = np.repeat(size, size) - inner
-    found, owner = [], []
+def grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n-gram size: the buckets of the n-grams of the given words, and the word of each."""
+    size = (end - start + 2).astype(np.int32)  # one edge byte on each side
+    last = np.cumsum(size, dtype=np.int32)
+    word = np.repeat(np.arange(len(start), dtype=np.int32), size)
+    inner = np.arange(len(word), dtype=np.int32) - (last - size)[word]
+    left = size[word] - inner
+    flat = np.full(len(word), 0x20, np.uint8)
+    body = (inner > 0) & (left > 1)
+    flat[body] = data[(start[word] + inner - 1)[body]]
+    del inner
     code = np.zeros(len(flat), np.uint64)
-    word = np.repeat(np.arange(len(start)), size)
     for n in range(1, max(SIZES) + 1):
-        code = code * np.uint64(257)
+        code *= np.uint64(257)
         code[: len(flat) - n + 1] += flat[n - 1 :].astype(np.uint64) + np.uint64(1)
         if n in SIZES:
-            ok = left >= n
-            if n == 1:
-                ok &= flat != 0x20
-            found.append(mix(code[ok] * np.uint64(8) + np.uint64(n)) >> np.uint64(48))
-            owner.append(word[ok])
-    owner = np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return np.concatenate(found)[order].astype(np.int64), np.bincount(owner, minlength=len(start))
+            ok = body if n == 1 else left >= n
+            yield (mix(code[ok] * np.uint64(8) + np.uint64(n)) >> np.uint64(48)).astype(np.int32), word[ok]
 
 
 def word_scripts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -119,11 +113,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id",
                 continue
             _, first, which = _distinct(block, found)
             start, end = found.start[first], found.end[first]
-            bucket, size = grams(block.data, start, end)
             script = word_scripts(block.data, found.start, found.end)
-            for c in np.unique(number):
-                often = np.bincount(which[number == c], minlength=len(first))
-                total[:BUCKETS, c] += np.bincount(bucket, np.repeat(often, size), BUCKETS).astype(np.int64)
+            present = np.unique(number)
+            often = {c: np.bincount(which[number == c], minlength=len(first)) for c in present}
+            for bucket, word in grams(block.data, start, end):
+                for c in present:
+                    total[:BUCKETS, c] += np.bincount(bucket, often[c][word], BUCKETS).astype(np.int64)
+            for c in present:
                 total[BUCKETS:, c] += np.bincount(script[number == c], minlength=len(SCRIPTS))
         row, column = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(column), pa.array(total[row, column])], names=["feature", "number", "n"])
@@ -145,8 +141,10 @@ def word_scores(model: Model, block: Block, found: Words) -> np.ndarray:
     keys, first, which = _distinct(block, found)
     start, end = found.start[first], found.end[first]
     script = word_scripts(block.data, start, end)
-    bucket, size = grams(block.data, start, end)
-    scores = np.add.reduceat(model.weights[bucket], np.cumsum(size) - size, axis=0) if len(size) else model.weights[:0]
+    scores = np.zeros((len(first), len(model.languages)), np.float32)
+    for bucket, word in grams(block.data, start, end):
+        for c in range(len(model.languages)):
+            scores[:, c] += np.bincount(word, model.weights[bucket, c], len(first))
     scores = np.where(model.scripts[script], scores, scores.min() - 1e4 if len(scores) else 0)
     scores[script == 0] = 0  # digits and signs speak for no language
     return scores[which.reshape(-1)]

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 2 << 20  # text bytes handled at once in a task; a longer single text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text bytes handled at once in a task; a longer single text is a chunk of its own
 
 WHITE = np.zeros(256, bool)  # [\x20\x09-\x0D]
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
