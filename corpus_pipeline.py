@@ -3,7 +3,7 @@
 1. language: texts without a letter, and texts so mixed that no language holds LEAST_SHARE of the
    letters, go.
 2. near_copies: of each group of documents linked by the Jaccard join (over word 5-grams, similarity
-   0.8 or more) one stays, the smallest id; of rows with one id and one text, one.
+   0.8 or more) one stays, the smallest id; of rows with one id, the first by text.
 3. benchmark: documents contaminated by benchmark passages go.
 4. secrets: every base span and every confirmed span is masked in the text, and n_chars follows.
 5. packing: what is left becomes sequences; the result is the table of pieces.
@@ -18,10 +18,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowwarden.llm import decontaminate, jaccard_join, language, packing, queries, secret_scan
+from rowwarden.llm.exchange import settle
 from rowwarden.session import checkpoint_dir
 from rowwarden.sources.tables import table
 
@@ -37,11 +38,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_join.join(docs, NEAR_GRAM, NEAR_PERCENT)
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    with_id, without = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return with_id.dropDuplicates(["doc_id"]).unionByName(without)
+    groups = jaccard_join.join(docs, NEAR_GRAM, NEAR_PERCENT).where("doc_id is not null")
+    ids = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.max("component_id").alias("c"))
+    marked = settle(ids.where("n > 1 or c <> _id"))  # ids that go, and ids that several rows have
+    once = docs.join(marked, docs["doc_id"] == marked["_id"], "left_anti")
+    several = docs.join(marked.where("c = _id"), docs["doc_id"] == F.col("_id"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text")) == 1
+    return once.unionByName(several.withColumn("_first", first).where("_first").select(*docs.columns))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,7 +92,8 @@ class Reader(HTMLParser):
         above = self.open[-1]
         # names say something only on containers; a body or html class names the whole page
         named = {} if tag in ("html", "body") else {k: v.lower() for k, v in attrs if v and k in ("class", "id", "role")}
-        words = set(WORD.findall(f"{named.get('class', '')} {named.get('id', '')}"))
+        names = f"{named.get('class', '')} {named.get('id', '')}"
+        words = set(WORD.findall(names)) | set(WORD.findall(re.sub("[-_]", "", names)))  # side-bar is a sidebar too
         nothing = tag in SILENT or tag in NOTHING or named.get("role") in NOTHING_ROLES or any(k == "hidden" for k, _ in attrs)
         if words & NOTHING_WORDS and tag not in MAIN | HEADINGS | {"p"}:
             nothing = True
@@ -101,7 +102,7 @@ class Reader(HTMLParser):
         if tag == "header" or "header" in words and tag not in HEADINGS:
             nothing = nothing or not above.main  # an article's own header holds its headline
         main = tag in MAIN or named.get("role") in ("main", "article") or bool(words & MAIN_WORDS and not nothing and tag not in INLINE)
-        label = tag + "".join(f".{w}" for w in sorted(words))
+        label = f"{tag}.{'.'.join(sorted(words))}" if words else tag
         self.open.append(Element(tag, above, label, nothing, main))
         if tag in SILENT:
             self.silent += 1

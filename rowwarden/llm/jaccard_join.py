@@ -35,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowwarden.llm.components import components
-from rowwarden.llm.exchange import SCHEMA, batched, buckets, gather, scatter, settle, shuffled
-from rowwarden.llm.textblocks import LOWER, Block, blocks, mix, windows, word_hashes, words
+from rowwarden.llm.exchange import SCHEMA, batched, buckets, gather, place, scatter, settle, shuffled
+from rowwarden.llm.textblocks import CHUNK_BYTES, LOWER, Block, blocks, mix, windows, word_hashes, words
 
 GRAM = 3
 PERCENT = 90  # partners: 100 * intersection >= PERCENT * union
-SAMPLE = 1500  # documents (expected) on which allocations are priced
-PAIR_PRICE = 30.0  # keys sent that one needless meeting is worth
+SAMPLE = 3000  # documents (expected) on which allocations are priced
+PAIR_PRICE = 30.0  # keys sent that one meeting is worth
+SMALL = 64  # bands that begin below get budget 2 throughout: their subsets are too small to tell texts apart
 SKETCH = 256  # parts of the universe in a sketch, a byte each
 BLOCK = 2048  # documents of one side in a block of comparisons
 LARGEST = 1 << 26  # elements; bands end there
@@ -86,7 +87,7 @@ def empty_slack(low: np.ndarray, most: np.ndarray) -> np.ndarray:
 
 def allocation(low: np.ndarray, percent: int, doubles: np.ndarray) -> Scheme:
     most = most_different(low, percent)
-    slack = empty_slack(low, most)
+    slack = np.where(doubles > 0, 0, empty_slack(low, most))
     return Scheme(low, most, slack, most + 1 + slack - 2 * doubles, doubles)
 
 
@@ -172,7 +173,8 @@ def priced(docs: DataFrame, gram: int, percent: int, key: str, text: str) -> Sch
     """The allocation of every band that costs least on a sample of about SAMPLE documents."""
     low = band_lows(percent)
     most = most_different(low, percent)
-    choices = [np.zeros_like(most), np.minimum(1, most), (most + 1) // 2]
+    all_double = (most + 1) // 2
+    choices = [np.where(low < SMALL, all_double, 0), all_double]
     total = docs.agg(F.count("*")).first()[0]
     draw = F.pmod(F.xxhash64(key, F.lit("price")), F.lit(1 << 30)) / float(1 << 30)
     sample = docs.where(F.col(key).isNotNull() & (draw < SAMPLE / max(total, 1)))
@@ -188,7 +190,8 @@ def priced(docs: DataFrame, gram: int, percent: int, key: str, text: str) -> Sch
                 )
 
     met = sample.mapInArrow(run, "choice long, band long, k long").groupBy("choice", "band", "k").agg(F.count("*").alias("n"))
-    cost = F.sum(F.col("n") + PAIR_PRICE * F.col("n") * (F.col("n") - 1) / 2)
+    # in the whole table keys grow with the documents, meetings with their square
+    cost = F.sum(F.col("n") + PAIR_PRICE * max(total / SAMPLE, 1.0) * F.col("n") * (F.col("n") - 1) / 2)
     doubles = choices[0].copy()
     best: dict[int, float] = {}
     # a row per choice and band
@@ -244,7 +247,13 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, key: str = "
         new = np.concatenate(([True], keys[1:] != keys[:-1]))
         hub = np.minimum.reduceat(np.where(whole, doc, np.iinfo(np.int64).max), np.flatnonzero(new))[np.cumsum(new) - 1]
         edge = (hub != doc) & (hub != np.iinfo(np.int64).max)
-        pairs = np.unique(np.stack((hub[edge], doc[edge]), 1), axis=0)
+        if edge.any():
+            pairs = np.unique(np.stack((hub[edge], doc[edge]), 1), axis=0)
+            yield from batched(scatter(iter([(place(pairs[:, 1].copy(), n), {"hub": pairs[:, 0], "doc": pairs[:, 1]})])))
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = gather(batches, {0: {"hub": np.int64, "doc": np.int64}})[0]
+        pairs = np.unique(np.stack((got["hub"], got["doc"]), 1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["hub", "doc"])
 
     def about(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +276,7 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, key: str = "
     # an id and the class it is in; rows with equal ids and different sets are in several
     classes = settle(with_set.join(least, fp).select("doc_id", "rep").distinct())
 
-    met = shuffled(indexed.where(F.col("kind") == KEYS), stars, "hub long, doc long").distinct()
+    met = shuffled(shuffled(indexed.where(F.col("kind") == KEYS), stars, SCHEMA), once, "hub long, doc long")
     side = lambda name, to: classes.select(F.col("doc_id").alias(name), F.col("rep").alias(to))
     pairs = met.join(side("hub", "x"), "hub").join(side("doc", "y"), "doc")
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
@@ -297,8 +306,7 @@ def _texts(docs: DataFrame, pairs: DataFrame, gram: int) -> DataFrame:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
+            for part in _portions(batch, [1]):
                 sets = _sets_of_packed(part.column(1).to_pylist(), gram)
                 sketch = [s.tobytes() for s in sketches(sets)]
                 yield pa.RecordBatch.from_arrays(
@@ -311,6 +319,17 @@ def _texts(docs: DataFrame, pairs: DataFrame, gram: int) -> DataFrame:
     return kept.mapInArrow(measured, "doc_id long, packed binary, size long, sketch binary")
 
 
+def _portions(batch: pa.RecordBatch, packed: list[int]) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about CHUNK_BYTES of text in the given columns."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for c in packed:
+        sizes += [zstandard.frame_content_size(p) if p else 0 for p in batch.column(c).to_pylist()]
+    portion = np.cumsum(sizes) // CHUNK_BYTES
+    edge = np.flatnonzero(np.concatenate(([True], portion[1:] != portion[:-1], [True]))) if len(portion) else []
+    for a, b in zip(edge[:-1], edge[1:]):
+        yield batch.slice(a, b - a)
+
+
 def _sets_of_packed(packed: list[bytes], gram: int) -> Sets:
     raw = [zstandard.ZstdDecompressor().decompress(p) if p else b"" for p in packed]
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
@@ -322,8 +341,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Da
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 128):
-                part = batch.slice(k, 128)
+            for part in _portions(batch, [2, 3]):
                 a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
                 sets = _sets_of_packed(part.column(2).to_pylist() + part.column(3).to_pylist(), gram)
                 one = lambda i: sets.element[sets.first[i] : sets.first[i + 1]]  # noqa: E731, B023
