@@ -22,9 +22,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rowwarden.operators.joins import key_join
 from rowwarden.session import cut_lineage
 
-BLOCK, CARRY = "_block", "_carry"
+BLOCK, CARRY, INIT, STATE = "_block", "_carry", "_init", "_state"
 
 
 def recurrence(factor: np.ndarray, added: np.ndarray, start: float) -> np.ndarray:
@@ -52,21 +53,36 @@ def _before(y: np.ndarray, new: np.ndarray, start: float) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Present:
-    """The rows of a batch that have a value: where they are, their values, and which start a key."""
+    """The rows of a batch that have a value: where they are, their values, and which start a key.
+
+    `init` has the state a key comes with at the row that starts it, and nan elsewhere.
+    """
 
     at: np.ndarray
     v: np.ndarray
     new: np.ndarray
+    init: np.ndarray
     open: bool  # the state goes on after the batch: no key began after the last value
+    last: tuple | None  # the state that the last key to begin came with
 
     @classmethod
-    def of(cls, values: pa.Array, fresh: np.ndarray, has_state: bool) -> Present:
+    def of(cls, values: pa.Array, fresh: np.ndarray, has_state: bool, inits: dict[int, tuple], width: int) -> Present:
         at = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
         v = values.drop_null().cast(pa.float64()).to_numpy()
         key = np.cumsum(fresh)
         new = np.diff(key[at], prepend=0 if has_state else -1) != 0
-        last = key[at[-1]] if len(at) else 0
-        return cls(at, v, new, not len(key) or key[-1] == last)
+        starts = np.flatnonzero(fresh)
+        table = np.full((len(starts) + 1, width), np.nan)
+        for j, row in enumerate(starts.tolist()):
+            if row in inits:
+                table[j + 1] = inits[row]
+        init = np.full((len(v), width), np.nan)
+        init[new] = table[key[at[new]]]
+        ends = key[at[-1]] if len(at) else 0
+        return cls(at, v, new, init, not len(key) or key[-1] == ends, inits.get(int(starts[-1])) if len(starts) else None)
+
+    def after(self, state: tuple | None) -> tuple | None:
+        return state if self.open else self.last
 
     def spread(self, column: np.ndarray, n: int) -> np.ndarray:
         out = np.zeros(n, column.dtype)
@@ -79,17 +95,19 @@ class RunningSum:
     """Inclusive running total."""
 
     outputs = (("running", "double"),)
+    width = 1
     skipped = (None,)
 
     def step(self, state, v):
         total = v if state is None else state[0] + v
         return (total,), (total,)
 
-    def scan(self, state, values, fresh):
-        rows = Present.of(values, fresh, state is not None)
-        total = recurrence(~rows.new, rows.v, state[0] if state else 0.0)
+    def scan(self, state, values, fresh, inits):
+        rows = Present.of(values, fresh, state is not None, inits, self.width)
+        total = recurrence(~rows.new, rows.v + np.nan_to_num(rows.init[:, 0]), state[0] if state else 0.0)
         after = (float(total[-1]),) if len(total) else state
-        return after if rows.open else None, (rows.spread(total, len(fresh)),)
+        total = rows.spread(total, len(fresh))
+        return rows.after(after), (total,), total[:, None]
 
     def digest_many(self, state, v):
         return ((state[0] if state else 0.0) + float(v.sum()),)
@@ -110,6 +128,7 @@ class RunningZScore:
 
     threshold: float = 3.0
     outputs = (("z", "double"), ("is_anomaly", "boolean"))
+    width = 3
     skipped = (None, False)
 
     def step(self, state, v):
@@ -118,27 +137,30 @@ class RunningZScore:
         z = (v - mean) / spread if spread > 0 else 0.0
         return self.digest(state, v), (z, abs(z) > self.threshold)
 
-    def scan(self, state, values, fresh):
-        rows = Present.of(values, fresh, state is not None)
+    def scan(self, state, values, fresh, inits):
+        rows = Present.of(values, fresh, state is not None, inits, self.width)
         v, new = rows.v, rows.new
         n0, mean0, m0 = state or (0.0, 0.0, 0.0)
         if not len(v):
-            return state if rows.open else None, (np.zeros(len(fresh)), np.zeros(len(fresh), bool))
+            return rows.after(state), (np.zeros(len(fresh)), np.zeros(len(fresh), bool)), np.zeros((len(fresh), 3))
         # moments about each key's first value (or the mean it comes with), so that little cancels
         key = np.cumsum(new)
-        base = np.concatenate(([mean0], v[new]))[key]
+        came = np.nan_to_num(rows.init)
+        base = np.concatenate(([mean0], np.where(came[:, 0] > 0, came[:, 1], v)[new]))[key]
         d, goes_on = v - base, ~new
-        count = recurrence(goes_on, np.ones(len(v)), n0)
-        total, squares = recurrence(goes_on, d, 0.0), recurrence(goes_on, d * d, m0)
-        n, t, q = _before(count, new, n0), _before(total, new, 0.0), _before(squares, new, m0)
+        count = recurrence(goes_on, 1 + came[:, 0], n0)
+        total, squares = recurrence(goes_on, d, 0.0), recurrence(goes_on, d * d + came[:, 2], m0)
+        n = np.where(new, came[:, 0], _before(count, new, n0))
+        t, q = _before(total, new, 0.0), np.where(new, came[:, 2], _before(squares, new, m0))
         with np.errstate(invalid="ignore", divide="ignore"):
             mean = base + np.where(n > 0, t / n, 0.0)
             spread = np.sqrt(np.where(n > 1, np.maximum(q - t * t / n, 0.0) / (n - 1), 0.0))
             z = np.where(spread > 0, (v - mean) / spread, 0.0)
-        m2 = max(float(squares[-1] - total[-1] ** 2 / count[-1]), 0.0)
-        after = (float(count[-1]), float(base[-1] + total[-1] / count[-1]), m2)
+        states = np.stack((count, base + total / count, np.maximum(squares - total * total / count, 0.0)), 1)
         z = rows.spread(z, len(fresh))
-        return after if rows.open else None, (z, np.abs(z) > self.threshold)
+        out = np.zeros((len(fresh), 3))
+        out[rows.at] = states
+        return rows.after(tuple(states[-1].tolist())), (z, np.abs(z) > self.threshold), out
 
     def digest_many(self, state, v):
         own = (float(len(v)), float(v.mean()), float(((v - v.mean()) ** 2).sum()))
@@ -180,6 +202,7 @@ class Ewma:
     threshold: float = 4.0
     signed: bool = False
     outputs = (("ema", "double"), ("ewvar", "double"), ("z", "double"), ("is_anomaly", "boolean"))
+    width = 2
     skipped = (None, None, None, False)
 
     def step(self, state, v):
@@ -193,22 +216,26 @@ class Ewma:
         z = (v - ema) / (math.sqrt(var + 1e-9) + 1e-9)
         return (ema, var), (ema, var, z if self.signed else abs(z), abs(z) > self.threshold)
 
-    def _run(self, v, new, ema0, var0):
-        """Means, variances and deviations of rows that may start keys."""
+    def _run(self, v, new, ema0, var0, init=None):
+        """Means, variances and deviations of rows that may start keys, with the state each comes with."""
         a, b = self.alpha, 1 - self.alpha
-        ema = recurrence(np.where(new, 0.0, b), np.where(new, v, a * v), ema0)
-        dev = np.where(new, 0.0, v - np.concatenate(([ema0], ema[:-1])))
-        var = recurrence(np.where(new, 0.0, b), a * dev * dev, var0)
+        init = np.full((len(v), 2), np.nan) if init is None else init
+        came, seeds = ~np.isnan(init[:, 0]), new & np.isnan(init[:, 0])
+        ema1, var1 = np.nan_to_num(init).T
+        ema = recurrence(np.where(new, 0.0, b), np.where(seeds, v, a * v + b * ema1), ema0)
+        before = np.where(came, ema1, np.concatenate(([ema0], ema[:-1])))
+        dev = np.where(seeds, 0.0, v - before)
+        var = recurrence(np.where(new, 0.0, b), a * dev * dev + b * var1, var0)
         return ema, var, dev
 
-    def scan(self, state, values, fresh):
-        rows = Present.of(values, fresh, state is not None)
-        mean, variance, _ = self._run(rows.v, rows.new, *(state or (0.0, 0.0)))
+    def scan(self, state, values, fresh, inits):
+        rows = Present.of(values, fresh, state is not None, inits, self.width)
+        mean, variance, _ = self._run(rows.v, rows.new, *(state or (0.0, 0.0)), rows.init)
         z = (rows.v - mean) / (np.sqrt(variance + 1e-9) + 1e-9)
         flags = np.abs(z) > self.threshold
         after = (float(mean[-1]), float(variance[-1])) if len(mean) else state
-        columns = (mean, variance, z if self.signed else np.abs(z), flags)
-        return after if rows.open else None, tuple(rows.spread(c, len(fresh)) for c in columns)
+        columns = [rows.spread(c, len(fresh)) for c in (mean, variance, z if self.signed else np.abs(z), flags)]
+        return rows.after(after), tuple(columns), np.stack(columns[:2], 1)
 
     def digest_many(self, state, v):
         if state is None:
@@ -265,21 +292,27 @@ def _key(batch: pa.RecordBatch, keys: Sequence[str], row: int) -> tuple:
     return tuple(batch.column(k)[row].as_py() for k in keys)
 
 
+def _init(batch: pa.RecordBatch, row: int) -> list | None:
+    """The state the row's key comes with."""
+    return (batch.column(INIT)[row].as_py() or None) if INIT in batch.schema.names else None
+
+
 def _summaries(fold, keys: Sequence[str], value: str):
     """Per partition: block, first and last key, and the digest of the last key's rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = first = last = state = None
+        block = first = last = state = first_init = last_init = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             if block is None:
                 block, first = batch.column(BLOCK)[0].as_py(), _key(batch, keys, 0)
+                first_init = _init(batch, 0)
             changes = np.flatnonzero(_starts(batch, keys))
             begin = int(changes[-1]) if len(changes) else 0
             ending = _key(batch, keys, batch.num_rows - 1)
             if ending != last:
-                last, state = ending, None
+                last, state, last_init = ending, None, _init(batch, begin)
             numbers = _values(batch, keys, value).slice(begin).drop_null().cast(pa.float64()).to_numpy()
             if len(numbers):
                 state = fold.digest_many(state, numbers)
@@ -290,6 +323,8 @@ def _summaries(fold, keys: Sequence[str], value: str):
                     "first": [repr(first)],
                     "last": [repr(last)],
                     "digest": pa.array([None if state is None else list(state)], pa.list_(pa.float64())),
+                    "first_init": pa.array([first_init], pa.list_(pa.float64())),
+                    "last_init": pa.array([last_init], pa.list_(pa.float64())),
                 }
             )
 
@@ -306,9 +341,12 @@ def _carries(fold):
             for row in batch.to_pylist():
                 continues = row["first"] == key
                 blocks.append(row[BLOCK])
-                states.append(list(state) if continues and state is not None else None)
-                if not (continues and row["last"] == key):
-                    key, state = row["last"], None
+                held = state if continues else row["first_init"]
+                states.append(list(held) if held is not None else None)
+                if row["last"] == row["first"]:
+                    key, state = row["last"], held
+                else:
+                    key, state = row["last"], row["last_init"]
                 if row["digest"] is not None:
                     digest = tuple(row["digest"])
                     state = fold.fresh(digest) if state is None else fold.resume(state, digest)
@@ -319,7 +357,7 @@ def _carries(fold):
     return run
 
 
-def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str]):
+def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str], with_state: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = state = None
         started = False
@@ -334,7 +372,9 @@ def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str]):
                 starts[0] = _key(batch, keys, 0) != current
             current = _key(batch, keys, batch.num_rows - 1)
             values = _values(batch, keys, value)
-            state, columns = fold.scan(state, values, starts)
+            begun = np.flatnonzero(starts).tolist() if INIT in batch.schema.names else []
+            inits = {i: tuple(s) for i in begun if (s := _init(batch, i))}
+            state, columns, states = fold.scan(state, values, starts, inits)
             absent = values.is_null().to_numpy(zero_copy_only=False)
             arrays, names = [batch.column(n) for n in kept], list(kept)
             for (name, kind), column, neutral in zip(fold.outputs, columns, fold.skipped):
@@ -343,6 +383,10 @@ def _emit(fold, keys: Sequence[str], value: str, kept: Sequence[str]):
                 else:
                     arrays.append(pa.array(np.where(absent, neutral, column), pa.bool_()))
                 names.append(name)
+            if with_state:
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(states.ravel()), fold.width).cast(pa.list_(pa.float64()))
+                arrays.append(pc.if_else(pa.array(absent), pa.scalar(None, lists.type), lists))
+                names.append(STATE)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
@@ -356,16 +400,26 @@ def ordered_scan(
     fold,
     partitions: int | None = None,
     stage: bool = False,
+    initial: DataFrame | None = None,
+    with_state: bool = False,
 ) -> DataFrame:
     """`df` plus the outputs of `fold` over `value` per key in `order` (make it total).
 
     Rows whose key or value is null take no part and get the fold's neutral outputs.
     Finding the range bounds reads `df` once more; set `stage` where its rows are costly
     to make (parsed text), and they are written once first.
+
+    `initial` has the state some keys come with (keys, `state`: array<double>, one row per key), and
+    `with_state` adds the state after each row as `_state`, so that a scan can go on where an earlier
+    one ended.
     """
     spark = df.sparkSession
     if stage:
         df = cut_lineage(df)
+    columns, fields = df.columns, df.schema
+    if initial is not None:
+        df = key_join(df, initial.select(*keys, F.col("state").alias(INIT)), keys, "left").drop(*[f"_r_{k}" for k in keys])
+        df = df.withColumn(INIT, F.coalesce(INIT, F.array().cast("array<double>")))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(n, *keys, *order)
@@ -373,8 +427,9 @@ def ordered_scan(
         .withColumn(BLOCK, F.spark_partition_id())
     )
     blocks = cut_lineage(placed)
-    summary = blocks.select(BLOCK, *keys, value).mapInArrow(
-        _summaries(fold, keys, value), f"{BLOCK} int, first string, last string, digest array<double>"
+    summary = blocks.select(BLOCK, *keys, value, *([INIT] if initial is not None else [])).mapInArrow(
+        _summaries(fold, keys, value),
+        f"{BLOCK} int, first string, last string, digest array<double>, first_init array<double>, last_init array<double>",
     )
     carries = (
         summary.repartition(1)  # one row per partition
@@ -382,13 +437,15 @@ def ordered_scan(
         .mapInArrow(_carries(fold), f"{BLOCK} int, {CARRY} array<double>")
     )
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"{n} {t}" for n, t in fold.outputs]
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+        + [f"{n} {t}" for n, t in fold.outputs]
+        + ([f"{STATE} array<double>"] if with_state else [])
     )
     # broadcast: one row per partition
     with_carry = blocks.join(F.broadcast(carries), BLOCK, "left").withColumn(
         CARRY, F.coalesce(CARRY, F.array().cast("array<double>"))  # Arrow writes null lists slowly
     )
-    return with_carry.mapInArrow(_emit(fold, keys, value, df.columns), schema)
+    return with_carry.mapInArrow(_emit(fold, keys, value, columns, with_state), schema)
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Per-key recursions on live streams, with the folds of `operators.ordered`."""
+"""Per-key recursions on live streams, with the folds of `operators.ordered`.
+
+`fold_batches` runs the split scan of a micro-batch in `foreachBatch` with the key states kept in a
+folder, so a hot key's backlog spans many tasks. `fold_stream` keeps the state in Spark's state store
+and has lower latency, but a key's rows of one micro-batch meet in one task: limit the trigger there.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +14,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from rowwarden.operators.ordered import STATE, ordered_scan
+from rowwarden.session import cut_lineage
+from rowwarden.streaming.sinks import Handler, write_batch
+
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -58,3 +67,27 @@ def fold_stream(df: DataFrame, key: str, order: Sequence[str], value: str, fold)
         .groupBy(key)
         .transformWithStateInPandas(FoldProcessor(fold, order, value), schema, "Append", "None")
     )
+
+
+def fold_batches(folder: str, keys: Sequence[str], order: Sequence[str], value: str, fold, handler: Handler) -> Handler:
+    """A handler that adds the outputs of `fold` to each batch and passes it on to `handler`.
+
+    States are kept per batch under `folder/batch_id=<id>`, all keys in each. A batch that is run again
+    starts from the states before it, so it gives the same rows. Rows without a key or value pass by.
+    """
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        initial = None
+        if batch_id > 0:
+            schema = StructType([*[df.schema[k] for k in keys], StructField("state", ArrayType(DoubleType()))])
+            initial = spark.read.schema(schema).parquet(f"{folder}/batch_id={batch_id - 1}")
+        scanned = cut_lineage(ordered_scan(df, keys, order, value, fold, initial=initial, with_state=True))
+        stamp = F.struct(*order)
+        ended = scanned.where(F.col(STATE).isNotNull()).groupBy(*keys).agg(F.max_by(STATE, stamp).alias("state"))
+        if initial is not None:
+            ended = ended.unionByName(initial.join(ended.select(*keys), list(keys), "left_anti"))
+        handler(scanned.drop(STATE), batch_id)
+        write_batch(ended, folder, batch_id)
+
+    return handle

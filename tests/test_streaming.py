@@ -258,6 +258,26 @@ def test_compacted_state_equals_the_log(spark, tmp_path):
     assert bag(sinks.compacted_rows(spark, log, state, 1, ["k"], ["at"]), "k", "at", "v") == want
 
 
+@pytest.mark.parametrize("fold", [ordered.Ewma(0.1, 2.0), ordered.RunningZScore(1.5), ordered.RunningSum()], ids=lambda f: type(f).__name__)
+def test_batched_fold_of_a_hot_key(spark, tmp_path, fold):
+    """Nine rows in ten have one key, whole files come at once, and a batch is run twice."""
+    rows = [(i, "hot" if i % 10 else f"k{i % 70}", float((i * 37) % 101), None if i % 31 == 0 else float((i * 53) % 97)) for i in range(1500)]
+    stored = spark.createDataFrame(rows, "i int, key string, pad double, v double")
+    names = [n for n, _ in fold.outputs]
+    want = {r.i: r for r in ordered.ordered_scan(stored, ["key"], ["i"], "v", fold, 5).collect()}
+    out = str(tmp_path / "out")
+    handler = stateful.fold_batches(str(tmp_path / "state"), ["key"], ["i"], "v", fold, sinks.replay_safe(out))
+    for batch_id, (a, b) in enumerate([(0, 700), (700, 701), (701, 1200), (1200, 1500)]):
+        part = stored.where((F.col("i") >= a) & (F.col("i") < b))
+        for _ in range(2 if batch_id == 2 else 1):
+            handler(part, batch_id)
+    got = sinks.read_output(spark, out).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for n in names:
+            assert r[n] == (pytest.approx(want[r.i][n], rel=1e-9, abs=1e-9) if isinstance(want[r.i][n], float) else want[r.i][n]), (r.i, n)
+
+
 def test_generated_events_are_in_range(spark, tmp_path):
     live = sources.generated(spark, 200)
     assert live.schema.simpleString() == "struct<id:string,value:double,ts:timestamp>"
