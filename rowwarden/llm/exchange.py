@@ -28,8 +28,11 @@ LAST = np.iinfo(np.int64).max  # stands for a null id
 Columns = dict[str, np.ndarray]
 
 
+PER_PARTITION = 2  # reduce tasks per shuffle partition: Python holds a task's records beside the JVM
+
+
 def buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -129,9 +132,9 @@ def gather(batches: Iterator[pa.RecordBatch], like: dict[int, dict[str, np.dtype
             found[kind].append(columns)
     out = {}
     for kind, parts in found.items():
-        names = [*like[kind], "bucket"]
-        kinds = [*like[kind].values(), np.int32]
-        out[kind] = {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, t) for c, t in zip(names, kinds)}
+        kinds = {**like[kind], "bucket": np.int32}
+        # column by column, each part going as soon as it is copied
+        out[kind] = {c: np.concatenate([p.pop(c) for p in parts]) if parts else np.zeros(0, t) for c, t in kinds.items()}
     return out
 
 

@@ -238,12 +238,13 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, key: str = "
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = gather(batches, {KEYS: KEY_LIKE})[KEYS]
-        keys = got["bucket"].astype(np.uint64) << np.uint64(32) | (got["short"] >> np.uint32(1))
-        whole, doc = (got["short"] & np.uint32(1)).astype(bool), got["doc"]
-        if not len(keys):
+        if not len(got["doc"]):
             return
-        order = np.argsort(keys, kind="stable")
-        keys, whole, doc = keys[order], whole[order], doc[order]
+        # a task has one bucket, so 31 bits of the hash are the whole key
+        order = np.argsort(got["short"] >> np.uint32(1), kind="stable")
+        short, doc = got["short"][order], got["doc"][order]
+        del got, order
+        keys, whole = short >> np.uint32(1), (short & np.uint32(1)).astype(bool)
         new = np.concatenate(([True], keys[1:] != keys[:-1]))
         hub = np.minimum.reduceat(np.where(whole, doc, np.iinfo(np.int64).max), np.flatnonzero(new))[np.cumsum(new) - 1]
         edge = (hub != doc) & (hub != np.iinfo(np.int64).max)

@@ -84,10 +84,13 @@ class Block:
         return np.diff(total[self.offsets])
 
 
+def _offsets(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+
+
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     column = pc.fill_null(column, "")
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    at, data = _offsets(column), column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return data[at[0] : at[-1]], at - at[0]
 
@@ -101,16 +104,13 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
-        data, offsets = _flat(pc.utf8_lower(texts) if lower else texts)
-        first = 0
+        offsets, first = _offsets(texts), 0
         while first < batch.num_rows:
             last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
             last = min(max(last, first + 1), batch.num_rows)
-            yield Block(
-                batch.slice(first, last - first),
-                data[offsets[first] : offsets[last]],
-                offsets[first : last + 1] - offsets[first],
-            )
+            part = texts.slice(first, last - first)
+            data, own = _flat(pc.utf8_lower(part) if lower else part)
+            yield Block(batch.slice(first, last - first), data, own)
             first = last
 
 
