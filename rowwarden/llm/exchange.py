@@ -45,13 +45,19 @@ def settle(df: DataFrame) -> DataFrame:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
+_LABELS: dict[int, list[int]] = {}
+
+
 def labels(spark: SparkSession, n: int) -> list[int]:
     """A number for each of n buckets that Spark's hash partitioner sends to a partition of its own."""
+    if n in _LABELS:  # the hash is the same in every session
+        return _LABELS[n]
     ids = spark.range(n * (int(np.log(n + 1)) + 8)).select(F.col("id").cast("int").alias("label"))
     firsts = ids.groupBy(F.pmod(F.hash("label"), F.lit(n)).alias("at")).agg(F.min("label").alias("label"))
     found = {r.at: r.label for r in firsts.collect()}  # one row per partition
     spare = iter(range(10**9, 10**9 + n))
-    return [found[k] if k in found else next(spare) for k in range(n)]
+    _LABELS[n] = [found[k] if k in found else next(spare) for k in range(n)]
+    return _LABELS[n]
 
 
 def pack(columns: Columns) -> bytes:

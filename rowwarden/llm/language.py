@@ -30,7 +30,7 @@ UNKNOWN = "und"
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)  # n-gram bytes, a word's edges included
 PER_LANGUAGE = 4000  # labelled documents read per language, as the sample's expected size
-MAX_LANGUAGES = 512  # the model's width; more labels than that are refused
+MAX_LANGUAGES = 128  # the model's width; more labels than that are refused
 SWITCH_PENALTY = 12.0  # nats
 LEAST_SCRIPT_SHARE = 0.001
 HELD_OUT = 5
