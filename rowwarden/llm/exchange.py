@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm.textblocks import CHUNK_BYTES, Block, mix
+from rowwarden.llm.textblocks import CHUNK_BYTES, Block, mix, release
 from rowwarden.session import cut_lineage
 
 SCHEMA = "bucket int, kind int, n int, load binary"
@@ -101,6 +101,8 @@ def batched(records: Iterator[tuple[int, int, int, bytes]], limit: int = 4 << 20
             held, size = [], 0
     if held:
         yield rows(held)
+    del held
+    release()
 
 
 def scatter(parts: Iterator[tuple[np.ndarray, Columns]], kind: int = 0) -> Iterator[tuple[int, int, int, bytes]]:

@@ -21,7 +21,6 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +50,11 @@ def _ddl(fields) -> str:
     return ", ".join(f"`{name}` long" for name, _ in fields)
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str):
-    """The vocabulary file as an encoder whose ids equal those of the file's own library."""
+    """The vocabulary file as an encoder whose ids equal those of the file's own library, and its special strings.
+
+    Made once per task and not kept: it is large, and workers go on to other work.
+    """
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
@@ -67,8 +68,8 @@ def encoder(path: str):
     return tiktoken.Encoding("byte_level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), tuple(special)
 
 
-def token_ids(path: str, text: str) -> list[int]:
-    encoding, special = encoder(path)
+def token_ids(made: tuple, text: str) -> list[int]:
+    encoding, special = made
     if any(s in text for s in special):
         return encoding.encode(text, allowed_special="all", disallowed_special=())
     return encoding.encode_ordinary(text)
@@ -134,11 +135,12 @@ def pack(
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        bins = Filler(part << 36, capacity)
+        bins, made = Filler(part << 36, capacity), None
         for block in blocks(batches, text):
+            made = made or encoder(path)
             out: list[tuple] = []
             for i, doc in enumerate(block.column(key).to_pylist()):
-                ids = np.array([*token_ids(path, block.text(i)), end_id], "<u4")
+                ids = np.array([*token_ids(made, block.text(i)), end_id], "<u4")
                 total, start = len(ids), 0
                 for k, size in cut(total, capacity, classes, waste):
                     while size:  # the last class is cut where its sequence is full

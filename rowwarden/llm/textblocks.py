@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -95,6 +96,13 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back: Python workers live on from task to task, beside the JVM's heap."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES, lower: bool = False) -> Iterator[Block]:
     """Rows in order, in blocks of at most `limit` text bytes (or one longer row); null text is empty.
 
@@ -112,6 +120,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             data, own = _flat(pc.utf8_lower(part) if lower else part)
             yield Block(batch.slice(first, last - first), data, own)
             first = last
+    release()
 
 
 @dataclass
