@@ -44,7 +44,7 @@ def parse_permissive(spark, folder):
 
 
 @query(
-    """SELECT event_id, CASE WHEN j IS NULL THEN 'malformed-json' ELSE '' END AS errors,
+    """SELECT event_id, CASE WHEN j IS NULL THEN 'no JSON object' ELSE '' END AS errors,
       CASE WHEN j IS NOT NULL THEN raw END AS payload FROM rawj""",
     ("rawj",),
 )
