@@ -45,7 +45,7 @@ def well_formed(df: DataFrame, raw: str, names: Sequence[str], keep: Sequence[st
 
 
 def with_errors(df: DataFrame, raw: str, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """All rows; malformed text gets `errors = [malformed-json]` and a null payload."""
+    """All rows; malformed text gets `errors = [no JSON object]` and a null payload."""
     kept = [raw, *[c for c in keep if c != raw]]
     return messages(df, raw, names, kept).withColumns(
         {
