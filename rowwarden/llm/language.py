@@ -2,7 +2,9 @@
 
 Fit: a bounded sample of labelled documents (about `PER_LANGUAGE` of each language, chosen by a hash
 of the id, so alike on every run) gives smoothed log-likelihoods of hashed byte n-grams per language
-and the scripts each language is written in. The model has `BUCKETS` rows whatever the input.
+and the scripts each language is written in. The model has `BUCKETS` rows whatever the input, and a
+column for every label there is. Tasks hold counts of `HELD_LANGUAGES` languages and scores of
+`CELLS` words times languages at a time, and the driver reads `HELD_LANGUAGES` columns at a time.
 
 Prediction, per text: the script of a word (from the byte ranges of its letters) narrows the
 languages it can be in; the word's n-grams score those that are left; Viterbi over the words, with
@@ -25,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowwarden.llm.textblocks import Block, Words, beside, blocks, mix, prefix, span_hash, words
+from rowwarden.session import cut_lineage
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)  # n-gram bytes, a word's edges included
 PER_LANGUAGE = 4000  # labelled documents read per language, as the sample's expected size
-MAX_LANGUAGES = 128  # the model's width; more labels than that are refused
+HELD_LANGUAGES = 64  # languages whose counts a task or the driver holds at a time
+CELLS = 1 << 22  # words times languages scored at a time (or one longer text)
 SWITCH_PENALTY = 12.0  # nats
 LEAST_SCRIPT_SHARE = 0.001
 HELD_OUT = 5
@@ -94,9 +98,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id",
     """Model of the labelled documents that are not held out, from a bounded sample of them."""
     labelled = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("body"), F.col(lang).cast("string").alias("label"))
     labelled = labelled.where(F.col("label").isNotNull() & F.col("body").isNotNull() & ~held_out(F.col("k")))
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}  # one row per language
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
@@ -105,55 +107,79 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id",
     sample = labelled.where(draw < share[F.col("label")]).select("body", F.array_position(F.array(*map(F.lit, languages)), F.col("label")).alias("number"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((BUCKETS + len(SCRIPTS), len(languages)), np.int64)
+        total: dict[int, np.ndarray] = {}
+
+        def flush():
+            for c, own in sorted(total.items()):
+                at = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), c, np.int64)), pa.array(own[at])], names=["feature", "number", "n"])
+            total.clear()
+
         for block in blocks(batches, "body", lower=True):
             found = words(block)
             number = block.column("number").to_numpy(zero_copy_only=False)[found.row].astype(np.int64) - 1
             if not len(found.start):
                 continue
             _, first, which = _distinct(block, found)
-            start, end = found.start[first], found.end[first]
+            which = which.reshape(-1)
             script = word_scripts(block.data, found.start, found.end)
-            present = np.unique(number)
-            often = {c: np.bincount(which[number == c], minlength=len(first)) for c in present}
-            for bucket, word in grams(block.data, start, end):
-                for c in present:
-                    total[:BUCKETS, c] += np.bincount(bucket, often[c][word], BUCKETS).astype(np.int64)
-            for c in present:
-                total[BUCKETS:, c] += np.bincount(script[number == c], minlength=len(SCRIPTS))
-        row, column = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(column), pa.array(total[row, column])], names=["feature", "number", "n"])
-
-    # at most (BUCKETS + scripts) x languages rows
-    summed = sample.mapInArrow(run, "feature long, number long, n long").groupBy("feature", "number").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros((BUCKETS + len(SCRIPTS), len(languages)))
-    total[summed.column("feature").to_numpy(), summed.column("number").to_numpy()] = summed.column("n").to_numpy()
-    grammed, scripts = total[:BUCKETS] + 0.5, total[BUCKETS:]
-    weights = np.log(grammed / grammed.sum(0)).astype(np.float32)
-    allowed = scripts >= LEAST_SCRIPT_SHARE * np.maximum(scripts[1:].sum(0), 1)
+            order = np.argsort(number, kind="stable")
+            edge = np.flatnonzero(np.diff(number[order], prepend=-1, append=-1))
+            for a, b in zip(edge[:-1], edge[1:]):
+                mine = order[a:b]
+                c = int(number[mine[0]])
+                if c not in total and len(total) >= HELD_LANGUAGES:
+                    yield from flush()
+                own = total.setdefault(c, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
+                kinds, often = np.unique(which[mine], return_counts=True)
+                for bucket, word in grams(block.data, found.start[first[kinds]], found.end[first[kinds]]):
+                    own[:BUCKETS] += np.bincount(bucket, often[word], BUCKETS).astype(np.int64)
+                own[BUCKETS:] += np.bincount(script[mine], minlength=len(SCRIPTS))
+        yield from flush()
+
+    # at most (BUCKETS + scripts) x languages rows, read for some languages at a time
+    summed = sample.mapInArrow(run, "feature long, number long, n long").groupBy("feature", "number").agg(F.sum("n").alias("n"))
+    if len(languages) > HELD_LANGUAGES:
+        summed = cut_lineage(summed)
+    weights = np.zeros((BUCKETS, len(languages)), np.float32)
+    allowed = np.zeros((len(SCRIPTS), len(languages)), bool)
+    for low in range(0, len(languages), HELD_LANGUAGES):
+        high = min(low + HELD_LANGUAGES, len(languages))
+        part = summed.where(F.col("number").between(low, high - 1)).toArrow()
+        total = np.zeros((BUCKETS + len(SCRIPTS), high - low))
+        total[part.column("feature").to_numpy(), part.column("number").to_numpy() - low] = part.column("n").to_numpy()
+        grammed, scripts = total[:BUCKETS] + 0.5, total[BUCKETS:]
+        weights[:, low:high] = np.log(grammed / grammed.sum(0))
+        allowed[:, low:high] = scripts >= LEAST_SCRIPT_SHARE * np.maximum(scripts[1:].sum(0), 1)
     allowed[~allowed.any(1)] = True
     allowed[0] = True
     return Model(languages, weights, allowed)
 
 
-def word_scores(model: Model, block: Block, found: Words) -> np.ndarray:
-    """Words x languages: log-likelihoods, -inf-like where the script rules a language out."""
-    keys, first, which = _distinct(block, found)
+def word_scores(model: Model, block: Block, found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words x languages: log-likelihoods, -inf-like where the script rules a language out; and the number of every word."""
+    _, first, which = _distinct(block, found)
     start, end = found.start[first], found.end[first]
-    script = word_scripts(block.data, start, end)
+    script = word_scripts(block.data, found.start, found.end)[first]  # of words in order
     scores = np.zeros((len(first), len(model.languages)), np.float32)
-    for bucket, word in grams(block.data, start, end):
-        for c in range(len(model.languages)):
-            scores[:, c] += np.bincount(word, model.weights[bucket, c], len(first))
-    scores = np.where(model.scripts[script], scores, scores.min() - 1e4 if len(scores) else 0)
-    scores[script == 0] = 0  # digits and signs speak for no language
-    return scores[which.reshape(-1)]
-
-
-def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
-    """The best language of every word, switches costing `penalty`; all texts advance together."""
-    n, width = scores.shape
-    label = np.zeros(n, np.int16)
+    for s in np.unique(script[script > 0]):  # digits and signs speak for no language
+        own, able = np.flatnonzero(script == s), np.flatnonzero(model.scripts[s])
+        for bucket, word in grams(block.data, start[own], end[own]):
+            for c in able:
+                scores[own, c] += np.bincount(word, model.weights[bucket, c], len(own))
+    bar = scores.min() - 1e4 if len(scores) else 0
+    for s in np.unique(script[script > 0]):
+        scores[np.ix_(script == s, ~model.scripts[s])] = bar
+    return scores, which.reshape(-1)
+
+
+def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float, which: np.ndarray | None = None) -> np.ndarray:
+    """The best language of every word, switches costing `penalty`; all texts advance together.
+
+    scores: a row per word, or per distinct word with `which` as the row of every word.
+    """
+    n, width = len(scores) if which is None else len(which), scores.shape[1]
+    label = np.zeros(n, np.int32)
     if not n or width == 1:
         return label
     size = np.diff(first)
@@ -162,8 +188,8 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
     longest = int(size[0])
     active = np.searchsorted(-size, -np.arange(longest), "left")  # texts with more than t words
     best = np.zeros((len(size), width), np.float64)
-    stayed = np.ones((n, width), bool)
-    source = np.zeros(n, np.int16)
+    stayed = np.zeros((n, -(-width // 8)), np.uint8)  # a bit per word and language
+    source = np.zeros(n, np.int32)
     for t in range(longest):
         live = best[: active[t]]
         at = heads[: active[t]] + t
@@ -171,16 +197,17 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
             top = live.argmax(1)
             jump = live[np.arange(len(live)), top] - penalty
             keep = live >= jump[:, None]
-            stayed[at], source[at] = keep, top
+            stayed[at], source[at] = np.packbits(keep, axis=1), top
             np.maximum(live, jump[:, None], out=live)
             live -= live.max(1, keepdims=True)
-        live += scores[at]
+        live += scores[at if which is None else which[at]]
     now = best.argmax(1)
     for t in range(longest - 1, -1, -1):
         at = heads[: active[t]] + t
         live = now[: active[t]]
         label[at] = live
-        now[: active[t]] = np.where(stayed[at, live], live, source[at])
+        if t:
+            now[: active[t]] = np.where(stayed[at, live >> 3] >> (7 - (live & 7)) & 1, live, source[at])
     return label
 
 
@@ -192,6 +219,15 @@ def has_letter(block: Block) -> np.ndarray:
     return plain
 
 
+def _slices(found: Words, width: int) -> Iterator[tuple[int, int]]:
+    """Rows [a, b) of a block whose words and rows times languages are at most CELLS, or one row."""
+    done, docs, a = found.first + np.arange(len(found.first)), len(found.first) - 1, 0
+    while a < docs:
+        b = min(max(int(np.searchsorted(done, done[a] + CELLS // width, "right")) - 1, a + 1), docs)
+        yield a, b
+        a = b
+
+
 def _labels(model: Model, penalty: float, block: Block) -> dict[str, pa.Array]:
     """Predicted language, its share of the letters, and the spans, per row of a block in lower case."""
     names, width = np.array([*model.languages, UNKNOWN], object), len(model.languages)
@@ -201,11 +237,17 @@ def _labels(model: Model, penalty: float, block: Block) -> dict[str, pa.Array]:
     pred, share = np.full(docs, width), np.zeros(docs)
     spans: list[list[dict]] = [[] for _ in range(docs)]
     if len(found.start) and width:
-        label = viterbi(word_scores(model, block, found), found.first, penalty)
+        label = np.zeros(len(found.start), np.int32)
         weight = np.where(word_scripts(block.data, found.start, found.end) > 0, found.end - found.start, 0)
-        mass = np.bincount(found.row * width + label, weight, docs * width).reshape(docs, width)
-        pred = np.where(letter, mass.argmax(1), width)
-        share = np.where(letter, mass.max(1) / np.maximum(mass.sum(1), 1), 0.0)
+        for a, b in _slices(found, width):
+            part = slice(found.first[a], found.first[b])
+            own = Words(found.start[part], found.end[part], found.row[part] - a, found.first[a : b + 1] - found.first[a])
+            scores, which = word_scores(model, block, own)
+            label[part] = viterbi(scores, own.first, penalty, which)
+            del scores
+            mass = np.bincount(own.row * width + label[part], weight[part], (b - a) * width).reshape(b - a, width)
+            pred[a:b] = np.where(letter[a:b], mass.argmax(1), width)
+            share[a:b] = np.where(letter[a:b], mass.max(1) / np.maximum(mass.sum(1), 1), 0.0)
         edge = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (found.row[1:] != found.row[:-1]))))
         last = np.concatenate((edge[1:], [len(label)])) - 1
         for a, b, d in zip(edge, last, found.row[edge]):

@@ -81,3 +81,15 @@ def test_held_out_accuracy(spark):
     assert len(rows) == 1000
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     assert np.mean([r.lang_pred == r.lang for r in rows if r.held_out]) > 0.98
+
+
+def test_more_languages_than_are_held_at_a_time(spark):
+    rng = np.random.default_rng(4)
+    spoken = {f"l{k:03}": ["".join(rng.choice(list("abcdefghijklmnopqrst"), 6)) for _ in range(6)] for k in range(150)}
+    rows = [(i, " ".join(spoken[la] * 3), la, None) for i, la in enumerate(sorted(spoken) * 4)]
+    model = language.fit(frame(spark, rows))
+    assert model.languages == sorted(spoken)
+    docs = frame(spark, rows + [(9000, " ".join(spoken["l003"] * 3 + spoken["l149"] * 3), None, None)])
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert all(got[i].lang_pred == la and got[i].score == 1 for i, _, la, _ in rows)
+    assert [s.lang for s in got[9000].spans] == ["l003", "l149"]
