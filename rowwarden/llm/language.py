@@ -6,7 +6,7 @@ and the scripts each language is written in. The model has `BUCKETS` rows whatev
 column for every label there is. Tasks hold counts of `HELD_LANGUAGES` languages and scores of
 `CELLS` words times languages at a time, and the driver reads `HELD_LANGUAGES` columns at a time.
 
-Prediction, per text: the script of a word (from the byte ranges of its letters) narrows the
+Prediction, per text: the script of a word (from the code points of its letters) narrows the
 languages it can be in; the word's n-grams score those that are left; Viterbi over the words, with
 a penalty for every switch of language, labels the text with spans. The predicted language is the
 one whose spans hold most letters, and the score is its share of the letters.
@@ -39,15 +39,26 @@ SWITCH_PENALTY = 12.0  # nats
 LEAST_SCRIPT_SHARE = 0.001
 HELD_OUT = 5
 
-# scripts by the lead byte of a letter: ranges of UTF-8 lead bytes and their script number
-SCRIPTS = ("none", "latin", "greek", "cyrillic", "hebrew", "arabic", "south_asian", "kana", "han", "hangul", "other")
-_LEADS = [
-    (0x41, 0x5A, 1), (0x61, 0x7A, 1), (0xC3, 0xCA, 1), (0xCD, 0xCF, 2), (0xD0, 0xD4, 3), (0xD6, 0xD7, 4),
-    (0xD8, 0xDB, 5), (0xE0, 0xE0, 6), (0xE1, 0xE2, 10), (0xE3, 0xE3, 7), (0xE4, 0xE9, 8), (0xEA, 0xED, 9), (0xEE, 0xF4, 10),
+# scripts by ranges of code points; a letter outside them is of script "other", and what is no letter of "none"
+SCRIPTS = (
+    "none", "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "syriac", "thaana", "nko",
+    "south_asian", "georgian", "ethiopic", "kana", "han", "hangul", "other",
+)
+_RANGES = [
+    (0x0000, 0x02AF, "latin"), (0x1D00, 0x1D25, "latin"), (0x1E00, 0x1EFF, "latin"), (0x2C60, 0x2C7F, "latin"), (0xA722, 0xA7FF, "latin"),
+    (0xAB30, 0xAB64, "latin"), (0xFB00, 0xFB06, "latin"), (0xFF21, 0xFF5A, "latin"), (0x0370, 0x03FF, "greek"), (0x1F00, 0x1FFF, "greek"),
+    (0x0400, 0x052F, "cyrillic"), (0x1C80, 0x1C8F, "cyrillic"), (0x2DE0, 0x2DFF, "cyrillic"), (0xA640, 0xA69F, "cyrillic"),
+    (0x0530, 0x058F, "armenian"), (0xFB13, 0xFB17, "armenian"), (0x0590, 0x05FF, "hebrew"), (0xFB1D, 0xFB4F, "hebrew"),
+    (0x0600, 0x06FF, "arabic"), (0x0750, 0x077F, "arabic"), (0x0870, 0x08FF, "arabic"), (0xFB50, 0xFDFF, "arabic"), (0xFE70, 0xFEFE, "arabic"),
+    (0x0700, 0x074F, "syriac"), (0x0860, 0x086F, "syriac"), (0x0780, 0x07BF, "thaana"), (0x07C0, 0x07FF, "nko"), (0x0900, 0x0FFF, "south_asian"),
+    (0x10A0, 0x10FF, "georgian"), (0x1C90, 0x1CBF, "georgian"), (0x2D00, 0x2D2F, "georgian"), (0x1200, 0x139F, "ethiopic"), (0x2D80, 0x2DDF, "ethiopic"),
+    (0x3040, 0x30FF, "kana"), (0x31F0, 0x31FF, "kana"), (0xFF66, 0xFF9F, "kana"), (0x3005, 0x3007, "han"), (0x3400, 0x9FFF, "han"), (0xF900, 0xFAFF, "han"),
+    (0x20000, 0x3FFFF, "han"), (0x1100, 0x11FF, "hangul"), (0x3130, 0x318F, "hangul"), (0xA960, 0xA97F, "hangul"), (0xAC00, 0xD7FF, "hangul"),
 ]
-SCRIPT_OF = np.zeros(256, np.uint8)
-for _low, _high, _script in _LEADS:
-    SCRIPT_OF[_low : _high + 1] = _script
+_POINTS = 0x40000  # no letter lies above
+SCRIPT_OF = np.fromiter((chr(c).isalpha() for c in range(_POINTS)), bool, _POINTS) * np.uint8(len(SCRIPTS) - 1)
+for _low, _high, _script in _RANGES:
+    SCRIPT_OF[_low : _high + 1] = np.where(SCRIPT_OF[_low : _high + 1] > 0, SCRIPTS.index(_script), 0)
 
 
 @dataclass
@@ -83,9 +94,24 @@ def grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tupl
             yield (mix(code[ok] * np.uint64(8) + np.uint64(n)) >> np.uint64(48)).astype(np.int32), word[ok]
 
 
+def letter_scripts(data: np.ndarray) -> np.ndarray:
+    """The script number of the character that starts at each byte of UTF-8 text (0: no letter, or not a first byte)."""
+    out = SCRIPT_OF[:256][data]
+    out[data >= 0x80] = 0
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        byte = data[lead].astype(np.int32)
+        point = byte & np.where(byte < 0xE0, 0x1F, np.where(byte < 0xF0, 0x0F, 0x07))
+        for k, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+            more = byte >= least
+            point[more] = point[more] << 6 | data[lead[more] + k] & 0x3F
+        out[lead] = np.where(point < _POINTS, SCRIPT_OF[np.minimum(point, _POINTS - 1)], 0)
+    return out
+
+
 def word_scripts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The highest script number among the letters of each word (0: no letter)."""
-    return np.maximum.reduceat(SCRIPT_OF[data], start) if len(start) else np.zeros(0, np.uint8)
+    """The highest script number among the letters of each of the given words, in order (0: no letter)."""
+    return np.maximum.reduceat(letter_scripts(data), start) if len(start) else np.zeros(0, np.uint8)
 
 
 def _distinct(block: Block, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,8 +267,9 @@ def _labels(model: Model, penalty: float, block: Block) -> dict[str, pa.Array]:
         weight = np.where(word_scripts(block.data, found.start, found.end) > 0, found.end - found.start, 0)
         for a, b in _slices(found, width):
             part = slice(found.first[a], found.first[b])
-            own = Words(found.start[part], found.end[part], found.row[part] - a, found.first[a : b + 1] - found.first[a])
-            scores, which = word_scores(model, block, own)
+            low, high = block.offsets[a], block.offsets[b]
+            own = Words(found.start[part] - low, found.end[part] - low, found.row[part] - a, found.first[a : b + 1] - found.first[a])
+            scores, which = word_scores(model, Block(None, block.data[low:high], block.offsets[a : b + 1] - low), own)
             label[part] = viterbi(scores, own.first, penalty, which)
             del scores
             mass = np.bincount(own.row * width + label[part], weight[part], (b - a) * width).reshape(b - a, width)

@@ -93,3 +93,42 @@ def test_more_languages_than_are_held_at_a_time(spark):
     got = {r.doc_id: r for r in language.identify(docs, model).collect()}
     assert all(got[i].lang_pred == la and got[i].score == 1 for i, _, la, _ in rows)
     assert [s.lang for s in got[9000].spans] == ["l003", "l149"]
+
+
+BLOCKS = {
+    "latin": "rivière người", "greek": "ποταμός ἄνθρωπος", "cyrillic": "река ԁом", "armenian": "գետ ջուր օր", "hebrew": "נהר בית", "arabic": "نهر بيت ݐݑ", "syriac": "ܢܗܪܐ ܒܝܬܐ",
+    "thaana": "ދިވެހި ބަސް", "nko": "ߒߞߏ ߞߊ߲", "south_asian": "नदी แม่น้ำ", "georgian": "მდინარე სახლი", "ethiopic": "ወንዝ ቤት", "kana": "かわ カワ", "han": "河川 𠀀",
+    "hangul": "강물 집", "other": "ទន្លេ မြစ် ᏣᎳᎩ 𐐨𐐩",
+}
+
+
+def test_every_letter_has_a_script():
+    assert set(BLOCKS) == set(language.SCRIPTS[1:])
+    for name, text in BLOCKS.items():
+        data = np.frombuffer(text.encode(), np.uint8)
+        start = np.array([0, *(np.flatnonzero(data == 0x20) + 1)])
+        assert {language.SCRIPTS[s] for s in language.word_scripts(data, start, start)} == {name}
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    data = np.frombuffer("".join(letters).encode(), np.uint8)
+    assert np.count_nonzero(language.letter_scripts(data)) == len(letters)
+    assert not language.letter_scripts(np.frombuffer("“1” – … × « ٣ ₿".encode(), np.uint8)).any()
+
+
+def test_one_text_per_script(spark):
+    rows = [(100 * k + i, text, f"in_{name}", None) for k, (name, text) in enumerate(BLOCKS.items()) for i in range(20)]
+    rows += [(9000 + i, "aaaa bbbb cccc", "aa", None) for i in range(20)]  # first in alphabetical order
+    model = language.fit(frame(spark, rows))
+    got = {r.doc_id: r for r in language.identify(frame(spark, rows, 1), model).collect()}
+    assert all((got[d].lang_pred, got[d].score) == (la, 1.0) for d, _, la, _ in rows)
+
+
+def test_slices_change_nothing(spark, monkeypatch):
+    rows = [(100 * k + i, f"{text} {i}", f"in_{name}", None) for i in range(4) for k, (name, text) in enumerate(BLOCKS.items())]
+    model = language.fit(frame(spark, rows))
+    block = next(language.blocks(iter(frame(spark, rows, 1).select("text").toArrow().combine_chunks().to_batches()), "text", lower=True))
+    got = []
+    for cells in (language.CELLS, 1, 200):
+        monkeypatch.setattr(language, "CELLS", cells)
+        got.append({k: v.to_pylist() for k, v in language._labels(model, language.SWITCH_PENALTY, block).items()})
+    assert got[0] == got[1] == got[2]
+    assert set(got[0]["lang_score"]) == {1.0}
