@@ -4,12 +4,15 @@ Base kinds (fixed patterns): `assign`, `access`, `hex`. Confirmed kinds, added b
 
 * `token`: three base64url segments whose first decodes to a JSON object with a text `alg` and
   whose second decodes to a JSON object (an encrypted form has five segments and an `enc`);
-* `key`: a base64 or hex candidate, plain or in key armour, that decodes to a private key: a DER
-  sequence whose nested lengths all add up and whose members are those of a PKCS#1, PKCS#8, SEC 1
-  or DSA private key, or the OpenSSH private key container with all its length fields.
+* `key`: a base64 or hex candidate, plain, wrapped in lines or in key armour, that decodes to a
+  private key: a DER sequence whose nested lengths all add up and whose members are those of a
+  PKCS#1, PKCS#8 (encrypted or not), SEC 1 or DSA private key, or the OpenSSH private key container
+  with all its length fields; or that decodes to text with such a key in armour. Armour may hold
+  header lines; where they name a cipher, the body is whole blocks of it. Line ends may be escaped.
 
 A block of texts is first scanned as bytes, array-wise: only texts that hold a long run of the
-right alphabet, `AKIA`, or a `:` or `=` can match, and only those are looked at one by one.
+right alphabet, one that a dot joins to another, armour, `AKIA`, or a `:` or `=` can match, and only
+those are looked at one by one. Every long enough candidate is decoded; its structure decides.
 
 Null or empty text: no spans. Offsets are code points, ends exclusive. Spans of different kinds may
 overlap; spans of one kind never do. Repeated rows: one result each. Empty table: empty result.
@@ -44,8 +47,15 @@ HEX_LEAST = 24
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")  # a maximal run of 24 or more is what HEX finds and keeps
 
 CODED_LEAST = 40  # shortest coded candidate: an Ed25519 private key is 48 DER bytes
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*(?:\.[A-Za-z0-9_-]+){2,4}(?![A-Za-z0-9_-])")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+HEADER_LEAST = 12  # characters of the shortest token header
+# looked ahead, as any segment may be the first one of a token
+SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{12,}(?:\.[A-Za-z0-9_-]*(?:\.[A-Za-z0-9_-]+){3}|(?:\.[A-Za-z0-9_-]+){2}))(?![A-Za-z0-9_-]))")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([^-]*(?:-(?!----)[^-]*)*)-----END \1PRIVATE KEY-----")
+ARMOUR_HEADER = re.compile(r"^[ \t]*([A-Za-z][A-Za-z0-9-]*):[ \t]*([^\n]*(?:\n[ \t]+[^\n:]*,[^\n:]*)*)$", re.MULTILINE)
+CIPHER = re.compile(r"[A-Z0-9-]+,\s*([0-9A-Fa-f]{16}|[0-9A-Fa-f]{32})\s*")
+ESCAPED_END = re.compile(r"(?<!\\)\\+(?:[nrt]|u000[9aAdD]|(?=\r?\n))")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:[ \t\r]*\n\s*[A-Za-z0-9+/_-]+={0,2})+(?![A-Za-z0-9+/_-])")
+LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
 CODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 CODED_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){20,}(?![0-9A-Fa-f])")
 
@@ -111,6 +121,19 @@ def is_der_key(der: bytes) -> bool:
     return version == 0 and tags == [INTEGER] * 6 and len(inside[1][1]) >= 32  # DSA
 
 
+# PKCS#5 and PKCS#12 password-based encryption
+PASSWORD_BASED = bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01")
+
+
+def is_encrypted_key(der: bytes) -> bool:
+    """Whether `der` is one encrypted PKCS#8 key: how it is encrypted, then the encrypted octets."""
+    inside = _sequence(der)
+    if not inside or [tag for tag, _ in inside] != [SEQUENCE, OCTETS] or len(inside[1][1]) < 16:
+        return False
+    algorithm = members(inside[0][1])
+    return bool(algorithm) and [tag for tag, _ in algorithm] == [OBJECT, SEQUENCE] and algorithm[0][1].startswith(PASSWORD_BASED) and bool(members(algorithm[1][1]))
+
+
 def is_ssh_key(raw: bytes) -> bool:
     """Whether `raw` is an OpenSSH private key container whose length fields all hold."""
     magic = b"openssh-key-v1\0"
@@ -135,7 +158,28 @@ def is_ssh_key(raw: bytes) -> bool:
 
 
 def is_key(raw: bytes | None) -> bool:
-    return bool(raw) and (is_der_key(raw) or is_ssh_key(raw))
+    return bool(raw) and (is_der_key(raw) or is_encrypted_key(raw) or is_ssh_key(raw))
+
+
+def is_armoured(body: str) -> bool:
+    """Whether the text between the lines of key armour is a key."""
+    headers = {m[1].lower(): m[2] for m in ARMOUR_HEADER.finditer(body)}
+    raw = decode64(ARMOUR_HEADER.sub("", body).replace("\\/", "/"))
+    if raw and "ENCRYPTED" in headers.get("proc-type", "") and (cipher := CIPHER.fullmatch(headers.get("dek-info", ""))):
+        return len(raw) >= 32 and len(raw) % (len(cipher[1]) // 2) == 0
+    return is_key(raw)
+
+
+def unescaped(text: str) -> str:
+    """text with escaped line ends as line ends, every character at its place."""
+    return ESCAPED_END.sub(lambda m: " " * (len(m[0]) - 1) + "\n", text) if "\\" in text else text
+
+
+def holds_key(raw: bytes | None) -> bool:
+    """Whether decoded bytes are a key, or text with a key in armour."""
+    if not raw:
+        return False
+    return is_key(raw) or b"PRIVATE KEY-----" in raw and any(is_armoured(m[2]) for m in ARMOUR.finditer(unescaped(raw.decode("latin-1"))))
 
 
 def _object(segment: str) -> dict | None:
@@ -162,15 +206,37 @@ def base_spans(text: str) -> list[Span]:
     return found + [(m.start(), m.end(), "hex") for m in HEX_RUN.finditer(text)]
 
 
+def wrapped_keys(text: str, lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Keys in lines of base64: lines of one width, and mostly a shorter last one."""
+    keys, i = [], 0
+    while i < len(lines):
+        width, j = lines[i][1] - lines[i][0], i + 1
+        while j < len(lines) and lines[j][1] - lines[j][0] == width:
+            j += 1
+        tail = j < len(lines) and lines[j][1] - lines[j][0] < width
+        for last in (j + 1, j) if tail else (j,):
+            if width >= CODED_LEAST and last - i > 1 and holds_key(decode64("".join(text[a:b] for a, b in lines[i:last]))):
+                keys.append((lines[i][0], lines[last - 1][1]))
+                j = last
+                break
+        i = j
+    return keys
+
+
 def confirmed_spans(text: str) -> list[Span]:
-    found = [(m.start(), m.end(), "token") for m in SIGNED.finditer(text) if is_signed(m[0])]
-    keys = [(m.start(), m.end()) for m in ARMOUR.finditer(text) if is_key(decode64(m[2]))]
-    for m in CODED.finditer(text):
-        if m[0][0] in "Mb" and is_key(decode64(m[0])):  # a DER sequence or the OpenSSH magic starts so
-            keys.append(m.span())
-    for m in CODED_HEX.finditer(text):
-        if m[0][:2] in ("30", "6f", "6F") and is_key(bytes.fromhex(m[0])):
-            keys.append(m.span())
+    text = unescaped(text)
+    found, end = [], 0
+    for m in SIGNED.finditer(text):
+        parts = m[1].split(".")
+        token = next((t for t in (m[1], ".".join(parts[:3])) if is_signed(t)), None) if m.start() >= end else None
+        if token:
+            end = m.start() + len(token)
+            found.append((m.start(), end, "token"))
+    keys = [(m.start(), m.end()) for m in ARMOUR.finditer(text) if is_armoured(m[2])]
+    keys += [m.span() for m in CODED.finditer(text) if holds_key(decode64(m[0]))]
+    keys += [m.span() for m in CODED_HEX.finditer(text) if holds_key(bytes.fromhex(m[0]))]
+    for m in WRAPPED.finditer(text):
+        keys += wrapped_keys(text, [x.span() for x in LINE.finditer(text, m.start(), m.end())])
     keys.sort(key=lambda s: (s[0], -s[1]))
     end = 0
     for s in keys:
@@ -196,8 +262,8 @@ def _suspects(block: Block) -> tuple[np.ndarray, np.ndarray]:
     base[row(start[end - start >= HEX_LEAST])] = True
     start, end = runs(_CODED[data])
     coded[row(start[end - start >= CODED_LEAST])] = True
-    at = np.flatnonzero(data[:-2] == 0x65) if len(data) > 2 else np.zeros(0, np.int64)
-    coded[row(at[(data[at + 1] == 0x79) & (data[at + 2] == 0x4A)])] = True
+    dot = (end - start >= HEADER_LEAST) & (end < len(data) - 1)
+    coded[row(start[dot][data[end[dot]] == 0x2E])] = True
     at = np.flatnonzero(data[:-4] == 0x2D) if len(data) > 4 else np.zeros(0, np.int64)
     coded[row(at[(data[at + 1] == 0x2D) & (data[at + 2] == 0x2D) & (data[at + 3] == 0x2D) & (data[at + 4] == 0x2D)])] = True
     return base, coded

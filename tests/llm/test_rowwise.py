@@ -107,6 +107,46 @@ def test_secret_scan(spark, docs, rows):
         assert sorted(s.kind for s in got[5000 + i]) == sorted(kinds), list(cases)[i]
 
 
+def hidden_secrets() -> dict[str, tuple[str, str]]:
+    """Texts with a secret in a form that only decoding shows: the kind and the value."""
+    key = base64.b64encode(rsa_like()).decode()
+    wrapped = [key[i : i + 64] for i in range(0, len(key), 64)]
+    pem = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *wrapped, "-----END RSA PRIVATE KEY-----", ""])
+    escaped = pem.strip().replace("\n", "\\n")
+    pbes2 = bytes.fromhex("2a864886f70d01050d")
+    locked = der(0x30, der(0x30, der(6, pbes2) + der(0x30, der(4, b"salt"))) + der(4, bytes(range(64))))
+    locked = f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{base64.b64encode(locked).decode()}\n-----END ENCRYPTED PRIVATE KEY-----"
+    cipher = base64.b64encode(bytes(range(64))).decode()
+    old = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{cipher}\n-----END RSA PRIVATE KEY-----"
+    coded = base64.b64encode(pem.encode()).decode()
+    lines = "\n  ".join(coded[i : i + 76] for i in range(0, len(coded), 76))
+    signed = lambda head: f"{url64(head)}.{url64({'sub': 'x'})}.{url64(b'0123456789abcdef')}"
+    out = {f"client-key-data: {coded}": ("key", coded), f"client-key-data: |\n  {lines}\nnext": ("key", lines)}
+    out |= {f'{{"private": "{escaped}\\n"}}': ("key", escaped), f"x {locked} x": ("key", locked), f"x {old} x": ("key", old), f'"{old}"': ("key", old)}
+    out[f'"{old}"'.replace("\n", "\\r\\n")] = ("key", old.replace("\n", "\\r\\n"))
+    out[f"hex {pem.encode().hex()} hex"] = ("key", pem.encode().hex())
+    for head in (b'{ "alg": "HS256" }', b'{\n "alg": "HS256"\n}', b' {"alg":"HS256"}', b'{"alg":"HS256"}'):
+        out[f"documentation.{signed(head)}.Then more"] = ("token", signed(head))
+    return out
+
+
+def test_secrets_that_only_decoding_shows(spark):
+    cases = hidden_secrets()
+    given = frame(spark, [(i, t, None, None) for i, t in enumerate(cases)])
+    got = {r.doc_id: r.spans for r in secret_scan.scan(given).collect()}
+    for i, (text, want) in enumerate(cases.items()):
+        assert want in [(s.kind, s.value) for s in got[i]], text
+
+
+def test_what_decodes_to_no_key_stays():
+    digest = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")) + der(5, b"")) + der(4, bytes(32)))
+    armour = lambda body: f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    public = "-----BEGIN PUBLIC KEY-----\n" + base64.b64encode(rsa_like()[:-1]).decode() + "\n-----END PUBLIC KEY-----\n"
+    short = armour(f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{base64.b64encode(bytes(65)).decode()}")
+    for text in (base64.b64encode(digest).decode(), base64.b64encode(public.encode()).decode(), short, armour("Comment: nothing\n\nnot a key"), "extraordinarily.named.package", "L" * 400):
+        assert not secret_scan.confirmed_spans(text), text
+
+
 def plain_words(text: str | None) -> list[str]:
     return [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
 
