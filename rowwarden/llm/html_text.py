@@ -12,7 +12,7 @@ text, less the parts that count nothing and lists of links, is the result.
 Character references are decoded, white space in a block is one space, and blocks are joined in
 page order by one space. Null or empty html, or a page without such text: the empty text. Broken and
 cut-off html is read as far as it goes. Repeated rows: one result each. Empty table: empty result.
-Whole pages are read; other columns are ignored.
+Whole pages are read, elements nested to any depth; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,9 +62,9 @@ LINK_LIST = 0.6  # share of link text that makes a list one of links
 class Element:
     __slots__ = ("tag", "parent", "path", "nothing", "main", "link", "depth", "listed")
 
-    def __init__(self, tag: str, parent: Element | None, label: str, nothing: bool, main: bool):
+    def __init__(self, tag: str, parent: Element | None, path: int, nothing: bool, main: bool):
         self.tag, self.parent = tag, parent
-        self.path = (parent.path if parent else "") + "/" + label
+        self.path = path  # the number of its tag path on the page
         self.nothing = nothing or bool(parent and parent.nothing)
         self.main = main or bool(parent and parent.main)
         self.link = tag == "a" or bool(parent and parent.link)
@@ -77,7 +77,11 @@ class Reader(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = [Element("", None, "", False, False)]
+        self.paths: dict[tuple[int, str], int] = {}  # of a parent's path and a label
+        self.open = [Element("", None, -1, False, False)]
+        # places of open elements by tag, of those that aren't inline, and of those in SCOPE
+        self.at: dict[str, list[int]] = {}
+        self.blocks, self.scopes = [0], [0]
         self.nodes: list[tuple[Element, int, str]] = []
         self.block, self.silent = 0, 0
 
@@ -87,8 +91,6 @@ class Reader(HTMLParser):
             self._imply_ends(tag)
         if tag in VOID:
             return
-        if len(self.open) > 400:  # hostile nesting: deeper elements count as their ancestor
-            return
         above = self.open[-1]
         # names say something only on containers; a body or html class names the whole page
         named = {} if tag in ("html", "body") else {k: v.lower() for k, v in attrs if v and k in ("class", "id", "role")}
@@ -103,7 +105,13 @@ class Reader(HTMLParser):
             nothing = nothing or not above.main  # an article's own header holds its headline
         main = tag in MAIN or named.get("role") in ("main", "article") or bool(words & MAIN_WORDS and not nothing and tag not in INLINE)
         label = f"{tag}.{'.'.join(sorted(words))}" if words else tag
-        self.open.append(Element(tag, above, label, nothing, main))
+        place = len(self.open)
+        self.open.append(Element(tag, above, self.paths.setdefault((above.path, label), len(self.paths)), nothing, main))
+        self.at.setdefault(tag, []).append(place)
+        if tag not in INLINE:
+            self.blocks.append(place)
+        if tag in SCOPE:
+            self.scopes.append(place)
         if tag in SILENT:
             self.silent += 1
 
@@ -116,19 +124,26 @@ class Reader(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.block += 1
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                self._close(i)
-                return
-            if tag in INLINE and self.open[i].tag not in INLINE or tag not in SCOPE and self.open[i].tag in SCOPE:
-                return
+        place = self._last((tag,))
+        bar = self.blocks[-1] if tag in INLINE else self.scopes[-1] if tag not in SCOPE else 0
+        if place > bar:
+            self._close(place)
 
     def handle_data(self, data):
         if not self.silent and data:
             self.nodes.append((self.open[-1], self.block, data))
 
+    def _last(self, tags) -> int:
+        """The place of the innermost open element with one of the tags (0: none)."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
     def _close(self, i: int):
-        self.silent -= sum(e.tag in SILENT for e in self.open[i:])
+        for e in self.open[i:]:
+            self.silent -= e.tag in SILENT
+            self.at[e.tag].pop()
+        for places in (self.blocks, self.scopes):
+            while places[-1] >= i:
+                places.pop()
         del self.open[i:]
 
     def _imply_ends(self, tag: str):
@@ -136,12 +151,9 @@ class Reader(HTMLParser):
         targets = targets.split()
         if tag == "body" and self.silent:  # a head left open
             targets, stop = ["head"], frozenset()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in targets:
-                self._close(i)
-                return
-            if self.open[i].tag in stop:
-                return
+        place = self._last(targets)
+        if place and place >= self._last(stop):
+            self._close(place)
 
 
 def read(html: str) -> list[tuple[Element, int, str]]:
@@ -151,9 +163,9 @@ def read(html: str) -> list[tuple[Element, int, str]]:
     return reader.nodes
 
 
-def path_weights(nodes: list[tuple[Element, str]]) -> dict[str, float]:
+def path_weights(nodes: list[tuple[Element, str]]) -> dict[int, float]:
     """Fused ratio of every path among the given (element, text) nodes."""
-    sums: dict[str, list] = {}
+    sums: dict[int, list] = {}
     for element, text in nodes:
         own = sums.setdefault(element.path, [element, 0, 0, 0, 0])
         n = len(text)
@@ -178,9 +190,13 @@ def _article(nodes: list[tuple[Element, str]], kept: list[bool]) -> Element | No
         if keep:
             total += len(text)
             e = element
-            while e is not None:
-                held.setdefault(id(e), [e, 0])[1] += len(text)
+            while e is not None and id(e) not in held:
+                held[id(e)] = [e, 0]
                 e = e.parent
+            held[id(element)][1] += len(text)
+    for e, _ in sorted(held.values(), key=lambda h: -h[0].depth):  # children before their parents
+        if e.parent is not None:
+            held[id(e.parent)][1] += held[id(e)][1]
     fit = [e for e, n in held.values() if n >= HELD * total]
     return _container(max(fit, key=lambda e: e.depth, default=None))
 
@@ -226,11 +242,13 @@ def main_text(html: str) -> str:
     inside: dict[int, bool] = {}
 
     def within(e: Element | None) -> bool:
-        if e is None:
-            return False
-        if id(e) not in inside:
-            inside[id(e)] = e is article or within(e.parent)
-        return inside[id(e)]
+        up = []
+        while e is not None and e is not article and id(e) not in inside:
+            up.append(id(e))
+            e = e.parent
+        found = e is not None and (e is article or inside[id(e)])
+        inside.update(dict.fromkeys(up, found))
+        return found
 
     links: dict[int, list[int]] = {}
     for element, text in nodes:

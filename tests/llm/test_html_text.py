@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -41,6 +42,21 @@ def test_broken_pages_do_not_crash(page):
     assert isinstance(html_text.main_text(page), str)
 
 
+@pytest.mark.parametrize("name", LAYOUTS)
+@pytest.mark.parametrize("opened", ["<div>", "<div><font>", "<i><div>"])
+def test_layouts_below_deep_nesting(name, opened):
+    head, body = re.match(r"((?:<html>|<head>.*</head>|<body>)*)(.*)", LAYOUTS[name], re.S).groups()
+    page = head + opened * 1000 + "<script>var x = 1;</script>" + body
+    assert html_text.main_text(page) == f"Flood {P1} {P2}"
+
+
+def test_time_grows_with_the_page_alone():
+    deep = "<span>" * 100_000 + "<br>x" * 100_000 + "</b>" * 100_000 + "<p><div>" * 50_000
+    began = time.process_time()
+    assert isinstance(html_text.main_text(deep), str)
+    assert time.process_time() - began < 30
+
+
 def test_references_and_white_space():
     text = "Caf&eacute; &lt;b&gt; &amp;amp; &#8364;5, sold.\t\nNow, then."
     assert html_text.main_text(f"<article><p>{text}</p><p>{P3}</p></article>") == f"Café <b> &amp; €5, sold. Now, then. {P3}"
