@@ -1,7 +1,7 @@
 """The training-corpus pipeline: stages over `documents`, each written as Parquet and read again.
 
 1. language: texts without a letter, and texts so mixed that no language holds LEAST_SHARE of the
-   letters, go.
+   letters, go. Without any label to learn from, only texts without a letter go.
 2. near_copies: of each group of documents linked by the Jaccard join (over word 5-grams, similarity
    0.8 or more) one stays, the smallest id; of rows with one id, the first by text.
 3. benchmark: documents contaminated by benchmark passages go.
@@ -32,7 +32,10 @@ MASK = {kind: f"[{kind.upper()}]" for kind in secret_scan.KINDS}
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.labelled(docs, language.fit(docs))
+    model = language.fit(docs)
+    if not model.languages:  # nothing to judge by: texts with a letter stay
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.labelled(docs, model)
     kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_SHARE))
     return kept.select(*docs.columns)
 

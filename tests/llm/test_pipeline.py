@@ -38,6 +38,12 @@ def test_language_stage(spark, docs, given):
     assert texts(out) == want
 
 
+def test_language_stage_without_labels(spark, given):
+    out = corpus_pipeline.language_stage(spark, frame(spark, [(d, t, None, s) for d, t, _, s in given], 2), SMALL)
+    want = sorted((d is None, d or 0, t) for d, t, *_ in given if any(c.isalpha() for c in t or ""))
+    assert texts(out) == want
+
+
 def test_near_copy_stage(spark, docs, given):
     out = corpus_pipeline.near_copy_stage(spark, docs, SMALL)
     assert out.columns == docs.columns
