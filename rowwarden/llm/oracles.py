@@ -113,9 +113,94 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(c.component, d
 FROM docs d LEFT JOIN sizes s USING (row_key) LEFT JOIN named c ON c.node = d.doc_id
 """
 
+OP11 = r"""
+WITH RECURSIVE ids AS (
+    SELECT DISTINCT conv_id AS c, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+    SELECT c, s, 0 AS i, 4294967295::BIGINT AS v FROM ids
+    UNION ALL
+    SELECT c, s, i + 1, xor(u >> 1, (u & 1) * 3988292384)
+    FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(v, ascii(s[i // 8 + 1])::BIGINT) ELSE v END AS u FROM crc WHERE i < 8 * len(s))
+), heads AS (
+    SELECT c, xor(v, 4294967295) % 4 AS h FROM crc WHERE i = 8 * len(s)
+), whole AS (
+    SELECT conv_id AS c, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, r, t) AS path
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
+), rebuilt AS (
+    SELECT w.c, list_concat(coalesce(d.path[1:h], []), w.path[h + 1:]) AS path
+    FROM whole w JOIN heads USING (c) LEFT JOIN whole d ON d.c = w.c - w.c % 20
+), nodes AS (
+    SELECT path[1:d] AS k, d, min(c) AS c, count(*) AS n,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(path) = d), '')) AS ends
+    FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt) GROUP BY ALL
+), kids AS (
+    SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), worth AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN n.d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(n.k[n.d].t, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM nodes n LEFT JOIN kids USING (k, d)
+), below AS (
+    SELECT k[1:j] AS k, j AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT k, n_children, saved, unnest(range(0, d + 1)) AS j FROM worth) GROUP BY ALL
+)
+SELECT w.c AS conv_id, w.d AS depth, p.c AS parent_conv_id, w.n AS n_convs, w.n_children, n_leaves::BIGINT AS n_leaves,
+    saved_tokens::BIGINT AS saved_tokens, w.ends AS ends_sha256
+FROM worth w JOIN below USING (k, d) LEFT JOIN nodes p ON w.d > 0 AND p.d = w.d - 1 AND p.k = w.k[1:w.d - 1]
+"""
+
+OP12 = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), best AS (
+    SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM top THEN top END AS refers_to, NULL::VARCHAR AS fault
+FROM best
+"""
+
+_ASSIGN = """, d{r} AS (
+    SELECT rk, p, any_value(x) AS x, min({{'d': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT, 'e': e}}) AS m
+    FROM parts JOIN b{r} USING (p) GROUP BY rk, p
+)"""
+_UPDATE = """, s{r} AS (
+    SELECT p, m.e AS e, i, count(*) AS n, sum(x[i])::BIGINT AS t FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM d{r}) GROUP BY ALL
+), b{n} AS (
+    SELECT p, e, coalesce(u.c, b.c) AS c FROM b{r} b LEFT JOIN (
+        SELECT p, e, list((t - ((t % n) + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY p, e
+    ) u USING (p, e)
+)"""
+OP13 = (
+    """
+WITH kept AS (
+    SELECT row_number() OVER () AS rk, vec_id, label, embedding, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+    SELECT rk, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x FROM kept, range(0, 16) AS r(p)
+), firsts AS (
+    SELECT rk, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS e FROM kept QUALIFY e < 64
+), b0 AS (
+    SELECT p, e, x AS c FROM parts JOIN firsts USING (rk)
+)"""
+    + _ASSIGN.format(r=0) + _UPDATE.format(r=0, n=1) + _ASSIGN.format(r=1) + _UPDATE.format(r=1, n=2) + _ASSIGN.format(r=2)
+    + """, coded AS (
+    SELECT vec_id, label, code, error FROM kept JOIN (
+        SELECT rk, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM d2 GROUP BY rk
+    ) USING (rk)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(c[i]::VARCHAR, ',' ORDER BY p, e, i)) FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM b2)) AS codebooks_sha256
+FROM coded
+"""
+)
+
 ORACLES = {
     "op6_jaccard_join": OP6,
     "op7_line_frequency": OP7,
     "op9_fixed_block_anchors": OP9,
     "op10_decontamination": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_warc_zstd": OP12,
+    "op13_vector_codes": OP13,
 }

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowwarden.llm import decontaminate, html_text, jaccard_join, language, line_frequency, packing, repeated_windows, secret_scan, suffix_dedup, token_counts
+from rowwarden.llm import (
+    decontaminate, html_text, jaccard_join, language, line_frequency, packing, prefix_trie, repeated_windows, secret_scan, suffix_dedup,
+    token_counts, vector_codes, warc_zstd,
+)
 from rowwarden.llm.oracles import ORACLES  # noqa: F401
+from rowwarden.llm.staging import Staging
 from rowwarden.sources.tables import table
 
 
@@ -84,6 +88,33 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Every conversation with the first turns of the one whose id is the next lower multiple of 20."""
+    whole = prefix_trie.paths(conversations)
+    turns = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4))
+    return prefix_trie.graft(whole, F.col("conv_id") - F.col("conv_id") % 20, turns, 3)
+
+
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(rebuilt(table(spark, folder, "conversations")))
+
+
+def op12_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
+    at = Staging(spark, "warc").path("archives")
+    warc_zstd.write(table(spark, folder, "pages"), at)
+    found = warc_zstd.pages_in(warc_zstd.read(spark, at, payload=False))
+    return found.select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_key").cast("long").alias("refers_to"), "fault"
+    )
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, folder, "embeddings"))
+    digest = F.sha2(F.lit(vector_codes.books_text(books)), 256)
+    found = vector_codes.with_label_error(coded)
+    return found.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,5 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_fixed_block_anchors,
         op10_decontamination,
+        op11_prefix_trie,
+        op12_warc_zstd,
+        op13_vector_codes,
     )
 }
