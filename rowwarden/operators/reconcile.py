@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowwarden.functions import checks, hashing
 from rowwarden.operators import joins, rules as rule_ops
@@ -286,3 +286,37 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str, as_of: Column)
     kept = F.when(F.col("is"), F.col("new")).otherwise(F.col("old"))
     found = met.select(operation.alias("operation"), as_of.alias("stamp"), key, kept.alias("kept"))
     return found.where("operation is not null").select("operation", "stamp", key, *[F.col("kept")[c].alias(c) for c in columns])
+
+
+def verdict_history(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_id: str,
+    left_time: str,
+    right_time: str,
+    left_hash: str,
+    right_hash: str,
+    window_seconds: int,
+    grace_seconds: int,
+) -> DataFrame:
+    """Every verdict of each left row in event-time order: (left_id, hashes, status, revision, is_correction).
+
+    A row without a partner within the window is first reported missing; each partner within window + grace
+    then brings a verdict. The last one is what holds, as in `streaming.corrections.late_verdicts`.
+    `left_id` names a left row.
+    """
+    joined = joins.interval_join(
+        left.select(left_id, *keys, left_time, left_hash), right.select(*keys, right_time, right_hash), keys, left_time, right_time, 0, window_seconds + grace_seconds
+    )
+    per_row = Window.partitionBy(left_id)
+    number = F.row_number().over(per_row.orderBy(right_time, right_hash))
+    first = F.min(right_time).over(per_row)
+    late = F.coalesce(first > F.col(left_time) + F.make_dt_interval(secs=F.lit(window_seconds)), F.lit(True))
+    marked = joined.select(left_id, left_hash, right_hash, right_time, number.alias("_n"), late.alias("_late"))
+    found = F.col(right_time).isNotNull()
+    status = checks.first_match([(F.col(left_hash) == F.col(right_hash), "MATCH")], "MISMATCH")
+    met = F.struct(F.col(right_hash), status.alias("status"), (F.col("_n") + F.col("_late").cast("int")).alias("revision"))
+    missing = F.struct(F.lit(None).cast("string").alias(right_hash), F.lit("MISSING_CLOUD").alias("status"), F.lit(1).alias("revision"))
+    rows = F.concat(F.when((F.col("_n") == 1) & F.col("_late"), F.array(missing)).otherwise(F.array()), F.when(found, F.array(met)).otherwise(F.array()))
+    return marked.select(left_id, left_hash, F.inline(rows)).withColumn("is_correction", F.col("revision") > 1)

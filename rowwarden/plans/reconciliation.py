@@ -318,6 +318,25 @@ def interval_full_10m(spark, folder):
     return _full_interval(spark, folder, 600)
 
 
+@query(
+    """WITH j AS (SELECT order_key, event_ts, hash_onprem, hash_cloud, cloud_ts,
+        row_number() OVER (PARTITION BY order_key ORDER BY cloud_ts, hash_cloud NULLS FIRST) AS n,
+        coalesce(min(cloud_ts) OVER (PARTITION BY order_key) > event_ts + INTERVAL 10 MINUTE, TRUE) AS late
+      FROM op LEFT JOIN cl ON op.pk = cl.pk AND cloud_ts BETWEEN event_ts AND event_ts + INTERVAL 15 MINUTE)
+    SELECT order_key, hash_onprem, NULL::VARCHAR AS hash_cloud, 'MISSING_CLOUD' AS status, 1 AS revision, FALSE AS is_correction FROM j WHERE late AND n = 1
+    UNION ALL SELECT order_key, hash_onprem, hash_cloud, CASE WHEN hash_onprem = hash_cloud THEN 'MATCH' ELSE 'MISMATCH' END,
+      (n + late::INT)::INT, n + late::INT > 1 FROM j WHERE cloud_ts IS NOT NULL""",
+    ("op", "cl"),
+)
+def verdict_history(spark, folder):
+    """Verdicts as they are given and corrected: missing after 10 minutes, corrected by a row within 5 more."""
+    document = rules.read_document(V0)["join"]
+    return reconcile.verdict_history(
+        inputs.onprem(spark, folder), inputs.cloud(spark, folder), ["pk"], "order_key", "event_ts", "cloud_ts", "hash_onprem", "hash_cloud",
+        60 * document["size_minutes"], 60 * document["grace_minutes"],
+    )
+
+
 @query(
     """SELECT date_trunc('month', event_ts) AS month, count(*) AS matched, count(*) FILTER (cloud_ts > event_ts + INTERVAL 10 MINUTE) AS late,
       max(date_diff('second', event_ts, cloud_ts)) AS max_lag_seconds
