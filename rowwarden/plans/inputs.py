@@ -146,6 +146,26 @@ SCHEMA_HEAD = (
     "CASE WHEN user_id % 17 = 0 THEN 'enum' ELSE 'record' END AS kind",
 )
 
+_LINE = """'{{"part":' || {part} || CASE WHEN o_orderkey % {m} = {at} THEN '' WHEN o_orderkey % {m} = {at} + 1 THEN ',"price":"free"'
+  ELSE ',"price":' || CAST(o_orderkey % 90 AS STRING) || '.25' END || CASE WHEN o_orderkey % 8 = {at} THEN ',"remark":7' ELSE ',"extra":[]' END || '}}'"""
+_KEY = "CAST(o_orderkey AS STRING)"
+
+# One nested message per order, with faults at every level of the document `order_message.avsc`.
+NESTED = {
+    "order_key": "o_orderkey",
+    "raw": f"""CASE WHEN o_orderkey % 211 = 0 THEN '{{"id":' ELSE
+  '{{"id":' || CASE WHEN o_orderkey % 17 = 0 THEN '"' || {_KEY} || '"' WHEN o_orderkey % 29 = 0 THEN {_KEY} || '.5' ELSE {_KEY} END
+  || CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN ',"buyer":null' WHEN o_orderkey % 19 = 0 THEN ',"buyer":[]' ELSE
+     ',"buyer":{{"key":' || CASE WHEN o_orderkey % 23 = 0 THEN '3000000000' ELSE CAST(o_custkey AS STRING) END
+     || ',"tier":' || CASE o_orderkey % 7 WHEN 0 THEN '"tin"' WHEN 1 THEN '"gold"' WHEN 2 THEN '"lead"' WHEN 3 THEN '4' ELSE '"silver"' END || '}}' END
+  || CASE WHEN o_orderkey % 31 = 0 THEN ',"lines":{{}}' WHEN o_orderkey % 37 = 0 THEN ',"lines":[' || {_KEY} || ']'
+     WHEN o_orderkey % 5 = 0 THEN ',"lines":[]' ELSE
+     ',"lines":[' || {_LINE.format(part=_KEY, m=9, at=0)} || ',' || {_LINE.format(part="CASE WHEN o_orderkey % 6 = 0 THEN 'true' ELSE '12' END", m=10, at=3)} || ']' END
+  || CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN ',"labels":{{"a":"x","b":3}}' WHEN 2 THEN ',"labels":{{}}' ELSE ',"labels":{{"c":null}}' END
+  || CASE o_orderkey % 12 WHEN 0 THEN ',"note":"text"' WHEN 1 THEN ',"note":{{"code":5}}' WHEN 2 THEN ',"note":{{"code":"x"}}' WHEN 3 THEN ',"note":true'
+     WHEN 4 THEN ',"note":{{"code":1,"about":{{"code":2,"about":{{"code":null}}}}}}' WHEN 5 THEN ',"note":null' ELSE '' END || '}}' END""",
+}
+
 
 def _select(columns: dict[str, str]) -> str:
     return ",\n".join(f"{e} AS {n}" for n, e in columns.items())
@@ -172,6 +192,10 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     return _derive(events(spark, folder), RAW)
 
 
+def nested_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return _derive(table(spark, folder, "orders"), NESTED)
+
+
 def onprem(spark: SparkSession, folder: str) -> DataFrame:
     return _derive(table(spark, folder, "orders"), onprem_columns(_SPARK_SHA, _SPARK_MIN))
 
@@ -230,12 +254,15 @@ CTES = {
     "cl": f"SELECT {_select(cloud_columns(_DUCK_SHA, _DUCK_MIN, _DUCK_SEC))} FROM orders",
     "cdc": f"SELECT *, CASE event_id % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'u' WHEN 3 THEN 'u' "
     "WHEN 4 THEN 'u' WHEN 5 THEN 'u' ELSE 'c' END AS op, epoch_us(ts) // 1000 AS ts_ms FROM events",
+    "nest": f"SELECT {_select(NESTED)} FROM orders",
+    # n: the text where it is JSON
+    "nestj": "SELECT *, CASE WHEN json_valid(raw) THEN raw::JSON END AS n FROM nest",
     "part": f"SELECT {_select(PARTIAL)} FROM events",
     "snap_a": f"SELECT {_select(SNAP_BEFORE)} FROM customer",
     "snap_b": f"SELECT {_select(SNAP_AFTER)} FROM customer",
     "sch": _SCHEMA_SQL,
 }
-_NEEDS = {"rawj": ("raw",)}
+_NEEDS = {"rawj": ("raw",), "nestj": ("nest",)}
 
 
 def with_inputs(sql: str, inputs: tuple[str, ...]) -> str:

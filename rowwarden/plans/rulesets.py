@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from rowwarden.functions import checks, jsontext
-from rowwarden.operators import rules, schema
+from rowwarden.operators import nested, rules, schema
 from rowwarden.plans import inputs
 from rowwarden.plans.registry import CONFIG, query
 from rowwarden.sources import parse, tables
@@ -221,6 +223,44 @@ def schema_conformance(spark, folder):
     )
 
 
+# json_type of the checking engine: whole numbers are BIGINT or UBIGINT, a missing path has none
+_WHOLE = "('BIGINT', 'UBIGINT')"
+_NUMBER = "('BIGINT', 'UBIGINT', 'DOUBLE')"
+NESTED_SQL = f"""
+WITH items AS (
+    SELECT order_key, generate_subscripts(ls, 1) - 1 AS i, unnest(ls) AS x FROM (SELECT order_key, json_extract(n, '$.lines[*]') AS ls FROM nestj WHERE json_type(n, '$.lines') = 'ARRAY')
+), notes AS (
+    SELECT order_key, 1 AS d, 'note' AS path, json_extract(n, '$.note') AS x FROM nestj WHERE json_type(n, '$.note') = 'OBJECT'
+    UNION ALL SELECT order_key, 2, 'note.about', json_extract(n, '$.note.about') FROM nestj WHERE json_type(n, '$.note.about') = 'OBJECT'
+    UNION ALL SELECT order_key, 3, 'note.about.about', json_extract(n, '$.note.about.about') FROM nestj WHERE json_type(n, '$.note.about.about') = 'OBJECT'
+)
+SELECT order_key, '$: malformed' AS fault FROM nestj WHERE n IS NULL
+UNION ALL SELECT order_key, 'id: not long' FROM nestj WHERE json_type(n, '$.id') NOT IN {_WHOLE}
+UNION ALL SELECT order_key, 'buyer: absent' FROM nestj WHERE n IS NOT NULL AND json_type(n, '$.buyer') IS NULL
+UNION ALL SELECT order_key, 'buyer: none of null|Buyer' FROM nestj WHERE json_type(n, '$.buyer') NOT IN ('NULL', 'OBJECT')
+UNION ALL SELECT order_key, 'buyer.key: not int' FROM nestj WHERE json_type(n, '$.buyer.key') IN {_WHOLE} AND (n->>'$.buyer.key')::BIGINT > 2147483647
+UNION ALL SELECT order_key, 'buyer.tier: not one of lead|silver|gold' FROM nestj
+    WHERE json_type(n, '$.buyer.tier') IS NOT NULL AND (json_type(n, '$.buyer.tier') <> 'VARCHAR' OR n->>'$.buyer.tier' NOT IN ('lead', 'silver', 'gold'))
+UNION ALL SELECT order_key, 'lines: not array' FROM nestj WHERE json_type(n, '$.lines') <> 'ARRAY'
+UNION ALL SELECT order_key, 'lines[' || i || ']: not record' FROM items WHERE json_type(x) <> 'OBJECT'
+UNION ALL SELECT order_key, 'lines[' || i || '].part: not long' FROM items WHERE json_type(x, '$.part') NOT IN {_WHOLE}
+UNION ALL SELECT order_key, 'lines[' || i || '].price: absent' FROM items WHERE json_type(x) = 'OBJECT' AND json_type(x, '$.price') IS NULL
+UNION ALL SELECT order_key, 'lines[' || i || '].price: not double' FROM items WHERE json_type(x, '$.price') NOT IN {_NUMBER}
+UNION ALL SELECT order_key, 'lines[' || i || '].remark: not string' FROM items WHERE json_type(x, '$.remark') <> 'VARCHAR'
+UNION ALL SELECT order_key, 'labels.' || key || ': not string' FROM nestj, json_each(json_extract(n, '$.labels')) WHERE type <> 'VARCHAR'
+UNION ALL SELECT order_key, 'note: none of null|string|Note' FROM nestj WHERE json_type(n, '$.note') NOT IN ('NULL', 'VARCHAR', 'OBJECT')
+UNION ALL SELECT order_key, path || '.code: not int' FROM notes WHERE json_type(x, '$.code') NOT IN {_WHOLE}
+"""
+
+
+@query(NESTED_SQL, ("nestj",))
+def nested_conformance(spark, folder):
+    """Every fault of nested messages against an Avro document: records, arrays, maps, enums, unions, a type that holds itself."""
+    check = nested.avro(json.loads((CONFIG / "order_message.avsc").read_text()))
+    checked = nested.conforming(inputs.nested_messages(spark, folder), "raw", check)
+    return checked.select("order_key", F.explode("schema_faults").alias("fault"))
+
+
 @query(
     """SELECT event_id, json_type(j, '$.event') IS NOT NULL AND json_type(j, '$.id') IS NOT NULL
       AND json_type(j, '$.timestamp') IS NOT NULL AND vt IS NOT NULL AND json_type(j, '$.email') IS NOT NULL AS conforms

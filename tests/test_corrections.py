@@ -78,6 +78,7 @@ def test_missing_then_corrected_then_empty(spark, tmp_path):
         6: [("MISMATCH", "y", False)],
         7: [("MISSING_CLOUD", None, False)],
         8: [("MISSING_CLOUD", None, False)],
+        9: [("MATCH", "x", False)],
     }
     assert state_rows(query)[-1] <= 4 < max(state_rows(query))  # of the closing rows only
 
