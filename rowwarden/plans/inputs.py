@@ -119,6 +119,15 @@ PARTIAL = {
     "c": "CASE WHEN event_id % 3 = 2 THEN props END",
 }
 
+# Every user of the events is a customer; some visits come under an id that no customer has.
+VISITS = {
+    "event_id": "event_id",
+    "member_id": "CASE WHEN event_id % 14 = 0 THEN -user_id - 1 ELSE user_id END",
+    "ts": "ts",
+    "value": "value",
+    "action": _ACTION,
+}
+
 SNAP_BEFORE = {"c_custkey": "c_custkey", "c_name": "c_name", "c_acctbal": "c_acctbal"}
 # A changed key is a delete and an insert.
 SNAP_AFTER = {
@@ -213,6 +222,10 @@ def partial_updates(spark: SparkSession, folder: str) -> DataFrame:
     return _derive(events(spark, folder), PARTIAL)
 
 
+def visits(spark: SparkSession, folder: str) -> DataFrame:
+    return _derive(events(spark, folder), VISITS)
+
+
 def snapshots(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     customer = table(spark, folder, "customer")
     return _derive(customer, SNAP_BEFORE), _derive(customer, SNAP_AFTER)
@@ -257,6 +270,7 @@ CTES = {
     "nest": f"SELECT {_select(NESTED)} FROM orders",
     # n: the text where it is JSON
     "nestj": "SELECT *, CASE WHEN json_valid(raw) THEN raw::JSON END AS n FROM nest",
+    "vis": f"SELECT {_select(VISITS)} FROM events",
     "part": f"SELECT {_select(PARTIAL)} FROM events",
     "snap_a": f"SELECT {_select(SNAP_BEFORE)} FROM customer",
     "snap_b": f"SELECT {_select(SNAP_AFTER)} FROM customer",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from rowwarden.operators import keyed, reconcile
+from rowwarden.operators import changelog, digest_tree, keyed, reconcile
 from rowwarden.plans import inputs
 from rowwarden.plans.registry import query
+from rowwarden.session import checkpoint_dir
 from rowwarden.sources import parse, tables
+from rowwarden.sources.keyed_store import KeyedStore
 
 ENVELOPE = (
     "op string, ts_ms bigint, after struct<id:string,amount:double,event_ts:string>, "
@@ -56,13 +60,75 @@ def ttl_filter(spark, folder):
 
 
 @query(
-    """SELECT c_custkey AS user_id, c_acctbal AS value FROM customer
-    UNION ALL SELECT user_id, value FROM (FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1)
-    WHERE user_id NOT IN (SELECT c_custkey FROM customer)"""
+    """SELECT c_custkey AS member_id, c_acctbal AS value FROM customer
+    UNION ALL SELECT member_id, value FROM (FROM vis QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY ts, event_id) = 1)
+    WHERE member_id NOT IN (SELECT c_custkey FROM customer)""",
+    ("vis",),
 )
 def insert_if_absent(spark, folder):
-    stored = tables.table(spark, folder, "customer").selectExpr("c_custkey AS user_id", "c_acctbal AS value")
-    return keyed.insert_if_absent(stored, inputs.events(spark, folder), ["user_id"], ["ts", "event_id"])
+    stored = tables.table(spark, folder, "customer").selectExpr("c_custkey AS member_id", "c_acctbal AS value")
+    return keyed.insert_if_absent(stored, inputs.visits(spark, folder), ["member_id"], ["ts", "event_id"])
+
+
+_STEPS = 3  # commits that the queries over a store are built in
+_UPSERTS = "user_id bigint, event_id bigint, event_type string, value double, ts timestamp_ntz"
+
+
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _merged(spark, name, schema, keys, order, rows, step, **options):
+    """A store that has taken the rows in, `_STEPS` commits, and what follows it."""
+    store = KeyedStore(spark, _folder(spark, name), schema, keys, order, **options)
+    for v in range(_STEPS):
+        yield store, v, store.merge(rows.where(step == v).select(*store.schema.names), v)
+
+
+@query(f"SELECT user_id, event_id, event_type, value, ts FROM events {_LAST}")
+def upsert_store(spark, folder):
+    """The view of a bucketed store after several merges in which keys come again, late ones among them."""
+    for store, _, _ in _merged(spark, "store", _UPSERTS, ["user_id"], ["ts", "event_id"], inputs.events(spark, folder), F.col("event_id") % _STEPS, buckets=16):
+        pass
+    return store.read()
+
+
+@query(
+    """SELECT event_type, value >= 50 AS large, count(*) AS n FROM (
+      SELECT user_id, event_type, value, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    ) WHERE event_id % 5 > 0 GROUP BY ALL"""
+)
+def changelog_counts(spark, folder):
+    """Counts over the latest rows, kept commit by commit from the changelog; a fifth of the messages are deletes."""
+    counts = None
+    by = {"event_type": F.col("event_type"), "large": F.col("value") >= 50}
+    gone = lambda row: row("event_id") % 5 == 0
+    for store, v, _ in _merged(
+        spark, "counted", _UPSERTS, ["user_id"], ["ts", "event_id"], inputs.events(spark, folder), F.col("event_id") % _STEPS, buckets=16, deleted=gone
+    ):
+        counts = counts or changelog.KeptCounts(store, _folder(spark, "counts"), by)
+        counts.follow(v)
+    return counts.at(v)
+
+
+@query(
+    """SELECT coalesce(op.pk, cl.pk) AS pk, hash_onprem AS onprem_hash, hash_cloud AS azure_hash,
+      CASE WHEN hash_onprem IS NULL THEN 'MISSING_IN_ONPREM' WHEN hash_cloud IS NULL THEN 'MISSING_IN_AZURE' ELSE 'DRIFT' END AS reconciliation_status
+    FROM (FROM op WHERE pk IS NOT NULL) op FULL JOIN cl ON op.pk = cl.pk WHERE hash_onprem IS DISTINCT FROM hash_cloud""",
+    ("op", "cl"),
+)
+def digest_tree_drift(spark, folder):
+    """Rows that differ between two stores, found by their digests; both are filled in several commits."""
+    stores = []
+    for rows, digest, name in ((inputs.onprem(spark, folder), "hash_onprem", "onprem"), (inputs.cloud(spark, folder), "hash_cloud", "cloud")):
+        rows = rows.select("pk", F.lit(0).alias("at"), F.col(digest).alias("row_hash"))
+        for store, _, _ in _merged(
+            spark, name, "pk bigint, at int, row_hash string", ["pk"], ["at"], rows, F.pmod("pk", F.lit(_STEPS)), buckets=16, leaves=4096, digest_columns=["row_hash"]
+        ):
+            pass
+        stores.append(store)
+    found = digest_tree.drift(*stores, "pk", "row_hash", "row_hash")
+    return found.where("reconciliation_status not in ('OK', 'MISSING_BOTH')")
 
 
 def changes(spark, folder):

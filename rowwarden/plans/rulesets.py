@@ -122,35 +122,35 @@ def rule_cross_field(spark, folder):
 
 
 def _listed_keys(spark, folder):
-    """Users are looked up among the customers; the whole table is the list."""
+    """Visitors are looked up among the customers; the whole table is the list."""
     return tables.table(spark, folder, "customer").select("c_custkey")
 
 
 @query(
     """SELECT event_id, coalesce(action NOT IN ('CREATE', 'UPDATE', 'DELETE', 'UPSERT'), FALSE) AS violated,
-      user_id NOT IN (SELECT c_custkey FROM customer) AS violated_table FROM de""",
-    ("de",),
+      member_id NOT IN (SELECT c_custkey FROM customer) AS violated_table FROM vis""",
+    ("vis",),
 )
 def rule_lookup_in(spark, folder):
     """Against a literal list, and against a list kept in a table."""
     by_list = {"id": "l", "type": "lookup_in", "field": "action", "values": ["CREATE", "UPDATE", "DELETE", "UPSERT"]}
-    by_table = {"id": "t", "type": "lookup_in", "field": "user_id", "table": "customers"}
+    by_table = {"id": "t", "type": "lookup_in", "field": "member_id", "table": "customers"}
     rows = rules.attach_lookups(
-        inputs.dirty_events(spark, folder), [rules.Rule.parse(by_table)], {"customers": _listed_keys(spark, folder)}
+        inputs.visits(spark, folder), [rules.Rule.parse(by_table)], {"customers": _listed_keys(spark, folder)}
     )
     return violated(rows, ("violated", by_list), ("violated_table", by_table))
 
 
 @query(
     """SELECT event_id, coalesce(action IN ('NOOP', 'DELETE'), FALSE) AS violated,
-      user_id IN (SELECT c_custkey FROM customer) AS violated_table FROM de""",
-    ("de",),
+      member_id IN (SELECT c_custkey FROM customer) AS violated_table FROM vis""",
+    ("vis",),
 )
 def rule_lookup_not_in(spark, folder):
     by_list = {"id": "l", "type": "lookup_not_in", "field": "action", "values": ["NOOP", "DELETE"]}
-    by_table = {"id": "t", "type": "lookup_not_in", "field": "user_id", "table": "customers"}
+    by_table = {"id": "t", "type": "lookup_not_in", "field": "member_id", "table": "customers"}
     rows = rules.attach_lookups(
-        inputs.dirty_events(spark, folder), [rules.Rule.parse(by_table)], {"customers": _listed_keys(spark, folder)}
+        inputs.visits(spark, folder), [rules.Rule.parse(by_table)], {"customers": _listed_keys(spark, folder)}
     )
     return violated(rows, ("violated", by_list), ("violated_table", by_table))
 

@@ -25,9 +25,9 @@ from __future__ import annotations
 import operator
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -37,6 +37,7 @@ from rowwarden.operators.reconcile import DIGEST
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 WEIGHT = {INSERT: 1, BEFORE: -1, AFTER: 1, DELETE: -1}
 SUM = "decimal(38,0)"
+MANIFEST = f"bucket int, held_in bigint, row_count bigint, {', '.join(f'{d} {SUM}' for d in DIGEST)}"
 
 
 Deleted = Callable[[Callable[[str], Column]], Column]  # from the columns of a row, by name
@@ -99,23 +100,17 @@ class KeyedStore:
 
     def manifest(self, below: int | None = None) -> tuple[int | None, dict[int, Entry]]:
         """(version, entry of each bucket) of the last commit, or of the last one below a version."""
-        try:
-            commits = self.spark.read.parquet(f"{self.root}/manifest")
-        except AnalysisException as missing:
-            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        if not _names(self.spark, f"{self.root}/manifest"):
             return None, {}
-        commits = commits if below is None else commits.where(F.col("version") < below)
-        last = commits.agg(F.max("version")).first()[0]
-        if last is None:
-            return None, {}
-        entries = commits.where((F.col("version") == last) & F.col("bucket").isNotNull()).collect()  # a row per bucket
+        commits = self.spark.read.schema(f"{MANIFEST}, version bigint").parquet(f"{self.root}/manifest")
+        rows = (commits if below is None else commits.where(F.col("version") < below)).collect()  # buckets x commits that are kept
+        last = max((r.version for r in rows), default=None)
+        entries = [r for r in rows if r.version == last and r.bucket is not None]
         return last, {r.bucket: Entry(r.held_in, r.row_count, tuple(r[d] for d in DIGEST)) for r in entries}
 
     def _commit(self, version: int, entries: dict[int, Entry]) -> None:
         rows = [(b, e.version, e.rows, *e.digest) for b, e in sorted(entries.items())] or [(None, None, None, *[None] * len(DIGEST))]
-        schema = f"bucket int, held_in bigint, row_count bigint, {', '.join(f'{d} {SUM}' for d in DIGEST)}"
-        _overwrite(self.spark.createDataFrame(rows, schema).coalesce(1), f"{self.root}/manifest/version={version}")
+        _overwrite(self.spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{self.root}/manifest/version={version}")
 
     # -------------------------------------------------------------- reading
 
@@ -215,7 +210,7 @@ class KeyedStore:
         written = self.spark.read.schema(leaves.schema).parquet(f"{self.root}/digest/version={version}")
         per_bucket = written.groupBy("bucket").agg(*sums).collect()  # a row per touched bucket
         return {r.bucket: Entry(version, r.row_count, tuple(r[d] for d in DIGEST)) for r in per_bucket} | {
-            b: Entry(version, 0, (0,) * len(DIGEST)) for b in touched if b not in {r.bucket for r in per_bucket}
+            b: Entry(version, 0, (Decimal(0),) * len(DIGEST)) for b in touched if b not in {r.bucket for r in per_bucket}
         }
 
     def leaf_digests(self, entries: dict[int, Entry], buckets: Sequence[int]) -> DataFrame:

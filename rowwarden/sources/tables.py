@@ -28,24 +28,27 @@ def newer_than(df: DataFrame, moment: str, high_water_mark: Column) -> DataFrame
 def read_since_mark(spark: SparkSession, df: DataFrame, moment: str, store: str) -> tuple[DataFrame, Callable[[], None]]:
     """(rows after the stored mark, commit): call commit once the rows are written.
 
-    The mark is a one-row table in `store`; without one, all rows with a time are new. The upper end
-    is taken before the rows are read, so that rows that arrive meanwhile wait for the next run, and a
-    run that fails before its commit is repeated over the same rows.
+    The mark is a one-row table in `store`, a new one for each commit, so a commit that is cut off leaves the mark
+    before it. Without one, all rows with a time are new. The upper end is taken before the rows are read, so that rows
+    that arrive meanwhile wait for the next run, and a run that fails before its commit is repeated over the same rows.
     """
+    kind = df.schema[moment].dataType
+    number, low = -1, None
     try:
-        low = spark.read.parquet(store).first()[0]
+        marks = spark.read.parquet(store)
+        last = marks.orderBy(F.desc("run")).select("run", "high_water_mark").first()
+        number, low = last if last is not None else (-1, None)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        low = None
     high = df.agg(F.max(moment)).first()[0]
-    kind = df.schema[moment].dataType
     rows = df.where(F.col(moment) <= F.lit(high).cast(kind)) if high is not None else df.where(F.col(moment).isNotNull())
     rows = rows if low is None else newer_than(rows, moment, F.lit(low).cast(kind))
 
     def commit() -> None:
         if high is not None:
-            spark.range(1).select(F.lit(high).cast(kind).alias("high_water_mark")).write.mode("overwrite").parquet(store)
+            mark = spark.range(1).select(F.lit(high).cast(kind).alias("high_water_mark"))
+            mark.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{store}/run={number + 1}")
 
     return rows, commit
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowwarden.operators import keyed
@@ -102,6 +103,23 @@ ROW_ERRORS = (
 )
 
 
+def conditions(failure: BaseException) -> set[str]:
+    """Names of the error conditions of a failure and of what caused it; its text is not looked at."""
+    found = {failure.getCondition()} if isinstance(failure, PySparkException) else set()
+    cause = getattr(failure, "_origin", None)
+    while cause is not None:
+        if "SparkThrowable" in {c.getSimpleName() for c in _interfaces(cause.getClass())}:
+            found.add(cause.getCondition())
+        cause = cause.getCause()
+    return found - {None}
+
+
+def _interfaces(kind):
+    while kind is not None:
+        yield from kind.getInterfaces()
+        kind = kind.getSuperclass()
+
+
 def with_failure_policy(
     handler: Handler, dead_letters: str | None = None, key: str | None = None, errors: Sequence[str] = ROW_ERRORS
 ) -> Handler:
@@ -117,7 +135,7 @@ def with_failure_policy(
         try:
             handler(df, batch_id)
         except Exception as failure:
-            if not any(name in str(failure) for name in errors):
+            if not conditions(failure) & set(errors):
                 raise
             message = F.to_json(F.struct(*([key] if key else []), *[c for c in df.columns if c != key]))
             letter = error_letter(F.lit(f"{type(failure).__name__}"), message, F.current_timestamp().cast("string"))
@@ -136,29 +154,38 @@ def latest_rows(spark: SparkSession, path: str, keys: Sequence[str], order: Sequ
     return keyed.latest_by_key(read_output(spark, path), keys, [*order, "batch_id"]).drop("batch_id")
 
 
-def compact(spark: SparkSession, path: str, state: str, keys: Sequence[str], order: Sequence[str], version: int) -> int:
+def compact(
+    spark: SparkSession, path: str, state: str, keys: Sequence[str], order: Sequence[str], version: int, previous: int | None = None
+) -> int:
     """Fold the log's batches into `state/version=<version>`; gives the last batch it holds.
 
-    A view then reads one state and the batches after it (see `compacted_rows`), not the whole log.
+    With `previous` it starts from that version and reads the batches after it only, so batches that every kept
+    version holds can be removed from the log. A view reads one state and the batches after it (see `compacted_rows`).
     Versions are new folders, so readers of an older one are not disturbed; run it again to repair.
     """
-    log = read_output(spark, path)
-    last = log.agg(F.max("batch_id")).first()[0]
-    rows = keyed.latest_by_key(log.where(F.col("batch_id") <= last), keys, [*order, "batch_id"]) if last is not None else log
+    rows, through = (read_output(spark, path), None) if previous is None else _state_and_later(spark, path, state, previous)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    last = through if last is None else last if through is None else max(last, through)
+    rows = keyed.latest_by_key(rows.where(F.col("batch_id") <= last), keys, [*order, "batch_id"]) if last is not None else rows
     rows.withColumnRenamed("batch_id", "from_batch").withColumn("through", F.lit(last).cast("long")).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).parquet(f"{state}/version={version}")
     return -1 if last is None else int(last)
 
 
-def compacted_rows(spark: SparkSession, path: str, state: str, version: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The upsert view from a compacted state and the batches after it."""
+def _state_and_later(spark: SparkSession, path: str, state: str, version: int) -> tuple[DataFrame, int | None]:
+    """Rows of a compacted state and of the batches after it, and the last batch the state holds."""
     base = spark.read.parquet(f"{state}/version={version}")
     through = base.agg(F.max("through")).first()[0]
     later = read_output(spark, path)
     later = later.where(F.col("batch_id") > through) if through is not None else later
-    base = base.withColumnRenamed("from_batch", "batch_id").select(*later.columns)
-    return keyed.latest_by_key(base.unionByName(later), keys, [*order, "batch_id"]).drop("batch_id")
+    return base.withColumnRenamed("from_batch", "batch_id").select(*later.columns).unionByName(later), through
+
+
+def compacted_rows(spark: SparkSession, path: str, state: str, version: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The upsert view from a compacted state and the batches after it."""
+    rows, _ = _state_and_later(spark, path, state, version)
+    return keyed.latest_by_key(rows, keys, [*order, "batch_id"]).drop("batch_id")
 
 
 def to_topic(df: DataFrame, servers: str, topic: str | None = None):

@@ -12,11 +12,12 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from rowwarden.operators.ordered import STATE, ordered_scan
 from rowwarden.session import cut_lineage
-from rowwarden.streaming.sinks import Handler, write_batch
+from rowwarden.sources.keyed_store import KeyedStore
+from rowwarden.streaming.sinks import Handler
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -69,25 +70,27 @@ def fold_stream(df: DataFrame, key: str, order: Sequence[str], value: str, fold)
     )
 
 
-def fold_batches(folder: str, keys: Sequence[str], order: Sequence[str], value: str, fold, handler: Handler) -> Handler:
+def fold_batches(
+    folder: str, keys: Sequence[str], order: Sequence[str], value: str, fold, handler: Handler, buckets: int = 16, keep: int = 2
+) -> Handler:
     """A handler that adds the outputs of `fold` to each batch and passes it on to `handler`.
 
-    States are kept per batch under `folder/batch_id=<id>`, all keys in each. A batch that is run again
-    starts from the states before it, so it gives the same rows. Rows without a key or value pass by.
+    States are kept in a bucketed store under `folder`: a batch reads and writes the buckets of its own keys
+    only, and old versions go. A batch that is run again starts from the states below it, so it gives the same rows;
+    a new folder starts without states whatever the number of the first batch. Rows without a key or value pass by.
     """
 
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        initial = None
-        if batch_id > 0:
-            schema = StructType([*[df.schema[k] for k in keys], StructField("state", ArrayType(DoubleType()))])
-            initial = spark.read.schema(schema).parquet(f"{folder}/batch_id={batch_id - 1}")
+        schema = StructType([*[df.schema[k] for k in keys], StructField("state", ArrayType(DoubleType())), StructField("batch", LongType())])
+        store = KeyedStore(spark, folder, schema, keys, ["batch"], buckets)
+        df = cut_lineage(df)  # read for the buckets, then scanned
+        initial = store.beside(df, batch_id).select(*keys, "state")
         scanned = cut_lineage(ordered_scan(df, keys, order, value, fold, initial=initial, with_state=True))
         stamp = F.struct(*order)
         ended = scanned.where(F.col(STATE).isNotNull()).groupBy(*keys).agg(F.max_by(STATE, stamp).alias("state"))
-        if initial is not None:
-            ended = ended.unionByName(initial.join(ended.select(*keys), list(keys), "left_anti"))
         handler(scanned.drop(STATE), batch_id)
-        write_batch(ended, folder, batch_id)
+        store.merge(ended.withColumn("batch", F.lit(batch_id).cast("long")), batch_id)
+        store.vacuum(max(keep, 2))
 
     return handle
