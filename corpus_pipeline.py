@@ -3,14 +3,14 @@
 1. language: texts without a letter, and texts so mixed that no language holds LEAST_SHARE of the
    letters, go. Without any label to learn from, only texts without a letter go.
 2. near_copies: of each group of documents linked by the Jaccard join (over word 5-grams, similarity
-   0.8 or more) one stays, the smallest id; of rows with one id, the first by text.
+   0.8 or more) one stays, the one with the smallest id. Rows are told apart by a key of their own, so
+   rows with equal ids and different texts all stay, and rows without an id go as copies like others.
 3. benchmark: documents contaminated by benchmark passages go.
 4. secrets: every base span and every confirmed span is masked in the text, and n_chars follows.
 5. packing: what is left becomes sequences; the result is the table of pieces.
 
-Stages 1 to 4 return the columns of documents. A null or empty text goes in stage 1. A row with a
-null id links with nothing in stage 2 and stays. Extra columns pass through untouched. An empty table
-passes through all stages.
+Stages 1 to 4 return the columns of documents. A null or empty text goes in stage 1. Extra columns of any
+name pass through untouched. An empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowwarden.llm import decontaminate, jaccard_join, language, packing, queries, secret_scan
 from rowwarden.llm.exchange import settle
+from rowwarden.llm.staging import Staging
 from rowwarden.session import checkpoint_dir
 from rowwarden.sources.tables import table
 
@@ -41,13 +42,28 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_join.join(docs, NEAR_GRAM, NEAR_PERCENT).where("doc_id is not null")
-    ids = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.max("component_id").alias("c"))
-    marked = settle(ids.where("n > 1 or c <> _id"))  # ids that go, and ids that several rows have
-    once = docs.join(marked, docs["doc_id"] == marked["_id"], "left_anti")
-    several = docs.join(marked.where("c = _id"), docs["doc_id"] == F.col("_id"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text")) == 1
-    return once.unionByName(several.withColumn("_first", first).where("_first").select(*docs.columns))
+    row, group = fresh(docs, "row"), fresh(docs, "group")
+    keyed = steady(docs).withColumn(row, F.monotonically_increasing_id())
+    linked = jaccard_join.join(keyed, NEAR_GRAM, NEAR_PERCENT, key=row).where("component_id is not null")
+    linked = settle(linked.select(F.col("doc_id").alias(row), F.col("component_id").alias(group)))
+    copied = linked.where(F.col(row) != F.col(group)).select(group).distinct()
+    members = linked.join(copied, group, "left_semi").join(keyed.select(row, "doc_id"), row)
+    stays = members.groupBy(group).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))[row].alias(row))
+    goes = settle(members.select(row).join(stays.select(row), row, "left_anti"))
+    return keyed.join(goes, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def steady(docs: DataFrame) -> DataFrame:
+    """docs if it is a written table, whose rows have the same places in every read; else a written copy of it."""
+    plan = docs._jdf.queryExecution().optimizedPlan().nodeName()
+    return docs if plan == "LogicalRelation" else Staging(docs.sparkSession, "corpus").keep(docs, "docs")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name in df.columns:
+        name = f"{name}_"
+    return name
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,7 @@ SAMPLE = 3000  # documents (expected) on which allocations are priced
 PAIR_PRICE = 30.0  # keys sent that one meeting is worth
 SMALL = 64  # bands that begin below get budget 2 throughout: their subsets are too small to tell texts apart
 SKETCH = 256  # parts of the universe in a sketch, a byte each
+WORDS = 1 << 20  # 64-bit words of the filter of documents on pairs: 8 MB
 BLOCK = 2048  # documents of one side in a block of comparisons
 LARGEST = 1 << 26  # elements; bands end there
 KEYS, META = 0, 1
@@ -296,28 +297,56 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, key: str = "
     )
 
 
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ids: WORDS words of 64 bits, two bits per id, whatever their number.
+
+    It only saves work: what it lets through is joined with the ids afterwards.
+    """
+    bits = F.transform(F.array(F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))), lambda h: F.pmod(h, F.lit(64 * WORDS)))
+    place = ids.select(F.explode(bits).alias("bit")).select(F.floor(F.col("bit") / 64).cast("long").alias("word"), F.pmod("bit", F.lit(64)).cast("int").alias("shift"))
+    masks = place.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask"))
+    words = np.zeros(WORDS, np.int64)
+    for r in masks.toLocalIterator():  # at most WORDS rows
+        words[r.word] = r.mask
+    return words
+
+
 def _texts(docs: DataFrame, pairs: DataFrame, gram: int) -> DataFrame:
-    """Compressed text, size and sketch of every document on a pair."""
+    """Compressed text, size and sketch of every document on a pair.
 
-    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for block in blocks(batches, "text"):
-            packed = [squeeze.compress(block.text(i).encode()) for i in range(len(block))]
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+    One pass over the texts in Python, which leaves out what the filter knows is on no pair, so that only about those that
+    are on one are compressed and shuffled.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = settle(wanted)
+    words = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted).tobytes())
+    probe = [F.pmod(F.xxhash64("doc_id", *salt), F.lit(64 * WORDS)).alias(f"bit_{i}") for i, salt in enumerate(([], [F.lit(1)]))]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _portions(batch, [1]):
-                sets = _sets_of_packed(part.column(1).to_pylist(), gram)
-                sketch = [s.tobytes() for s in sketches(sets)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sets.sizes()), pa.array(sketch, pa.binary())],
-                    names=["doc_id", "packed", "size", "sketch"],
-                )
+        held = np.frombuffer(words.value, np.int64)
+        squeeze = zstandard.ZstdCompressor(level=3)
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    kept = docs.mapInArrow(small, "doc_id long, packed binary").join(wanted, "doc_id", "left_semi")
-    return kept.mapInArrow(measured, "doc_id long, packed binary, size long, sketch binary")
+        def on_pairs() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bits = [batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3)]
+                on = np.ones(batch.num_rows, bool)
+                for b in bits:
+                    on &= (held[b >> 6] >> (b & 63)) & 1 == 1
+                if on.any():
+                    yield batch.filter(pa.array(on))
+
+        for block in blocks(on_pairs(), "text"):
+            sets = sets_of(block, gram)
+            packed = [squeeze.compress(block.text(i).encode()) for i in range(len(block))]
+            sketch = [s.tobytes() for s in sketches(sets)]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sets.sizes()), pa.array(sketch, pa.binary())],
+                names=["doc_id", "packed", "size", "sketch"],
+            )
+
+    with_id = docs.where("doc_id is not null").select("doc_id", "text", *probe)
+    found = with_id.mapInArrow(measured, "doc_id long, packed binary, size long, sketch binary")
+    return found.join(wanted, "doc_id", "left_semi")
 
 
 def _portions(batch: pa.RecordBatch, packed: list[int]) -> Iterator[pa.RecordBatch]:

@@ -47,9 +47,40 @@ def test_language_stage_without_labels(spark, given):
 def test_near_copy_stage(spark, docs, given):
     out = corpus_pipeline.near_copy_stage(spark, docs, SMALL)
     assert out.columns == docs.columns
-    least = {d: c for null, d, _, c in plain_components(given, 5, 80) if not null}
-    want = {(d is None, d or 0, t or "") for d, t, *_ in given if d is None or least[d] == d}
-    assert texts(out) == sorted(want)
+    assert texts(out) == sorted(left_over(given))
+
+
+def left_over(given) -> list[tuple]:
+    """One row of each group of linked rows, that with the smallest id; rows are told apart by their place."""
+    group = {i: c for _, i, _, c in plain_components([(i, *r[1:]) for i, r in enumerate(given)], 5, 80)}
+    first: dict[int, tuple] = {}
+    for i, (d, t, *_) in enumerate(given):
+        own = (d is None, d or 0, t or "")
+        first[group[i]] = min(first.get(group[i], own), own)
+    return list(first.values())
+
+
+def test_near_copies_keep_rows_that_share_an_id(spark, rows):
+    long = [t for _, t, *_ in rows if t and len(t.split()) > 150]
+    assert len(long) > 5
+    given = [(1, long[0], "en", "s"), (1, long[1], "en", "s"), (1, long[0], "en", "s"), (2, long[0] + " end", "en", "s"), (None, long[2], "en", "s"),
+             (None, long[2], "en", "s"), (None, long[3], "en", "s"), (5, None, "en", "s"), (5, "", "en", "s"), (6, "", "en", "s")]
+    out = corpus_pipeline.near_copy_stage(spark, frame(spark, given, 3), SMALL)
+    assert texts(out) == sorted(left_over(given))
+    assert out.count() == 7  # two texts under id 1, two without an id, and the three without words
+
+
+@pytest.mark.parametrize("names", [["_id", "_first", "n", "c"], ["hub", "rep", "node", "doc"], ["row", "group", "row_", "component"], ["n_shingles", "fp_a", "packed", "linked"]])
+def test_extra_columns_pass_through_the_stages(spark, rows, names):
+    given = rows[:25] + [rows[3]]
+    docs = spark.createDataFrame(
+        [(d, t, la, s, len(t or ""), f"x{d}", 5, True, "z") for d, t, la, s in given], f"doc_id long, text string, lang string, source string, n_chars long, {names[0]} string, {names[1]} int, {names[2]} boolean, `{names[3]}` string"
+    ).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        assert all(tuple(r)[5:] == (f"x{r.doc_id}", 5, True, "z") for r in out.collect()), name
+    assert corpus_pipeline.packing_stage(spark, docs, SMALL).count() >= 26
 
 
 def test_benchmark_stage(spark, given, rows, tmp_path):
@@ -88,7 +119,7 @@ def test_empty_table(spark, no_docs):
 @pytest.mark.parametrize("name", ORACLES)
 def test_queries_against_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings", "conversations"):
         db.sql(f"create view {t} as from '{SMALL}/{t}.parquet'")
     want = db.sql(ORACLES[name])
     found = queries.QUERIES[name](spark, SMALL).select(*want.columns)
@@ -96,7 +127,7 @@ def test_queries_against_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_mask_joins_overlapping_spans():
