@@ -27,11 +27,18 @@ def count_by_status(spark, folder):
 
 
 _JOINED = "FROM op LEFT JOIN cl ON op.pk = cl.pk"
-_NOT_DELETE = "coalesce(action, 'NONE') <> 'DELETE'"
-# name prefix and suffix are filled in
-_V1_COUNTS = f"""count(*) FILTER (hash_onprem <> hash_cloud AND {_NOT_DELETE}) AS {{0}}differing{{1}},
-  count(*) FILTER (action = 'NOOP') AS {{0}}unknown_change{{1}}, count(*) FILTER (cl.pk IS NULL AND {_NOT_DELETE}) AS {{0}}not_copied{{1}},
-  count(*) FILTER (action = 'DELETE') AS {{0}}cancelled{{1}}"""
+# conditions of the rules of site_rules_v1.yaml that are counted, by metric
+V1_SQL = {
+    "differing": "status = 'F' AND hash_onprem <> hash_cloud",
+    "unknown_change": "action = 'NOOP'",
+    "not_copied": "cl.pk IS NULL AND amount > 100000",
+    "slow_copies": "arrival_ts > event_ts + INTERVAL 12 SECOND",
+}
+COUNTERS = list(V1_SQL)
+
+
+def _v1_counts(prefix="", suffix=""):
+    return ", ".join(f"count(*) FILTER ({test}) AS {prefix}{name}{suffix}" for name, test in V1_SQL.items())
 
 
 @query(
@@ -50,7 +57,7 @@ def rule_metrics(spark, folder):
 
 @query(
     f"""SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start, 'staging' AS env, 'plant' AS dc, 'orders' AS table_name,
-      'shop.orders.changes' AS topic_name, {_V1_COUNTS.format('"checks.orders.', '"')}
+      'shop.orders.changes' AS topic_name, {_v1_counts('"checks.orders.', '"')}
     {_JOINED} GROUP BY 1""",
     ("op", "cl"),
 )
@@ -83,8 +90,8 @@ def invalid_counter(spark, folder):
 
 
 @query(
-    f"""SELECT count(*) FILTER ({_NOT_DELETE} AND (cl.pk IS NULL OR hash_onprem <> hash_cloud)) AS dq_error_total,
-      count(*) FILTER (action = 'NOOP') AS dq_warn_total, count(*) FILTER (action = 'DELETE') AS dq_info_total {_JOINED}""",
+    f"""SELECT count(*) FILTER (({V1_SQL["differing"]}) OR ({V1_SQL["not_copied"]})) AS dq_error_total,
+      count(*) FILTER ({V1_SQL["unknown_change"]}) AS dq_warn_total, count(*) FILTER ({V1_SQL["slow_copies"]}) AS dq_info_total {_JOINED}""",
     ("op", "cl"),
 )
 def severity_totals(spark, folder):
@@ -117,9 +124,6 @@ def invalid_ratio(spark, folder):
     return metrics.invalid_ratio(judged(spark, folder), "event_ts", "60 seconds", F.col("dq_status") == "PASS")
 
 
-COUNTERS = ["differing", "unknown_change", "not_copied", "cancelled"]
-
-
 def _long_metrics(spark, folder, duration):
     """Counters of the two sites per window, one row per metric."""
     wide = metrics.tumbling(sides(spark, folder), "t1.event_ts", duration, rules.emit_metrics(rules.emit_rules(V1)))
@@ -127,7 +131,7 @@ def _long_metrics(spark, folder, duration):
 
 
 _LONG_SQL = f"""SELECT window_start, metric_type, metric_value FROM (
-      SELECT date_trunc('day', event_ts) AS window_start, {_V1_COUNTS.format('', '')} {_JOINED} GROUP BY 1)
+      SELECT date_trunc('day', event_ts) AS window_start, {_v1_counts()} {_JOINED} GROUP BY 1)
       UNPIVOT (metric_value FOR metric_type IN ({", ".join(COUNTERS)}))"""
 
 

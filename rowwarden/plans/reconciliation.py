@@ -101,7 +101,6 @@ _V0_REASON = _V0_SQL.format(
     "'order has no key to look up'", "'digest is not 64 hex digits'", "'order was cancelled at the source'", "'order never reached the cloud'",
     "'copies differ'", "'copies agree, the cloud one came late'", "'OK'", "'OK'",
 )
-_NOT_DELETE = "coalesce(action, 'NONE') <> 'DELETE'"
 
 
 @query(
@@ -114,8 +113,8 @@ def reconcile_rules_v0(spark, folder):
 
 
 @query(
-    f"""SELECT order_key, CASE WHEN hash_onprem <> hash_cloud AND {_NOT_DELETE} THEN 'MISMATCH' WHEN action = 'NOOP' THEN 'UNKNOWN_ACTION'
-        WHEN cl.pk IS NULL AND {_NOT_DELETE} THEN 'MISSING_CLOUD' WHEN action = 'DELETE' THEN 'DELETE_EVENT' ELSE 'VALID' END AS dq_status
+    """SELECT order_key, CASE WHEN status = 'F' AND hash_onprem <> hash_cloud THEN 'MISMATCH' WHEN action = 'NOOP' THEN 'UNKNOWN_ACTION'
+        WHEN cl.pk IS NULL AND amount > 100000 THEN 'MISSING_CLOUD' WHEN arrival_ts > event_ts + INTERVAL 12 SECOND THEN 'LATE' ELSE 'VALID' END AS dq_status
     FROM op LEFT JOIN cl ON op.pk = cl.pk""",
     ("op", "cl"),
 )
@@ -124,78 +123,65 @@ def reconcile_rules_v1(spark, folder):
     return judged.select("t1.order_key", "dq_status")
 
 
-def _customer_hash(sha, balance):
-    return sha.format(f"concat_ws('|', CAST(c_custkey AS STRING), CAST(CAST({balance} AS DECIMAL(18,2)) AS STRING))")
+# both sides of the tables of table_rules.yaml, in terms of their key, price, kind and day
+_SIDES = {
+    "lineitem": ("line_id", "concat_ws('/', l_orderkey, l_linenumber, l_partkey)", "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag"),
+    "part": ("part_id", "CAST(p_partkey AS STRING)", "p_partkey", "p_size", "p_retailprice", "p_type"),
+}
 
 
-def _customer_onprem(sha, seconds):
-    return {
-        "customer_id": "c_custkey",
-        "action": "CASE WHEN c_custkey % 19 = 0 THEN 'DELETE' ELSE 'UPDATE' END",
-        "hash_onprem": _customer_hash(sha, "c_acctbal"),
-        "event_ts": f"CAST(DATE '2024-01-01' AS {seconds}",
-    }
-
-
-def _customer_cloud(sha):
-    return {
-        "customer_id": inputs.SNAP_AFTER["c_custkey"],
-        "hash_cloud": _customer_hash(sha, inputs.SNAP_AFTER["c_acctbal"]),
-    }
+def _table_columns(name, sha, day):
+    key_name, key, number, other, price, kind = _SIDES[name]
+    far_price = f"CASE WHEN {other} % 13 = 0 THEN {price} + 25 WHEN {other} % 17 = 0 THEN {price} + 0.25 ELSE {price} END"
+    far_kind = f"CASE WHEN {number} % 37 = 0 THEN 'Z' ELSE {kind} END"
+    text = "concat_ws('|', {}, CAST(CAST({} AS DECIMAL(18,2)) AS STRING), {})"
+    event = day.format(f"{number} % 500", "0")
+    own = {key_name: key, "price": price, "kind": kind, "event_ts": event, "row_sum": sha.format(text.format(key, price, kind))}
+    far = {
+        key_name: f"CASE WHEN {number} % 41 = 0 THEN concat({key}, 'x') ELSE {key} END", "price": far_price, "kind": far_kind,
+        "copied_at": day.format(f"{number} % 500", f"{other} % 60"), "far_sum": sha.format(text.format(key, far_price, far_kind)),
+    }
+    return own, far
 
 
 def _list(columns):
     return [f"{e} AS {n}" for n, e in columns.items()]
 
 
-_SPARK_CUSTOMER = ("sha2({}, 256)", "TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, c_custkey % 3600)")
-_DUCK_CUSTOMER = ("sha256({})", "TIMESTAMP) + to_seconds(c_custkey % 3600)")
-
-
-def table_sides(spark, folder):
-    """name -> (on-prem, cloud) of the tables the multi-table rules name."""
-    customer = tables.table(spark, folder, "customer")
-    return {
-        "customer": (
-            customer.selectExpr(*_list(_customer_onprem(*_SPARK_CUSTOMER))),
-            customer.selectExpr(*_list(_customer_cloud(_SPARK_CUSTOMER[0]))),
-        ),
-        "orders": (
-            inputs.onprem(spark, folder).withColumnRenamed("pk", "order_id"),
-            inputs.cloud(spark, folder).withColumnRenamed("pk", "order_id"),
-        ),
-    }
+_SPARK_TABLE = ("sha2({}, 256)", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, {}, 0) + make_dt_interval(0, {}, 0, 0)")
+_DUCK_TABLE = ("sha256({})", "TIMESTAMP '2024-01-01 00:00:00' + to_minutes({}) + to_hours({})")
 
 
 def each_table(spark, folder):
     """(table description, its rules, its joined sides) of every table in the document."""
-    both = table_sides(spark, folder)
     for pair in rules.table_pairs(V2):
-        t1, t2 = both[pair.name]
-        joined = joins.aliased_left_join(
-            t1.alias(pair.onprem["alias"]), t2.alias(pair.cloud["alias"]), pair.pk, pair.onprem["alias"], pair.cloud["alias"],
-            [pair.hash_cloud],
-        )
+        own, far = (tables.table(spark, folder, pair.name).selectExpr(*_list(c)) for c in _table_columns(pair.name, *_SPARK_TABLE))
+        joined = joins.aliased_left_join(own, far, pair.pk, pair.onprem["alias"], pair.cloud["alias"], [pair.hash_cloud, "copied_at"])
         yield pair, rules.emit_rules(V2, pair), joined
 
 
-_TABLES_SQL = f"""WITH c1 AS (SELECT {", ".join(_list(_customer_onprem(*_DUCK_CUSTOMER)))} FROM customer),
-c2 AS (SELECT {", ".join(_list(_customer_cloud(_DUCK_CUSTOMER[0])))} FROM customer),
-j AS (SELECT 'customer' AS table_name, 'customers' AS source_table, 'shop.customers.changes' AS topic_name,
-    c1.customer_id AS pk, action, hash_onprem, hash_cloud, c2.customer_id AS cloud_pk, event_ts FROM c1 LEFT JOIN c2 ON c1.customer_id = c2.customer_id
-  UNION ALL SELECT 'orders', 'orders', 'shop.orders.changes', op.pk, action, hash_onprem, hash_cloud, cl.pk, event_ts
-  FROM op LEFT JOIN cl ON op.pk = cl.pk),
-k AS (SELECT *, coalesce(action = 'DELETE', FALSE) AS is_delete, coalesce(action <> 'DELETE' AND cloud_pk IS NULL, FALSE) AS is_missing,
-    coalesce(action <> 'DELETE' AND hash_onprem <> hash_cloud, FALSE) AS is_mismatch FROM j)
+def _table_sql(name, table_name, topic):
+    own, far = _table_columns(name, *_DUCK_TABLE)
+    key = _SIDES[name][0]
+    last = f"QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY far_sum DESC, copied_at DESC) = 1"
+    return f"""SELECT '{name}' AS table_name, '{table_name}' AS source_table, '{topic}' AS topic_name, a.{key} AS pk, event_ts,
+      a.price AS price, b.price AS far_price, a.kind AS kind, b.kind AS far_kind, copied_at, row_sum, far_sum, b.{key} AS far_pk
+    FROM (SELECT {", ".join(_list(own))} FROM {name}) a
+    LEFT JOIN (FROM (SELECT {", ".join(_list(far))} FROM {name}) {last}) b ON a.{key} = b.{key}"""
+
+
+_TABLES_SQL = f"""WITH j AS ({_table_sql("lineitem", "lines", "works.lines")} UNION ALL {_table_sql("part", "parts", "works.parts")}),
+k AS (SELECT *, coalesce(abs(price - far_price) > 0.01 * abs(price), FALSE) AS off, coalesce(kind <> far_kind, FALSE) AS moved,
+    coalesce(copied_at > event_ts + INTERVAL 2 DAY, FALSE) AS slow, far_pk IS NULL AND price >= 1000 AS dear, coalesce(row_sum <> far_sum, FALSE) AS other FROM j)
 """
 
 
 @query(
     _TABLES_SQL
-    + """SELECT table_name, coalesce(CAST(pk AS VARCHAR), '') AS pk, CASE WHEN is_mismatch THEN 'MISMATCH' WHEN is_missing THEN 'MISSING_CLOUD'
-      WHEN is_delete THEN 'DELETE_EVENT' ELSE 'VALID' END AS dq_status,
-      CASE WHEN is_mismatch THEN 'copies_differ' WHEN is_missing THEN 'row_not_copied' WHEN is_delete THEN 'row_removed' ELSE 'OK' END AS dq_reason FROM k""",
-    ("op", "cl"),
+    + """SELECT table_name, coalesce(pk, '') AS pk, CASE WHEN off THEN 'MISMATCH' WHEN moved THEN 'DRIFT' WHEN slow THEN 'LATE'
+      WHEN dear THEN 'MISSING_CLOUD' WHEN other THEN 'DRIFT' ELSE 'VALID' END AS dq_status,
+      CASE WHEN off THEN 'prices are more than a hundredth apart' WHEN moved THEN 'kind_moved' WHEN slow THEN 'the copy came more than two days later'
+        WHEN dear THEN 'dear_row_not_copied' WHEN other THEN 'something else differs' ELSE 'OK' END AS dq_reason FROM k"""
 )
 def multi_table_results(spark, folder):
     """One rule set filled in for each table, their results side by side."""
@@ -213,13 +199,12 @@ def multi_table_results(spark, folder):
 
 @query(
     _TABLES_SQL
-    + """SELECT time_bucket(INTERVAL 10 SECONDS, event_ts) AS window_start, 'staging' AS env, 'plant' AS dc, source_table AS table_name, topic_name,
-      count(*) FILTER (is_mismatch) AS differing, count(*) FILTER (is_missing) AS not_copied, count(*) FILTER (is_delete) AS removed
-    FROM k GROUP BY ALL""",
-    ("op", "cl"),
+    + """SELECT time_bucket(INTERVAL 10 SECONDS, event_ts) AS window_start, 'trial' AS env, 'works' AS dc, source_table AS table_name, topic_name,
+      count(*) FILTER (off) AS price_off, count(*) FILTER (moved) AS kind_moved, count(*) FILTER (slow) AS copy_slow, count(*) FILTER (dear) AS dear_not_copied
+    FROM k GROUP BY ALL"""
 )
 def multi_table_metrics(spark, folder):
-    """Counts per rule condition, 10-second window and table."""
+    """Counts per rule condition, 10-second window and table; a rule without a metric is not counted."""
     report = None
     for pair, rule_list, joined in each_table(spark, folder):
         moment = f"{pair.onprem['alias']}.event_ts"

@@ -49,8 +49,8 @@ def route_three_way(spark, folder):
     _MESSAGE_CTES
     + """SELECT event_id, route FROM (
       SELECT event_id, 'validated' AS route FROM g WHERE failed = ''
-      UNION SELECT event_id, 'invalid' FROM g WHERE regexp_matches(failed, 'mail_shape|parts_there|amount_numeric')
-      UNION SELECT event_id, 'quarantine' FROM g WHERE regexp_matches(failed, 'amount_sign|sent_lately'))""",
+      UNION SELECT event_id, 'invalid' FROM g WHERE regexp_matches(failed, 'amount_for_kind|removal_is_empty')
+      UNION SELECT event_id, 'quarantine' FROM g WHERE regexp_matches(failed, 'quiet_hours|minor_buys'))""",
     ("rawj",),
 )
 def route_by_rule(spark, folder):

@@ -351,19 +351,16 @@ MESSAGE_RULES = CONFIG / "message_rules.yaml"
 def message_fields(spark, folder):
     """What the message conditions look at, taken from the parsed text once."""
     docs = parse.messages(
-        inputs.raw_messages(spark, folder), "raw", ["id", "timestamp", "value", "email"], ["event_id", "raw"]
+        inputs.raw_messages(spark, folder), "raw", ["timestamp", "value", "table", "age", "action"], ["event_id", "raw"]
     )
     return docs.select(
         "event_id",
         "raw",
-        jsontext.present("id").alias("has_id"),
-        jsontext.present("timestamp").alias("has_timestamp"),
-        jsontext.present("value").alias("has_value"),
-        F.when(jsontext.present("value"), jsontext.is_number("value")).alias("value_is_number"),
-        jsontext.value("value", "string").alias("value_text"),
         jsontext.text("timestamp").alias("timestamp_text"),
-        jsontext.text("email").alias("email_text"),
-        inputs.as_of().alias("as_of"),
+        jsontext.number("value").alias("amount"),
+        jsontext.text("table").alias("kind"),
+        jsontext.number("age").alias("age"),
+        jsontext.text("action").alias("action"),
     )
 
 
@@ -373,22 +370,18 @@ def message_failures(spark, folder):
     return rows.select("event_id", "raw", rules.condition_failures(conditions).alias("failures"))
 
 
-_MESSAGE_CTES = """WITH c AS (SELECT event_id, raw,
-    json_type(j, '$.id') IS NOT NULL AND json_type(j, '$.timestamp') IS NOT NULL AND vt IS NOT NULL AS has_all,
-    CASE WHEN vt IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN TRUE WHEN vt IS NULL OR vt = 'NULL' THEN NULL_KIND ELSE FALSE END AS num_ok,
-    TRY_CAST(vs AS DOUBLE) >= 0 AS positive,
-    TRY_CAST(json_extract_string(j, '$.timestamp') AS TIMESTAMP) AS msg_ts,
-    regexp_matches(coalesce(json_extract_string(j, '$.email'), ''), '^(?:[^@]+@[^@]+\\.[^@]+)') AS email_ok
-  FROM (SELECT *, CASE WHEN vt = 'NULL' THEN FALSE END AS NULL_KIND FROM rawj)),
+_MESSAGE_CTES = """WITH c AS (SELECT *, hour(TRY_CAST(json_extract_string(j, '$.timestamp') AS TIMESTAMP)) AS sent_hour,
+    CASE WHEN vt IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN TRY_CAST(vs AS DOUBLE) END AS amount, json_extract_string(j, '$.table') AS kind,
+    TRY_CAST(json_extract_string(j, '$.age') AS DOUBLE) AS age, json_extract_string(j, '$.action') AS action FROM rawj),
+t AS (SELECT event_id, raw, sent_hour, amount <= CASE kind WHEN 'purchase' THEN 300 WHEN 'click' THEN 120 ELSE 200 END AS in_scale,
+    NOT (kind = 'purchase' AND age < 18) AS of_age, coalesce(action, '') <> 'DELETE' OR amount = 0 AS is_empty FROM c),
 f AS (SELECT event_id, raw,
-    CASE WHEN NOT email_ok THEN 'mail_shape:fail' END AS f1,
-    CASE WHEN NOT has_all THEN 'parts_there:fail' END AS f2,
-    CASE WHEN num_ok IS NULL THEN 'amount_numeric:error' WHEN NOT num_ok THEN 'amount_numeric:fail' END AS f3,
-    CASE WHEN num_ok IS NULL THEN NULL WHEN msg_ts IS NULL THEN 'sent_lately:preprocess,sent_lately:error'
-      WHEN NOT (TIMESTAMP '2024-01-31' - msg_ts < INTERVAL 20 DAY) THEN 'sent_lately:warn' END AS f4,
-    CASE WHEN num_ok IS NULL THEN NULL WHEN positive IS NULL THEN 'amount_sign:error' WHEN NOT positive THEN 'amount_sign:warn' END AS f5 FROM c),
-g AS (SELECT event_id, raw, concat_ws(',', f1, f2, f3, f4, f5) AS failed,
-    f1 IS NOT NULL OR f2 IS NOT NULL OR f3 IS NOT NULL OR coalesce(f4, '') LIKE '%error' OR coalesce(f5, '') = 'amount_sign:error' AS any_fail FROM f)
+    CASE WHEN sent_hour IS NULL THEN 'quiet_hours:preprocess,quiet_hours:error' WHEN NOT (sent_hour BETWEEN 6 AND 22) THEN 'quiet_hours:warn' END AS f1,
+    CASE WHEN in_scale IS NULL THEN 'amount_for_kind:error' WHEN NOT in_scale THEN 'amount_for_kind:fail' END AS f2,
+    CASE WHEN in_scale IS NULL THEN NULL WHEN of_age IS NULL THEN 'minor_buys:error' WHEN NOT of_age THEN 'minor_buys:fail' END AS f3,
+    CASE WHEN in_scale IS NULL OR of_age IS NULL THEN NULL WHEN is_empty IS NULL THEN 'removal_is_empty:error'
+      WHEN NOT is_empty THEN 'removal_is_empty:warn' END AS f4 FROM t),
+g AS (SELECT event_id, raw, concat_ws(',', f1, f2, f3, f4) AS failed FROM f)
 """
 
 
