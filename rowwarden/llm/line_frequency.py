@@ -2,9 +2,8 @@
 
 Base rules look at one document. The method: every line is normalised (lower case, white space
 collapsed) and hashed, the distinct documents of a host that hold it are counted, lines above the
-host's limit are removed, and a document left with too few of its words is rejected. A line is
-above the limit if it is in more than `least_docs` documents of the host and in more than
-`share` of the host's documents; both hold alike at every size.
+limit are removed, and a document left with too few of its words is rejected. The limit is a number of
+documents of a host, the same for a host of any size: a notice is as much of a notice on a large one.
 
 One pass over the texts gives a row per document with its base measures and its distinct lines
 (hash and words). Counting, the limits and the verdict are joins and aggregates over those.
@@ -35,8 +34,7 @@ LEAST_WORDS = 10
 REPEAT_WINDOW = 5
 REPEAT_PERCENT = 20
 
-LEAST_DOCS = 10  # a line in so few documents of a host is never boilerplate
-SHARE = 0.01  # of the host's documents
+MOST_DOCS = 10  # of a host; a line in more of them is boilerplate
 LEAST_LEFT = 0.5  # of a document's words, after its frequent lines are gone
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -127,8 +125,7 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 
 def quality(
     docs: DataFrame,
-    least_docs: int = LEAST_DOCS,
-    share: float = SHARE,
+    most_docs: int = MOST_DOCS,
     least_left: float = LEAST_LEFT,
     key: str = "doc_id",
     text: str = "text",
@@ -137,16 +134,8 @@ def quality(
     """Base measures, frequent words, and the verdict of every document."""
     rows = cut_lineage(profile(docs, key, text, host))
     lines = rows.select("row_key", "host", F.explode("lines").alias("l")).select("row_key", "host", "l.line", "l.words")
-    sizes = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
-    # at most 1/share lines of one document can be frequent per host, so this stays small
-    frequent = (
-        lines.groupBy("host", "line")
-        .agg(F.count("*").alias("line_docs"))
-        .where(F.col("line_docs") > least_docs)
-        .join(sizes, "host")
-        .where(F.col("line_docs") > share * F.col("host_docs"))
-        .select("host", "line")
-    )
+    # one row per line and host on the map side; a hot line of the join below is split, as this side has it once
+    frequent = lines.groupBy("host", "line").agg(F.count("*").alias("line_docs")).where(F.col("line_docs") > most_docs).select("host", "line")
     lost = lines.join(frequent, ["host", "line"]).groupBy("row_key").agg(F.sum("words").alias("lost_words"))
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     n_lost = F.coalesce("lost_words", F.lit(0))

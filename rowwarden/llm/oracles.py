@@ -25,8 +25,7 @@ WITH docs AS (
 ), held AS (
     SELECT host, norm, count(DISTINCT row_key) AS docs FROM full_lines GROUP BY host, norm
 ), frequent AS (
-    SELECT host, norm FROM held JOIN (SELECT host, count(*) AS size FROM docs GROUP BY host) USING (host)
-    WHERE docs > 10 AND docs > 0.01 * size
+    SELECT host, norm FROM held WHERE docs > 10
 ), lost AS (
     SELECT row_key, sum(n) AS n FROM full_lines SEMI JOIN frequent USING (host, norm) GROUP BY row_key
 ), base AS (

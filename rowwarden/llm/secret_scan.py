@@ -10,8 +10,12 @@ Base kinds (fixed patterns): `assign`, `access`, `hex`. Confirmed kinds, added b
   with all its length fields; or that decodes to text with such a key in armour. Armour may hold
   header lines; where they name a cipher, the body is whole blocks of it. Line ends may be escaped.
 
+Where a coded key starts and ends in a run of characters is read from its structure: a run may begin with part of
+a path or a name, go on behind the key, be wrapped in lines of any width, or have an odd number of hex digits in
+front. Every place that spells a DER sequence or the OpenSSH container is tried with the length stated there.
+
 A block of texts is first scanned as bytes, array-wise: only texts that hold a long run of the
-right alphabet, one that a dot joins to another, armour, `AKIA`, or a `:` or `=` can match, and only
+right alphabet (over lines too), one that a dot joins to another, armour, `AKIA`, or a `:` or `=` can match, and only
 those are looked at one by one. Every long enough candidate is decoded; its structure decides.
 
 Null or empty text: no spans. Offsets are code points, ends exclusive. Spans of different kinds may
@@ -23,7 +27,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -32,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rowwarden.llm.textblocks import Block, beside, blocks, runs
+from rowwarden.llm.textblocks import WHITE, Block, beside, blocks, runs
 
 KINDS = ("assign", "access", "hex", "token", "key")
 # fixed values: the base patterns
@@ -55,6 +58,14 @@ ARMOUR_HEADER = re.compile(r"^[ \t]*([A-Za-z][A-Za-z0-9-]*):[ \t]*([^\n]*(?:\n[
 CIPHER = re.compile(r"[A-Z0-9-]+,\s*([0-9A-Fa-f]{16}|[0-9A-Fa-f]{32})\s*")
 ESCAPED_END = re.compile(r"(?<!\\)\\+(?:[nrt]|u000[9aAdD]|(?=\r?\n))")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:[ \t\r]*\n\s*[A-Za-z0-9+/_-]+={0,2})+(?![A-Za-z0-9+/_-])")
+LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{2,}(?:[ \t\r]*\n[ \t]*[A-Za-z0-9+/_-]{2,}={0,2})+")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}")
+HEX_RUNS = re.compile(r"[0-9A-Fa-f]{40,}")
+# how a DER sequence, the OpenSSH magic and armour begin in base64, and a sequence in hex
+DER_64 = re.compile(r"M(?=[A-P])")
+SSH_64 = re.compile("b3BlbnNzaC1rZXktdjEA")
+ARMOUR_64 = re.compile("LS0tLS1CRUdJTi")
+DER_HEX = re.compile(r"3(?=0(?:[2-7]|8[1-4]))")
 LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
 CODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 CODED_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){20,}(?![0-9A-Fa-f])")
@@ -136,9 +147,14 @@ def is_encrypted_key(der: bytes) -> bool:
 
 def is_ssh_key(raw: bytes) -> bool:
     """Whether `raw` is an OpenSSH private key container whose length fields all hold."""
+    return ssh_size(raw) == len(raw)
+
+
+def ssh_size(raw: bytes) -> int | None:
+    """Bytes of the OpenSSH private key container that `raw` begins with."""
     magic = b"openssh-key-v1\0"
     if not raw.startswith(magic):
-        return False
+        return None
     at = len(magic)
 
     def field() -> bytes | None:
@@ -150,11 +166,80 @@ def is_ssh_key(raw: bytes) -> bool:
         return raw[at - size : at]
 
     if any(field() is None for _ in range(3)):  # cipher, key derivation, its options
-        return False
+        return None
     keys, at = int.from_bytes(raw[at : at + 4], "big"), at + 4
     if not 1 <= keys <= 64 or any(field() is None for _ in range(keys)):
-        return False
-    return field() is not None and at == len(raw)
+        return None
+    return at if field() is not None else None
+
+
+def der_size(head: bytes) -> int | None:
+    """Bytes of the sequence that begins with `head`, if its first member can be that of a key."""
+    if len(head) < 9 or head[0] != SEQUENCE:
+        return None
+    wide = head[1] & 0x7F if head[1] & 0x80 else 0
+    if wide > 4 or (head[1] & 0x80 and not wide):
+        return None
+    size = int.from_bytes(head[2 : 2 + wide], "big") if wide else head[1]
+    first = head[2 + wide : 5 + wide]
+    return size + 2 + wide if first in (b"\2\1\0", b"\2\1\1") or first[:1] == b"\x30" else None
+
+
+def keys_within(run: str) -> list[tuple[int, int]]:
+    """Keys anywhere in a run of base64 characters (either alphabet), by the length that each states."""
+    found, end = [], 0
+    places = [m.start() for start in (DER_64, SSH_64, ARMOUR_64) for m in start.finditer(run)]
+    for i in sorted(places):
+        if i < end:
+            continue
+        rest = run[i : len(run) - ((len(run) - i) % 4 == 1)]
+        if run[i] == "L":
+            raw = decode64(rest) or b""
+            m = ARMOUR.match(unescaped(raw.decode("latin-1")))
+            if m and is_armoured(m[2]):
+                end = i + -(-4 * (m.end() + (raw[m.end() : m.end() + 1] == b"\n")) // 3)
+                found.append((i, end))
+            continue
+        if run[i] == "M":
+            size = der_size(decode64(run[i : i + 12]) or b"")
+        else:
+            size = ssh_size(decode64(rest) or b"")
+        if size is None or i + (last := -(-4 * size // 3)) > len(run):
+            continue
+        if is_key((decode64(run[i : i + last]) or b"")[:size]):
+            found.append((i, i + last))
+            end = i + last
+    return found
+
+
+def hex_keys_within(run: str) -> list[tuple[int, int]]:
+    """Keys anywhere in a run of hex digits, at even and odd places."""
+    found, end = [], 0
+    for m in DER_HEX.finditer(run):
+        i = m.start()
+        if i < end or i + 18 > len(run):
+            continue
+        size = der_size(bytes.fromhex(run[i : i + 18]))
+        if size is not None and i + 2 * size <= len(run) and is_key(bytes.fromhex(run[i : i + 2 * size])):
+            found.append((i, i + 2 * size))
+            end = i + 2 * size
+    return found
+
+
+def keys_over_lines(text: str, lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Keys in the characters of several lines, put end to end, as places in the text."""
+    whole = "".join(text[a:b].rstrip("=") for a, b in lines)
+    if len(whole) < CODED_LEAST:
+        return []
+    places = np.concatenate([np.arange(a, a + len(text[a:b].rstrip("="))) for a, b in lines])
+    return [(int(places[i]), int(places[j - 1]) + 1) for i, j in keys_within(whole)]
+
+
+def _with_padding(text: str, span: tuple[int, int]) -> tuple[int, int]:
+    end = span[1]
+    while end < len(text) and end < span[1] + 2 and text[end] == "=":
+        end += 1
+    return span[0], end
 
 
 def is_key(raw: bytes | None) -> bool:
@@ -237,6 +322,12 @@ def confirmed_spans(text: str) -> list[Span]:
     keys += [m.span() for m in CODED_HEX.finditer(text) if holds_key(bytes.fromhex(m[0]))]
     for m in WRAPPED.finditer(text):
         keys += wrapped_keys(text, [x.span() for x in LINE.finditer(text, m.start(), m.end())])
+    for m in RUN.finditer(text):
+        keys += [_with_padding(text, (m.start() + a, m.start() + b)) for a, b in keys_within(m[0])]
+    for m in HEX_RUNS.finditer(text):
+        keys += [(m.start() + a, m.start() + b) for a, b in hex_keys_within(m[0])]
+    for m in LINES.finditer(text):
+        keys += [_with_padding(text, k) for k in keys_over_lines(text, [x.span() for x in LINE.finditer(text, m.start(), m.end())])]
     keys.sort(key=lambda s: (s[0], -s[1]))
     end = 0
     for s in keys:
@@ -246,11 +337,6 @@ def confirmed_spans(text: str) -> list[Span]:
     return found
 
 
-def digest_text(spans: list[Span]) -> str:
-    order = sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
-    return ",".join(f"{kind}:{start}:{end}" for start, end, kind in order)
-
-
 def _suspects(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Rows that may hold a base match, and rows that may hold a coded candidate."""
     data, base, coded = block.data, np.zeros(len(block), bool), np.zeros(len(block), bool)
@@ -258,12 +344,27 @@ def _suspects(block: Block) -> tuple[np.ndarray, np.ndarray]:
     base[row(np.flatnonzero((data == 0x3A) | (data == 0x3D)))] = True
     at = np.flatnonzero(data[:-3] == 0x41) if len(data) > 3 else np.zeros(0, np.int64)
     base[row(at[(data[at + 1] == 0x4B) & (data[at + 2] == 0x49) & (data[at + 3] == 0x41)])] = True
+
+    def mark(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Flag all rows that the runs touch: texts lie end to end, so a run can begin in the row before."""
+        step = np.zeros(len(block) + 1, np.int64)
+        np.add.at(step, row(start), 1)
+        np.add.at(step, row(end - 1) + 1, -1)
+        flags |= np.cumsum(step[:-1]) > 0
+
     start, end = runs(_HEX[data])
-    base[row(start[end - start >= HEX_LEAST])] = True
+    long = end - start >= HEX_LEAST
+    mark(base, start[long], end[long])
     start, end = runs(_CODED[data])
-    coded[row(start[end - start >= CODED_LEAST])] = True
+    if len(start):  # runs that only white space with a line end parts count as one
+        solid, lines = np.concatenate(([0], np.cumsum(~WHITE[data]))), np.concatenate(([0], np.cumsum(data == 0x0A)))
+        gap = (solid[start[1:]] == solid[end[:-1]]) & (lines[start[1:]] > lines[end[:-1]])
+        chain = np.concatenate(([0], np.cumsum(~gap)))
+        long = np.bincount(chain, end - start)[chain] >= CODED_LEAST
+        mark(coded, start[long], end[long])
     dot = (end - start >= HEADER_LEAST) & (end < len(data) - 1)
-    coded[row(start[dot][data[end[dot]] == 0x2E])] = True
+    dot[dot] = data[end[dot]] == 0x2E
+    mark(coded, start[dot], end[dot])
     at = np.flatnonzero(data[:-4] == 0x2D) if len(data) > 4 else np.zeros(0, np.int64)
     coded[row(at[(data[at + 1] == 0x2D) & (data[at + 2] == 0x2D) & (data[at + 3] == 0x2D) & (data[at + 4] == 0x2D)])] = True
     return base, coded
@@ -323,6 +424,3 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         run, "doc_id long, spans array<struct<start_at: long, end_at: long, kind: string, value: string>>"
     )
 
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
