@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def count_by(df: DataFrame, column: str, alias: str = "total") -> DataFrame:
@@ -144,6 +144,29 @@ def stalled_windows(df: DataFrame, moment: str, minutes: int, valid: Column) ->
     return spine.join(good, "window_start", "left_anti")
 
 
+def stalled_by_key(df: DataFrame, keys: Sequence[str], moment: str, minutes: int, valid: Column, idle_windows: int, until: Column) -> DataFrame:
+    """(keys, window_start) of the windows of each key without a valid row, from its first row up to `until`.
+
+    A key without any row for `idle_windows` windows is no longer watched until its next one. Rows are brought to one per
+    key and window first, on the map side; between two of them at most `idle_windows` windows are made.
+    """
+    step = minutes * 60
+    start = F.unix_seconds(F.col(moment).cast("timestamp"))
+    held = (
+        df.where(F.col(moment).isNotNull())
+        .dropna(subset=list(keys))
+        .groupBy(*keys, (start - F.pmod(start, F.lit(step))).alias("_w"))
+        .agg(F.max(F.coalesce(valid, F.lit(False))).alias("_valid"))
+    )
+    following = F.lead("_w").over(Window.partitionBy(*keys).orderBy("_w"))
+    end = F.coalesce(following, F.unix_seconds(until.cast("timestamp")))
+    last = F.least(F.col("_end") - step, F.col("_w") + idle_windows * step)
+    after = F.when(last > F.col("_w"), F.sequence(F.col("_w") + step, last, F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    own = F.when(F.col("_valid"), F.array().cast("array<bigint>")).otherwise(F.array("_w"))
+    found = held.withColumn("_end", end).select(*keys, F.explode(F.concat(own, after)).alias("_s"))
+    return found.select(*keys, F.timestamp_seconds("_s").cast("timestamp_ntz").alias("window_start"))
+
+
 def error_rate(df: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     wrong = F.coalesce(bad, F.lit(False))
     return (

@@ -173,6 +173,18 @@ def alert_stalled(spark, folder):
     return metrics.stalled_windows(judged(spark, folder), "event_ts", 5, F.col("dq_status") == "PASS")
 
 
+@query(
+    f"""WITH h AS (SELECT event_type, time_bucket(INTERVAL 5 MINUTES, event_ts) AS w, bool_or({_PASS}) AS ok FROM de WHERE event_ts IS NOT NULL GROUP BY ALL),
+    n AS (SELECT *, coalesce(lead(w) OVER (PARTITION BY event_type ORDER BY w), TIMESTAMP '2024-01-31') AS e FROM h)
+    SELECT event_type, w AS window_start FROM n WHERE NOT ok
+    UNION ALL SELECT event_type, unnest(generate_series(w + INTERVAL 5 MINUTES, least(e - INTERVAL 5 MINUTES, w + INTERVAL 30 MINUTES), INTERVAL 5 MINUTES)) FROM n""",
+    ("de",),
+)
+def alert_stalled_keys(spark, folder):
+    """Five-minute windows in which a kind of event had no valid row, as long as it is watched: half an hour after its last row."""
+    return metrics.stalled_by_key(judged(spark, folder), ["event_type"], "event_ts", 5, F.col("dq_status") == "PASS", 6, inputs.as_of())
+
+
 @query(
     f"""SELECT 'dq_job' AS job_name, window_start AS metric_ts, metric_type, metric_value
     FROM ({_LONG_SQL})""",
