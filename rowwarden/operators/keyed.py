@@ -70,3 +70,14 @@ def rekeyed(rows: DataFrame, new_key: str, columns: Sequence[str]) -> DataFrame:
 def hash_sample(rows: DataFrame, key: str, one_in: int) -> DataFrame:
     """A repeatable sample of keys for audits: the same keys at every site and run."""
     return rows.where(key_bucket(F.col(key), one_in) == 0)
+
+
+def bottom_k(rows: DataFrame, keys: Sequence[str], identity: Sequence[str], k: int) -> DataFrame:
+    """A repeatable sample of min(k, rows) rows per key: those with the smallest digests of their identity.
+
+    Every site picks the same rows. Each task sends k rows of a key at most, however hot the key is.
+    `identity` names a row; rows with equal identity are told apart by nothing and any of them may stand.
+    """
+    digest = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]), 256)
+    ranked = Window.partitionBy(*keys).orderBy("_digest")
+    return rows.withColumn("_digest", digest).withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= k).drop("_digest", "_rank")

@@ -211,3 +211,9 @@ def latest_n_per_day(spark, folder):
 def audit_sample(spark, folder):
     """One key in twenty for audits (sampling is the operator)."""
     return keyed.hash_sample(inputs.events(spark, folder), "event_id", 20).select("event_id", "user_id")
+
+
+@query("SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY sha256(CAST(event_id AS VARCHAR))) <= 3")
+def audit_sample_by_key(spark, folder):
+    """Three rows of every user for audits, the same at every site (sampling is the operator)."""
+    return keyed.bottom_k(inputs.events(spark, folder), ["user_id"], ["event_id"], 3).select("user_id", "event_id")

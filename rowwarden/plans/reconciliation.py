@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowwarden.operators import joins, keyed, metrics, ordered, reconcile, rules
+from rowwarden.operators import joins, keyed, metrics, ordered, reconcile, rules, sketches
 from rowwarden.plans import inputs
 from rowwarden.plans.registry import CONFIG, query
 from rowwarden.sources import tables
@@ -435,3 +435,42 @@ def cdc_completeness(spark, folder):
         "l_orderkey",
         F.to_date("o_orderdate"),
     )
+
+
+@query(
+    """WITH s AS (SELECT 'onprem' AS side, c_acctbal AS v FROM snap_a UNION ALL SELECT 'cloud', c_acctbal FROM snap_b)
+    SELECT side, count(v) AS n, unnest([0.05, 0.25, 0.5, 0.95]) AS probability, TRUE AS within_error FROM s GROUP BY 1""",
+    ("snap_a", "snap_b"),
+)
+def quantile_sketches(spark, folder):
+    """Quantiles of both sides from sketches of parts of them, and whether their ranks are as near as is stated."""
+    before, after = inputs.snapshots(spark, folder)
+    both = before.select(F.lit("onprem").alias("side"), "c_custkey", "c_acctbal").unionByName(after.select(F.lit("cloud").alias("side"), "c_custkey", "c_acctbal"))
+    parts = sketches.quantile_sketches(both.withColumn("part", F.pmod("c_custkey", F.lit(5))), ["side", "part"], "c_acctbal")
+    found = sketches.quantiles(sketches.merged_sketches(parts, ["side"]), ["side"], [0.05, 0.25, 0.5, 0.95])
+    judged = sketches.off_by(both, ["side"], "c_acctbal", found.drop("n"))
+    return found.select("side", "n", "probability").join(judged, ["side", "probability"]).select(
+        "side", "n", "probability", (F.col("off") <= sketches.rank_error()).alias("within_error")
+    )
+
+
+@query(
+    """WITH a AS (SELECT DISTINCT month(event_ts) AS m, hash_onprem AS h FROM op WHERE hash_onprem IS NOT NULL),
+    b AS (SELECT DISTINCT month(cloud_ts) AS m, hash_cloud AS h FROM cl WHERE hash_cloud IS NOT NULL)
+    SELECT coalesce(a.m, b.m) AS m, count(*) FILTER (a.h IS NOT NULL AND b.h IS NOT NULL) AS both, count(*) FILTER (b.h IS NULL) AS onprem_only,
+      count(*) FILTER (a.h IS NULL) AS cloud_only, TRUE AS within_error FROM a FULL JOIN b ON a.m = b.m AND a.h = b.h GROUP BY 1""",
+    ("op", "cl"),
+)
+def membership_sketches(spark, folder):
+    """Digests per month that both sites or one of them hold: exact numbers, and whether those from sketches are as near as is stated."""
+    a = inputs.onprem(spark, folder).select(F.month("event_ts").alias("m"), F.col("hash_onprem").alias("h"))
+    b = inputs.cloud(spark, folder).select(F.month("cloud_ts").alias("m"), F.col("hash_cloud").alias("h"))
+    made = [sketches.set_sketches(side, ["m"], "h").withColumnRenamed("sketch", name) for side, name in ((a, "sa"), (b, "sb"))]
+    guessed = made[0].join(made[1], "m").select("m", *sketches.overlap(F.col("sa"), F.col("sb")))
+    tagged = a.withColumn("site", F.lit(1)).unionByName(b.withColumn("site", F.lit(2))).where("h is not null")
+    sites = tagged.groupBy("m", "h").agg(F.bit_or("site").alias("sites"))
+    exact = sites.groupBy("m").agg(*[F.count_if(F.col("sites") == n).alias(c) for n, c in ((3, "both"), (1, "onprem_only"), (2, "cloud_only"))])
+    near = lambda x, y: F.abs(F.col(x) - F.col(y)) <= sketches.overlap_error(F.col("either"))
+    met = exact.join(guessed.withColumnRenamed("both", "guess"), "m")
+    ok = near("both", "guess") & near("onprem_only", "first_only") & near("cloud_only", "second_only")
+    return met.select("m", "both", "onprem_only", "cloud_only", ok.alias("within_error"))
