@@ -380,13 +380,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Da
                     [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
                 )
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("pa"), F.col("size").alias("sa"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("packed").alias("pb"), F.col("size").alias("sb"))
-    fits = (100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")).alias("fits")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb", fits)
-    exact = both.where("fits").select("a", "b", "pa", "pb").mapInArrow(check, "a long, b long, linked boolean")
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = [batch.column(c).to_numpy() for c in (2, 4)]
+            sketch = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in (3, 5)]
+            most = (size[0] + size[1]) * (100 - percent) // (100 + percent)
+            able = (100 * np.minimum(*size) >= percent * np.maximum(*size)) & ((sketch[0] != sketch[1]).sum(1) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(able)], names=["a", "b", "able"])
+
+    # sizes and sketches settle most pairs, for a part of what their texts would shuffle
+    about = [texts.select(F.col("doc_id").alias(c), F.col("size").alias(f"s{c}"), F.col("sketch").alias(f"k{c}")) for c in ("a", "b")]
+    seen = pairs.select("a", "b").join(about[0], "a").join(about[1], "b").select("a", "b", "sa", "ka", "sb", "kb")
+    seen = settle(seen.mapInArrow(alike, "a long, b long, able boolean"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("pa"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("packed").alias("pb"))
+    both = seen.where("able").select("a", "b").join(left, "a").join(right, "b").select("a", "b", "pa", "pb")
+    exact = both.mapInArrow(check, "a long, b long, linked boolean")
     return exact.groupBy("a", "b").agg(F.max("linked").alias("linked")).unionByName(
-        both.where("not fits").select("a", "b", F.lit(False).alias("linked"))
+        seen.where("not able").select("a", "b", F.lit(False).alias("linked"))
     )
 
 
