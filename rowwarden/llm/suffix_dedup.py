@@ -1,17 +1,19 @@
 """Removal of long byte strings that occur more than once, by sorted suffixes.
 
 Any `length` bytes hold an anchor: the smallest hash of the KMER-byte strings in them, so equal
-stretches have equal anchors at equal places. Anchors are shuffled as hash and id, and only those
-met again are looked at further. Each such occurrence sends its context (as many bytes to the left
-and right as a stretch around the anchor can have) to the place of the anchor, equal contexts once.
-There the suffixes that start at the anchor, and the reversed prefixes that end at it, are put in
+stretches have equal anchors at equal places. The context of an anchor is as many bytes to the left
+and right as a stretch around it can have. Names go first: a hash of the anchor, a hash of the context
+and the document. Where an anchor meets itself, a context that occurs more than once is repeated in full,
+which needs no bytes. Only if contexts differ is each of them sent to the anchor's place, once, by one
+document that holds it. There the suffixes that start at the anchor, and the reversed prefixes that end at it, are put in
 order by deep-shallow sorting (`suffix_sort`); the common prefixes of neighbours give, for every
-split of the length into a part before and a part after the anchor, which occurrences agree, and so
-how far the repeats of each occurrence reach. All occurrences of a repeat are removed, as asked.
+split of the length into a part before and a part after the anchor, which contexts agree, and so
+how far the repeats of each reach. All occurrences of a repeat are removed, as asked.
 
 Sorting full suffixes of everything would send hundreds of bytes per byte of input; anchors do it
-for about two occurrences in `length` bytes, and only where something repeats. An anchor with more
-than HOT occurrences isn't sorted in one place: its stretches are counted by full hash instead.
+for about two occurrences in `length` bytes, and only where texts differ around something that repeats. What
+meets in one place grows with the different contexts of an anchor, not with its occurrences. If an anchor has more
+than HOT different contexts, they are not sorted in one place: their stretches are counted by full hash instead.
 
 Null or empty text: no bytes. Matches never cross rows. Repeated rows (equal ids or null ids too)
 are documents of their own. Empty table: empty result. Other columns are ignored.
@@ -26,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowwarden.llm.exchange import (
     LAST, SCHEMA, batched, buckets, gather, ids_of, pack, place, scatter, scatter_texts, settle, shuffled, split, texts_in, unpack,
@@ -36,10 +39,12 @@ from rowwarden.llm.textblocks import Block, blocks, covered, mix, prefix, runs,
 LENGTH = 400
 KMER = 32
 SHALLOW = 32  # bytes beyond those known to be equal
-HOT = 200_000  # occurrences of an anchor; stretches of more frequent ones are counted, not sorted
-HIT, TEXT, CONTEXT, HOLDER, STRETCH = range(5)
-CONTEXT_LIKE = {"context": np.uint64, "anchor": np.uint64, "left": np.uint16, "right": np.uint16}
-HOLDER_LIKE = {"context": np.uint64, "doc": np.int64, "many": np.uint8}
+HOT = 200_000  # different contexts of an anchor; stretches of those with more are counted, not sorted
+WHOLE = np.iinfo(np.uint16).max  # a reach as far as the context goes
+REACH, TEXT, CONTEXT, REQUEST, STRETCH = range(5)
+NAME_LIKE = {"anchor": np.uint64, "doc": np.int64, "context": np.uint64}
+REQUEST_LIKE = {"doc": np.int64, "context": np.uint64, "many": np.uint8, "hot": np.uint8}
+CONTEXT_LIKE = {"context": np.uint64, "anchor": np.uint64, "doc": np.int64, "many": np.uint8, "left": np.uint16, "right": np.uint16}
 STRETCH_LIKE = {"stretch": np.uint64, "context": np.uint64, "doc": np.int64, "before": np.uint16, "many": np.uint8}
 REACH_LIKE = {"doc": np.int64, "context": np.uint64, "before": np.uint16, "after": np.uint16}
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start_at: long, end_at: long>>"
@@ -175,97 +180,95 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, key: str = "d
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
             for block in blocks(batches, text):
-                at, keys, _ = anchors(block, length)
-                doc = ids_of(block, key)[np.searchsorted(block.offsets, at, "right") - 1]
-                yield (keys % np.uint64(n)).astype(np.int32), {"anchor": keys, "doc": doc}
+                at, keys, sums = anchors(block, length)
+                row, left, right, name = contexts(block, at, sums, length)
+                full = left + right >= length
+                yield (keys[full] % np.uint64(n)).astype(np.int32), {"anchor": keys[full], "doc": ids_of(block, key)[row[full]], "context": name[full]}
 
         yield from batched(scatter(parts()))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = gather(batches, {0: {"anchor": np.uint64, "doc": np.int64}})[0]
+        got = gather(batches, {0: NAME_LIKE})[0]
         if not len(got["anchor"]):
             return
-        order = np.argsort(got["anchor"], kind="stable")
-        keys, doc = got["anchor"][order], got["doc"][order]
-        edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
-        times = np.repeat(np.diff(edge), np.diff(edge))
-        often = times > 1
-        keys, doc, is_hot = keys[often], doc[often], (times[often] > hot).astype(np.uint8)
-        yield from batched(scatter(iter([(place(doc, n), {"doc": doc, "anchor": keys, "hot": is_hot})]), HIT))
+        order = np.lexsort((got["doc"], got["context"], got["anchor"]))
+        keys, name, doc = (got[c][order] for c in ("anchor", "context", "doc"))
+        del got, order
+        new_key = np.concatenate(([True], keys[1:] != keys[:-1]))
+        new = new_key | np.concatenate(([True], name[1:] != name[:-1]))
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(keys)))
+        anchor_of = np.cumsum(new_key)[first] - 1
+        different = np.bincount(anchor_of)[anchor_of]
+        # what occurs more than once is repeated as far as it goes, in each document that has it
+        again = np.repeat(times > 1, times) & (new | np.concatenate(([True], doc[1:] != doc[:-1])))
+        yield from _reach_rows(doc[again], name[again], np.full(again.sum(), WHOLE), np.full(again.sum(), WHOLE), n)
+        asked = different > 1
+        pick = first[asked]
+        columns = {"doc": doc[pick], "context": name[pick], "many": (times[asked] > 1).astype(np.uint8), "hot": (different[asked] > hot).astype(np.uint8)}
+        yield from batched(scatter(iter([(place(doc[pick], n), columns)]), REQUEST))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batched(scatter_texts(blocks(batches, text), lambda b: ids_of(b, key), lambda ids: place(ids, n), TEXT))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits, loads = split(batches, HIT, TEXT, {"doc": np.int64, "anchor": np.uint64, "hot": np.uint8})
-        wanted = _keyed(hits["doc"], hits["anchor"])
+        asked, loads = split(batches, REQUEST, TEXT, REQUEST_LIKE)
+        wanted = _keyed(asked["doc"], asked["context"])
         order = np.argsort(wanted)
-        wanted, is_hot = wanted[order], hits["hot"][order] > 0
-        holders: list[tuple] = []
-        stretches: list[tuple] = []
-        seen: set[int] = set()
+        wanted, many, is_hot = wanted[order], asked["many"][order], asked["hot"][order] > 0
+        given = np.zeros(len(wanted), bool)
+        if not len(wanted):
+            return
 
         def context_rows():
             for ids, block in texts_in(iter(loads)):
                 at, keys, sums = anchors(block, length)
                 row, left, right, name = contexts(block, at, sums, length)
-                doc = ids[row]
-                where, there = _find(wanted, _keyed(doc, keys))
-                full = there & (left + right >= length)
-                counted = full & is_hot[where] if len(is_hot) else full
-                full &= ~counted
-                if full.any():
-                    pair, first, times = np.unique(_keyed(doc[full], name[full]), return_index=True, return_counts=True)
-                    pick = np.flatnonzero(full)[first]
-                    bucket = (keys[pick] % np.uint64(n)).astype(np.int32)
-                    holders.append((bucket, {"context": name[pick], "doc": doc[pick], "many": (times > 1).astype(np.uint8)}))
-                    new = [k for k in pick.tolist() if name[k] not in seen and not seen.add(name[k])]
-                    yield from _context_rows(block, np.array(new, np.int64), at, keys, left, right, name, n)
-                if counted.any():
-                    stretches.extend(_stretches(at[counted], left[counted], right[counted], name[counted], doc[counted], sums, length, n))
+                where, there = _find(wanted, _keyed(ids[row], name))
+                where = np.where(there, where, -1)
+                _, pick = np.unique(where, return_index=True)  # one place of each context
+                pick = pick[there[pick] & ~given[where[pick]]]
+                given[where[pick]] = True
+                counted = is_hot[where[pick]]
+                sorted_, few = pick[~counted], pick[counted]
+                if len(sorted_):
+                    yield from _context_rows(block, sorted_, at, keys, left, right, name, ids[row], many[where], n)
+                if len(few):
+                    yield from scatter(_stretches(at[few], left[few], right[few], name[few], ids[row[few]], many[where[few]], sums, length, n), STRETCH)
 
         yield from batched(context_rows())
-        yield from batched(scatter(iter(holders), HOLDER))
-        yield from batched(scatter(iter(stretches), STRETCH))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, tuple[int, bytes, bytes]] = {}
+        heads: list[dict[str, np.ndarray]] = []
+        before_, after_ = [], []
 
         def records():
             for batch in batches:
                 kind = batch.column(1).to_numpy()
                 for i in np.flatnonzero(kind == CONTEXT).tolist():
-                    _read_contexts(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), found)
+                    heads.append(_read_contexts(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), before_, after_))
                 yield batch.filter(pa.array(kind != CONTEXT))
 
-        got = gather(records(), {HOLDER: HOLDER_LIKE, STRETCH: STRETCH_LIKE})
-        held, counted = got[HOLDER], got[STRETCH]
-        if len(held["context"]):
-            names = np.array(list(found), np.uint64)
-            anchor = np.array([a for a, _, _ in found.values()], np.uint64)
-            order = np.lexsort((names, anchor))
-            values = list(found.values())
-            left, right = [values[i][1] for i in order], [values[i][2] for i in order]
-            names, anchor = names[order], anchor[order]
-            by_name = np.argsort(names)
-            which = by_name[np.searchsorted(names[by_name], held["context"])]
-            times = np.bincount(which, 1 + held["many"], len(names))
-            before, after = reaches(anchor, left, right, times > 1, length)
-            some = after[which] > 0
-            doc, which = held["doc"][some], which[some]
-            yield from _reach_rows(doc, names[which], before[which], after[which], n)
+        counted = gather(records(), {STRETCH: STRETCH_LIKE})[STRETCH]
+        if heads:
+            anchor, name, doc, many = (np.concatenate([h[c] for h in heads]) for c in ("anchor", "context", "doc", "many"))
+            order = np.lexsort((name, anchor))
+            left, right = [before_[i] for i in order], [after_[i] for i in order]
+            before, after = reaches(anchor[order], left, right, many[order] > 0, length)
+            some = (after > 0) & (many[order] == 0)  # the others are repeated in full already
+            yield from _reach_rows(doc[order][some], name[order][some], before[some], after[some], n)
         if len(counted["stretch"]):
             order = np.argsort(counted["stretch"], kind="stable")
             s = counted["stretch"][order]
             new = np.concatenate(([True], s[1:] != s[:-1]))
             group = np.cumsum(new) - 1
-            some = np.bincount(group, 1 + counted["many"][order])[group] > 1
+            some = (np.bincount(group, 1 + counted["many"][order])[group] > 1) & (counted["many"][order] == 0)
             pick = order[some]
             before = counted["before"][pick].astype(np.int64)
             yield from _reach_rows(counted["doc"][pick], counted["context"][pick], before, length - before, n)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach, loads = split(batches, HIT, TEXT, REACH_LIKE)
+        reach, loads = split(batches, REACH, TEXT, REACH_LIKE)
         names = _keyed(reach["doc"], reach["context"])
         order = np.argsort(names, kind="stable")
         names = names[order]
@@ -278,10 +281,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, key: str = "d
             gone = np.zeros(len(block.data), bool)
             if _find(touched, ids)[1].any():
                 at, _, sums = anchors(block, length)
-                row, _, _, name = contexts(block, at, sums, length)
+                row, left, right, name = contexts(block, at, sums, length)
                 where, there = _find(names, _keyed(ids[row], name))
                 at, where = at[there], where[there]
-                gone = covered(len(block.data), at - before[where], before[where] + after[where])
+                back, ahead = np.minimum(before[where], left[there]), np.minimum(after[where], right[there])
+                gone = covered(len(block.data), at - back, back + ahead)
             removed, digests, spans = [], [], []
             for i in range(len(block)):
                 a, b = block.offsets[i], block.offsets[i + 1]
@@ -301,46 +305,47 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, key: str = "d
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"],
             )
 
-    hits = settle(shuffled(docs.mapInArrow(probe, SCHEMA), meet, SCHEMA))
-    sent = shuffled(hits.unionByName(docs.mapInArrow(texts, SCHEMA)), send, SCHEMA)
-    reached = settle(shuffled(sent, compare, SCHEMA))
+    named = settle(shuffled(docs.mapInArrow(probe, SCHEMA), meet, SCHEMA))
+    sent = shuffled(named.where(F.col("kind") == REQUEST).unionByName(docs.mapInArrow(texts, SCHEMA)), send, SCHEMA)
+    reached = settle(shuffled(sent, compare, SCHEMA)).unionByName(named.where(F.col("kind") == REACH))
     return shuffled(reached.unionByName(docs.mapInArrow(texts, SCHEMA)), remove, RESULT)
 
 
-def _context_rows(block: Block, pick, at, keys, left, right, name, n: int) -> Iterator[tuple[int, int, int, bytes]]:
+def _context_rows(block: Block, pick, at, keys, left, right, name, doc, many, n: int) -> Iterator[tuple[int, int, int, bytes]]:
     bucket = (keys[pick] % np.uint64(n)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     pick, bucket = pick[order], bucket[order]
     edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(pick) else [0]
     for a, b in zip(edge[:-1], edge[1:]):
         own = pick[a:b]
-        head = pack({"context": name[own], "anchor": keys[own], "left": left[own].astype(np.uint16), "right": right[own].astype(np.uint16)})
+        sizes = {"left": left[own].astype(np.uint16), "right": right[own].astype(np.uint16)}
+        head = pack({"context": name[own], "anchor": keys[own], "doc": doc[own], "many": many[own], **sizes})
         body = b"".join(block.data[at[k] - left[k] : at[k] + right[k]].tobytes() for k in own)
         yield int(bucket[a]), CONTEXT, int(b - a), len(head).to_bytes(8, "big") + head + zstandard.ZstdCompressor(level=3).compress(body)
 
 
-def _read_contexts(n: int, load: bytes, found: dict[int, tuple[int, bytes, bytes]]) -> None:
+def _read_contexts(n: int, load: bytes, before: list[bytes], after: list[bytes]) -> dict[str, np.ndarray]:
+    """The columns of packed contexts; their bytes before (reversed) and after the anchor are added to the lists."""
     size = int.from_bytes(load[:8], "big")
     head = unpack(load[8 : 8 + size], n, CONTEXT_LIKE)
     body, at = zstandard.ZstdDecompressor().decompress(load[8 + size :]), 0
-    for name, anchor, left, right in zip(*(head[c].tolist() for c in CONTEXT_LIKE)):
-        if name not in found:
-            found[name] = anchor, body[at : at + left][::-1], body[at + left : at + left + right]
+    for left, right in zip(head["left"].tolist(), head["right"].tolist()):
+        before.append(body[at : at + left][::-1])
+        after.append(body[at + left : at + left + right])
         at += left + right
+    return head
 
 
-def _stretches(at, left, right, name, doc, sums, length: int, n: int) -> Iterator[tuple[np.ndarray, dict]]:
-    """Full hashes of all stretches around anchors that are too frequent to be sorted in one place."""
-    pair, first, times = np.unique(_keyed(doc, name), return_index=True, return_counts=True)
+def _stretches(at, left, right, name, doc, many, sums, length: int, n: int) -> Iterator[tuple[np.ndarray, dict]]:
+    """Full hashes of all stretches around anchors with too many different contexts to be sorted in one place."""
     for d in range(length - KMER + 1):
-        ok = first[(left[first] >= d) & (right[first] >= length - d)]
-        many = (times > 1)[(left[first] >= d) & (right[first] >= length - d)]
+        ok = np.flatnonzero((left >= d) & (right >= length - d))
         # with the anchor's place: a stretch that holds two anchors must not meet itself
         stretch = mix(span_hash(sums, at[ok] - d, at[ok] + length - d) ^ np.uint64(d))
         before = np.full(len(ok), d, np.uint16)
-        yield (stretch % np.uint64(n)).astype(np.int32), {"stretch": stretch, "context": name[ok], "doc": doc[ok], "before": before, "many": many.astype(np.uint8)}
+        yield (stretch % np.uint64(n)).astype(np.int32), {"stretch": stretch, "context": name[ok], "doc": doc[ok], "before": before, "many": many[ok]}
 
 
 def _reach_rows(doc, context, before, after, n: int) -> Iterator[pa.RecordBatch]:
     columns = {"doc": doc, "context": context, "before": before.astype(np.uint16), "after": after.astype(np.uint16)}
-    yield from batched(scatter(iter([(place(doc, n), columns)]), HIT))
+    yield from batched(scatter(iter([(place(doc, n), columns)]), REACH))
