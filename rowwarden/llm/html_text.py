@@ -4,10 +4,15 @@ A page is read once into text nodes, each under its root-to-leaf tag path (tags
 id words; end tags that pages leave out are implied). Per path the text length, the punctuation and
 the number of nodes are summed. A path's ratios, text per node and punctuation per node, are fused
 into one weight with how much the node lengths vary and with what its words say (an article or main
-element counts more, link text less, and menus, headers, footers, sidebars, notices, adverts, forms
-and comments nothing). The weights are smoothed along the page, and nodes below a share of the mean
-weight are cut. The smallest element that holds nearly all text left is the article; its
-text, less the parts that count nothing and lists of links, is the result.
+element counts more, link text less, and what is named like a menu, a sidebar, an advert or comments hardly).
+The weights are smoothed along the page, and nodes below a share of the mean
+weight are cut. The smallest element that holds nearly all text left is the article.
+
+Names only weigh: where next to no text is left beside the elements that their names speak against, the
+page's text outvotes the name of the largest one, and its insides are judged without it. Only elements that are by their tag
+or role no article (navigation, footer, aside, form, hidden or silent ones) are out from the start. Inside the article the ratios
+of block paths decide once more: blocks of links go, and so do generic blocks whose path has little text per
+block against the article's mean and no sentence in any.
 
 Character references are decoded, white space in a block is one space, and blocks are joined in
 page order by one space. Null or empty html, or a page without such text: the empty text. Broken and
@@ -49,6 +54,8 @@ _NOTHING_WORDS = (
 NOTHING_WORDS = frozenset(_NOTHING_WORDS.split())
 MAIN_WORDS = frozenset("article content post story entry main text body".split())
 WORD = re.compile(r"[a-z]+")
+SENTENCE = re.compile(r"[.,;!?…。，、！？；]")
+GENERIC = frozenset("div section span p center font main article body html".split()) | {""}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 MAIN_WEIGHT = 2.0
@@ -56,19 +63,25 @@ LINK_WEIGHT = 0.1
 KERNEL = (0.1, 0.2, 0.4, 0.2, 0.1)
 CUT = 0.25  # of the text-weighted mean
 HELD = 0.9  # share of the text left that the article's element holds
-LINK_LIST = 0.6  # share of link text that makes a list one of links
+LINK_LIST = 0.6  # share of link text that makes a list, or a block path, one of links
+DOUBT_WEIGHT = 0.1
+OUTVOTED = 0.2  # text beside doubtful elements, as a share of the largest one's, below which its name is outvoted
+CHAIN = 0.9  # share of an element's text that one inside holds, to be outvoted with it
+INSIDE = 0.35  # of the article's mean, for generic blocks without a sentence
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "nothing", "main", "link", "depth", "listed")
+    __slots__ = ("tag", "parent", "path", "nothing", "main", "link", "depth", "listed", "doubt", "holder")
 
-    def __init__(self, tag: str, parent: Element | None, path: int, nothing: bool, main: bool):
+    def __init__(self, tag: str, parent: Element | None, path: int, nothing: bool, main: bool, doubt: bool = False):
         self.tag, self.parent = tag, parent
         self.path = path  # the number of its tag path on the page
         self.nothing = nothing or bool(parent and parent.nothing)
         self.main = main or bool(parent and parent.main)
         self.link = tag == "a" or bool(parent and parent.link)
         self.depth = parent.depth + 1 if parent else 0
+        self.doubt = self if doubt else parent.doubt if parent else None  # the innermost element named like none of an article
+        self.holder = self if tag not in INLINE or not parent else parent.holder  # the block that the text stands in
         self.listed = self if tag in ("ul", "ol") else parent.listed if parent else None
 
 
@@ -97,16 +110,15 @@ class Reader(HTMLParser):
         names = f"{named.get('class', '')} {named.get('id', '')}"
         words = set(WORD.findall(names)) | set(WORD.findall(re.sub("[-_]", "", names)))  # side-bar is a sidebar too
         nothing = tag in SILENT or tag in NOTHING or named.get("role") in NOTHING_ROLES or any(k == "hidden" for k, _ in attrs)
-        if words & NOTHING_WORDS and tag not in MAIN | HEADINGS | {"p"}:
-            nothing = True
+        doubt = bool(words & NOTHING_WORDS) and tag not in MAIN | HEADINGS | {"p"}
         if tag == "article" and words & {"comment", "reply"} or tag == "p" and words & {"ad", "ads", "advert", "advertisement", "notice", "comment", "copyright"}:
-            nothing = True
+            doubt = True
         if tag == "header" or "header" in words and tag not in HEADINGS:
-            nothing = nothing or not above.main  # an article's own header holds its headline
-        main = tag in MAIN or named.get("role") in ("main", "article") or bool(words & MAIN_WORDS and not nothing and tag not in INLINE)
+            doubt = doubt or not above.main  # an article's own header holds its headline
+        main = tag in MAIN or named.get("role") in ("main", "article") or bool(words & MAIN_WORDS and not nothing and not doubt and tag not in INLINE)
         label = f"{tag}.{'.'.join(sorted(words))}" if words else tag
         place = len(self.open)
-        self.open.append(Element(tag, above, self.paths.setdefault((above.path, label), len(self.paths)), nothing, main))
+        self.open.append(Element(tag, above, self.paths.setdefault((above.path, label), len(self.paths)), nothing, main, doubt))
         self.at.setdefault(tag, []).append(place)
         if tag not in INLINE:
             self.blocks.append(place)
@@ -182,6 +194,76 @@ def path_weights(nodes: list[tuple[Element, str]]) -> dict[int, float]:
     return out
 
 
+def outvoted(nodes: list[tuple[Element, str]]) -> set[int]:
+    """Doubtful elements (by id) whose names the text outvotes."""
+    mass: dict[int, int] = {}  # text of each doubtful element, what lies in doubtful ones inside it included
+    inner: dict[int, Element] = {}
+    clear = 0
+    for e, text in nodes:
+        if e.doubt is None:
+            clear += len(text)
+        else:
+            mass[id(e.doubt)] = mass.get(id(e.doubt), 0) + len(text)
+            inner[id(e.doubt)] = e.doubt
+    own = dict(mass)
+    above: dict[int, Element | None] = {}
+    todo = list(inner.values())
+    while todo:  # doubtful elements around the ones with text of their own
+        e = todo.pop()
+        if id(e) not in above:
+            up = above[id(e)] = e.parent.doubt if e.parent else None
+            if up is not None and id(up) not in inner:
+                inner[id(up)], own[id(up)], mass[id(up)] = up, 0, 0
+                todo.append(up)
+    inside: dict[int, list[Element]] = {}
+    for e in sorted(inner.values(), key=lambda e: -e.depth):
+        if above[id(e)] is not None:
+            mass[id(above[id(e)])] += mass[id(e)]
+            inside.setdefault(id(above[id(e)]), []).append(e)
+    out: set[int] = set()
+    tops = [e for e in inner.values() if above[id(e)] is None]
+    while tops:
+        e = max(tops, key=lambda e: mass[id(e)])
+        if clear >= OUTVOTED * mass[id(e)]:
+            break
+        tops.remove(e)
+        while True:
+            out.add(id(e))
+            clear += own[id(e)]
+            within = inside.get(id(e), [])
+            main = max(within, key=lambda x: mass[id(x)], default=None)
+            tops += [x for x in within if x is not main]
+            if main is None:
+                break
+            if mass[id(main)] < CHAIN * mass[id(e)]:
+                tops.append(main)
+                break
+            e = main
+    return out
+
+
+def block_paths(nodes: list[tuple[Element, int, str]]) -> dict[int, bool]:
+    """Whether each path of blocks among the given (element, block number, text) nodes of an article is part of it.
+
+    Ratios are per block: its text, its share of link text and its sentence marks, summed over the path.
+    """
+    sums: dict[int, list] = {}
+    for e, number, text in nodes:
+        own = sums.setdefault(e.holder.path, [e.holder, set(), 0, 0, 0])
+        own[1].add(number)
+        own[2] += len(text)
+        own[3] += len(text) * e.link
+        own[4] += len(SENTENCE.findall(text))
+    weight = {p: math.sqrt(size / len(parts) * (1 + marks / len(parts))) for p, (_, parts, size, _, marks) in sums.items()}
+    total = sum(own[2] for own in sums.values())
+    mean = sum(weight[p] * own[2] for p, own in sums.items()) / total if total else 0.0
+    out = {}
+    for p, (e, _, size, linked, marks) in sums.items():
+        links = linked >= LINK_LIST * size and e.tag not in HEADINGS
+        out[p] = not links and not (e.tag in GENERIC and not marks and weight[p] < INSIDE * mean)
+    return out
+
+
 def _article(nodes: list[tuple[Element, str]], kept: list[bool]) -> Element | None:
     """The deepest element that holds HELD of the kept text."""
     held: dict[int, list] = {}
@@ -229,13 +311,28 @@ def main_text(html: str) -> str:
             numbers.append(block)
     if not nodes:
         return ""
+    free = outvoted(nodes)
+    doubted: dict[int, bool] = {}
+
+    def doubtful(e: Element) -> bool:
+        """Whether a name speaks against the text, and is not outvoted."""
+        up = []
+        d = e.doubt
+        while d is not None and id(d) not in doubted and id(d) in free:
+            up.append(id(d))
+            d = d.parent.doubt if d.parent else None
+        found = d is not None and doubted.get(id(d), True)
+        doubted.update(dict.fromkeys([*up, id(d)] if d is not None else up, found))
+        return found
+
     weights = path_weights(nodes)
-    line = np.array([weights[e.path] for e, _ in nodes])
+    against = [doubtful(e) for e, _ in nodes]
+    line = np.array([weights[e.path] * (DOUBT_WEIGHT if a else 1) for (e, _), a in zip(nodes, against)])
     size = np.array([len(t) for _, t in nodes])
     half = len(KERNEL) // 2
     smooth = np.convolve(np.pad(line, half, "edge"), KERNEL, "valid")
     bar = CUT * float((smooth * size).sum() / size.sum())
-    kept = [s >= bar and w > 0 for s, w in zip(smooth, line)]
+    kept = [s >= bar and w > 0 and not a for s, w, a in zip(smooth, line, against)]
     article = _article(nodes, kept)
     if article is None:
         return ""
@@ -256,9 +353,12 @@ def main_text(html: str) -> str:
             own = links.setdefault(id(element.listed), [0, 0])
             own[element.link] += len(text)
     whole = article.main or article.tag not in ("", "html", "body")
+    of_article = [k for k, (element, _) in enumerate(nodes) if not against[k] and (whole or kept[k]) and within(element)]
+    part = block_paths([(nodes[k][0], numbers[k], nodes[k][1]) for k in of_article])
     good = set()
-    for k, (element, _) in enumerate(nodes):
-        if not within(element) or not (whole or kept[k]):
+    for k in of_article:
+        element = nodes[k][0]
+        if not part[element.holder.path]:
             continue
         if element.listed is not None and within(element.listed):
             plain, linked = links[id(element.listed)]

@@ -4,6 +4,33 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# bytes kept are put together as pairs of hex digits
+OP4 = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row_key, doc_id, encode(coalesce(text, '')) AS raw, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), windows AS (
+    SELECT row_key, i, md5(raw[i + 1:i + 400]) AS g FROM (SELECT row_key, raw, unnest(range(0, octet_length(raw) - 399)) AS i FROM docs WHERE octet_length(raw) >= 400)
+), again AS (
+    SELECT g FROM windows GROUP BY g HAVING count(*) > 1
+), starts AS (
+    SELECT row_key, i, coalesce(i - lag(i) OVER (PARTITION BY row_key ORDER BY i) > 400, TRUE) AS first FROM windows SEMI JOIN again USING (g)
+), runs AS (
+    SELECT row_key, min(i) AS s, max(i) + 400 AS e FROM (
+        SELECT *, sum(first::INT) OVER (PARTITION BY row_key ORDER BY i) AS run FROM starts
+    ) GROUP BY row_key, run
+), pieces AS (
+    SELECT row_key, s, coalesce(lag(e) OVER (PARTITION BY row_key ORDER BY s), 0) AS a, s AS b FROM runs
+    UNION ALL SELECT row_key, 9223372036854775807, max(e), NULL FROM runs GROUP BY row_key
+), kept AS (
+    SELECT row_key, string_agg(hx[2 * a + 1:coalesce(2 * b, len(hx))], '' ORDER BY s) AS body FROM pieces JOIN docs USING (row_key) GROUP BY row_key
+), gone AS (
+    SELECT row_key, sum(e - s) AS n, count(*) AS spans FROM runs GROUP BY row_key
+)
+SELECT doc_id, (len(hx) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(body, hx))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_key) LEFT JOIN gone USING (row_key)
+"""
+
 OP7 = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS row_key, doc_id, coalesce(text, '') AS text, coalesce(source, chr(1)) AS host, {WORDS} AS ws
@@ -195,6 +222,7 @@ FROM coded
 )
 
 ORACLES = {
+    "op4_suffix_dedup": OP4,
     "op6_jaccard_join": OP6,
     "op7_line_frequency": OP7,
     "op9_fixed_block_anchors": OP9,
