@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rowwarden.functions import hashing, jsontext
 from rowwarden.operators import keyed
 from rowwarden.plans import inputs
 from rowwarden.plans.registry import query
+from rowwarden.session import checkpoint_dir
 from rowwarden.sources import parse, tables
+from rowwarden.sources.keyed_store import KeyedStore
 
 MESSAGE_SCHEMA = "event bigint, id string, timestamp string, value double, email string, action string"
 
@@ -91,6 +95,17 @@ def incremental_scan(spark, folder):
     return newer.select("event_id", "ts", "event_type")
 
 
+@query("SELECT event_id, ts, event_type FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_id % 3 = 0 AND ts < TIMESTAMP '2024-01-20 00:00:00')")
+def stored_mark_scan(spark, folder):
+    """Rows after the mark that an earlier run has stored: that run had a third of the rows, up to a day."""
+    events = inputs.events(spark, folder).select("event_id", "ts", "event_type")
+    store = f"{checkpoint_dir(spark)}/mark-{uuid.uuid4().hex}"
+    _, commit = tables.read_since_mark(spark, events.where("event_id % 3 = 0 and ts < TIMESTAMP_NTZ'2024-01-20 00:00:00'"), "ts", store)
+    commit()
+    fresh, _ = tables.read_since_mark(spark, events, "ts", store)
+    return fresh
+
+
 @query(
     """SELECT CAST(event_id AS VARCHAR) AS pk, sha256(payload) AS hash, payload, ts FROM (
       SELECT event_id, ts, '{"id":' || CAST(event_id AS VARCHAR) || ',"type":"' || event_type
@@ -204,3 +219,15 @@ def key_range_scan(spark, folder):
         part = tables.key_range(orders, "o_orderkey", 16, start, end).withColumn("part", F.lit(name))
         read = part if read is None else read.unionByName(part)
     return read
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice, ('0x' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 64 AS leaf FROM orders
+    WHERE ('0x' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 64 BETWEEN 10 AND 29"""
+)
+def stored_key_range(spark, folder):
+    """A range of a table that is laid out by hashed key: the files of other ranges are not opened."""
+    orders = tables.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", F.lit(0).alias("at"))
+    store = KeyedStore(spark, f"{checkpoint_dir(spark)}/ranges-{uuid.uuid4().hex}", "o_orderkey bigint, o_totalprice double, at int", ["o_orderkey"], ["at"], 16, 64)
+    store.merge(orders, 0)
+    return store.key_range(10, 30).select("o_orderkey", "o_totalprice", "leaf")

@@ -439,7 +439,7 @@ def cdc_completeness(spark, folder):
 
 @query(
     """WITH s AS (SELECT 'onprem' AS side, c_acctbal AS v FROM snap_a UNION ALL SELECT 'cloud', c_acctbal FROM snap_b)
-    SELECT side, count(v) AS n, unnest([0.05, 0.25, 0.5, 0.95]) AS probability, TRUE AS within_error FROM s GROUP BY 1""",
+    SELECT side, count(v) AS n, unnest([0.05, 0.25, 0.5, 0.95]::DOUBLE[]) AS probability, TRUE AS within_error FROM s GROUP BY 1""",
     ("snap_a", "snap_b"),
 )
 def quantile_sketches(spark, folder):
@@ -463,8 +463,8 @@ def quantile_sketches(spark, folder):
 )
 def membership_sketches(spark, folder):
     """Digests per month that both sites or one of them hold: exact numbers, and whether those from sketches are as near as is stated."""
-    a = inputs.onprem(spark, folder).select(F.month("event_ts").alias("m"), F.col("hash_onprem").alias("h"))
-    b = inputs.cloud(spark, folder).select(F.month("cloud_ts").alias("m"), F.col("hash_cloud").alias("h"))
+    a = inputs.onprem(spark, folder).select(F.month("event_ts").cast("bigint").alias("m"), F.col("hash_onprem").alias("h"))
+    b = inputs.cloud(spark, folder).select(F.month("cloud_ts").cast("bigint").alias("m"), F.col("hash_cloud").alias("h"))
     made = [sketches.set_sketches(side, ["m"], "h").withColumnRenamed("sketch", name) for side, name in ((a, "sa"), (b, "sb"))]
     guessed = made[0].join(made[1], "m").select("m", *sketches.overlap(F.col("sa"), F.col("sb")))
     tagged = a.withColumn("site", F.lit(1)).unionByName(b.withColumn("site", F.lit(2))).where("h is not null")
