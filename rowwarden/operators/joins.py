@@ -12,7 +12,9 @@ from rowwarden.operators.keyed import latest_by_key
 
 SPREAD = "_spread"
 SLOT = "_slot"
+ROW, COPIES = "_row_id", "_copies"
 LANES = 4096
+WIDER = 8
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -110,12 +112,12 @@ def interval_join(
     hot key with each other. Time is cut in slots as wide as the bound instead: a left
     row is in its own slot, a right row in the one or two slots where its partners can
     be, and the join key is (key, slot). Each left row meets all its partners in one
-    slot, so the left join needs no row id; a full join adds the right rows that an
-    anti join, slotted the other way round, leaves over.
+    slot, so the left join needs no row id. A full join uses slots WIDER times as wide: few right rows
+    are then in two slots, and of those that come out of both without a partner one is kept.
     """
     if how not in ("inner", "left", "full"):
         raise ValueError("how must be inner, left or full")
-    width = max(upper_seconds - lower_seconds, 1) * 1_000_000
+    width = max(upper_seconds - lower_seconds, 1) * 1_000_000 * (WIDER if how == "full" else 1)
     low = F.make_dt_interval(secs=F.lit(lower_seconds))
     high = F.make_dt_interval(secs=F.lit(upper_seconds))
     low_us, high_us = lower_seconds * 1_000_000, upper_seconds * 1_000_000
@@ -131,15 +133,9 @@ def interval_join(
     def single(df: DataFrame, key_names: Sequence[str], moment: str) -> Column:
         return F.coalesce(unplaced(df, [*key_names, moment]), _slot_of(_micros(F.col(moment)), width))
 
-    def spread(df: DataFrame, key_names: Sequence[str], moment: str, from_us: int, to_us: int) -> DataFrame:
+    def slots_of(moment: str) -> Column:
         at = _micros(F.col(moment))
-        placed = df.where(reduce(operator.and_, [F.col(n).isNotNull() for n in [*key_names, moment]]))
-        return placed.withColumn(
-            "_r" + SLOT,
-            F.explode(
-                F.array_distinct(F.array(_slot_of(at + F.lit(from_us), width), _slot_of(at + F.lit(to_us), width)))
-            ),
-        )
+        return F.array_distinct(F.array(_slot_of(at - F.lit(high_us), width), _slot_of(at - F.lit(low_us), width)))
 
     def bound(l: DataFrame, r: DataFrame) -> list[Column]:
         return [
@@ -151,13 +147,19 @@ def interval_join(
 
     right_keys = [f"_r_{k}" for k in keys]
     l = left.withColumn(SLOT, single(left, keys, left_time))
-    r = spread(renamed, right_keys, right_time, -high_us, -low_us)
-    joined = l.join(r, bound(l, r), "inner" if how == "inner" else "left").drop(SLOT, "_r" + SLOT)
     if how != "full":
-        return joined
-    partners = spread(left.select(*keys, left_time), keys, left_time, low_us, high_us).withColumnRenamed(
-        "_r" + SLOT, SLOT
-    )
-    lone = renamed.withColumn("_r" + SLOT, single(renamed, right_keys, right_time))
-    rest = lone.join(partners, bound(partners, lone), "left_anti").drop("_r" + SLOT)
-    return joined.unionByName(rest, allowMissingColumns=True)
+        placed = renamed.where(reduce(operator.and_, [F.col(n).isNotNull() for n in [*right_keys, right_time]]))
+        r = placed.withColumn("_r" + SLOT, F.explode(slots_of(right_time)))
+        return l.join(r, bound(l, r), how).drop(SLOT, "_r" + SLOT)
+    own = unplaced(renamed, [*right_keys, right_time])
+    slots = F.when(own.isNotNull(), F.array(own.cast("bigint"))).otherwise(slots_of(right_time))
+    r = renamed.withColumn(ROW, F.monotonically_increasing_id()).withColumn(COPIES, slots)
+    r = r.withColumn("_r" + SLOT, F.explode(COPIES)).withColumn(COPIES, F.size(COPIES))
+    joined = l.join(r, bound(l, r), "full").drop("_r" + SLOT)
+    in_doubt = F.col(SLOT).isNull() & (F.col(COPIES) > 1)  # a right row alone in one of its slots
+    out = [c for c in joined.columns if c not in (SLOT, ROW, COPIES)]
+    # a generated row: both parts ask the same of the join below it, so they share its shuffles
+    rows = joined.select(F.inline(F.array(F.struct(*joined.columns))))
+    certain = rows.where(~in_doubt).select(*out)
+    alone = rows.where(in_doubt).groupBy(ROW).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*out)).alias("_row"))
+    return certain.unionByName(alone.where("_n > 1").select("_row.*"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rowwarden.operators import joins, keyed, metrics, ordered, reconcile, rules, sketches
 from rowwarden.plans import inputs
 from rowwarden.plans.registry import CONFIG, query
-from rowwarden.sources import tables
+from rowwarden.session import checkpoint_dir
+from rowwarden.sources import bucketed, tables
 
 _DRIFT = """CASE WHEN op.hash_onprem IS NULL AND cl.hash_cloud IS NULL THEN 'MISSING_BOTH'
   WHEN op.hash_onprem IS NULL THEN 'MISSING_IN_ONPREM' WHEN cl.hash_cloud IS NULL THEN 'MISSING_IN_AZURE'
@@ -437,6 +440,20 @@ def cdc_completeness(spark, folder):
     )
 
 
+@query(
+    f"SELECT coalesce(op.pk, cl.pk) AS pk, {_DRIFT} AS reconciliation_status FROM (FROM op WHERE pk IS NOT NULL) op FULL JOIN cl ON op.pk = cl.pk",
+    ("op", "cl"),
+)
+def bucketed_compare(spark, folder):
+    """Both copies written by hashed key, and compared bucket by bucket without a shuffle."""
+    names = []
+    for name, rows in (("onprem", inputs.onprem(spark, folder).select("pk", "hash_onprem")), ("cloud", inputs.cloud(spark, folder).select("pk", "hash_cloud"))):
+        names.append(f"{name}_{uuid.uuid4().hex}")
+        bucketed.write_bucketed(rows.where("pk is not null"), names[-1], f"{checkpoint_dir(spark)}/{names[-1]}", ["pk"], 16)
+    both = bucketed.joined(spark, *names, ["pk"])
+    return both.select("pk", reconcile.drift_status(F.col("hash_onprem"), F.col("hash_cloud")).alias("reconciliation_status"))
+
+
 @query(
     """WITH s AS (SELECT 'onprem' AS side, c_acctbal AS v FROM snap_a UNION ALL SELECT 'cloud', c_acctbal FROM snap_b)
     SELECT side, count(v) AS n, unnest([0.05, 0.25, 0.5, 0.95]::DOUBLE[]) AS probability, TRUE AS within_error FROM s GROUP BY 1""",

@@ -108,3 +108,31 @@ def test_null_keys_are_spread(spark):
             assert len(keys) == 2 and all("_spread" in line for line in keys)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_full_interval_join_equals_the_plain_one(spark, seed):
+    """Partners on both sides of slot borders, rows alone in one or two slots, repeats, null keys and times."""
+    rng = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    moment = lambda: None if rng.random() < 0.05 else base + dt.timedelta(seconds=rng.randrange(0, 3000))
+    key = lambda: rng.choice([None, 1, 1, 1, 2, 3])
+    left = [(key(), moment(), i) for i in range(150)] + [(1, base, 900)] * 2
+    right = [(key(), moment(), 1000 + i) for i in range(150)] + [(9, base + dt.timedelta(seconds=79), 1900)] * 2
+    l = spark.createDataFrame(left, "k int, lt timestamp, a int")
+    r = spark.createDataFrame(right, "k int, rt timestamp, b int").repartition(3)
+    for low, high in ((-10, 10), (0, 25), (-60, -20)):
+        got = joins.interval_join(l, r, ["k"], "lt", "rt", low, high, "full")
+        assert len(got.columns) == 6
+        found = Counter((x["a"], x["b"]) for x in got.collect())
+        want, met = Counter(), set()
+        for i, (k, t, a) in enumerate(left):
+            own = [j for j, (q, u, _) in enumerate(right) if k is not None and k == q and t and u and low <= (u - t).total_seconds() <= high]
+            want.update((a, right[j][2]) for j in own)
+            met.update(own)
+            if not own:
+                want[(a, None)] += 1
+        want.update((None, b) for j, (_, _, b) in enumerate(right) if j not in met)
+        assert found == want
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Scan ExistingRDD") == 2 and "ReusedExchange" in plan  # each side is read and shuffled once
