@@ -49,8 +49,8 @@ def terms_of(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, found), found.first
 
 
-def build_index(docs: DataFrame, vocabulary=None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Index blocks of docs. vocabulary: a broadcast of sorted term hashes to keep, or None for all."""
+def indexer(vocabulary, key: str, text: str):
+    """What a task does to make index blocks. vocabulary: a broadcast of sorted term hashes to keep, or None for all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block_id = TaskContext.get().partitionId() << 36
@@ -77,7 +77,16 @@ def build_index(docs: DataFrame, vocabulary=None, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], names=list(row))
             block_id += len(block)
 
-    return docs.select(docs[key].cast("long").alias(key), docs[text]).mapInArrow(run, INDEX)
+    return run
+
+
+def _picked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(docs[key].cast("long").alias(key), docs[text])
+
+
+def build_index(docs: DataFrame, vocabulary=None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Index blocks of docs, with the positions of every term or of those in the vocabulary."""
+    return _picked(docs, key, text).mapInArrow(indexer(vocabulary, key, text), INDEX)
 
 
 class Phrases:
@@ -183,6 +192,11 @@ def search(index: DataFrame, phrases, slack: int = 0) -> DataFrame:
     phrases: a broadcast of Phrases. slack 0: exact phrases; more: proximity, a span then being the
     place the phrase would take, cut to the document.
     """
+    return index.mapInArrow(searcher(phrases, slack), MATCHES)
+
+
+def searcher(phrases, slack: int):
+    """What a task does to search index blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted: Phrases = phrases.value
@@ -223,7 +237,7 @@ def search(index: DataFrame, phrases, slack: int = 0) -> DataFrame:
                     names=["row_key", "doc_id", "n_words", "spans", "items"],
                 )
 
-    return index.mapInArrow(run, MATCHES)
+    return run
 
 
 def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -232,8 +246,9 @@ def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int =
     sets = phrase_sets(items, size)
     first, second = next(sets), next(sets, None)
     if second is None:  # bounded by PHRASE_BYTES of text, as each set below
-        index = build_index(docs, context.broadcast(first.vocabulary), key, text)
-        return search(index, context.broadcast(first), slack)
+        make, look = indexer(context.broadcast(first.vocabulary), key, text), searcher(context.broadcast(first), slack)
+        # blocks are searched where they are made: one Python worker a task, and no block leaves it
+        return _picked(docs, key, text).mapInArrow(lambda batches: look(make(batches)), MATCHES)
     index = cut_lineage(build_index(docs, None, key, text))  # made once, searched set by set
     found = _merged(search(index, context.broadcast(first), slack), search(index, context.broadcast(second), slack))
     for part in sets:
@@ -269,7 +284,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, key: st
 
 def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the contaminated ones, all columns kept; rows are told apart by id and text."""
-    row = F.xxhash64(F.col(key), F.col(text))
-    bad = contamination(docs.withColumn("_row", row), items, size, "_row", text).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, row == F.col("_bad"), "left_anti")
+    row, name = F.xxhash64(F.col(key), F.col(text)), "_bad"
+    while name in docs.columns:
+        name += "_"
+    bad = contamination(docs.select(row.alias(name), F.col(text)), items, size, name, text).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, row == F.col(name), "left_anti")
