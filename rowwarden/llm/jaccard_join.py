@@ -13,7 +13,8 @@ documents met); the choice changes the work, never the result.
 Equal keys bring documents together. Per key only a star (its smallest document with each other one)
 goes on, so a key shared by thousands costs a row for each. Stars are verified exactly on the texts.
 Where a star has edges that fail, its documents may still link among each other: those of different
-components are compared pairwise in blocks, first by sketches that never hide a link, then exactly.
+components are compared pairwise in blocks, first by sketches that never hide a link, then exactly. A sketch grows
+with what partners of its size may differ in, so that it tells large sets apart as well as small ones.
 Pairs inside a component need no look, as the result is components.
 
 Equal sets are one class and link without a look. Null or empty text, or no words: an empty set,
@@ -43,9 +44,12 @@ PERCENT = 90  # partners: 100 * intersection >= PERCENT * union
 SAMPLE = 3000  # documents (expected) on which allocations are priced
 PAIR_PRICE = 30.0  # keys sent that one meeting is worth
 SMALL = 64  # bands that begin below get budget 2 throughout: their subsets are too small to tell texts apart
-SKETCH = 256  # parts of the universe in a sketch, a byte each
+SKETCH = 512  # bits of the smallest sketch
+PER_DIFFERENCE = 4  # bits of a sketch, at least, for each element that partners may differ in
 WORDS = 1 << 20  # 64-bit words of the filter of documents on pairs: 8 MB
 BLOCK = 2048  # documents of one side in a block of comparisons
+PAIRS = 1 << 18  # pairs of a block looked at at once
+PORTION = 4096  # pairs whose sketches are held against each other at once
 LARGEST = 1 << 26  # elements; bands end there
 KEYS, META = 0, 1
 META_LIKE = {"doc": np.int64, "n": np.int64, "a": np.uint64, "b": np.uint64}
@@ -134,11 +138,49 @@ def fingerprints(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def sketches(sets: Sets) -> np.ndarray:
-    total = np.zeros((len(sets.first) - 1) * SKETCH, np.uint64)
-    part = (mix(sets.element ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(SKETCH)).astype(np.int64)
-    np.add.at(total, sets.row * SKETCH + part, mix(sets.element))
-    return (mix(total) & np.uint64(0xFF)).astype(np.uint8).reshape(-1, SKETCH)
+def sketch_bits(size: np.ndarray, percent: int) -> np.ndarray:
+    """Bits in the sketch of a set: a power of two that grows with what its partners may differ in."""
+    need = PER_DIFFERENCE * 2 * np.asarray(size, np.int64) * (100 - percent) // (100 + percent)
+    return np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(need, 1))).astype(np.int64))
+
+
+def sketches(sets: Sets, percent: int) -> list[bytes]:
+    """Per set: the parity of its elements in each part of the universe, a bit a part.
+
+    Two sets differ in as many elements as their sketches in bits, at least. A sketch of half as many parts is the
+    exclusive or of the two halves (`folded`).
+    """
+    bits = sketch_bits(sets.sizes(), percent)
+    first = np.concatenate(([0], np.cumsum(bits)))
+    part = (mix(sets.element ^ np.uint64(0x2545F4914F6CDD1D)) & (bits[sets.row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(first[sets.row] + part, minlength=first[-1]).astype(np.uint8) & 1
+    packed = np.packbits(odd).tobytes()
+    return [packed[a:b] for a, b in zip((first[:-1] // 8).tolist(), (first[1:] // 8).tolist())]
+
+
+def folded(sketch: list[bytes], bits: int) -> np.ndarray:
+    """Sketches of at least `bits` bits, all brought to that many; a row of 64-bit words each."""
+    out = np.zeros((len(sketch), bits // 64), np.uint64)
+    for i, one in enumerate(sketch):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(one, np.uint64).reshape(-1, bits // 64), axis=0)
+    return out
+
+
+def able(size: np.ndarray, sketch: list[bytes], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether size and sketch let the sets i and j be partners, pair by pair; partners always may."""
+    fits = 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+    bits = np.array([8 * len(s) for s in sketch], np.int64)
+    level = np.minimum(bits[i], bits[j])
+    most = (size[i] + size[j]) * (100 - percent) // (100 + percent)
+    for b in np.unique(level[fits]).tolist():
+        at = np.flatnonzero(fits & (level == b))
+        used, where = np.unique(np.concatenate((i[at], j[at])), return_inverse=True)
+        words = folded([sketch[u] for u in used], b)
+        for k in range(0, len(at), PORTION):
+            one, two = where[k : k + PORTION][: len(at) - k], where[len(at) + k : len(at) + k + PORTION]
+            apart = np.bitwise_count(words[one] ^ words[two]).sum(1, dtype=np.int64)
+            fits[at[k : k + PORTION]] = apart <= most[at[k : k + PORTION]]
+    return fits
 
 
 def keys_of(sets: Sets, scheme: Scheme, ahead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,17 +323,20 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, key: str = "
     met = shuffled(shuffled(indexed.where(F.col("kind") == KEYS), stars, SCHEMA), once, "hub long, doc long")
     side = lambda name, to: classes.select(F.col("doc_id").alias(name), F.col("rep").alias(to))
     pairs = met.join(side("hub", "x"), "hub").join(side("doc", "y"), "doc")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
-    pairs = settle(pairs)
+    ends = pairs.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # which of the two was the hub of a star; with deletions it need not be the smaller one
+    pairs = settle(ends.agg(F.max(F.col("x") < F.col("y")).alias("from_a"), F.max(F.col("x") > F.col("y")).alias("from_b")))
 
-    texts = settle(_texts(docs, pairs, gram))
+    texts = settle(_texts(docs, pairs, gram, percent))
     tested = settle(_verified(pairs, texts, gram, percent))
-    links = tested.where("linked").select("a", "b")
     same_id = classes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    more = _residual(tested, components(links), texts, percent)
+    found = components(tested.where("linked").select("a", "b").unionByName(same_id))
+    more = _residual(pairs, tested, found, texts, percent)
     if more is not None:
-        links = links.unionByName(_verified(more, texts, gram, percent).where("linked").select("a", "b"))
-    found = components(links.unionByName(same_id)).withColumnRenamed("node", "doc_id")
+        links = settle(_verified(more, texts, gram, percent).where("linked").select("a", "b"))
+        if not links.isEmpty():
+            found = components(links.unionByName(found.select(F.col("component").alias("a"), F.col("node").alias("b"))))
+    found = found.withColumnRenamed("node", "doc_id")
     return rows.join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
@@ -305,13 +350,13 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     bits = F.transform(F.array(F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))), lambda h: F.pmod(h, F.lit(64 * WORDS)))
     place = ids.select(F.explode(bits).alias("bit")).select(F.floor(F.col("bit") / 64).cast("long").alias("word"), F.pmod("bit", F.lit(64)).cast("int").alias("shift"))
     masks = place.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask"))
+    found = masks.toArrow()  # at most WORDS rows, in one job
     words = np.zeros(WORDS, np.int64)
-    for r in masks.toLocalIterator():  # at most WORDS rows
-        words[r.word] = r.mask
+    words[found["word"].to_numpy()] = found["mask"].to_numpy()
     return words
 
 
-def _texts(docs: DataFrame, pairs: DataFrame, gram: int) -> DataFrame:
+def _texts(docs: DataFrame, pairs: DataFrame, gram: int, percent: int) -> DataFrame:
     """Compressed text, size and sketch of every document on a pair.
 
     One pass over the texts in Python, which leaves out what the filter knows is on no pair, so that only about those that
@@ -338,9 +383,9 @@ def _texts(docs: DataFrame, pairs: DataFrame, gram: int) -> DataFrame:
         for block in blocks(on_pairs(), "text"):
             sets = sets_of(block, gram)
             packed = [squeeze.compress(block.text(i).encode()) for i in range(len(block))]
-            sketch = [s.tobytes() for s in sketches(sets)]
+            sketch = pa.array(sketches(sets, percent), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sets.sizes()), pa.array(sketch, pa.binary())],
+                [block.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sets.sizes()), sketch],
                 names=["doc_id", "packed", "size", "sketch"],
             )
 
@@ -384,11 +429,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Da
         for batch in batches:
             if not batch.num_rows:
                 continue
-            size = [batch.column(c).to_numpy() for c in (2, 4)]
-            sketch = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in (3, 5)]
-            most = (size[0] + size[1]) * (100 - percent) // (100 + percent)
-            able = (100 * np.minimum(*size) >= percent * np.maximum(*size)) & ((sketch[0] != sketch[1]).sum(1) <= most)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(able)], names=["a", "b", "able"])
+            size = np.concatenate([batch.column(c).to_numpy() for c in (2, 4)])
+            sketch = batch.column(3).to_pylist() + batch.column(5).to_pylist()
+            one = np.arange(batch.num_rows)
+            may = able(size, sketch, one, one + batch.num_rows, percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(may)], names=["a", "b", "able"])
 
     # sizes and sketches settle most pairs, for a part of what their texts would shuffle
     about = [texts.select(F.col("doc_id").alias(c), F.col("size").alias(f"s{c}"), F.col("sketch").alias(f"k{c}")) for c in ("a", "b")]
@@ -403,23 +448,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Da
     )
 
 
-def _residual(tested: DataFrame, found: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs not tested yet that may link two components: both met the same document, one in vain."""
-    failed = tested.where("not linked").select(F.explode(F.array("a", "b")).alias("hub")).distinct()
-    near = tested.select(F.col("a").alias("hub"), F.col("b").alias("doc_id")).unionByName(
-        tested.select(F.col("b").alias("hub"), F.col("a").alias("doc_id"))
-    )
-    near = near.join(failed, "hub", "left_semi").distinct()
+def _residual(pairs: DataFrame, tested: DataFrame, found: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs not tested yet that may link two components: both met the same hub, one in vain.
+
+    Only stars whose members are in several components are looked at, and only by sizes and sketches.
+    """
+    star = lambda hub, doc: pairs.where(f"from_{hub}").select(F.col(hub).alias("hub"), F.col(doc).alias("doc_id"))
     label = found.select(F.col("node").alias("doc_id"), "component")
-    near = near.join(label, "doc_id", "left").select("hub", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    near = star("a", "b").unionByName(star("b", "a")).join(label, "doc_id", "left")
+    near = settle(near.select("hub", "doc_id", F.coalesce("component", "doc_id").alias("component")))
     spread = near.groupBy("hub").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"))
     near = near.join(spread.where("c0 < c1").select("hub", "members"), "hub")
-    if near.isEmpty():
-        return None
-    about = texts.select("doc_id", "size", "sketch")
     # members of a hub in blocks of about BLOCK; every two blocks of a hub meet in one place
     count = F.ceil(F.col("members") / BLOCK)
     own = F.pmod(F.xxhash64("doc_id"), count)
+    about = texts.select("doc_id", "size", "sketch")
     placed = near.join(about, "doc_id").select("hub", "doc_id", "component", "size", "sketch", own.alias("own"), count.alias("count"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
     placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
@@ -427,18 +470,22 @@ def _residual(tested: DataFrame, found: DataFrame, texts: DataFrame, percent: in
     def compare(table: pa.Table) -> pa.Table:
         doc, size, part = (table.column(c).to_numpy() for c in ("doc_id", "size", "component"))
         own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        sketch = table.column("sketch").to_pylist()
         one, two = np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0])
-        left, right = [], []
-        for i in one:
-            able = two[(doc[two] != doc[i]) & (part[two] != part[i])]
-            most = (size[i] + size[able]) * (100 - percent) // (100 + percent)
-            able = able[(100 * np.minimum(size[i], size[able]) >= percent * np.maximum(size[i], size[able]))
-                        & ((sketch[able] != sketch[i]).sum(1) <= most)]
-            left.append(np.minimum(doc[i], doc[able]))
-            right.append(np.maximum(doc[i], doc[able]))
-        pairs = np.unique(np.stack((np.concatenate(left), np.concatenate(right)), 1), axis=0) if left else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        left, right = [doc[:0]], [doc[:0]]
+        step = max(1, PAIRS // max(len(two), 1))
+        for k in range(0, len(one), step):
+            some = one[k : k + step, None]
+            x, y = np.nonzero((part[some] != part[two]) & (100 * np.minimum(size[some], size[two]) >= percent * np.maximum(size[some], size[two])))
+            x, y = some[x, 0], two[y]
+            if low[0] == high[0]:  # every pair is there both ways round
+                x, y = x[doc[x] < doc[y]], y[doc[x] < doc[y]]
+            may = able(size, sketch, x, y, percent)
+            left.append(doc[x[may]])
+            right.append(doc[y[may]])
+        i, j = np.concatenate(left), np.concatenate(right)
+        ends = np.unique(np.stack((np.minimum(i, j), np.maximum(i, j)), 1), axis=0)
+        return pa.table({"a": pa.array(ends[:, 0], pa.int64()), "b": pa.array(ends[:, 1], pa.int64())})
 
     more = placed.groupBy("hub", "low", "high").applyInArrow(compare, "a long, b long").distinct()
     more = settle(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"))

@@ -159,6 +159,36 @@ def test_every_allocation_finds_all_links(spark, monkeypatch):
     assert sorted((False, r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_sketches_tell_large_sets_apart_and_hide_no_link(percent):
+    rng = np.random.default_rng(percent)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+    found, unlike = [], []
+    for size in (3, 40, 300, 2000, 9000):
+        base = draw(size)
+        found += [base] + [np.union1d(base[rng.random(len(base)) > f], draw(int(f * size))) for f in (0.01, 0.04, 0.05, 0.1, 0.11, 0.13)]
+        unlike.append((len(found) - 1, len(found)))
+        found.append(draw(size))
+    first = np.concatenate(([0], np.cumsum([len(x) for x in found])))
+    sets = jaccard_join.Sets(np.concatenate(found), np.repeat(np.arange(len(found)), np.diff(first)), first)
+    one, two = (x.ravel() for x in np.meshgrid(np.arange(len(found)), np.arange(len(found))))
+    may = jaccard_join.able(sets.sizes(), jaccard_join.sketches(sets, percent), one, two, percent)
+    partner = np.array([jaccard_join.is_partner(found[a], found[b], percent) for a, b in zip(one, two)])
+    assert not (partner & ~may).any() and may.sum() < 1.5 * partner.sum()
+    assert not any(may[(one == a) & (two == b)].any() for a, b in unlike)
+
+
+def test_filter_of_pairs_takes_few_jobs(spark):
+    ids = spark.range(0, 5000, 7, 8).withColumnRenamed("id", "doc_id")
+    spark.sparkContext.setJobGroup("filter", "filter of pairs")
+    try:
+        words = jaccard_join._bitmap(ids)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < int(np.bitwise_count(words.view(np.uint64)).sum()) <= 2 * ids.count()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("filter")) <= 4
+
+
 def test_components(spark):
     rng = random.Random(4)
     pairs = [(i, i + 1) for i in range(200, 260)] + [(rng.randrange(100), rng.randrange(100)) for _ in range(60)] + [(7, 7)]
