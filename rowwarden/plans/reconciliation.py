@@ -151,7 +151,8 @@ def _list(columns):
     return [f"{e} AS {n}" for n, e in columns.items()]
 
 
-_SPARK_TABLE = ("sha2({}, 256)", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, {}, 0) + make_dt_interval(0, {}, 0, 0)")
+# digests as bytes: they are compared and ordered as in hex, and are most of what is shuffled
+_SPARK_TABLE = ("unhex(sha2({}, 256))", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, {}, 0) + make_dt_interval(0, {}, 0, 0)")
 _DUCK_TABLE = ("sha256({})", "TIMESTAMP '2024-01-01 00:00:00' + to_minutes({}) + to_hours({})")
 
 

@@ -78,3 +78,11 @@ def test_repeated_keys_count_once(spark):
     ]
     checked = reconcile.left_check(a, b.withColumnRenamed("h", "c"), "pk", "h", "c", ["at"]).collect()
     assert len(checked) == len(rows)
+
+
+def test_digests_of_the_tables_are_joined_as_bytes(spark):
+    from rowwarden.plans import reconciliation
+
+    for _, _, joined in reconciliation.each_table(spark, "/root/testdata/sf0.001"):
+        kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
+        assert kinds["row_sum"] == kinds["far_sum"] == "binary"
