@@ -83,5 +83,10 @@ def words(hex_digest: Column) -> list[Column]:
     return [F.conv(F.substring(hex_digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
 
 
+def signed_words(hex_digest: Column) -> list[Column]:
+    """The bits of those words as bigints."""
+    return [F.conv(F.substring(hex_digest, 1 + 16 * i, 16), 16, -10).cast("bigint") for i in range(4)]
+
+
 def is_hex_digest(column: Column) -> Column:
     return column.rlike(HEX64)

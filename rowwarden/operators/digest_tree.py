@@ -45,6 +45,13 @@ def open_rows(a: KeyedStore, b: KeyedStore) -> tuple[DataFrame, DataFrame]:
 
 
 def drift(a: KeyedStore, b: KeyedStore, key: str, a_hash: str, b_hash: str) -> DataFrame:
-    """Status of every key in a leaf that differs; all keys that are not OK are among them."""
+    """Status of every key in a leaf that differs; all keys that are not OK are among them.
+
+    A store has one row per key and none without one, so the sides are joined as they are.
+    """
     left, right = open_rows(a, b)
-    return reconcile.full_outer(left, right, key, a_hash, b_hash)
+    if (a.keys, b.keys) != ([key], [key]):
+        return reconcile.full_outer(left, right, key, a_hash, b_hash)
+    sides = left.select(key, F.col(a_hash).alias("onprem_hash")), right.select(key, F.col(b_hash).alias("azure_hash"))
+    status = reconcile.drift_status(F.col("onprem_hash"), F.col("azure_hash"))
+    return sides[0].join(sides[1], key, "full_outer").select(key, "onprem_hash", "azure_hash", status.alias("reconciliation_status"))

@@ -5,9 +5,10 @@
     <root>/manifest/version=<v>            per bucket: the version that holds it, its rows and its digest
 
 A key's leaf is its hash modulo `leaves`; a bucket is a run of leaves, so key ranges are folders and a range reads
-its own files only. A merge reduces the changes to one row per key on the map side, reads the buckets they fall
-into as the version before left them, and writes those buckets anew. Rows that changed carry the row
-before, which gives the changelog (`changes`) without a second table. Digests are sums over rows, so a
+its own files only. A merge stages the changes, reads the buckets they fall into as the version before left them, and
+writes those buckets anew, each by as many tasks as its rows ask for. If keys come often or a leaf is hot, the changes
+are first reduced to one row per key on the map side; else that would only be a second shuffle. Rows that changed carry
+the row before, which gives the changelog (`changes`) without a second table. Digests are sums over rows, so a
 merge adds the rows that came and takes away those that went, and hashes nothing else.
 
 The manifest is written last and names every bucket: it is the commit. A merge that is run again starts from the
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from rowwarden.functions import hashing
@@ -37,6 +38,7 @@ from rowwarden.operators.reconcile import DIGEST
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 WEIGHT = {INSERT: 1, BEFORE: -1, AFTER: 1, DELETE: -1}
 SUM = "decimal(38,0)"
+TASK_ROWS = 100_000  # rows that a task of a merge is meant to write
 MANIFEST = f"bucket int, held_in bigint, row_count bigint, {', '.join(f'{d} {SUM}' for d in DIGEST)}"
 
 
@@ -157,26 +159,49 @@ class KeyedStore:
     def merge(self, changes: DataFrame, version: int) -> list[int]:
         """Bring in the changes as commit `version`; gives the buckets that were written."""
         _, entries = self.manifest(version)
-        rank = F.struct(*[F.col(c) for c in self.order])
-        last = self._placed(changes).groupBy(*self.keys, "leaf", "bucket").agg(F.max_by(self._row(), F.struct(rank, self._row())).alias("_row"))
+        placed = self._placed(changes).select("bucket", "leaf", *self.schema.names)
         step = f"{self.root}/step"
-        _overwrite(last.select("bucket", "leaf", "_row"), step)
-        fresh = self.spark.read.schema(last.select("bucket", "leaf", "_row").schema).parquet(step)
-        touched = self._touched(fresh)
+        _overwrite(placed, step)
+        fresh = self.spark.read.schema(placed.schema).parquet(step)
+        came = {r.bucket: r for r in fresh.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*self.keys)).alias("keys")).collect()}
+        touched = sorted(came)
         if touched:
-            new = fresh.select("bucket", "leaf", "_row", F.lit(1).alias("_new"))
-            old = self._files(entries, touched).select("bucket", "leaf", self._row().alias("_row"), F.lit(0).alias("_new"))
-            key = [F.col(f"_row.{k}") for k in self.keys]
-            both = old.unionByName(new).repartition("bucket").groupBy("bucket", "leaf", *key)
-            order = F.struct(*[F.col(f"_row.{c}") for c in self.order], F.col("_new"))
-            met = both.agg(F.max_by("_row", F.when(F.col("_new") == 0, F.lit(0))).alias("_before"), F.max_by("_row", order).alias("_now"))
-            changed = ~F.col("_before").eqNullSafe(F.col("_now"))
-            rows = met.select("bucket", "leaf", "_now.*", changed.alias("_changed"), F.when(changed, F.col("_before")).alias("_before"))
-            _overwrite(rows.sortWithinPartitions("bucket", "leaf", *self.keys), f"{self.root}/data/version={version}", "bucket")
+            n = sum(r.n for r in came.values())
+            if 2 * sum(r["keys"] for r in came.values()) < n or fresh.groupBy("leaf").count().agg(F.max("count")).first()[0] > TASK_ROWS:
+                fresh = self._reduced(fresh)
+            old = self._files(entries, touched).select("bucket", "leaf", *self.schema.names, F.lit(0).alias("_new"))
+            both = old.unionByName(fresh.withColumn("_new", F.lit(1)))
+            held = sum(e.rows for b, e in entries.items() if b in came)
+            _overwrite(self._met(self._spread(both, touched, held + n)), f"{self.root}/data/version={version}", "bucket")
             entries = entries | self._digest(entries, touched, version)
         self._commit(version, entries)
         return touched
 
+    def _reduced(self, fresh: DataFrame) -> DataFrame:
+        """The last row of each key, by an aggregate that combines on the map side."""
+        last = F.max(F.struct(F.struct(*self.order).alias("rank"), self._row().alias("row"))).alias("_last")
+        return fresh.groupBy("bucket", "leaf", *self.keys).agg(last).select("bucket", "leaf", "_last.row.*")
+
+    def _spread(self, rows: DataFrame, touched: Sequence[int], n: int) -> DataFrame:
+        """Rows brought to the tasks that write them: each touched bucket is cut into runs of leaves."""
+        per = self.leaves // self.buckets
+        parts = min(per, max(1, -(-n // (TASK_ROWS * len(touched)))))
+        number = {b: i * parts for i, b in enumerate(touched)}
+        first = F.get(F.array(*[F.lit(number.get(b, 0)) for b in range(self.buckets)]), F.col("bucket"))
+        return rows.withColumn("_task", first + F.expr(f"CAST(leaf % {per} * {parts} div {per} AS INT)")).repartitionById(parts * len(touched), "_task")
+
+    def _met(self, both: DataFrame) -> DataFrame:
+        """The rows of a version from the stored ones (`_new` 0, one a key) and the changes (`_new` 1), in order of leaves."""
+        place = ["bucket", "leaf", *self.keys, "_task"]
+        same = Window.partitionBy(*place).orderBy("_new", *self.order, *self.schema.names)
+        old = F.first(F.when(F.col("_new") == 0, self._row())).over(same.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        last = both.select("*", old.alias("_old"), F.lead("_new").over(same).alias("_next")).where("_next IS NULL").sortWithinPartitions(*place)  # as they lie
+        rank = lambda within: F.struct(*[F.col(f"{within}{c}").alias(c) for c in self.order])
+        met = last.withColumn("_stays", F.col("_old").isNotNull() & (rank("_old.") > rank("")))
+        changed = (F.col("_new") == 1) & ~F.col("_stays") & ~F.col("_old").eqNullSafe(self._row())
+        now = [F.when(F.col("_stays"), F.col(f"_old.{c}")).otherwise(F.col(c)).alias(c) for c in self.schema.names]
+        return met.select("bucket", "leaf", *now, changed.alias("_changed"), F.when(changed, F.col("_old")).alias("_before"))
+
     def _log(self, entries: dict[int, Entry]) -> DataFrame:
         """kind, row, bucket and leaf of every change in the given buckets."""
         rows = self._files(entries).where("_changed").select("bucket", "leaf", self._row().alias("_now"), "_before")
@@ -198,11 +223,7 @@ class KeyedStore:
     # -------------------------------------------------------------- digests
 
     def _digest(self, before: dict[int, Entry], touched: Sequence[int], version: int) -> dict[int, Entry]:
-        log = self._log({b: Entry(version, 0, ()) for b in touched})
-        weight = F.when(F.col("kind").isin(INSERT, AFTER), F.lit(1)).otherwise(F.lit(-1))
-        bound = hashing.bound_digest(self._key_text("row."), hashing.canonical_hash([(F.col(f"row.{c}"), "NULL") for c in self.digest_columns]))
-        parts = [(w * weight).cast(SUM).alias(d) for w, d in zip(hashing.words(bound), DIGEST)]
-        moved = log.select("bucket", "leaf", weight.cast("bigint").alias("row_count"), *parts)
+        moved = self._moved({b: Entry(version, 0, ()) for b in touched})
         held = self.leaf_digests(before, touched)
         sums = [F.sum("row_count").alias("row_count"), *[F.sum(d).cast(SUM).alias(d) for d in DIGEST]]
         leaves = held.unionByName(moved).groupBy("bucket", "leaf").agg(*sums)
@@ -213,6 +234,25 @@ class KeyedStore:
             b: Entry(version, 0, (Decimal(0),) * len(DIGEST)) for b in touched if b not in {r.bucket for r in per_bucket}
         }
 
+    def _moved(self, entries: dict[int, Entry]) -> DataFrame:
+        """(bucket, leaf, row_count, digest): what the changes in the given buckets add to their leaves."""
+
+        def bound(there: Column, prefix: str) -> Column:
+            row = hashing.canonical_hash([(F.col(f"{prefix}{c}"), "NULL") for c in self.digest_columns])
+            return F.when(there, hashing.bound_digest(self._key_text(prefix), row))
+
+        sides = ("_now", "_was")
+        was = F.col("_before").isNotNull() & ~self.deleted("_before")
+        hashed = self._files(entries).where("_changed").select("bucket", "leaf", bound(~self.deleted(), "").alias("_now"), bound(was, "_before.").alias("_was"))
+        words = hashed.select("bucket", "leaf", *[w.alias(f"{s}{i}") for s in sides for i, w in enumerate(hashing.signed_words(F.col(s)))])
+        # whole numbers are summed, not decimals: the halves of a word, of which 2^31 fit a sum
+        change = lambda value: F.sum(F.coalesce(value("_now"), F.lit(0)) - F.coalesce(value("_was"), F.lit(0)))
+        high = [change(lambda s: F.shiftrightunsigned(f"{s}{i}", 32)).alias(f"high{i}") for i in range(len(DIGEST))]
+        low = [change(lambda s: F.col(f"{s}{i}").bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"low{i}") for i in range(len(DIGEST))]
+        count = change(lambda s: F.when(F.col(f"{s}0").isNotNull(), F.lit(1).cast("bigint")))
+        whole = [F.expr(f"CAST(CAST(high{i} AS DECIMAL(20,0)) * 4294967296BD + low{i} AS {SUM})").alias(d) for i, d in enumerate(DIGEST)]
+        return words.groupBy("bucket", "leaf").agg(count.alias("row_count"), *high, *low).select("bucket", "leaf", "row_count", *whole)
+
     def leaf_digests(self, entries: dict[int, Entry], buckets: Sequence[int]) -> DataFrame:
         """(bucket, leaf, row_count, digest) of the given buckets, from the versions that hold them."""
         schema = f"bucket int, leaf bigint, row_count bigint, {', '.join(f'{d} {SUM}' for d in DIGEST)}"

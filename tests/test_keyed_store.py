@@ -8,8 +8,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from rowwarden.functions import hashing
 from rowwarden.operators import changelog, digest_tree, keyed, metrics, reconcile
 from rowwarden.plans import inputs
+from rowwarden.sources import keyed_store
 from rowwarden.sources.keyed_store import AFTER, BEFORE, DELETE, INSERT, KeyedStore
 from rowwarden.streaming import sinks, sources
 
@@ -89,6 +91,52 @@ def test_a_batch_of_one_bucket_writes_one_bucket(spark, tmp_path):
     assert s.changes(2).count() == 0
 
 
+def test_a_bucket_is_written_by_as_many_tasks_as_its_rows_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_store, "TASK_ROWS", 50)
+    s = store(spark, tmp_path, buckets=2)
+    rows = [(i, 0, "u", "NEW", 1.0) for i in range(400)]
+    s.merge(spark.createDataFrame(rows, SCHEMA), 0)
+    files = [len(list((tmp_path / "data" / "version=0" / f"bucket={b}").glob("*.parquet"))) for b in range(2)]
+    assert files == [4, 4] and bag(s.read()) == Counter(rows)
+    later = [(i, 1, "u", "PAID", 2.0) for i in range(0, 400, 2)]
+    s.merge(spark.createDataFrame(later, SCHEMA), 1)
+    assert bag(s.read()) == Counter(later) + Counter(rows[1::2])
+
+
+@pytest.mark.parametrize("reduced", [True, False])
+def test_repeated_keys_of_a_merge(spark, tmp_path, monkeypatch, reduced):
+    calls, own = [], KeyedStore._reduced
+    monkeypatch.setattr(KeyedStore, "_reduced", lambda self, fresh: calls.append(1) or own(self, fresh))
+    s, done = store(spark, tmp_path), []
+    for v, rows in enumerate(batches(9, size=60)):
+        done.append(rows if reduced else rows + [(1000 + i, 5, "u", "NEW", None) for i in range(100)])  # seldom, or most keys once
+        if reduced:
+            done[-1] = done[-1] + [(7, at, "u", "NEW", 1.0) for at in range(100)]
+        s.merge(spark.createDataFrame(done[-1], SCHEMA).repartition(3), v)
+        assert bag(s.read()) == plain(done)
+    assert len(calls) == (len(done) if reduced else 0)
+
+
+def test_a_hot_key_among_many_is_reduced(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_store, "TASK_ROWS", 60)
+    calls, own = [], KeyedStore._reduced
+    monkeypatch.setattr(KeyedStore, "_reduced", lambda self, fresh: calls.append(1) or own(self, fresh))
+    rows = [(i, 0, "u", "NEW", 1.0) for i in range(400)] + [(3, at, "u", "PAID", 1.0) for at in range(100)]
+    s = store(spark, tmp_path)
+    s.merge(spark.createDataFrame(rows, SCHEMA), 0)
+    assert calls and bag(s.read()) == plain([rows])
+
+
+def test_bucket_digests_are_the_sums_of_the_words_of_their_rows(spark, tmp_path):
+    s = store(spark, tmp_path)
+    for v, rows in enumerate(batches(5)):
+        s.merge(spark.createDataFrame(rows, SCHEMA), v)
+    bound = hashing.bound_digest(F.col("id"), hashing.canonical_hash([(F.col(c), "NULL") for c in s.digest_columns]))
+    sums = [F.sum(w).cast("decimal(38,0)") for w in hashing.words(bound)]
+    rows = s.read().withColumn("bucket", F.floor(s.leaf() / 8)).groupBy("bucket").agg(F.count(F.lit(1)), *sums).collect()
+    assert {r[0]: tuple(r[1:]) for r in rows} == {b: (e.rows, *e.digest) for b, e in s.manifest()[1].items() if e.rows}
+
+
 def test_old_versions_go(spark, tmp_path):
     s = store(spark, tmp_path)
     for v in range(5):
